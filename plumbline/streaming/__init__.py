@@ -1,0 +1 @@
+"""No streaming operators: every load this library covers is a full batch with overwrite."""
