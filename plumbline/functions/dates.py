@@ -7,34 +7,26 @@ from pyspark.sql import Column, functions as F
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def _day(fmt: str):
-    return lambda c: F.try_to_date(c, fmt)
-
-
-def _epoch(c: Column) -> Column:
-    secs = c.try_cast("decimal(18,6)")
-    return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
-
-
+# how each layout reads a text column, as an expression over {c}
 LAYOUTS = {
-    "day_slash": _day("dd/MM/yyyy"),
-    "iso_date": _day("yyyy-MM-dd"),
-    "iso_timestamp": lambda c: c.try_cast("timestamp_ntz"),
-    "day_month_name": _day("dd-MMM-yyyy"),
-    "slash_minute": lambda c: F.try_to_timestamp(c, F.lit("yyyy/MM/dd HH:mm")).cast("timestamp_ntz"),
-    "epoch_seconds": _epoch,
+    "day_slash": "try_to_date({c}, 'dd/MM/yyyy')",
+    "iso_date": "try_to_date({c}, 'yyyy-MM-dd')",
+    "iso_timestamp": "try_cast({c} AS timestamp_ntz)",
+    "day_month_name": "try_to_date({c}, 'dd-MMM-yyyy')",
+    "slash_minute": "cast(try_to_timestamp({c}, 'yyyy/MM/dd HH:mm') AS timestamp_ntz)",
+    "epoch_seconds": f"{_EPOCH} + make_dt_interval(0, 0, 0, try_cast({{c}} AS decimal(18,6)))",
 }
 
 
-def parse(c: Column | str, layout: str) -> Column:
+def parse(c: str, layout: str) -> Column:
+    """The column named `c` as a date or timestamp."""
     if layout not in LAYOUTS:
         raise ValueError(f"{layout!r} is not a date layout; use one of {sorted(LAYOUTS)}")
-    return LAYOUTS[layout](F.col(c) if isinstance(c, str) else c)
+    return F.expr(LAYOUTS[layout].format(c=c))
 
 
-def parse_failed(raw: Column | str, parsed: Column | str) -> Column:
-    raw, parsed = (F.col(c) if isinstance(c, str) else c for c in (raw, parsed))
-    return raw.isNotNull() & parsed.isNull()
+def parse_failed(raw: str, parsed: str) -> Column:
+    return F.expr(f"{raw} IS NOT NULL AND {parsed} IS NULL")
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:

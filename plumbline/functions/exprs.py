@@ -12,8 +12,9 @@ def holds(cond: Column) -> Column:
 
 def has_code(codes: Column | str, code: str) -> Column:
     """Exact membership in a comma list (a substring test would confuse similar codes)."""
-    c = F.col(codes) if isinstance(codes, str) else codes
-    return holds(F.array_contains(F.split(c, ","), code))
+    if isinstance(codes, str):
+        return F.expr(f"coalesce(array_contains(split({codes}, ','), '{code}'), false)")
+    return holds(F.array_contains(F.split(codes, ","), code))
 
 
 def ratio(num: Column, den: Column) -> Column:

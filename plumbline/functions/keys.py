@@ -16,23 +16,36 @@ def readable_key(*parts: Column | str) -> Column:
     """The natural key as one text; a null part becomes a marker, so the key is never null."""
     if not parts:
         raise ValueError("a key needs at least one column")
+    if all(isinstance(p, str) for p in parts):  # columns by name: one expression text
+        return F.expr(_readable(parts))
     return F.concat_ws(
         SEPARATOR, *[F.coalesce(_col(p).cast("string"), F.lit(NULL_MARK)) for p in parts]
     )
 
 
+def _readable(parts) -> str:
+    texts = ", ".join(f"coalesce(cast({p} AS string), '{NULL_MARK}')" for p in parts)
+    return f"concat_ws('{SEPARATOR}', {texts})"
+
+
 def surrogate_key(*parts: Column | str) -> Column:
+    if parts and all(isinstance(p, str) for p in parts):
+        return F.expr(f"sha2({_readable(parts)}, 256)")
     return F.sha2(readable_key(*parts), 256)
 
 
 def optional_key(part: Column | str) -> Column:
     """Foreign key of an optional reference: null stays null instead of hashing the marker."""
-    return F.when(_col(part).isNotNull(), surrogate_key(part))
+    if isinstance(part, str):
+        return F.expr(f"sha2(cast({part} AS string), 256)")
+    return F.sha2(part.cast("string"), 256)
 
 
 def date_key(day: Column | str) -> Column:
     """Foreign key into the calendar; null while the milestone has not happened."""
-    return F.when(_col(day).isNotNull(), surrogate_key(F.date_format(_col(day), "yyyy-MM-dd")))
+    if isinstance(day, str):
+        return F.expr(f"sha2(date_format({day}, 'yyyy-MM-dd'), 256)")
+    return F.sha2(F.date_format(day, "yyyy-MM-dd"), 256)
 
 
 def anonymous_key() -> Column:

@@ -15,25 +15,42 @@ def completeness(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def orphans(
+def link_usage(
     facts: dict[str, DataFrame], dims: dict[str, DataFrame], keys: list[tuple[str, str, str, str]]
 ) -> DataFrame:
-    """Orphan rows of every declared (fact, fact key, dimension, dimension key).
+    """Every distinct key of every declared (fact, fact key, dimension, dimension key) with the rows
+    that use it and whether the dimension has it.
 
-    Key values are counted per fact first, so a hot key is one row when it meets the dimension.
+    A fact is read once for all its links, and its rows are counted per key before they meet the
+    dimensions, so a hot key is one row by then.
     """
-    parts = []
-    for fact, fk, dim, pk in keys:
-        used = facts[fact].filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("__k")).agg(
-            F.count("*").alias("__n")
+    used = []
+    for fact, df in facts.items():
+        mine = [(fk, dim) for f, fk, dim, _ in keys if f == fact]
+        pairs = ", ".join(
+            f"struct('{fact}.{fk}' AS link, '{dim}' AS dimension, {fk} AS key)" for fk, dim in mine
         )
-        known = dims[dim].select(F.col(pk).alias("__k"))
-        parts.append(
-            used.join(known, "__k", "left_anti")
-            .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"))
-            .select(F.lit(f"{fact}.{fk}").alias("fk"), "orphan_rows")
+        used.append(
+            df.selectExpr(f"inline(array({pairs}))")
+            .groupBy("link", "dimension", "key").agg(F.count("*").alias("fact_rows"))
         )
-    return union_all(parts)
+    known = union_all([
+        dims[d].select(F.lit(d).alias("dimension"), F.col(pk).alias("key")).distinct()
+        for d, pk in dict.fromkeys((d, pk) for _, _, d, pk in keys)
+    ]).withColumn("found", F.lit(True))
+    return union_all(used).join(known, ["dimension", "key"], "left").withColumn(
+        "found", F.coalesce("found", F.lit(False))
+    )
+
+
+def orphans(
+    facts: dict[str, DataFrame], dims: dict[str, DataFrame], keys: list[tuple[str, str, str, str]]
+) -> DataFrame:
+    """Rows per declared link whose key the dimension lacks."""
+    lost = F.col("key").isNotNull() & ~F.col("found")
+    return link_usage(facts, dims, keys).groupBy(F.col("link").alias("fk")).agg(
+        F.coalesce(F.sum(F.when(lost, F.col("fact_rows"))), F.lit(0)).alias("orphan_rows")
+    )
 
 
 def grain_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:

@@ -67,77 +67,77 @@ def add_anomaly_columns(
     df: DataFrame, status: str = "CLEAN", certainty: str = "CONFIRMED"
 ) -> DataFrame:
     vocab.status_rank(status), vocab.certainty_rank(certainty)
-    return df.withColumns({
-        "anomaly_flag": F.lit(False),
-        "anomaly_reason_code": F.lit(None).cast("string"),
-        "data_quality_status": F.lit(status),
-        "metric_certainty_level": F.lit(certainty),
-    })
+    return df.selectExpr(
+        "*",
+        "false AS anomaly_flag",
+        "cast(null AS string) AS anomaly_reason_code",
+        f"'{status}' AS data_quality_status",
+        f"'{certainty}' AS metric_certainty_level",
+    )
 
 
 def add_resolution_columns(df: DataFrame) -> DataFrame:
     """Audit columns for rows not yet resolved; a table that has them is left as it is."""
     fresh = {
-        "resolution_applied": F.lit(False),
-        "resolution_method": F.lit(None).cast("string"),
-        "b_classification": F.lit(None).cast("string"),
+        "resolution_applied": "false",
+        "resolution_method": "cast(null AS string)",
+        "b_classification": "cast(null AS string)",
     }
-    return df.withColumns({c: e for c, e in fresh.items() if c not in df.columns})
+    missing = [f"{e} AS {c}" for c, e in fresh.items() if c not in df.columns]
+    return df.selectExpr("*", *missing) if missing else df
+
+
+def _labels(labels: list[str]) -> str:
+    return "array(" + ", ".join(f"'{x}'" for x in labels) + ")"
 
 
-def rank_of(label: Column, labels: list[str]) -> Column:
-    """Position of a label in its severity order."""
-    pos = F.array_position(F.array(*[F.lit(s) for s in labels]), label)
-    return F.coalesce(pos, F.lit(1)).cast("int") - 1
+def _rank(label: str, labels: list[str]) -> str:
+    """SQL for the position of a label in its severity order; the lowest for a null."""
+    return f"coalesce(array_position({_labels(labels)}, {label}), 1) - 1"
 
 
-def label_of(rank: Column, labels: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in labels]), rank + 1)
+def _label(rank: str, labels: list[str]) -> str:
+    return f"element_at({_labels(labels)}, cast({rank} AS int) + 1)"
 
 
-def more_severe(a: Column, b: Column, labels: list[str]) -> Column:
-    return label_of(F.greatest(rank_of(a, labels), rank_of(b, labels)), labels)
+def more_severe(a: str, b: str, labels: list[str]) -> Column:
+    """The worse of two labels, given as SQL expressions."""
+    return F.expr(_label(f"greatest({_rank(a, labels)}, {_rank(b, labels)})", labels))
 
 
-def _append(existing: Column, hits: list[tuple[Column, str]]) -> Column:
+def _append(existing: str, hits: list[tuple[str, str]]) -> Column:
     """Comma list with the labels of the hit rules added once each, null when empty."""
-    old = F.when(existing.isNotNull(), F.split(existing, ",")).otherwise(
-        F.array().cast("array<string>")
-    )
-    new = F.array_compact(F.array(*[F.when(h, F.lit(v)) for h, v in hits]))
-    merged = F.array_distinct(F.concat(old, new))
-    return F.when(F.size(merged) > 0, F.array_join(merged, ","))
-
-
-def _quality_after(hits: list[tuple[Column, Rule]]) -> dict[str, Column]:
-    """The four quality columns after every rule in the list has been applied."""
-    any_hit = hits[0][0]
-    for h, _ in hits[1:]:
-        any_hit = any_hit | h
-    status, certainty = (
-        F.greatest(
-            rank_of(F.col(c), labels),
-            *[F.when(h, F.lit(r.ranks()[i])).otherwise(F.lit(0)) for h, r in hits],
-        )
-        for i, (c, labels) in enumerate(
-            [("data_quality_status", vocab.STATUSES), ("metric_certainty_level", vocab.CERTAINTIES)]
-        )
-    )
+    new = ", ".join(f"CASE WHEN {h} THEN '{v}' END" for h, v in hits)
+    old = f"coalesce(split({existing}, ','), cast(array() AS array<string>))"
+    merged = f"array_distinct(concat({old}, array_compact(array({new}))))"
+    return F.expr(f"nullif(array_join({merged}, ','), '')")
+
+
+def _quality_after(hits: list[tuple[str, Rule]]) -> dict[str, Column]:
+    """The four quality columns after every rule in the list, whose hits are boolean columns."""
+
+    def worst(column: str, labels: list[str], i: int) -> Column:
+        ranks = [f"CASE WHEN {h} THEN {r.ranks()[i]} ELSE 0 END" for h, r in hits]
+        return F.expr(_label(f"greatest({', '.join([_rank(column, labels), *ranks])})", labels))
+
     return {
-        "anomaly_flag": holds(F.col("anomaly_flag")) | any_hit,
-        "anomaly_reason_code": _append(
-            F.col("anomaly_reason_code"), [(h, r.code) for h, r in hits]
+        "anomaly_flag": F.expr(
+            " OR ".join(["coalesce(anomaly_flag, false)", *[h for h, _ in hits]])
         ),
-        "data_quality_status": label_of(status, vocab.STATUSES),
-        "metric_certainty_level": label_of(certainty, vocab.CERTAINTIES),
+        "anomaly_reason_code": _append("anomaly_reason_code", [(h, r.code) for h, r in hits]),
+        "data_quality_status": worst("data_quality_status", vocab.STATUSES, 0),
+        "metric_certainty_level": worst("metric_certainty_level", vocab.CERTAINTIES, 1),
     }
 
 
 def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Apply a list of rules in one projection."""
+    """Apply a list of rules at once, however many there are."""
     if not rules:
         return df
-    return df.withColumns(_quality_after([(holds(r.when), r) for r in rules]))
+    # one run of helper columns, so a condition is computed once however often it is read
+    names = [f"__rule_{i}" for i in range(len(rules))]
+    df = df.withColumns({n: holds(r.when) for n, r in zip(names, rules)})
+    return df.withColumns(_quality_after(list(zip(names, rules)))).drop(*names)
 
 
 def resolve(df: DataFrame, corrections: list[Correction]) -> DataFrame:
@@ -152,33 +152,39 @@ def resolve(df: DataFrame, corrections: list[Correction]) -> DataFrame:
         holds(c.when) | has_code("anomaly_reason_code", c.code) if c.code else holds(c.when)
         for c in corrections
     ]
-    # one run of helper columns, so a condition is computed once however often it is read
-    df = df.withColumns(dict(zip(names, hit)))
+    part = {
+        f"{n}_{j}": holds(extra)
+        for n, c in zip(names, corrections)
+        for j, (extra, _) in enumerate(c.methods())
+        if len(c.methods()) > 1
+    }
+    df = df.withColumns({**dict(zip(names, hit)), **part})
 
     hits = [
-        (F.col(n), Rule(c.code, F.col(n), c.status, c.certainty))
+        (n, Rule(c.code, F.lit(True), c.status, c.certainty))
         for n, c in zip(names, corrections)
         if c.code
     ]
     out = _quality_after(hits) if hits else {}
 
-    stamped, applied = [], holds(F.col("resolution_applied"))
+    stamped, applied = [], ["coalesce(resolution_applied, false)"]
     label = F.col("b_classification")
-    fixed_before = F.col("resolution_method").isNotNull()
+    before = ["resolution_method IS NOT NULL"]
     for n, c in zip(names, corrections):
-        here = F.col(n)
+        here = n
         if c.only_unresolved:
-            mine = has_any(F.col("resolution_method"), [m for _, m in c.methods()])
-            here = here & (~fixed_before | mine)
-        for extra, method in c.methods():
-            stamped.append((here & holds(extra), method))
-        applied = applied | here
+            own = ", ".join(f"'{m}'" for _, m in c.methods())
+            mine = f"coalesce(arrays_overlap(split(resolution_method, ','), array({own})), false)"
+            here = f"({n} AND (NOT ({' OR '.join(before)}) OR {mine}))"
+        for j, (_, method) in enumerate(c.methods()):
+            stamped.append((f"{here} AND {n}_{j}" if f"{n}_{j}" in part else here, method))
+        applied.append(here)
         if c.classification is not None:
             cls = F.lit(c.classification) if isinstance(c.classification, str) else c.classification
-            label = F.when(here, cls).otherwise(label)
-        fixed_before = fixed_before | here
-    out["resolution_applied"] = applied
-    out["resolution_method"] = _append(F.col("resolution_method"), stamped)
+            label = F.when(F.expr(here), cls).otherwise(label)
+        before.append(here)
+    out["resolution_applied"] = F.expr(" OR ".join(applied))
+    out["resolution_method"] = _append("resolution_method", stamped)
     out["b_classification"] = label
 
     written: dict[str, Column] = {}
@@ -187,11 +193,7 @@ def resolve(df: DataFrame, corrections: list[Correction]) -> DataFrame:
             written[col] = F.when(F.col(n), value).otherwise(written.get(col, F.col(col)))
         for col, make in c.always.items():
             written[col] = make(F.col(n))
-    return df.withColumns({**out, **written}).drop(*names)
-
-
-def has_any(codes: Column, labels: list[str]) -> Column:
-    return holds(F.arrays_overlap(F.split(codes, ","), F.array(*[F.lit(v) for v in labels])))
+    return df.withColumns({**out, **written}).drop(*names, *part)
 
 
 # ---- ready-made rules --------------------------------------------------------------------------

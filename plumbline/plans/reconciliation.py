@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plumbline import vocab
 from plumbline.functions.exprs import has_code
 from plumbline.functions.keys import surrogate_key
+from plumbline.operators import checks
 from plumbline.operators.commerce import attribution_rule
 from plumbline.operators.joins import mark_exists
 from plumbline.operators.quality import union_all
@@ -183,20 +184,25 @@ def kpi_catalogue(w: Warehouse) -> DataFrame:
 
 def bus_matrix(w: Warehouse) -> DataFrame:
     """Per declared link: rows, rows with a key, distinct keys, and keys the dimension lacks."""
-    parts = []
+    used, known = linked_tables(w)
     for fact, fk, dim, pk in facts.LINKS:
-        f, d = w.fact(fact), w.dim(dim)
-        if fk not in f.columns or pk not in d.columns:
+        if fk not in used[fact].columns or pk not in known[dim].columns:
             raise ValueError(f"{fact}.{fk} -> {dim}.{pk} is declared but not built")
-        used = f.groupBy(F.col(fk).alias("__k")).agg(F.count("*").alias("n"))
-        known = mark_exists(used, d, {"__k": pk}, "found")
-        parts.append(known.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"),
-            F.coalesce(F.sum(F.when(F.col("__k").isNotNull(), F.col("n"))), F.lit(0)).alias("linked_rows"),
-            F.count("__k").alias("distinct_keys"),
-            F.count_if(F.col("__k").isNotNull() & ~F.col("found")).alias("orphan_keys"),
-        ).select(F.lit(f"{fact}.{fk}").alias("link"), F.lit(dim).alias("dimension"), "*"))
-    return union_all(parts)
+    has = F.col("key").isNotNull()
+    return checks.link_usage(used, known, facts.LINKS).groupBy("link", "dimension").agg(
+        F.sum("fact_rows").alias("fact_rows"),
+        F.coalesce(F.sum(F.when(has, F.col("fact_rows"))), F.lit(0)).alias("linked_rows"),
+        F.count_if(has).alias("distinct_keys"),
+        F.count_if(has & ~F.col("found")).alias("orphan_keys"),
+    )
+
+
+def linked_tables(w: Warehouse) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Facts and dimensions that take part in a declared link."""
+    return (
+        {f: w.fact(f) for f in dict.fromkeys(f for f, *_ in facts.LINKS)},
+        {d: w.dim(d) for d in dict.fromkeys(d for _, _, d, _ in facts.LINKS)},
+    )
 
 
 def campaign_rules(w: Warehouse) -> DataFrame:

@@ -38,7 +38,7 @@ EVENT_STORE = (
 )
 EVENT_DELTA = "cast(floor(value) as int) - 40"
 SESSION_ID = f"concat('S-', user_id, '-', date_format({EVENT_TS}, 'yyyyMMdd'))"
-STATUS = "case o_orderstatus when 'P' then 'CANCELLED' when 'F' then 'DELIVERED' else 'OPEN' end"
+STATUS = "case o_orderstatus when 'P' then 'CANCELLED' when 'F' then 'DELIVERED' else 'PENDING' end"
 METHOD = (
     "case o_orderpriority when '1-URGENT' then 'EXPRESS' when '2-HIGH' then 'BOPIS' "
     "when '5-LOW' then 'MARKETPLACE_SELLER' else 'STANDARD' end"
