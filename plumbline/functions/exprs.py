@@ -39,6 +39,12 @@ def first_column(df: DataFrame, names: list[str], dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Add the columns of a one-row result to every row, as a scalar subquery rather than a join."""
+    row = one.select(F.struct("*").alias("__one")).scalar()
+    return df.withColumn("__one", row).select(*df.columns, "__one.*")
+
+
 def decimals_as_double(df: DataFrame) -> DataFrame:
     """Reporting form: exact decimals leave the engine as doubles."""
     money = {

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline import vocab
-from plumbline.functions.dates import hours_between
 from plumbline.functions.exprs import first_column, holds
 from plumbline.functions.keys import surrogate_key
 from plumbline.operators.joins import latest_before, mark_exists, mark_within
@@ -165,11 +164,14 @@ def median_transit_hours(milestones: DataFrame) -> DataFrame:
 
 
 def with_milestones(events: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Delivery events with their shipment's pickup, delivery and creation times."""
+    """Delivery events with their shipment's pickup, delivery and creation times.
+
+    The two sides with one row per shipment meet first, so the events, which may crowd on a
+    shipment, go through a single join that can be split where it is skewed.
+    """
     created = shipments.select("shipment_id", F.col("created_datetime").alias("ship_created_ts"))
-    return events.join(shipment_milestones(events), "shipment_id").join(
-        created, "shipment_id", "left"
-    )
+    per_shipment = shipment_milestones(events).join(created, "shipment_id", "left")
+    return events.join(per_shipment, "shipment_id")
 
 
 # ---- classified listings -----------------------------------------------------------------------

@@ -6,11 +6,10 @@ loyalty id, e-mail, phone, then name and address. What is left shares the anonym
 
 from __future__ import annotations
 
-import math
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.functions.exprs import holds
+from plumbline.functions.exprs import with_one_row
 from plumbline.functions.keys import anonymous_key, surrogate_key
 from plumbline.functions.text import email_norm, phone_e164, tokens
 from plumbline.operators.joins import left_join_spread
@@ -194,9 +193,9 @@ def placeholder_ids(
     )
     typical = used.agg(F.median("orders").alias("typical"))
     real = members.select(F.col("source_id").cast("string").alias("customer_id")).distinct()
-    # the median is one row; the comparison is a scalar looked up by every task
     return (
-        used.join(F.broadcast(typical), F.col("orders") > F.col("typical") * times_median)
+        with_one_row(used, typical)
+        .filter(F.col("orders") > F.col("typical") * times_median)
         .join(real, "customer_id", "left_semi")
         .select("customer_id", "orders", "typical")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plumbline.functions.exprs import with_one_row
 from plumbline.operators.joins import brackets
 from plumbline.operators.quality import Rule, add_anomaly_columns, flag
 
@@ -11,12 +12,12 @@ from plumbline.operators.quality import Rule, add_anomaly_columns, flag
 def day_spine(df: DataFrame, keys: list[str], day: str, every_day_of: DataFrame | None = None) -> DataFrame:
     """Every key with every calendar day between its first and last one.
 
-    With `every_day_of`, the span is that of another table with the columns first_day and last_day.
+    With `every_day_of`, the span is the one row (first_day, last_day) of another table.
     """
     spans = (
         df.groupBy(*keys).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
         if every_day_of is None
-        else df.select(*keys).distinct().join(F.broadcast(every_day_of))
+        else with_one_row(df.select(*keys).distinct(), every_day_of)
     )
     return spans.select(
         *keys, F.explode(F.sequence("first_day", "last_day")).alias(day)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import vocab
-from plumbline.functions.exprs import bucket, ratio
+from plumbline.functions.exprs import bucket, ratio, with_one_row
 from plumbline.operators.quality import Rule, add_anomaly_columns, flag, union_all
 
 RATES = ["cancellation", "late", "return", "complaint", "duplicate", "report", "moderation", "response"]
@@ -87,8 +87,8 @@ def listing_confidence(
         .join(replies, "listing_id", "left")
         .join(told, "listing_id", "left")
     )
-    top = df.agg(F.max("reports").alias("most_reports"))
-    df = df.join(F.broadcast(top))  # one row
+    known = told.join(listings.select("listing_id"), "listing_id", "left_semi")
+    df = with_one_row(df, known.agg(F.max("reports").alias("most_reports")))
     age = F.date_diff(F.lit(as_of).cast("date"), F.col("created_at").cast("date"))
     price, median = F.col("asking_price").cast("double"), F.col("category_median")
     parts = {

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline import vocab
 from plumbline.functions.exprs import has_code
-from plumbline.operators.commerce import shared_pictures
+from plumbline.operators.aggregates import aggregate
 from plumbline.operators.joins import mark_exists, mark_within
-from plumbline.plans.marts import EC, LE, LS, SI, STORE, WH, open_box_resale, with_phase
+from plumbline.plans.marts import EC, SI, STORE, WH, open_box_resale, with_phase
 from plumbline.plans.warehouse import Warehouse
 
 
@@ -103,8 +103,6 @@ def stock_accuracy_by_week(w: Warehouse) -> DataFrame:
 
 def stock_by_location(w: Warehouse) -> DataFrame:
     """Stock per location on each date; never added over dates."""
-    from plumbline.operators.aggregates import aggregate
-
     return aggregate(w.fact(SI), ["store_id", "snapshot_date"], ["physical_qty", "sellable_qty"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline import vocab
-from plumbline.functions.exprs import lookup
+from plumbline.functions.exprs import lookup, with_one_row
 from plumbline.functions.keys import date_key, surrogate_key
 from plumbline.operators.history import versions
 from plumbline.operators.quality import add_anomaly_columns
@@ -222,10 +222,11 @@ def contract_violations(dims: dict[str, tuple[DataFrame, str, str]]) -> DataFram
             chain = df.select(gap.alias("gap")).agg(F.count_if("gap").alias("broken_chains"))
         else:
             chain = None
-        # each side is one row
-        row = dup.join(F.broadcast(nulls))
-        row = row.withColumn("broken_chains", F.lit(0).cast("bigint")) if chain is None else row.join(
-            F.broadcast(chain)
+        row = with_one_row(dup, nulls)
+        row = (
+            row.withColumn("broken_chains", F.lit(0).cast("bigint"))
+            if chain is None
+            else with_one_row(row, chain)
         )
         parts.append(row.select(
             F.lit(name).alias("dimension"), "duplicate_keys", "null_natural_keys", "broken_chains",

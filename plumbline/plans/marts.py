@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import vocab
-from plumbline.functions.exprs import bucket, has_code
+from plumbline.functions.exprs import bucket, has_code, with_one_row
 from plumbline.operators.aggregates import group_flags
 from plumbline.operators.joins import mark_within
 from plumbline.plans.warehouse import Warehouse
@@ -150,7 +150,7 @@ def gross_margin_by_channel(w):
 def net_margin_after_fulfilment(w):
     total = _margin(_costed(w), [])
     back = w.fact("return_line").agg(F.sum("refund_amount").alias("refunds"))
-    return total.join(F.broadcast(back)).select(  # one row each
+    return with_one_row(total, back).select(
         money(F.col("margin") - F.col("refunds")).alias("net_margin_numerator"),
         money(F.col("revenue")).alias("revenue_denominator"))
 
@@ -209,7 +209,7 @@ def campaign_incremental_revenue(w):
     days = w.dim("date").withColumn("one", F.lit(1)).agg(
         of("CAMPAIGN", "one").alias("campaign_days"), of("BASELINE", "one").alias("baseline_days"))
     scaled = F.try_divide(F.col("baseline"), F.col("baseline_days").cast("double")) * F.col("campaign_days")
-    return revenue.join(F.broadcast(days)).select(  # one row each
+    return with_one_row(revenue, days).select(
         F.round("campaign", 2).alias("campaign_ncr"),
         F.round(scaled, 2).alias("baseline_normalised_ncr"),
         F.round(F.col("campaign") - scaled, 2).alias("incremental_revenue"))
@@ -380,7 +380,7 @@ def listing_contact_rate(w):
     contact = F.col("event_type_code").isin([*vocab.CONTACT_EVENTS, "OFFER_MADE"])
     a = w.fact(LE).agg(F.count_if(contact).alias("contact_numerator"))
     b = w.fact(LS).agg(F.count_if(F.col("status_code") == "ACTIVE").alias("active_listing_denominator"))
-    return a.join(F.broadcast(b))  # one row each
+    return with_one_row(a, b)
 
 
 @view("relisting_rate", "Classifieds and sellers", "CONFIRMED", [LS])

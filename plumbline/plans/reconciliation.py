@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plumbline import vocab
-from plumbline.functions.exprs import has_code
-from plumbline.functions.keys import surrogate_key
+from plumbline.functions.exprs import has_code, with_one_row
 from plumbline.operators import checks
 from plumbline.operators.commerce import attribution_rule
 from plumbline.operators.joins import mark_exists
 from plumbline.operators.quality import union_all
 from plumbline.plans import facts
-from plumbline.plans.marts import EC, LE, LS, SI, STORE, VIEWS, WH, channel_values, with_phase
-from plumbline.plans.warehouse import DIM_KEYS, Warehouse
+from plumbline.plans.marts import EC, LE, LS, STORE, VIEWS, WH, channel_values, with_phase
+from plumbline.plans.warehouse import Warehouse
 
 
 def waterfall(w: Warehouse) -> DataFrame:
@@ -25,7 +23,7 @@ def waterfall(w: Warehouse) -> DataFrame:
         F.sum("gross_amount").cast("decimal(30,4)").alias("s_gross"),
         F.sum("discount_amount").cast("decimal(30,4)").alias("s_disc"),
         F.sum("net_amount").cast("decimal(30,4)").alias("s_net"))
-    steps = ec.join(F.broadcast(store)).select(F.inline(F.array(  # one row each
+    steps = with_one_row(ec, store).select(F.inline(F.array(
         F.struct(F.lit(1).alias("step"), F.lit("GROSS_SALE_VALUE").alias("item"),
                  (F.col("gross") + F.col("s_gross")).alias("amount")),
         F.struct(F.lit(2).alias("step"), F.lit("CANCELLED_ONLINE_REVENUE").alias("item"),
@@ -63,7 +61,7 @@ def team_divergence(w: Warehouse) -> DataFrame:
             reconciled.cast("double").alias("reconciled"))
 
     sales = line.agg(F.sum("line_subtotal_excl_tax").alias("g"), F.sum("confirmed_revenue_excl_tax").alias("c"))
-    both = sales.join(F.broadcast(sold))  # one row each
+    both = with_one_row(sales, sold)
     cases = w.fact("customer_complaint").agg(
         F.count("*").alias("n"), F.countDistinct("canonical_case_key").alias("d"))
     pickups = w.fact("order_fulfilment").agg(
@@ -101,7 +99,7 @@ def daily_run_rate(w: Warehouse) -> DataFrame:
     days = w.dim("date").withColumn("one", F.lit(1)).agg(
         of("CAMPAIGN", "one").alias("cd"), of("PRE_RAMP", "one").alias("pd"))
     c, p = F.try_divide(F.col("c"), F.col("cd")), F.try_divide(F.col("p"), F.col("pd"))
-    return total.join(F.broadcast(days)).select(  # one row each
+    return with_one_row(total, days).select(
         F.round(c, 2).alias("campaign_per_day"), F.round(p, 2).alias("pre_ramp_per_day"),
         F.round(F.try_divide(c - p, p), 4).alias("uplift"))
 

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline import vocab
 from plumbline.functions.dates import hours_between, parse
-from plumbline.functions.exprs import bucket, decimals_as_double, first_column, has_code, ratio
+from plumbline.functions.exprs import bucket, decimals_as_double, first_column, has_code, ratio, with_one_row
 from plumbline.functions.keys import anonymous_key, readable_key, surrogate_key
 from plumbline.functions.text import email_norm
-from plumbline.operators import aggregates, checks, commerce, identity, inventory, joins, matching, quality, trust
+from plumbline.operators import aggregates, checks, commerce, identity, inventory, joins, matching, quality
 from plumbline.operators.quality import AUDIT, QUALITY, Rule
 from plumbline.plans import analyses, dims, facts, marts, reconciliation as rec, resolution as r
-from plumbline.plans.silver import SILVER, typed
-from plumbline.plans.warehouse import DIM_KEYS, RESOLVED, Warehouse, affected_facts
+from plumbline.plans.silver import SILVER
+from plumbline.plans.warehouse import DIM_KEYS, Warehouse, affected_facts
 from plumbline.sources import raw, retail
 
 Query = Callable[[Warehouse], DataFrame]
@@ -235,7 +235,7 @@ def combined_scalars(w):
     a = w.given.orders.agg(F.count("*").alias("orders"),
                            F.count_if(F.col("o_orderstatus") == "P").alias("cancelled"))
     b = w.given.events.agg(F.count_if(F.col("event_type") == "purchase").alias("purchases"))
-    return a.join(F.broadcast(b)).select(  # one row each
+    return with_one_row(a, b).select(
         "orders", "cancelled", "purchases",
         ratio(F.col("cancelled"), F.col("orders")).alias("cancelled_share"))
 
@@ -841,7 +841,7 @@ def detect_delivered_before_pickup(w):
     created = w.silver("dc_shipments").select("shipment_id", "created_datetime")
     first = w.silver("dc_delivery_events").groupBy("shipment_id").agg(F.min("event_timestamp").alias("t"))
     broad = first.join(created, "shipment_id").agg(F.count_if(F.col("t") < F.col("created_datetime")).alias("broad_clock_drift"))
-    return strict.join(F.broadcast(broad))  # one row each
+    return with_one_row(strict, broad)
 
 
 @query

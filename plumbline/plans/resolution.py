@@ -13,7 +13,7 @@ from plumbline.functions.text import edit_similarity, token_sorted
 from plumbline.operators import commerce
 from plumbline.operators.joins import mark_exists
 from plumbline.operators.matching import best_match, match_tier
-from plumbline.functions.exprs import has_code
+from plumbline.functions.exprs import has_code, with_one_row
 from plumbline.operators.quality import Correction, Rule, flag, union_all
 
 DECISION = "B_DECISION_APPLIED"
@@ -265,7 +265,7 @@ def delivered_before_pickup() -> Correction:
 def prepare_delivery_events(events: DataFrame, shipments: DataFrame) -> DataFrame:
     df = events.drop("pickup_ts", "delivered_ts", "ship_created_ts", "transit_hours")
     usual = commerce.median_transit_hours(commerce.shipment_milestones(df))
-    df = commerce.with_milestones(df, shipments).join(F.broadcast(usual))  # one row
+    df = with_one_row(commerce.with_milestones(df, shipments), usual)
     # the broad signal: any event before its shipment existed; labelled, not corrected
     return flag(df, [
         Rule("COURIER_CLOCK_DRIFT", F.col("event_timestamp") < F.col("ship_created_ts"))

@@ -6,14 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.functions.keys import surrogate_key
 from plumbline.operators import commerce, trust
 from plumbline.operators.identity import customer_master, resolve_identities
 from plumbline.operators.inventory import day_spine, fill_gaps
 from plumbline.operators.matching import product_master
-from plumbline.operators.quality import Correction, add_anomaly_columns, resolve
+from plumbline.operators.quality import Correction, resolve
 from plumbline.plans import dims, facts, resolution as r
-from plumbline.plans.silver import SILVER, clean
+from plumbline.plans.silver import clean
 from plumbline.sources.raw import materialise
 from plumbline.sources.retail import CAMPAIGN_TAG, PLACEHOLDER_ID, SOURCES, Given
 
