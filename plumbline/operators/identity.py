@@ -51,8 +51,8 @@ def similar_sets(
     """Best right-hand match of every distinct left token set, if its Jaccard reaches the threshold.
 
     Both inputs hold distinct token sets in `__t`, the right one its key in `customer_key`. Two sets
-    this similar share one of their rarest tokens, so only those are joined on: exact, without
-    comparing a frequent word's whole group with itself.
+    this similar share one of their rarest tokens, early enough for the rest to suffice, so only
+    those are joined on: exact, without comparing a frequent word's whole group with itself.
     """
     def long_form(df: DataFrame) -> DataFrame:
         return df.withColumn("__n", F.size("__t")).select("*", F.explode("__t").alias("__tok"))
@@ -71,19 +71,27 @@ def similar_sets(
             .groupBy("__t", "__n", *extra)
             .agg(F.array_sort(F.collect_list(F.struct("__f", "__tok"))).alias("__o"))
         )
-        return ranked.select(
-            "__t", "__n", *extra,
-            F.explode(F.slice("__o", F.lit(1), prefix_size(F.col("__n"), threshold).cast("int")))
-            .alias("__p"),
-        ).select("__t", "__n", *extra, F.col("__p.__tok").alias("__tok"))
-
-    a = rarest(left, []).withColumnsRenamed({"__t": "__a", "__n": "__na"})
-    b = rarest(right, ["customer_key"]).withColumnsRenamed({"__t": "__b", "__n": "__nb"})
+        first = F.slice("__o", F.lit(1), prefix_size(F.col("__n"), threshold).cast("int"))
+        return ranked.select("__t", "__n", *extra, F.posexplode(first).alias("__i", "__p")).select(
+            "__t", "__n", "__i", *extra, F.col("__p.__tok").alias("__tok")
+        )
+
+    a = rarest(left, []).withColumnsRenamed({"__t": "__a", "__n": "__na", "__i": "__ia"})
+    b = rarest(right, ["customer_key"]).withColumnsRenamed(
+        {"__t": "__b", "__n": "__nb", "__i": "__ib", "__tok": "__tb"}
+    )
+    # the most tokens two sets can share from here on (positions start at 0); every pair that is
+    # similar enough passes at its first shared token, however the later ones fare
+    reach = F.least(F.col("__na") - F.col("__ia"), F.col("__nb") - F.col("__ib"))
+    need = (F.col("__na") + F.col("__nb")) * F.lit(threshold / (1 + threshold) - 1e-9)
+    lengths = F.least("__na", "__nb") >= F.greatest("__na", "__nb") * F.lit(threshold - 1e-9)
     both = F.size(F.array_intersect("__a", "__b"))
-    score = both / (F.col("__na") + F.col("__nb") - both)
+    # the sets are compared only where the cheap tests pass; separate filters would be reordered
+    score = F.when(
+        lengths & (reach >= need), both / (F.col("__na") + F.col("__nb") - both)
+    )
     return (
-        a.join(b, "__tok")
-        .filter(F.least("__na", "__nb") >= F.greatest("__na", "__nb") * F.lit(threshold - 1e-9))
+        a.join(b, F.col("__tok") == F.col("__tb"))
         .withColumn("__s", score)
         .filter(F.col("__s") >= F.lit(threshold))
         .groupBy("__a")

@@ -49,8 +49,10 @@ def best_match(
     long = F.greatest(F.length("__norm"), F.length("__cat"))
     found = (
         left.join(right, [*block, "__word"])
-        .filter(short >= long * F.lit(floor))
-        .withColumn("__score", edit_similarity("__norm", "__cat"))
+        # the distance is computed only where the lengths allow the floor
+        .withColumn(
+            "__score", F.when(short >= long * F.lit(floor), edit_similarity("__norm", "__cat"))
+        )
         .filter(F.col("__score") >= F.lit(floor))
         .groupBy(*block, "__norm")
         # the smallest name among the best: order by score down, then name up
