@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle.check import compare, connect
+from oracle.queries import ORACLE
+from plumbline.plans.registry import QUERIES
 
 TINY = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -14,7 +16,7 @@ SAMPLE = [
     "relisted_within_window", "refund_periods", "seller_trust", "product_versions", "check_stock_balance", "check_referential_integrity",
     "fact_order_fulfilment", "fact_return_line", "status_map", "date_normalisation", "flag_rules", "rerun_changes_nothing", "ingest_raw_orders",
 ]
-NAMES = sorted(entry.queries()) if os.environ.get("PLUMBLINE_ALL") else SAMPLE
+NAMES = sorted(QUERIES) if os.environ.get("PLUMBLINE_ALL") else SAMPLE
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
