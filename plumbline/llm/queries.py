@@ -6,25 +6,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.llm import packing
 from plumbline.llm.exact_dedup import exact_duplicates
+from plumbline.llm.html_text import extract_text
 from plumbline.llm.quality_rules import quality_verdicts
+from plumbline.llm.simhash import near_duplicates
+from plumbline.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(_table(spark, folder, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_exact_dedup, op7_quality_rules)
+    f.__name__: f
+    for f in (op4_exact_dedup, op5_toxicity, op6_html_extraction, op7_quality_rules, op9_simhash, op10_packing)
 }
