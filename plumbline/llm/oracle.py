@@ -2,6 +2,42 @@
 
 TEXT = "coalesce(text, '')"
 
+EOL = "chr(13) || chr(10)"
+OP1 = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+r AS (SELECT page_id, url, 'WARC/1.0' || {EOL} || 'WARC-Type: resource' || {EOL} || 'WARC-Record-ID: <urn:page:' ||
+             coalesce(page_id::VARCHAR, '') || '>' || {EOL} || 'WARC-Target-URI: ' || coalesce(url, '') || {EOL} ||
+             'Content-Type: text/html' || {EOL} || 'Content-Length: ' || strlen(h)::VARCHAR || {EOL} || {EOL} || h || {EOL} || {EOL} AS s
+      FROM p),
+k AS (SELECT page_id, url, strlen(s) AS n, sha256(s) AS sha256 FROM r),
+o AS (SELECT *, row_number() OVER (ORDER BY page_id, url, sha256) - 1 AS i FROM k)
+SELECT page_id, url, i // 1024 AS file_id,
+       coalesce(sum(n) OVER (PARTITION BY i // 1024 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS record_offset,
+       n::BIGINT AS record_length, sha256,
+       CASE WHEN sha256[1:2] IN ('00', '01') THEN 'corrupt' WHEN sha256[1:2] = '02' THEN 'missing' ELSE 'intact' END AS status
+FROM o
+"""
+
+OP3 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate({TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, len(w) AS n, i, w[i] AS g1, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS g2,
+             CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS g3
+      FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c AS (SELECT doc_id, i, greatest(count(*) OVER () - n, 1) AS rest,
+             count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY g1, doc_id) AS c1,
+             count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY g2, doc_id) AS c2,
+             count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY g3, doc_id) AS c3 FROM t),
+x AS (SELECT *, lag(c1) OVER (PARTITION BY doc_id ORDER BY i) AS b1, lag(c2) OVER (PARTITION BY doc_id ORDER BY i) AS b2 FROM c),
+s1 AS (SELECT *, (CASE WHEN c1 > 0 THEN c1 ELSE 0.4::DOUBLE END) / rest AS p1 FROM x),
+s2 AS (SELECT *, CASE WHEN i < 2 THEN p1 WHEN c2 > 0 THEN c2 / b1 ELSE 0.4::DOUBLE * p1 END AS p2 FROM s1),
+s3 AS (SELECT *, CASE WHEN i < 3 THEN p2 WHEN c3 > 0 THEN c3 / b2 ELSE 0.4::DOUBLE * p2 END AS p3 FROM s2),
+l AS (SELECT doc_id, sum(ln(p3)) AS z FROM s3 GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(z, 0), 6) AS log_score,
+       CASE WHEN len(w) > 0 THEN round(z / len(w), 6) END AS mean_log_score
+FROM d LEFT JOIN l USING (doc_id)
+"""
+
 OP4 = f"""
 WITH t AS (SELECT doc_id, regexp_replace({TEXT}, '[\\x20\\x09-\\x0D]+', ' ', 'g') AS s FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
@@ -38,4 +74,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m JOIN v ON m.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLE = {"op4_exact_dedup": OP4, "op7_quality_rules": OP7}
+ORACLE = {"op1_warc_fixity": OP1, "op3_lm_scoring": OP3, "op4_exact_dedup": OP4, "op7_quality_rules": OP7}

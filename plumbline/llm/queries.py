@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm import packing
 from plumbline.llm.exact_dedup import exact_duplicates
 from plumbline.llm.html_text import extract_text
+from plumbline.llm.lm_score import lm_scores
 from plumbline.llm.quality_rules import quality_verdicts
+from plumbline.llm.sentencepiece import encode_documents
 from plumbline.llm.simhash import near_duplicates
 from plumbline.llm.toxicity import toxicity
+from plumbline.llm.warc import fixity_audit
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +27,19 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    return fixity_audit(_table(spark, folder, "pages"))
+
+
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_documents(_table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    found = lm_scores(_table(spark, folder, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -53,5 +69,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_exact_dedup, op5_toxicity, op6_html_extraction, op7_quality_rules, op9_simhash, op10_packing)
+    for f in (
+        op1_warc_fixity, op2_sentencepiece, op3_lm_scoring, op4_exact_dedup, op5_toxicity,
+        op6_html_extraction, op7_quality_rules, op9_simhash, op10_packing,
+    )
 }

@@ -57,8 +57,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray, sparsity: float, ridge: float) -> tuple[np.ndarray, float]:
     """Weights of the columns of x and then of `more`, and the intercept, from the rows in use.
 
-    Columns of x correlated with y no more than the strongest of as many unrelated ones would be are
-    left out first. Of the rest an L1 fit chooses, and a nearly unpenalised fit weighs what it chose.
+    Columns of x whose correlation with y is below three standard errors are left out first. Of the rest an L1 fit chooses, and a nearly unpenalised fit weighs what it chose.
     The columns of `more` are few and stay in both. One class only gives no weights and its smoothed rate.
     """
     n, d = int(use.sum()), x.shape[1]
@@ -70,7 +69,7 @@ def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray
     one, off = use.astype(np.float32), np.where(use, y - part.mean(), 0).astype(np.float32)
     mean = x.T @ one / n  # of 0/1 columns, so it gives their spread too
     noise = np.sqrt(mean * (1 - mean) * rate * (1 - rate) / n + 1e-12)
-    chosen = np.flatnonzero(np.abs(x.T @ off / n) > noise * np.sqrt(2 * np.log(d + 1)))
+    chosen = np.flatnonzero(np.abs(x.T @ off / n) > 3 * noise)
     chosen = np.r_[chosen, np.arange(d, len(weights))]
     z = np.c_[x[:, chosen[chosen < d]], more][use].astype(float)
     w, b = np.zeros(len(chosen)), start
