@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plumbline.llm import packing
 from plumbline.llm.exact_dedup import exact_duplicates
 from plumbline.llm.html_text import extract_text
+from plumbline.llm.line_dedup import without_duplicate_lines
 from plumbline.llm.lm_score import lm_scores
 from plumbline.llm.quality_rules import quality_verdicts
 from plumbline.llm.sentencepiece import encode_documents
@@ -59,6 +60,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return without_duplicate_lines(docs, counts=True)
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -71,6 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc_fixity, op2_sentencepiece, op3_lm_scoring, op4_exact_dedup, op5_toxicity,
-        op6_html_extraction, op7_quality_rules, op9_simhash, op10_packing,
+        op6_html_extraction, op7_quality_rules, op8_line_dedup, op9_simhash, op10_packing,
     )
 }
