@@ -61,7 +61,7 @@ m AS (SELECT doc_id, source, n_words, word_chars, n_symbols, len(lines) - len(li
              n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m0),
 h AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed)::DOUBLE AS f FROM m GROUP BY source),
 g AS (SELECT sum(n) AS nn, sum(f) / sum(n) AS mu, sum(n * n) AS sq, count(*) - 1 AS k, sum(f * f / n) AS sp FROM h),
-c AS (SELECT *, least(1.0, greatest(1e-6, coalesce(
+c AS (SELECT *, least(0.5, greatest(1e-6, coalesce(
         ((sp - nn * mu * mu) - mu * (1 - mu) * k) / nullif(mu * (1 - mu) * (nn - sq / nn - k), 0), 1e-6))) AS share FROM g),
 v AS (SELECT source, (f + mu * (1 / share - 1)) / (n + (1 / share - 1)) > 0.5 AS rejected FROM h, c)
 """

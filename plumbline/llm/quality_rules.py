@@ -82,7 +82,7 @@ def host_verdicts(measured: DataFrame, host: str = "host", max_rate: float = MAX
 
     With failures f of n documents on a host, corpus rate m and M the weight of the prior, the rate
     is (f + m M) / (n + M). M follows from how far the hosts' rates spread beyond chance; where they
-    do not, the prior outweighs every host. Without any failure, or with failures only, all hosts
+    do not, the prior outweighs every host, and it always weighs as much as one document. Without any failure, or with failures only, all hosts
     have the corpus rate. A null host is a host of its own.
     """
     hosts = stored(
@@ -98,7 +98,7 @@ def host_verdicts(measured: DataFrame, host: str = "host", max_rate: float = MAX
     noise = m * (1 - m)
     beyond = (F.col("spread") - F.col("docs") * m * m) - noise * chance
     room = noise * (F.col("docs") - F.col("squares") / F.col("docs") - chance)
-    share = F.least(F.lit(1.0), F.greatest(F.lit(1e-6), F.coalesce(F.try_divide(beyond, room), F.lit(1e-6))))
+    share = F.least(F.lit(0.5), F.greatest(F.lit(1e-6), F.coalesce(F.try_divide(beyond, room), F.lit(1e-6))))
     weight = 1 / share - 1
     rate = (f + m * weight) / (n + weight)
     return df.select(host, "host_docs", rate.alias("host_rate"), (rate > max_rate).alias("host_rejected"))

@@ -57,7 +57,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray, sparsity: float, ridge: float) -> tuple[np.ndarray, float]:
     """Weights of the columns of x and then of `more`, and the intercept, from the rows in use.
 
-    Columns of x whose correlation with y is below three standard errors are left out first. Of the rest an L1 fit chooses, and a nearly unpenalised fit weighs what it chose.
+    Columns of x that go with y by less than three standard errors are left out first, so that a text
+    is toxic for the words it has and not for those it lacks. Of the rest an L1 fit chooses, and a nearly unpenalised fit weighs what it chose.
     The columns of `more` are few and stay in both. One class only gives no weights and its smoothed rate.
     """
     n, d = int(use.sum()), x.shape[1]
@@ -69,7 +70,7 @@ def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray
     one, off = use.astype(np.float32), np.where(use, y - part.mean(), 0).astype(np.float32)
     mean = x.T @ one / n  # of 0/1 columns, so it gives their spread too
     noise = np.sqrt(mean * (1 - mean) * rate * (1 - rate) / n + 1e-12)
-    chosen = np.flatnonzero(np.abs(x.T @ off / n) > 3 * noise)
+    chosen = np.flatnonzero(x.T @ off / n > 3 * noise)
     chosen = np.r_[chosen, np.arange(d, len(weights))]
     z = np.c_[x[:, chosen[chosen < d]], more][use].astype(float)
     w, b = np.zeros(len(chosen)), start
@@ -155,10 +156,11 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col
     vocabulary = {r.w: i for i, r in enumerate(common.orderBy(F.desc("count"), "w").limit(how.features).collect())}
     seeds = {w for group in how.categories.values() for w in group}
     kept = F.filter("words", lambda w: w.isin(list(vocabulary.keys() | seeds)))
-    found = chosen.select("doc_id", "toxic", kept.alias("words")).orderBy("doc_id", F.hash("words")).collect()  # Training.sample rows
+    copy = F.xxhash64("words").alias("copy")
+    found = chosen.select("doc_id", "toxic", copy, kept.alias("words")).orderBy("doc_id", "copy").collect()  # Training.sample rows
     if not found:
         return Chain(names, {}, [(np.zeros(k), 0.0) for k in range(len(names))])
-    rows = list({tuple(r.words): r for r in found}.values())  # copies count once
+    rows = list({r.copy: r for r in found}.values())  # copies count once
     x = np.zeros((len(rows), len(vocabulary)), dtype=np.float32)
     y = np.zeros((len(rows), len(names)))
     for i, r in enumerate(rows):
