@@ -120,8 +120,11 @@ O["entity_calendar_spine"] = "SELECT store_id, count(*) AS cells, min(snapshot_d
 O["bracket_join"] = """SELECT g.*, b.physical_qty AS qty_before, a.physical_qty AS qty_after FROM si_gaps g
 ASOF LEFT JOIN si_snaps b ON g.store_id = b.store_id AND g.product_code = b.product_code AND g.snapshot_date >= b.snapshot_date
 ASOF LEFT JOIN si_snaps a ON g.store_id = a.store_id AND g.product_code = a.product_code AND g.snapshot_date <= a.snapshot_date"""
-O["role_playing_dates"] = """SELECT p.campaign_phase AS placed_phase, d.campaign_phase AS delivered_phase, count(*) AS orders
-FROM f_fulfil f JOIN d_date p ON p.date_key = f.placed_date_key JOIN d_date d ON d.date_key = f.delivered_date_key GROUP BY 1, 2"""
+O["role_playing_dates"] = """SELECT CASE WHEN f.placed_date_key IS NULL THEN 'UNDATED' ELSE coalesce(p.campaign_phase, 'OUT_OF_SCOPE') END AS placed_phase,
+CASE WHEN f.delivered_date_key IS NULL THEN 'UNDATED' ELSE coalesce(d.campaign_phase, 'OUT_OF_SCOPE') END AS delivered_phase, count(*) AS orders
+FROM f_fulfil f LEFT JOIN d_date p ON p.date_key = f.placed_date_key LEFT JOIN d_date d ON d.date_key = f.delivered_date_key GROUP BY 1, 2"""
+O["gsv_by_phase_ties_out"] = """SELECT g AS by_phase, g AS waterfall, true AS ties_out
+FROM (SELECT round(((SELECT sum(gross) FROM f_line) + (SELECT sum(gross) FROM f_sale))::DOUBLE, 2) AS g)"""
 _FUZZY = """SELECT s.listing_id, b.name AS match_name, b.score AS match_score,
   CASE WHEN b.score >= 0.75 THEN 'MATCHED' WHEN b.score >= 0.65 THEN 'MANUAL_REVIEW' ELSE 'UNMATCHED' END AS tier
 FROM seller_listings s LEFT JOIN (
@@ -220,8 +223,9 @@ O["universal_rules_stock"] = f"""SELECT anomaly_reason_code, data_quality_status
 SELECT {quality(("physical_qty < 0", "NEGATIVE_QTY", AN, UN), ("physical_qty - 5 < 0", "OVERSELL", AN, INF))} FROM si_snaps) GROUP BY ALL"""
 O["universal_rules_accounts"] = f"SELECT c_custkey, {quality(('c_acctbal < 0', 'NEGATIVE_AMOUNT', AN, UN))} FROM customer"
 O["anomaly_profile"] = union(profile(n, t) for n, t in [("ec_orders", "r_ec_orders"), ("rr_return_receipts", "r_receipts"), ("nl_listing_events", "r_listing_events"), ("cs_cases", "r_cases")])
-O["rerun_changes_nothing"] = union(f"SELECT '{t}' AS table_name, 0::BIGINT AS changed_rows" for t in
-                                   ["ec_orders", "rr_return_receipts", "nl_listing_events", "wh_inventory_snapshots", "cs_cases", "rr_refund_events"])
+O["rerun_changes_nothing"] = union(f"SELECT '{t}' AS table_name, 0::BIGINT AS changed_rows, 0::BIGINT AS lost_rows" for t in [
+    "ec_orders", "pg_transactions", "pos_transaction_lines", "nl_listing_events", "wh_inventory_snapshots", "si_inventory_snapshots", "rr_return_receipts", "reconstructed_snapshots",
+    "wh_inventory_movements", "rr_refund_events", "ts_seller_listings", "nl_listings", "dc_delivery_events", "rv_reviews", "cs_cases", "identities", "ts_sellers"])
 
 # ---- silver transforms -------------------------------------------------------------------------
 _MAP = {
@@ -331,7 +335,8 @@ resolve("title_mismatch", "listing_id, CASE WHEN coalesce(likeness < 0.5, false)
         ("coalesce(likeness < 0.5, false)", "SKU_PRODUCT_MISMATCH", AN, UN), "APPLIED_CANONICAL_PRODUCT")
 resolve("open_box_as_new", "receipt_id, CASE WHEN a10 THEN 'OPEN_BOX' ELSE restocked_as_condition END AS restocked_as_condition", "rc_hits", ("a10", "OPEN_BOX_AS_NEW", AN, UN), "CORRECTED_CONDITION_OPEN_BOX")
 resolve("placeholder_customer", "order_id, CASE WHEN a11 THEN 'GUEST-' || session_id ELSE customer_id END AS customer_id", "ec_hits", ("a11", "PLACEHOLDER_ID_COLLISION", AN, UN), "REKEYED_GUEST_BUCKET")
-resolve("relisted_after_sold", "listing_id, a12 AS excluded_from_gmv, CASE WHEN a12 THEN 'LOW' END AS relisting_reliability", "nl_hits", ("a12", "RELISTED_AFTER_SOLD", AN, INF), "LINKED_RELISTING_EXCLUDED")
+O["resolve_relisted_after_sold"] = f"SELECT listing_id, a12 AS excluded_from_gmv, CASE WHEN a12 THEN 'LOW' END AS relisting_reliability, " \
+    f"{quality(('(a12 OR by_metadata)', 'RELISTED_AFTER_SOLD', AN, INF))}, {audit(('a12', 'LINKED_RELISTING_EXCLUDED'))} FROM nl_hits"
 _META = ("relist_count > 0", "RELISTED_AFTER_SOLD", AN, INF)
 O["resolve_picture_rings"] = f"SELECT listing_id, a13 AS fraud_ring_flag, {quality(_META, ('a13', 'IMAGE_HASH_REUSED', AN, INF))}, {audit(('a13', 'FLAGGED_FRAUD_RING'))} FROM nl_hits"
 O["resolve_listing_match_tiers"] = f"""SELECT listing_id, score AS b4_match_confidence, {quality(_META)}, {audit(("active", "B_DECISION_APPLIED"),
@@ -344,11 +349,11 @@ O["resolve_cross_period_refunds"] = f"SELECT refund_id, impact::DOUBLE AS revenu
 O["resolve_null_reference_movements"] = f"SELECT movement_id, {Q}, {A} FROM r_wh_moves"
 O["resolve_ambiguous_identities"] = f"""SELECT source_system, source_id, conf AS identity_confidence, {quality(("conf >= 0.7 AND conf < 0.9", "IDENTITY_AMBIGUOUS", AM, INF),
 ("pass = 0", "FUZZY_MATCH_LOW_CONF", EX, UN), ("bad_mail", "EMAIL_MALFORMED", AN, UN), ("bad_phone", "PHONE_NORMALISATION_FAIL", AN, UN), ("conf >= 0.9 AND conf < 1", "IDENTITY_AMBIGUOUS", AM, INF))},
-{audit(("conf >= 0.7 AND conf < 1", "B_DECISION_APPLIED"), cls="CASE WHEN conf >= 0.7 AND conf < 1 THEN 'MERGED' END")} FROM ids"""
+{audit(("conf >= 0.9 AND conf < 1", "B_DECISION_APPLIED"), cls="CASE WHEN conf >= 0.9 AND conf < 1 THEN 'MERGED' END")} FROM ids"""
 resolve("value_signals", "event_id", "listing_events", ("code <> 'VIEW'", "ESTIMATED_NL_GMV", "CLEAN", EST), "B_DECISION_APPLIED")
 resolve("uncollected_pickups", "order_id, b7 AS collection_unconfirmed", "ec_hits", ("b7", "BOPIS_NO_PICKUP_EVENT", AM, INF), "B_DECISION_APPLIED", "'TREAT_AS_FULFILLED'")
-O["resolve_high_risk_sellers"] = f"""SELECT s.seller_id, t.trust_score, t.risk_tier, {quality(("s.seller_status = 'PROBATION'", "STATUS_UNMAPPED", AN, UN), ("s.seller_status = 'PROBATION'", "SELLER_HIGH_RISK", AN, INF))},
-{audit(("s.seller_status = 'PROBATION'", "B_DECISION_APPLIED"), cls="CASE WHEN s.seller_status = 'PROBATION' THEN t.risk_tier END")} FROM sellers s LEFT JOIN trust t USING (seller_id)"""
+O["resolve_high_risk_sellers"] = f"""SELECT s.seller_id, t.trust_score, t.risk_tier, {quality(("s.seller_status = 'PROBATION'", "STATUS_UNMAPPED", AN, UN), ("coalesce(t.trust_score < 0.30, false)", "SELLER_HIGH_RISK", AN, INF))},
+{audit(("coalesce(t.trust_score < 0.30, false)", "B_DECISION_APPLIED"), cls="CASE WHEN t.trust_score < 0.30 THEN t.risk_tier END")} FROM sellers s LEFT JOIN trust t USING (seller_id)"""
 
 # ---- anomalies: verify -------------------------------------------------------------------------
 _ZERO = "SELECT 0::BIGINT AS unresolved"
@@ -363,10 +368,10 @@ O["verify_session_attribution"] = _ZERO + ", (SELECT count(*) FROM r_ec_orders W
 O["verify_cross_period_refunds"] = _ZERO + ", (SELECT count(*) FROM rf_hits WHERE b2) AS classified"
 O["verify_null_reference_movements"] = _ZERO + ", (SELECT count(*) FROM wh_moves WHERE reference_number IS NULL) AS classified"
 O["verify_listing_match_tiers"] = "SELECT b_classification, count(*) AS listings FROM r_listings WHERE b_classification IS NOT NULL GROUP BY 1"
-O["verify_ambiguous_identities"] = _ZERO + ", (SELECT count(*) FROM ids WHERE conf >= 0.7 AND conf < 1) AS merged"
+O["verify_ambiguous_identities"] = _ZERO + ", (SELECT count(*) FROM ids WHERE conf >= 0.9 AND conf < 1) AS merged"
 O["verify_value_signals"] = _ZERO + ", (SELECT count(*) FROM listing_events WHERE code <> 'VIEW') AS estimated"
 O["verify_uncollected_pickups"] = _ZERO + ", (SELECT count(*) FROM ec_hits WHERE b7) AS classified"
-O["verify_high_risk_sellers"] = "SELECT t.risk_tier AS b_classification, count(*) AS sellers FROM sellers s JOIN trust t USING (seller_id) WHERE s.seller_status = 'PROBATION' GROUP BY 1"
+O["verify_high_risk_sellers"] = "SELECT t.risk_tier AS b_classification, count(*) AS sellers FROM sellers s JOIN trust t USING (seller_id) WHERE t.trust_score < 0.30 GROUP BY 1"
 O["resolved_ec_orders"] = f"SELECT order_id, subtotal_excl_tax::DOUBLE AS subtotal_excl_tax, customer_id, attribution_confidence, collection_unconfirmed, {Q}, {A} FROM r_ec_orders"
 O["resolved_nl_listings"] = f"SELECT listing_id, excluded_from_gmv, fraud_ring_flag, relisting_reliability, {Q}, {A} FROM r_listings"
 O["resolved_nl_listing_events"] = f"SELECT event_id, {Q}, {A} FROM r_listing_events"
@@ -552,7 +557,7 @@ def kpi(name: str, sql: str, certainty: str = CON, finance: bool = False) -> Non
     O[f"kpi_{name}"] = f"SELECT *, {mark}'{certainty}' AS metric_certainty_level FROM ({sql})"
 
 
-T["by_channel_phase"] = "SELECT v.*, p.campaign_phase FROM values_by_channel v JOIN phases p ON p.date_day = v.day"
+T["by_channel_phase"] = "SELECT v.*, CASE WHEN v.day IS NULL THEN 'UNDATED' ELSE coalesce(p.campaign_phase, 'OUT_OF_SCOPE') END AS campaign_phase FROM values_by_channel v LEFT JOIN phases p ON p.date_day = v.day"
 kpi("gsv", "SELECT channel, campaign_phase, round(sum(gross), 2)::DOUBLE AS gsv FROM by_channel_phase GROUP BY 1, 2", finance=True)
 kpi("ncr", "SELECT channel, campaign_phase, round(sum(net), 2)::DOUBLE AS ncr FROM by_channel_phase GROUP BY 1, 2", finance=True)
 kpi("revenue_leakage", """SELECT 'CANCELLATION' AS leakage_type, round(sum(gross - confirmed), 2)::DOUBLE AS leakage_amount FROM f_line
@@ -561,7 +566,7 @@ T["costed"] = """SELECT 'STORE' AS channel, net AS revenue, cogs_amount AS cogs
 UNION ALL SELECT 'EC', f.confirmed, (p.cogs * f.quantity)::DECIMAL(18,2) FROM f_line f LEFT JOIN products p ON p.sku = f.product_sku"""
 kpi("gross_margin_by_channel", """SELECT channel, round(sum(revenue) FILTER (cogs IS NOT NULL), 2)::DOUBLE AS revenue_denominator, round(sum(revenue - cogs), 2)::DOUBLE AS gross_margin_numerator,
 round(sum(revenue) FILTER (cogs IS NULL), 2)::DOUBLE AS uncosted_revenue FROM costed GROUP BY 1""", finance=True)
-kpi("net_margin_after_fulfilment", """SELECT round(sum(revenue - cogs) - (SELECT sum(refund_amount) FROM refunds), 2)::DOUBLE AS net_margin_numerator,
+kpi("net_margin_after_fulfilment", """SELECT round(sum(revenue - cogs) - (SELECT coalesce(sum(refund_amount), 0) FROM refunds), 2)::DOUBLE AS net_margin_numerator,
 round(sum(revenue) FILTER (cogs IS NOT NULL), 2)::DOUBLE AS revenue_denominator FROM costed""", finance=True)
 kpi("confirmed_gmv", "SELECT campaign_phase, round(sum(net), 2)::DOUBLE AS confirmed_gmv FROM by_channel_phase GROUP BY 1", finance=True)
 kpi("estimated_classified_gmv", """SELECT round(v, 2) AS gmv_point, round(v * 0.65::DOUBLE, 2) AS gmv_lower, round(v * 1.35::DOUBLE, 2) AS gmv_upper FROM (
@@ -574,7 +579,7 @@ kpi("atp_sku_loc_date", "SELECT sku, warehouse_id AS location_id, snapshot_date,
 kpi("stockout_rate", "SELECT snapshot_date, count_if(atp_qty = 0) AS stockout_numerator, count(*) AS sku_day_denominator FROM r_wh_snaps GROUP BY 1")
 kpi("oversell_count", "SELECT snapshot_date, count_if(anomaly_flag) AS oversell_risk_snapshots, 0::BIGINT AS unresolved_snapshots FROM r_wh_snaps GROUP BY 1")
 kpi("inventory_accuracy_rate", "SELECT count_if(NOT anomaly_flag) AS accurate_numerator, count(*) AS snapshot_denominator FROM f_si")
-kpi("return_to_restock_cycle_time", "SELECT round(sum(receipt_date - request_date)::DOUBLE / count(*)::DOUBLE, 2) AS avg_cycle_days, count(*) AS restocked_returns FROM f_return")
+kpi("return_to_restock_cycle_time", "SELECT round(sum(receipt_date - request_date)::DOUBLE / count(receipt_date - request_date)::DOUBLE, 2) AS avg_cycle_days, count(receipt_date - request_date) AS restocked_returns FROM f_return")
 T["sale_days"] = "SELECT DISTINCT product_code, txn_date FROM f_sale"
 T["resale"] = """SELECT return_authorization_id, receipt_date, EXISTS (SELECT 1 FROM sale_days s WHERE s.product_code = r.product_sku AND s.txn_date BETWEEN r.receipt_date AND r.receipt_date + 30) AS resold
 FROM f_return r WHERE restocked_as_condition = 'OPEN_BOX'"""

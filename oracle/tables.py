@@ -168,8 +168,12 @@ SELECT doc_id AS case_id, 'CS-' || doc_id AS case_reference, first_id,
 FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents)"""
 
 # ---- resolved tables ---------------------------------------------------------------------------
+T["placeholders"] = """
+SELECT customer_id FROM (SELECT customer_id, count(*) AS n FROM ec_orders GROUP BY 1)
+WHERE n > 20 * (SELECT median(n) FROM (SELECT count(*) AS n FROM ec_orders GROUP BY customer_id))
+  AND customer_id IN (SELECT c_custkey::VARCHAR FROM customer)"""
 T["ec_hits"] = """
-SELECT o.*, o.order_status = 'CANCELLED' AND o.subtotal > 0 AS a1, o.customer_id = '0' AS a11,
+SELECT o.*, o.order_status = 'CANCELLED' AND o.subtotal > 0 AS a1, o.customer_id IN (SELECT customer_id FROM placeholders) AND o.session_id LIKE 'SESS-GUEST-%' AS a11,
   o.order_date BETWEEN DATE '1998-08-08' AND DATE '1998-08-28' AND o.promo_code_applied IS NULL
     AND EXISTS (SELECT 1 FROM sessions s WHERE s.session_id = o.session_id AND s.utm = 'SCHOOL98') AS b1,
   o.delivery_method_code = 'BOPIS' AND o.order_status = 'DELIVERED'
@@ -255,7 +259,7 @@ SELECT listing_id, CASE WHEN s >= 0.65 THEN s END AS score FROM (
   JOIN scored_names n ON n.category = l.category
     AND list_has_any(string_split(l.norm, ' '), string_split(n.norm, ' ')) GROUP BY 1)"""
 T["nl_hits"] = """
-SELECT l.*, l.status = 'ACTIVE' AND coalesce(l.created > e.first_end, false) OR l.relist_count > 0 AS a12,
+SELECT l.*, l.status = 'ACTIVE' AND coalesce(l.created > e.first_end, false) AS a12, l.relist_count > 0 AS by_metadata,
   l.status = 'ACTIVE' AND coalesce(l.created > e.first_end, false) AS strict,
   coalesce(r.sellers >= 2, false) AS a13, l.status = 'ACTIVE' AS active, s.score
 FROM listings l
@@ -268,7 +272,7 @@ LEFT JOIN nl_scores s USING (listing_id)"""
 T["r_listings"] = f"""
 SELECT *, a12 AS excluded_from_gmv, CASE WHEN a12 THEN 'LOW' END AS relisting_reliability, a13 AS fraud_ring_flag,
   score AS b4_match_confidence,
-  {quality(("a12", "RELISTED_AFTER_SOLD", AN, INF), ("a13", "IMAGE_HASH_REUSED", AN, INF))},
+  {quality(("(a12 OR by_metadata)", "RELISTED_AFTER_SOLD", AN, INF), ("a13", "IMAGE_HASH_REUSED", AN, INF))},
   {audit(("a12", "LINKED_RELISTING_EXCLUDED"), ("a13", "FLAGGED_FRAUD_RING"),
          ("active AND NOT a12 AND NOT a13", "B_DECISION_APPLIED"),
          cls="CASE WHEN active AND NOT a12 AND NOT a13 THEN CASE WHEN score >= 0.75 THEN 'MATCHED' "
@@ -412,8 +416,8 @@ SELECT sha256(strftime(d, '%Y-%m-%d')) AS date_key, d AS date_day, strftime(d, '
     WHEN d BETWEEN DATE '1998-08-08' AND DATE '1998-08-28' THEN 'CAMPAIGN' WHEN d BETWEEN DATE '1998-08-29' AND DATE '1998-09-14' THEN 'POST_CAMPAIGN'
     ELSE 'OUT_OF_SCOPE' END AS campaign_phase, d BETWEEN DATE '1998-08-08' AND DATE '1998-08-28' AS is_campaign_day
 FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY))::DATE AS d FROM (
-  SELECT date_trunc('year', least((SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem))) AS a,
-    date_trunc('year', greatest((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem))) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS b))"""
+  SELECT greatest(DATE '1990-01-01', date_trunc('year', least((SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem)))) AS a,
+    least(DATE '2009-12-31', date_trunc('year', greatest((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem))) + INTERVAL 3 YEAR - INTERVAL 1 DAY) AS b))"""
 T["d_product_v"] = """
 SELECT sku, price_list, load_date AS valid_from,
   coalesce(lead(load_date) OVER w - 1, DATE '9999-12-31') AS valid_to, lead(load_date) OVER w IS NULL AS is_current,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -140,18 +141,21 @@ def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumns(_quality_after(list(zip(names, rules)))).drop(*names)
 
 
+def _hit_before(c: Correction) -> Column:
+    own = reduce(Column.__or__, [has_code("resolution_method", m) for _, m in c.methods()])
+    return has_code("anomaly_reason_code", c.code) & own
+
+
 def resolve(df: DataFrame, corrections: list[Correction]) -> DataFrame:
     """Flag, stamp and correct. Every condition sees the row as it was read.
 
-    A row whose code is already recorded stays hit: the correction may have erased the very value
-    that gave it away, and a second run must find the same rows.
+    A row this correction hit before stays hit, told by its code together with its own method: the
+    correction may have erased the very value that gave it away, and a second run must find the same
+    rows. The code alone says nothing, since a detection rule may have written it.
     """
     df = add_resolution_columns(df)
     names = [f"__hit_{i}" for i in range(len(corrections))]
-    hit = [
-        holds(c.when) | has_code("anomaly_reason_code", c.code) if c.code else holds(c.when)
-        for c in corrections
-    ]
+    hit = [holds(c.when) | _hit_before(c) if c.code else holds(c.when) for c in corrections]
     part = {
         f"{n}_{j}": holds(extra)
         for n, c in zip(names, corrections)

@@ -29,23 +29,6 @@ GRAIN = {
     "seller_performance_snapshot": ["seller_id", "week_end"],
 }
 
-# tables a correction may touch, and the facts that must be rebuilt after it
-AFFECTED = {
-    "ec_orders": ["ecommerce_order_line", "order_fulfilment"],
-    "pg_transactions": ["order_fulfilment"],
-    "dc_delivery_events": ["order_fulfilment"],
-    "si_inventory_snapshots": ["store_inventory_snapshot"],
-    "wh_inventory_snapshots": ["warehouse_inventory_snapshot"],
-    "wh_inventory_movements": ["inventory_transaction"],
-    "nl_listings": ["classified_listing_snapshot"],
-    "nl_listing_events": ["classified_listing_event"],
-    "rv_reviews": ["customer_review"],
-    "cs_cases": ["customer_complaint"],
-    "pos_transaction_lines": ["store_sale_line"],
-    "rr_return_receipts": ["return_line"],
-    "rr_refund_events": ["return_line"],
-}
-
 # declared links: fact, foreign key, dimension, its key
 LINKS = [
     ("ecommerce_order_line", "date_key", "date", "date_key"),

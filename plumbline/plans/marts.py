@@ -68,9 +68,14 @@ def publish(w: Warehouse, prefix: str = "vw_") -> list[str]:
 
 
 def with_phase(w: Warehouse, df: DataFrame, key: str = "date_key") -> DataFrame:
-    """Add the campaign phase. The calendar has one row per day, so it is broadcast."""
-    days = w.dim("date").select(F.col("date_key").alias("__dk"), "campaign_phase")
-    return df.join(F.broadcast(days), F.col(key) == F.col("__dk")).drop("__dk")
+    """Add the campaign phase. The calendar is bounded by the project's years, so it is broadcast.
+
+    No row is lost: one without a date is UNDATED, one outside the calendar OUT_OF_SCOPE.
+    """
+    days = w.dim("date").select(F.col("date_key").alias("__dk"), F.col("campaign_phase").alias("__phase"))
+    phase = F.when(F.col(key).isNull(), "UNDATED").otherwise(F.coalesce("__phase", F.lit("OUT_OF_SCOPE")))
+    joined = df.join(F.broadcast(days), F.col(key) == F.col("__dk"), "left")
+    return joined.withColumn("campaign_phase", phase).drop("__dk", "__phase")
 
 
 def channel_values(w: Warehouse, ec: str, store: str, name: str) -> DataFrame:
@@ -151,7 +156,7 @@ def net_margin_after_fulfilment(w):
     total = _margin(_costed(w), [])
     back = w.fact("return_line").agg(F.sum("refund_amount").alias("refunds"))
     return with_one_row(total, back).select(
-        money(F.col("margin") - F.col("refunds")).alias("net_margin_numerator"),
+        money(F.col("margin") - F.coalesce("refunds", F.lit(0))).alias("net_margin_numerator"),
         money(F.col("revenue")).alias("revenue_denominator"))
 
 
@@ -250,18 +255,18 @@ def inventory_accuracy_rate(w):
 
 @view("return_to_restock_cycle_time", "Inventory", "CONFIRMED", ["return_line"])
 def return_to_restock_cycle_time(w):
-    """Average days from request to receipt, through the two roles of the calendar."""
+    """Average days from request to receipt, through the two roles of the calendar, of returns with both."""
     def role(name: str) -> DataFrame:
         return F.broadcast(w.dim("date").select(
             F.col("date_key").alias(f"{name}_key"), F.col("date_day").alias(f"{name}_day")))
 
     f = w.fact("return_line").join(
-        role("request"), F.col("request_date_key") == F.col("request_key")
-    ).join(role("receipt"), F.col("receipt_date_key") == F.col("receipt_key"))
+        role("request"), F.col("request_date_key") == F.col("request_key"), "left"
+    ).join(role("receipt"), F.col("receipt_date_key") == F.col("receipt_key"), "left")
     days = F.date_diff(F.col("receipt_day"), F.col("request_day"))
     return f.agg(
-        F.round(F.sum(days).cast("double") / F.count("*").cast("double"), 2).alias("avg_cycle_days"),
-        F.count("*").alias("restocked_returns"))
+        F.round(F.try_divide(F.sum(days).cast("double"), F.count(days).cast("double")), 2).alias("avg_cycle_days"),
+        F.count(days).alias("restocked_returns"))
 
 
 def open_box_resale(w: Warehouse, days: int = 30) -> DataFrame:

@@ -15,7 +15,7 @@ from plumbline.operators import aggregates, checks, commerce, identity, inventor
 from plumbline.operators.quality import AUDIT, QUALITY, Rule
 from plumbline.plans import analyses, dims, facts, marts, reconciliation as rec, resolution as r
 from plumbline.plans.silver import SILVER
-from plumbline.plans.warehouse import DIM_KEYS, Warehouse, affected_facts
+from plumbline.plans.warehouse import DIM_KEYS, RESOLVED, Warehouse
 from plumbline.sources import raw, retail
 
 Query = Callable[[Warehouse], DataFrame]
@@ -324,6 +324,15 @@ def role_playing_dates(w):
     return both.groupBy("placed_phase", "delivered_phase").agg(F.count("*").alias("orders"))
 
 
+@query
+def gsv_by_phase_ties_out(w):
+    """Gross sale value summed over all phases against the first step of the waterfall."""
+    phases = marts.kpi(w, "gsv").agg(F.round(F.sum("gsv"), 2).alias("by_phase"))
+    first = rec.waterfall(w).filter("step = 1").select(F.round(F.col("amount").cast("double"), 2).alias("waterfall"))
+    both = with_one_row(phases, first)
+    return both.withColumn("ties_out", F.abs(F.col("by_phase") - F.col("waterfall")) < 0.05)
+
+
 @query
 def fuzzy_title_match(w):
     """Seller titles against the catalogue names of their category, best score per listing."""
@@ -646,12 +655,18 @@ def anomaly_profile(w):
 
 @query
 def rerun_changes_nothing(w):
+    """Rows of every corrected table that a second run changes or adds, and that it changes or loses."""
     parts = []
-    for t in ["ec_orders", "rr_return_receipts", "nl_listing_events", "wh_inventory_snapshots", "cs_cases", "rr_refund_events"]:
+    for t in RESOLVED:
         once = w.resolved(t)
         twice = w.correct(t, once).select(*once.columns)
-        parts.append(twice.exceptAll(once).agg(F.count("*").alias("changed_rows")).select(
-            F.lit(t).alias("table_name"), "changed_rows"))
+        sides = once.select(F.struct(*once.columns).alias("row"), F.lit(1).alias("n")).unionByName(
+            twice.select(F.struct(*once.columns).alias("row"), F.lit(-1).alias("n")))
+        left = sides.groupBy(F.to_json("row").alias("row")).agg(F.sum("n").alias("n"))  # equal rows cancel out
+        parts.append(left.agg(
+            F.coalesce(F.sum(F.greatest(-F.col("n"), F.lit(0))), F.lit(0)).alias("changed_rows"),
+            F.coalesce(F.sum(F.greatest(F.col("n"), F.lit(0))), F.lit(0)).alias("lost_rows"),
+        ).select(F.lit(t).alias("table_name"), "changed_rows", "lost_rows"))
     return quality.union_all(parts)
 
 
@@ -917,7 +932,7 @@ RULES: dict[str, tuple[str, Callable[[Warehouse], quality.Correction], list[str]
     "missing_snapshot_days": ("reconstructed_snapshots", lambda w: r.reconstructed_day(), ["store_id", "product_code", "snapshot_date", "physical_qty"]),
     "title_mismatch": ("ts_seller_listings", lambda w: r.title_mismatch(), ["listing_id", "seller_product_title"]),
     "open_box_as_new": ("rr_return_receipts", lambda w: r.opened_as_new(), ["receipt_id", "restocked_as_condition"]),
-    "placeholder_customer": ("ec_orders", lambda w: r.placeholder_customer(retail.PLACEHOLDER_ID), ["order_id", "customer_id"]),
+    "placeholder_customer": ("ec_orders", lambda w: r.placeholder_customer(), ["order_id", "customer_id"]),
     "relisted_after_sold": ("nl_listings", lambda w: r.relisted_after_sold(), ["listing_id", "excluded_from_gmv", "relisting_reliability"]),
     "picture_rings": ("nl_listings", lambda w: r.picture_ring(), ["listing_id", "fraud_ring_flag"]),
     "delivered_before_pickup": ("dc_delivery_events", lambda w: r.delivered_before_pickup(), ["event_id", "corrected_event_datetime", "requires_manual_review"]),
@@ -961,8 +976,9 @@ _verify("restock_before_inspection", "rr_return_receipts", lambda: (F.col("inspe
 _verify("missing_snapshot_days", "reconstructed_snapshots", lambda: ~F.col("resolution_applied"), reconstructed=lambda: F.col("data_quality_status") == "RECONSTRUCTED")
 _verify("title_mismatch", "ts_seller_listings", lambda: r.title_mismatch().when)
 _verify("open_box_as_new", "rr_return_receipts", lambda: (F.col("condition_on_receipt") == "OPENED") & (F.col("restocked_as_condition") == "NEW"))
-_verify("placeholder_customer", "ec_orders", lambda: F.col("customer_id") == retail.PLACEHOLDER_ID)
-_verify("relisted_after_sold", "nl_listings", _open("RELISTED_AFTER_SOLD"))
+_verify("placeholder_customer", "ec_orders", lambda: (F.col("customer_id") == retail.PLACEHOLDER_ID) & F.col("session_id").startswith(vocab.GUEST_SESSION))
+add("verify_relisted_after_sold", lambda w: commerce.mark_relisted(w.resolved("nl_listings")).agg(
+    F.count_if(F.col("is_relisted") & ~F.col("excluded_from_gmv")).alias("unresolved")))
 _verify("picture_rings", "nl_listings", _open("IMAGE_HASH_REUSED"))
 _verify("delivered_before_pickup", "dc_delivery_events",
         lambda: (F.col("event_type_code") == "DELIVERED") & (F.col("delivered_ts") < F.col("pickup_ts")) & F.col("corrected_event_datetime").isNull() & ~F.col("requires_manual_review"),
@@ -973,7 +989,8 @@ _verify("session_attribution", "ec_orders", _open("ATTRIBUTION_SESSION_BRIDGE"),
 _verify("cross_period_refunds", "rr_refund_events", _open("REFUND_PARTIAL_PERIOD_AMBIGUITY"), classified=_labelled("RECOGNISE_IN_RETURN_PERIOD"))
 _verify("null_reference_movements", "wh_inventory_movements", _open("MOVEMENT_NULL_REF"), classified=_labelled("PROBABLE_MISSING_REF"))
 add("verify_listing_match_tiers", lambda w: w.resolved("nl_listings").filter("b_classification is not null").groupBy("b_classification").agg(F.count("*").alias("listings")))
-_verify("ambiguous_identities", "identities", _open("IDENTITY_AMBIGUOUS"), merged=_labelled("MERGED"))
+_verify("ambiguous_identities", "identities",
+        lambda: F.col("identity_confidence").between(0.90, 1.00) & (F.col("identity_confidence") < 1.00) & ~F.col("resolution_applied"), merged=_labelled("MERGED"))
 _verify("value_signals", "nl_listing_events", _open("ESTIMATED_NL_GMV"), estimated=lambda: has_code("anomaly_reason_code", "ESTIMATED_NL_GMV") & (F.col("metric_certainty_level") == "ESTIMATED"))
 _verify("uncollected_pickups", "ec_orders", _open("BOPIS_NO_PICKUP_EVENT"), classified=_labelled("TREAT_AS_FULFILLED"))
 add("verify_high_risk_sellers", lambda w: w.resolved("ts_sellers").filter("b_classification is not null").groupBy("b_classification").agg(F.count("*").alias("sellers")))
@@ -1083,7 +1100,7 @@ def partial_rebuild(w):
 @query
 def rebuild_row_deltas(w):
     """Rows built from the uncorrected and from the corrected tables; corrections add or drop none."""
-    affected = affected_facts(["wh_inventory_snapshots", "rv_reviews", "nl_listing_events", "rr_return_receipts"])
+    affected = w.affected_facts(["wh_inventory_snapshots", "rv_reviews", "nl_listing_events", "rr_return_receipts"])
     before = {
         "warehouse_inventory_snapshot": facts.warehouse_inventory_snapshot(w.silver("wh_inventory_snapshots")),
         "customer_review": facts.customer_review(w.silver("rv_reviews")),

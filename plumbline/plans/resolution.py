@@ -29,10 +29,11 @@ def cancelled_revenue() -> Correction:
     )
 
 
-def placeholder_customer(placeholder: str) -> Correction:
+def placeholder_customer() -> Correction:
+    """Guests under a placeholder id; a member who really owns that id keeps their own orders."""
     return Correction(
         "PLACEHOLDER_ID_COLLISION",
-        F.col("customer_id") == placeholder,
+        F.col("is_placeholder_id") & F.col("session_id").startswith(vocab.GUEST_SESSION),
         "REKEYED_GUEST_BUCKET",
         sets={"customer_id": F.concat(F.lit("GUEST-"), F.col("session_id"))},
     )
@@ -66,12 +67,13 @@ def uncollected_pickup() -> Correction:
 
 
 def prepare_ec_orders(
-    orders: DataFrame, sessions: DataFrame, shipments: DataFrame, events: DataFrame, tag: str
+    orders: DataFrame, sessions: DataFrame, shipments: DataFrame, events: DataFrame, tag: str, placeholders: DataFrame
 ) -> DataFrame:
     tagged = sessions.filter(F.col("utm_campaign") == tag)
     scanned = events.filter(F.col("event_type_code") == "BOPIS_COLLECTED").select("shipment_id")
     collected = shipments.join(scanned, "shipment_id", "left_semi")
-    out = mark_exists(orders, tagged, {"session_id": "session_id"}, "in_campaign_session")
+    out = mark_exists(orders, placeholders, {"customer_id": "customer_id"}, "is_placeholder_id")
+    out = mark_exists(out, tagged, {"session_id": "session_id"}, "in_campaign_session")
     return mark_exists(out, collected, {"order_number": "order_reference"}, "was_collected")
 
 
@@ -299,7 +301,7 @@ def ambiguous_identity() -> Correction:
 
 def high_risk_seller() -> Correction:
     return Correction(
-        "SELLER_HIGH_RISK", F.col("anomaly_flag"), DECISION, classification=F.col("risk_tier")
+        "SELLER_HIGH_RISK", F.col("trust_score") < vocab.LOW_CONFIDENCE, DECISION, classification=F.col("risk_tier")
     )
 
 

@@ -6,15 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plumbline import vocab
 from plumbline.operators import commerce, trust
-from plumbline.operators.identity import customer_master, resolve_identities
+from plumbline.operators.identity import customer_master, placeholder_ids, resolve_identities
 from plumbline.operators.inventory import day_spine, fill_gaps
 from plumbline.operators.matching import product_master
 from plumbline.operators.quality import Correction, resolve
 from plumbline.plans import dims, facts, resolution as r
 from plumbline.plans.silver import clean
 from plumbline.sources.raw import materialise
-from plumbline.sources.retail import CAMPAIGN_TAG, PLACEHOLDER_ID, SOURCES, Given
+from plumbline.sources.retail import CAMPAIGN_TAG, SOURCES, Given
 
 # the order data's campaign year
 CAMPAIGN_YEAR = 1998
@@ -32,12 +33,29 @@ class Warehouse:
         self.given = Given(spark, folder)
         self.campaign = dims.Campaign(CAMPAIGN_YEAR, CAMPAIGN_TAG)
         self._built: dict[str, DataFrame] = dict(stored or {})
+        self._needs: dict[str, set[str]] = {}  # by table: the tables it was defined from, directly or not
+        self._open: list[str] = []
 
     def _get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._built:
-            self._built[name] = make()
+            self._needs[name] = set()
+            self._open.append(name)
+            try:
+                self._built[name] = make()
+            finally:
+                self._open.pop()
+        if self._open:
+            self._needs[self._open[-1]] |= {name} | self._needs.get(name, set())
         return self._built[name]
 
+    def affected_facts(self, changed: list[str]) -> list[str]:
+        """The facts defined from the corrected state of any of these tables."""
+        if unknown := [t for t in changed if t not in RESOLVED]:
+            raise ValueError(f"nothing is corrected in {unknown}")
+        for t in FACTS:
+            self.fact(t)
+        return sorted(t for t in FACTS if any(f"resolved.{c}" in self._needs.get(f"fact.{t}", ()) for c in changed))
+
     # ---- layers ---------------------------------------------------------------------------------
     def source(self, t: str) -> DataFrame:
         return self._get(f"source.{t}", lambda: SOURCES[t](self.given))
@@ -156,18 +174,11 @@ class Warehouse:
     def rebuild(self, changed: list[str]) -> dict[str, DataFrame]:
         """Write the facts fed by the changed tables, and only those; returns them as stored."""
         out = {}
-        for t in affected_facts(changed):
+        for t in self.affected_facts(changed):
             out[t] = materialise(self.fact(t), f"fact_{t}")
         return out
 
 
-def affected_facts(changed: list[str]) -> list[str]:
-    unknown = [t for t in changed if t not in facts.AFFECTED]
-    if unknown:
-        raise ValueError(f"no fact is declared to depend on {unknown}")
-    return sorted({f for t in changed for f in facts.AFFECTED[t]})
-
-
 def _as_is(w: Warehouse, df: DataFrame) -> DataFrame:
     return df
 
@@ -177,13 +188,13 @@ RESOLVED: dict[str, tuple] = {
     "ec_orders": (
         lambda w, df: r.prepare_ec_orders(
             df, w.silver("ws_sessions"), w.silver("dc_shipments"), w.silver("dc_delivery_events"),
-            w.campaign.tag,
+            w.campaign.tag, placeholder_ids(w.source("ec_orders"), w.source("cl_customers")),
         ),
         lambda w: [
-            r.cancelled_revenue(), r.placeholder_customer(PLACEHOLDER_ID),
+            r.cancelled_revenue(), r.placeholder_customer(),
             r.session_attribution(w.campaign.window), r.uncollected_pickup(),
         ],
-        ["in_campaign_session", "was_collected"],
+        ["in_campaign_session", "was_collected", "is_placeholder_id"],
     ),
     "pg_transactions": (
         lambda w, df: r.prepare_pg_transactions(
@@ -239,13 +250,15 @@ RESOLVED: dict[str, tuple] = {
 
 
 def _calendar(w: Warehouse) -> DataFrame:
-    """From the January before the first order to the December after the last shipment or event."""
+    """From the January of the first order to the second December after the last shipment: deliveries,
+    receipts and refunds follow it. Never beyond the project's years, whatever dates the data hold."""
     spans = w.given.orders.agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).unionByName(
         w.given.lineitem.agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
     )
+    first, last = (F.lit(d).cast("date") for d in vocab.CALENDAR)
     return spans.agg(
-        F.trunc(F.min("a").cast("date"), "year").alias("first_day"),
-        F.date_sub(F.add_months(F.trunc(F.max("b").cast("date"), "year"), 12), 1).alias("last_day"),
+        F.greatest(first, F.trunc(F.min("a").cast("date"), "year")).alias("first_day"),
+        F.least(last, F.date_sub(F.add_months(F.trunc(F.max("b").cast("date"), "year"), 36), 1)).alias("last_day"),
     )
 
 

@@ -213,3 +213,9 @@ def registered_method(method: str) -> str:
     if method not in RESOLUTION_METHODS:
         raise ValueError(f"{method!r} is not a registered resolution method")
     return method
+
+# a session of a customer without an account
+GUEST_SESSION = "SESS-GUEST-"
+
+# the project's years: no date outside them gets a calendar row
+CALENDAR = ("1990-01-01", "2009-12-31")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import checks, quality
 from plumbline.plans import facts, marts, reconciliation
-from plumbline.plans.warehouse import FACTS, affected_facts
+from plumbline.plans.warehouse import FACTS
 from plumbline.sources import raw
 
 
@@ -38,9 +38,10 @@ def test_views_are_published(w, spark):
 
 
 def test_only_affected_facts_are_rebuilt(w):
-    assert affected_facts(["rv_reviews"]) == ["customer_review"]
+    assert w.affected_facts(["rv_reviews"]) == ["customer_review"]
+    assert w.affected_facts(["nl_listings"]) == ["classified_listing_snapshot", "seller_performance_snapshot"]
     with pytest.raises(ValueError):
-        affected_facts(["nothing"])
+        w.affected_facts(["nothing"])
     stored = w.rebuild(["rv_reviews"])
     assert list(stored) == ["customer_review"]
     assert stored["customer_review"].count() == w.fact("customer_review").count()
