@@ -6,7 +6,8 @@ from oracle.compose import A, CLEAN, Q, audit, compose, dkey, okey, quality, sk
 from oracle.tables import AM, AN, CON, EST, EX, INF, T, UN
 
 O: dict[str, str] = {}
-GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations"]
+GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations",
+         "embeddings", "pages", "benchmark"]
 NONE = audit(("false", "B_DECISION_APPLIED"))
 
 
@@ -17,7 +18,11 @@ def union(parts) -> str:
 # ---- sources and sinks -------------------------------------------------------------------------
 O["ingest_raw_orders"] = """SELECT o_orderkey, o_totalprice, 'orders' AS _source_table, row_number() OVER () AS _source_row_number FROM orders"""
 O["source_inventory"] = union(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in GIVEN)
-O["ingestion_log"] = union(f"SELECT '{t}' AS source_table, count(*) AS row_count, 'OK' AS status FROM {t}" for t in GIVEN)
+O["ingestion_log"] = union(f"SELECT '{t}' AS source_table, count(*) AS row_count, 'OK' AS status, NULL::VARCHAR AS error FROM {t}" for t in GIVEN)
+_WIDTH = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6, "documents": 5, "labels": 3, "conversations": 4,
+          "embeddings": 3, "pages": 3, "benchmark": 2}
+O["ingested_tables"] = union(f"SELECT '{t}' AS source_table, {n + 3}::INT AS columns, count(*) AS row_count, 1::BIGINT AS first_row, count(*) AS last_row, count(*) AS row_numbers FROM {t}"
+                             for t, n in _WIDTH.items())
 O["row_count_reconciliation"] = """
 SELECT 'lineitem' AS source_table, count(DISTINCT (l_orderkey, l_linenumber)) AS expected_rows, count(*) AS actual_rows,
   count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS difference FROM lineitem
@@ -197,9 +202,6 @@ O["date_parse_flags"] = "SELECT layout, count(*) AS rows, count_if(bad AND NOT m
 O["orphan_foreign_keys"] = f"SELECT listing_id, {quality(('ref LIKE $$X%$$', 'ORPHAN_FK', AN, UN))} FROM seller_listings WHERE ref IS NOT NULL"
 O["resolution_columns"] = f"SELECT review_id, {NONE} FROM reviews"
 O["resolve_keeps_flag_and_code"] = f"SELECT receipt_id, {Q}, {A} FROM r_receipts"
-O["resolved_counts_per_code"] = "SELECT table_name, reason_code, count(*) AS resolved_rows FROM (" + union(
-    f"SELECT '{n}' AS table_name, unnest(string_split(anomaly_reason_code, ',')) AS reason_code FROM {t} WHERE resolution_applied"
-    for n, t in [("ec_orders", "r_ec_orders"), ("rr_return_receipts", "r_receipts"), ("wh_inventory_movements", "r_wh_moves")]) + ") GROUP BY 1, 2"
 O["sticky_detection"] = "SELECT count_if(a7) AS restocked_early, count_if(a10) AS opened_as_new, sum(restocked_qty)::BIGINT AS restocked_units FROM r_receipts"
 O["first_resolution_wins"] = "SELECT code AS event_type_code, anomaly_reason_code, resolution_method, count(*) AS events FROM r_listing_events GROUP BY 1, 2, 3"
 
@@ -209,11 +211,6 @@ def profile(name: str, table: str) -> str:
             f"unnest(CASE WHEN anomaly_reason_code IS NULL THEN [NULL] ELSE string_split(anomaly_reason_code, ',') END) AS reason_code FROM {table}) GROUP BY ALL")
 
 
-_CODES = union(profile(n, t) for n, t in [("ec_orders", "r_ec_orders"), ("cs_cases", "r_cases"), ("nl_listings", "r_listings"), ("dc_delivery_events", "r_dc_events")])
-O["registry_of_codes"] = f"""SELECT reason_code, sum(row_count)::BIGINT AS rows, any_value(CASE reason_code WHEN 'ATTRIBUTION_SESSION_BRIDGE' THEN 'CLEAN' WHEN 'BOPIS_NO_PICKUP_EVENT' THEN '{AM}'
-  WHEN 'MANUAL_CHANNEL_ATTRIBUTION' THEN '{AM}' WHEN 'COURIER_CLOCK_DRIFT' THEN '{AM}' ELSE '{AN}' END) AS default_status,
-  any_value(CASE WHEN reason_code IN ('CANCELLED_WITH_REVENUE', 'PLACEHOLDER_ID_COLLISION', 'DELIVERY_BEFORE_SHIP', 'STATUS_UNMAPPED') THEN '{UN}' ELSE '{INF}' END) AS default_certainty
-FROM ({_CODES}) WHERE reason_code IS NOT NULL GROUP BY 1"""
 O["universal_rules_orders"] = f"""SELECT o_orderkey, {quality(("o_orderdate::DATE > DATE '1998-09-14'", "DATE_FUTURE", AM, INF), ("o_orderdate::DATE < DATE '1998-03-01'", "DATE_BEFORE_RANGE", AM, INF),
 ("o_totalprice < 0", "NEGATIVE_AMOUNT", AN, UN), ("o_orderpriority = '4-NOT SPECIFIED'", "MISSING_REQUIRED_FIELD", AN, UN))} FROM orders"""
 O["universal_rules_contacts"] = f"""SELECT source_system, anomaly_reason_code, data_quality_status, metric_certainty_level, count(*) AS rows FROM (
@@ -222,7 +219,6 @@ FROM (SELECT * FROM ids)) GROUP BY ALL"""
 O["universal_rules_stock"] = f"""SELECT anomaly_reason_code, data_quality_status, metric_certainty_level, count(*) AS rows FROM (
 SELECT {quality(("physical_qty < 0", "NEGATIVE_QTY", AN, UN), ("physical_qty - 5 < 0", "OVERSELL", AN, INF))} FROM si_snaps) GROUP BY ALL"""
 O["universal_rules_accounts"] = f"SELECT c_custkey, {quality(('c_acctbal < 0', 'NEGATIVE_AMOUNT', AN, UN))} FROM customer"
-O["anomaly_profile"] = union(profile(n, t) for n, t in [("ec_orders", "r_ec_orders"), ("rr_return_receipts", "r_receipts"), ("nl_listing_events", "r_listing_events"), ("cs_cases", "r_cases")])
 O["rerun_changes_nothing"] = union(f"SELECT '{t}' AS table_name, 0::BIGINT AS changed_rows, 0::BIGINT AS lost_rows" for t in [
     "ec_orders", "pg_transactions", "pos_transaction_lines", "nl_listing_events", "wh_inventory_snapshots", "si_inventory_snapshots", "rr_return_receipts", "reconstructed_snapshots",
     "wh_inventory_movements", "rr_refund_events", "ts_seller_listings", "nl_listings", "dc_delivery_events", "rv_reviews", "cs_cases", "identities", "ts_sellers"])
@@ -397,6 +393,61 @@ O["anomaly_before_after"] = union([
     _ba("null_reference_movements", "MOVEMENT_NULL_REF", "r_wh_moves", "b3", "(sum(quantity_change) FILTER (b3))::DOUBLE"),
 ])
 
+# ---- reports over every corrected table --------------------------------------------------------
+RESOLVED = {
+    "ec_orders": "r_ec_orders", "pg_transactions": f"({O['resolve_payment_after_cancel']})", "pos_transaction_lines": f"({O['resolve_tax_basis']})", "nl_listing_events": "r_listing_events",
+    "wh_inventory_snapshots": "r_wh_snaps", "si_inventory_snapshots": "r_si_snaps", "rr_return_receipts": "r_receipts", "reconstructed_snapshots": f"({O['resolve_missing_snapshot_days']})",
+    "wh_inventory_movements": "r_wh_moves", "rr_refund_events": "r_refunds", "ts_seller_listings": f"({O['resolve_title_mismatch']})", "nl_listings": "r_listings",
+    "dc_delivery_events": "r_dc_events", "rv_reviews": "r_reviews", "cs_cases": "r_cases", "identities": f"({O['resolve_ambiguous_identities']})", "ts_sellers": f"({O['resolve_high_risk_sellers']})",
+}
+O["resolved_counts_per_code"] = "SELECT table_name, reason_code, count(*) AS resolved_rows FROM (" + union(
+    f"SELECT '{n}' AS table_name, unnest(string_split(anomaly_reason_code, ',')) AS reason_code FROM {t} WHERE resolution_applied" for n, t in RESOLVED.items()) + ") GROUP BY 1, 2"
+O["anomaly_profile"] = union(profile(n, t) for n, t in RESOLVED.items())
+# fixed values: the registered codes and their defaults
+_CODES = """(VALUES ('DATE_PARSE_FAIL', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('DATE_FUTURE', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('DATE_BEFORE_RANGE', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('STATUS_UNMAPPED', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('ORPHAN_FK', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('NEGATIVE_QTY', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('NEGATIVE_AMOUNT', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('MISSING_REQUIRED_FIELD', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('IDENTITY_AMBIGUOUS', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('PLACEHOLDER_ID_COLLISION', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('FUZZY_MATCH_LOW_CONF', 'EXCLUDED_WITH_REASON', 'UNRELIABLE'),
+  ('EMAIL_MALFORMED', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('PHONE_NORMALISATION_FAIL', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('SKU_PRODUCT_MISMATCH', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('SKU_NOT_IN_CATALOGUE', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('PRODUCT_FUZZY_MATCH', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('PRODUCT_NAME_CONFLICT', 'FLAGGED_ANOMALY', 'INFERRED'),
+  ('RECONSTRUCTED_SNAPSHOT', 'RECONSTRUCTED', 'INFERRED'),
+  ('MISSING_SNAPSHOT_DAY', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('ATP_POSITIVE_PHYSICAL_ZERO', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('OPEN_BOX_AS_NEW', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('RESTOCK_BEFORE_INSPECTION', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('MOVEMENT_NULL_REF', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('OVERSELL', 'FLAGGED_ANOMALY', 'INFERRED'),
+  ('CANCELLED_WITH_REVENUE', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('PAYMENT_AFTER_CANCEL', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('TAX_INCLUSION_MISMATCH', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('DELIVERY_BEFORE_SHIP', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('COURIER_CLOCK_DRIFT', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('BOPIS_NO_PICKUP_EVENT', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('REFUND_PARTIAL_PERIOD_AMBIGUITY', 'FLAGGED_AMBIGUOUS', 'INFERRED'),
+  ('ATTRIBUTION_SESSION_BRIDGE', 'CLEAN', 'INFERRED'),
+  ('NL_SELLER_SOLD_AS_REVENUE', 'FLAGGED_ANOMALY', 'ESTIMATED'),
+  ('RELISTED_AFTER_SOLD', 'FLAGGED_ANOMALY', 'INFERRED'),
+  ('IMAGE_HASH_REUSED', 'FLAGGED_ANOMALY', 'INFERRED'),
+  ('REVIEW_BEFORE_DELIVERY', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
+  ('DUPLICATE_CASE', 'FLAGGED_ANOMALY', 'INFERRED'),
+  ('ESTIMATED_NL_GMV', 'CLEAN', 'ESTIMATED'),
+  ('LISTING_LOW_CONFIDENCE', 'FLAGGED_AMBIGUOUS', 'UNRELIABLE'),
+  ('SELLER_HIGH_RISK', 'FLAGGED_ANOMALY', 'INFERRED'),
+  ('MANUAL_CHANNEL_ATTRIBUTION', 'FLAGGED_AMBIGUOUS', 'INFERRED')) c(reason_code, default_status, default_certainty)"""
+O["registry_of_codes"] = f"""SELECT p.reason_code, sum(row_count)::BIGINT AS rows, c.default_status, c.default_certainty
+FROM ({O["anomaly_profile"]}) p LEFT JOIN {_CODES} USING (reason_code) WHERE p.reason_code IS NOT NULL GROUP BY ALL"""
+
 
 # ---- dimensions --------------------------------------------------------------------------------
 def dim(name: str, cols: str, src: str) -> None:

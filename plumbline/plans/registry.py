@@ -17,6 +17,7 @@ from plumbline.plans import analyses, dims, facts, marts, reconciliation as rec,
 from plumbline.plans.silver import SILVER
 from plumbline.plans.warehouse import DIM_KEYS, RESOLVED, Warehouse
 from plumbline.sources import raw, retail
+from plumbline.sources.schemas import SCHEMAS
 
 Query = Callable[[Warehouse], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,8 +55,7 @@ def summed(c: str) -> Column:
 
 
 # ---- sources and sinks -------------------------------------------------------------------------
-GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-         "documents", "labels", "conversations"]
+GIVEN = list(SCHEMAS)
 
 
 @query
@@ -66,14 +66,26 @@ def ingest_raw_orders(w):
 
 @query
 def source_inventory(w):
-    found = raw.discover(w.spark, GIVEN, lambda n: getattr(w.given, n).schema, len(GIVEN))
+    found = raw.discover(w.spark, w.given.folder, len(GIVEN))
     return checks.completeness({n: getattr(w.given, n) for n in found})
 
 
 @query
 def ingestion_log(w):
-    return raw.ingestion_log({n: getattr(w.given, n) for n in GIVEN}).select(
-        "source_table", "row_count", "status")
+    """Every given table landed, and what became of it."""
+    return raw.land_all(w.spark, {n: lambda n=n: getattr(w.given, n) for n in GIVEN})[1].select(
+        "source_table", "row_count", "status", "error")
+
+
+@query
+def ingested_tables(w):
+    """The landed tables read back: all rows are there and numbered without a gap."""
+    landed, _ = raw.land_all(w.spark, {n: lambda n=n: getattr(w.given, n) for n in GIVEN})
+    return quality.union_all([
+        df.agg(F.count("*").alias("row_count"), F.min("_source_row_number").alias("first_row"), F.max("_source_row_number").alias("last_row"),
+               F.count_distinct("_source_row_number").alias("row_numbers"))
+        .select(F.lit(n).alias("source_table"), F.lit(len(df.columns)).alias("columns"), "*")
+        for n, df in landed.items()])
 
 
 @query
@@ -586,7 +598,7 @@ def resolve_keeps_flag_and_code(w):
 
 @query
 def resolved_counts_per_code(w):
-    return quality.resolved_counts({t: w.resolved(t) for t in ["ec_orders", "rr_return_receipts", "wh_inventory_movements"]})
+    return quality.resolved_counts({t: w.resolved(t) for t in RESOLVED})
 
 
 @query
@@ -608,8 +620,8 @@ def first_resolution_wins(w):
 
 @query
 def registry_of_codes(w):
-    """Codes found in four tables with their registered defaults; none may be unknown."""
-    seen = quality.code_profile({t: w.resolved(t) for t in ["ec_orders", "cs_cases", "nl_listings", "dc_delivery_events"]})
+    """Codes found in the corrected tables with their registered defaults; none may be unknown."""
+    seen = quality.code_profile({t: w.resolved(t) for t in RESOLVED})
     known = w.spark.createDataFrame(
         [(c, v.status, v.certainty) for c, v in vocab.REASON_CODES.items()],
         "reason_code string, default_status string, default_certainty string")
@@ -650,7 +662,7 @@ def universal_rules_accounts(w):
 
 @query
 def anomaly_profile(w):
-    return quality.code_profile({t: w.resolved(t) for t in ["ec_orders", "rr_return_receipts", "nl_listing_events", "cs_cases"]})
+    return quality.code_profile({t: w.resolved(t) for t in RESOLVED})
 
 
 @query

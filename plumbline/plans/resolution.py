@@ -15,6 +15,7 @@ from plumbline.operators.joins import mark_exists
 from plumbline.operators.matching import best_match, match_tier
 from plumbline.functions.exprs import has_code, with_one_row
 from plumbline.operators.quality import Correction, Rule, flag, union_all
+from plumbline.plans.silver import SILVER
 
 DECISION = "B_DECISION_APPLIED"
 
@@ -107,7 +108,7 @@ def tax_basis() -> Correction:
 
 
 def prepare_pos_lines(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("revenue_excl_tax", commerce.tax_exclusive(lines))
+    return lines.withColumn("revenue_excl_tax", commerce.tax_exclusive(SILVER["pos_transaction_lines"].basis))
 
 
 # ---- stock and returns -------------------------------------------------------------------------

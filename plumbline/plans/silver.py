@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from plumbline import vocab
 from plumbline.functions.dates import parse
 from plumbline.functions.keys import surrogate_key
-from plumbline.operators.commerce import apply_status_map
+from plumbline.operators.commerce import TaxBasis, apply_status_map
 from plumbline.operators.quality import Rule, add_anomaly_columns, date_parse_rule, flag, universal_rules
 
 CHANNEL_CODES = [c for c, _, _ in vocab.CHANNELS]
@@ -26,6 +26,7 @@ class Spec:
     dates: dict[str, str] = field(default_factory=dict)
     rules: Callable[[], list[Rule]] = list
     status: tuple[str, str] | None = None  # (source system, column) to map
+    basis: TaxBasis | None = None
 
 
 SILVER: dict[str, Spec] = {
@@ -45,7 +46,7 @@ SILVER: dict[str, Spec] = {
     "pg_transactions": Spec(["transaction_id"], {"created_ts": "epoch_seconds", "captured_ts": "epoch_seconds"},
                             status=("PG", "status_code")),
     "pos_transactions": Spec(["txn_id"], {"txn_date": "day_slash"}, status=("POS", "status_code")),
-    "pos_transaction_lines": Spec(["txn_id", "line_no"]),
+    "pos_transaction_lines": Spec(["txn_id", "line_no"], basis=TaxBasis("total_amount_incl_tax", "tax_amount")),
     # delivery
     "dc_shipments": Spec(["shipment_id"], {"created_datetime": "iso_timestamp"}),
     "dc_delivery_events": Spec(["event_id"], {"event_timestamp": "iso_timestamp"}),

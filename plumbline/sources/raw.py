@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -16,11 +17,9 @@ META = ["_source_table", "_ingestion_timestamp", "_source_row_number"]
 def work_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; one of our own only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and spark.sparkContext.master.startswith("local"):
+    if not named:
         named = tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", named)
-    if not named:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return named
 
 
@@ -78,34 +77,31 @@ def ingest_raw(df: DataFrame, table: str, run_ts: Column | None = None) -> DataF
     )
 
 
-def discover(spark: SparkSession, names: list[str], read, expected: int | None = None) -> list[str]:
-    """Names of the source tables that can be read; stop when the number is not the expected one."""
-    found = []
-    for n in names:
-        try:
-            read(n)
-            found.append(n)
-        except Exception as e:  # a missing table is what this looks for
-            if "PATH_NOT_FOUND" not in str(e) and "TABLE_OR_VIEW_NOT_FOUND" not in str(e):
-                raise
+def discover(spark: SparkSession, folder: str, expected: int | None = None) -> list[str]:
+    """Names of the tables in a folder, by listing its files; stop when their number is not the expected
+    one. The listing is a distributed scan that opens no file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    name = F.regexp_extract("path", r"/([^/]+)\.parquet(?:/[^/]+)?$", 1)
+    rows = files.select(name.alias("name")).filter("name <> ''").distinct().orderBy("name").collect()
+    found = [r.name for r in rows]
     if expected is not None and len(found) != expected:
         raise AssertionError(f"expected {expected} source tables, found {len(found)}: {found}")
     return found
 
 
-def ingestion_log(tables: dict[str, DataFrame], run_ts: Column | None = None) -> DataFrame:
-    """One row per table: rows landed, outcome, error, run time."""
-    counts = union_all([
-        df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("source_table"), "row_count")
-        for n, df in tables.items()
-    ])
-    return counts.select(
-        "source_table",
-        "row_count",
-        F.when(F.col("row_count") == 0, "OK_EMPTY").otherwise("OK").alias("status"),
-        F.lit(None).cast("string").alias("error"),
-        (F.current_timestamp() if run_ts is None else run_ts).alias("ingestion_timestamp"),
-    )
+def land_all(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]], run_ts: Column | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Write every table with where it came from; the landed tables, and a log with one row per table:
+    rows landed, outcome, error, run time. A table that fails is logged and does not stop the others."""
+    landed, log = {}, []
+    for name, read in tables.items():
+        try:
+            landed[name] = materialise(ingest_raw(read(), name, run_ts), f"landed_{name}")
+            rows = landed[name].count()
+            log.append((name, rows, "OK" if rows else "OK_EMPTY", None))
+        except Exception as e:  # whatever is wrong with one table belongs in the log
+            log.append((name, None, "FAILED", f"{type(e).__name__}: {str(e).splitlines()[0]}"))
+    entries = spark.createDataFrame(log, "source_table string, row_count bigint, status string, error string")
+    return landed, entries.withColumn("ingestion_timestamp", F.current_timestamp() if run_ts is None else run_ts)
 
 
 def reconcile_counts(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -126,9 +122,9 @@ def reconcile_counts(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def assert_counts(actual: DataFrame, expected: DataFrame) -> None:
-    wrong = reconcile_counts(actual, expected).take(100)
-    if wrong:
-        raise AssertionError(f"row counts differ: {wrong}")
+    wrong = reconcile_counts(actual, expected)
+    if n := wrong.count():
+        raise AssertionError(f"row counts of {n} tables differ, among them: {wrong.take(100)}")
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
@@ -146,6 +142,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)  # goes when the application ends
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 

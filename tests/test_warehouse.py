@@ -47,19 +47,23 @@ def test_only_affected_facts_are_rebuilt(w):
     assert stored["customer_review"].count() == w.fact("customer_review").count()
 
 
-def test_ingestion(w, spark):
+def test_ingestion(w, spark, tmp_path):
     landed = raw.ingest_raw(w.given.orders, "orders")
     assert landed.columns[-3:] == raw.META
     span = landed.agg(F.min("_source_row_number"), F.max("_source_row_number"), F.countDistinct("_source_row_number")).first()
     assert tuple(span) == (1, 1500, 1500)
-    log = raw.ingestion_log({"a": w.given.orders, "b": raw.empty_like(spark, "x int")})
-    assert {r.source_table: (r.row_count, r.status) for r in log.collect()} == {"a": (1500, "OK"), "b": (0, "OK_EMPTY")}
+    raw.write_table(raw.empty_like(spark, "x int"), str(tmp_path / "empty"))
+    landed, log = raw.land_all(spark, {
+        "a": lambda: w.given.orders, "b": lambda: spark.read.parquet(str(tmp_path / "empty")), "c": lambda: spark.read.parquet(str(tmp_path / "none"))})
+    assert {r.source_table: (r.row_count, r.status) for r in log.collect()} == {"a": (1500, "OK"), "b": (0, "OK_EMPTY"), "c": (None, "FAILED")}
+    assert set(landed) == {"a", "b"} and "PATH_NOT_FOUND" in log.filter("status = 'FAILED'").first().error
+    log = log.filter("status <> 'FAILED'")
     want = spark.createDataFrame([("a", 1500), ("c", 1)], "source_table string, row_count bigint")
     assert {r.source_table: r.difference for r in raw.reconcile_counts(log, want).collect()} == {"b": 0, "c": -1}
     with pytest.raises(AssertionError):
         raw.assert_counts(log, want)
     with pytest.raises(AssertionError):
-        raw.discover(spark, ["orders"], lambda n: getattr(w.given, n), 2)
+        raw.discover(spark, w.given.folder, 2)
 
 
 def test_csv_and_json_sources(w, spark, tmp_path):
