@@ -650,8 +650,8 @@ kpi("on_time_delivery_rate", "SELECT count_if(total_lifecycle_hours <= 120) AS o
 kpi("payment_failure_rate", "SELECT count_if(o_totalprice < 40000) AS failed_numerator, count(*) AS attempts_denominator FROM orders")
 kpi("active_listing_count", "SELECT count_if(p_size <= 20) AS active_listings FROM part")
 kpi("listing_contact_rate", "SELECT (SELECT count(*) FROM listing_events WHERE code IN ('CHAT', 'PHN_REVEAL', 'OFFER_ACC')) AS contact_numerator, (SELECT count(*) FROM part WHERE p_size <= 20) AS active_listing_denominator")
-kpi("relisting_rate", "SELECT count_if(a12) AS relisted_numerator, count(*) AS listing_denominator FROM nl_hits")
-kpi("duplicate_listing_inflation_factor", "SELECT count(*) AS total_listings, count_if(NOT a12 AND NOT a13) AS deduplicated_listings FROM nl_hits")
+kpi("relisting_rate", "SELECT count_if(a12 OR by_metadata) AS relisted_numerator, count(*) AS listing_denominator FROM nl_hits")
+kpi("duplicate_listing_inflation_factor", "SELECT count(*) AS total_listings, count_if(NOT (a12 OR by_metadata) AND NOT a13) AS deduplicated_listings FROM nl_hits")
 kpi("seller_risk_score_distribution", """SELECT CASE WHEN t.risk_score >= 0.65 THEN 'HIGH' WHEN t.risk_score >= 0.40 THEN 'MEDIUM' ELSE 'LOW' END AS risk_band, count(*) AS seller_count
 FROM sellers JOIN trust t USING (seller_id) GROUP BY 1""")
 kpi("validated_report_rate", "SELECT count_if(a13) AS corroborated_numerator, count_if(a12 OR a13) AS flagged_denominator FROM nl_hits", INF)
@@ -690,7 +690,7 @@ WINDOW w AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOW
 O["team_divergence"] = """SELECT team, round(c, 2) AS claimed, round(r, 2) AS reconciled, round(c - r, 2) AS difference FROM (
 SELECT 'Sales' AS team, (SELECT sum(gross)::DOUBLE FROM f_line) + (SELECT sum(price)::DOUBLE FROM listing_events JOIN listings USING (listing_id) WHERE code = 'SELLER_SOLD') AS c, (SELECT sum(confirmed)::DOUBLE FROM f_line) AS r
 UNION ALL SELECT 'Finance', (SELECT sum(confirmed)::DOUBLE FROM f_line), (SELECT sum(confirmed)::DOUBLE FROM f_line)
-UNION ALL SELECT 'Marketplace', count(*)::DOUBLE, count_if(NOT a12 AND NOT a13)::DOUBLE FROM nl_hits
+UNION ALL SELECT 'Marketplace', count(*)::DOUBLE, count_if(NOT (a12 OR by_metadata) AND NOT a13)::DOUBLE FROM nl_hits
 UNION ALL SELECT 'Inventory', count_if(atp_qty > 0)::DOUBLE, count_if(physical_qty > 0)::DOUBLE FROM wh_snaps
 UNION ALL SELECT 'Store operations', count_if(order_status = 'DELIVERED')::DOUBLE, count_if(order_status = 'DELIVERED' AND NOT b7)::DOUBLE FROM ec_hits
 UNION ALL SELECT 'Support', count(*)::DOUBLE, count(DISTINCT text)::DOUBLE FROM documents)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ADDITIVITY = "additivity"
 
@@ -51,3 +51,15 @@ def first_and_last(df: DataFrame, keys: list[str], order: str, value: str) -> Da
         F.col("__l")[order].alias("last_at"),
         F.col("__l")[value].alias("last_value"),
     )
+
+
+def grouped_median(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+    """Exact median of a value per key. Equal values are counted first, so that a key's sorted run
+    holds its distinct values and not its rows."""
+    counts = df.select(key, value.alias("__v")).filter("__v is not null").groupBy(key, "__v").agg(F.count("*").alias("__n"))
+    run = Window.partitionBy(key)
+    upto = F.sum("__n").over(run.orderBy("__v"))
+    placed = counts.select(key, "__v", upto.alias("__upto"), F.sum("__n").over(run).alias("__all"))
+    low = F.min(F.when(F.col("__upto") >= F.floor((F.col("__all") + 1) / 2), F.col("__v")))
+    high = F.min(F.when(F.col("__upto") >= F.floor(F.col("__all") / 2) + 1, F.col("__v")))
+    return placed.groupBy(key).agg(((low + high) / 2).alias(name))

@@ -14,6 +14,7 @@ from plumbline.functions.keys import anonymous_key, surrogate_key
 from plumbline.functions.text import email_norm, phone_e164, tokens
 from plumbline.operators.joins import left_join_spread
 from plumbline.operators.quality import Rule, add_anomaly_columns, flag
+from plumbline.sources.raw import materialise
 
 CONFIDENCE = {1: 1.00, 2: 0.95, 3: 0.90}  # fixed values
 JACCARD_FROM, JACCARD_BELOW = 0.70, 0.90
@@ -111,6 +112,8 @@ def resolve_identities(records: DataFrame) -> DataFrame:
         "identity_confidence": F.lit(None).cast("double"),
         "match_pass": F.lit(None).cast("int"),
     })
+    # every pass reads what the ones before left, so each is written once instead of derived again
+    base = materialise(base, "identity_records")
     one = base.filter(F.col("loyalty_id").isNotNull()).withColumns({
         "customer_key": surrogate_key("loyalty_id"),
         "identity_confidence": F.lit(CONFIDENCE[1]),
@@ -118,7 +121,9 @@ def resolve_identities(records: DataFrame) -> DataFrame:
     })
     rest = base.filter(F.col("loyalty_id").isNull())
     two, rest = _adopt(rest, one, "email_norm", 2)
+    two = materialise(two, "identity_by_mail")
     three, rest = _adopt(rest, one.unionByName(two), "phone_e164", 3)
+    three = materialise(three, "identity_by_phone")
 
     words = F.array_sort(F.array_union(tokens("name"), tokens("address")))
     rest = rest.withColumn("__t", words)

@@ -8,6 +8,7 @@ from plumbline import vocab
 from plumbline.functions.exprs import bucket
 from plumbline.functions.keys import surrogate_key
 from plumbline.functions.text import edit_similarity, token_sorted, tokens
+from plumbline.operators.joins import left_join_spread
 from plumbline.operators.quality import Rule, add_anomaly_columns, flag
 
 
@@ -60,7 +61,9 @@ def best_match(
         .select(*block, "__norm", F.col("m.n").alias("match_name"), (-F.col("m.s")).alias("match_score"))
     )
     scored = done.unionByName(found)
-    return rows.join(scored, [*block, "__norm"], "left").drop("__norm")
+    keys = [*block, "__norm"]
+    names_of = {k: f"__key{i}" for i, k in enumerate(keys)}
+    return left_join_spread(rows, scored.withColumnsRenamed(names_of), keys, list(names_of.values())).drop("__norm")
 
 
 def match_tier(score: Column) -> Column:
@@ -79,7 +82,7 @@ def product_master(
     cat = catalogue.select(
         F.col("sku"), F.col("product_name"), F.col("list_price"), F.col("cogs")
     )
-    by_sku = listings.join(cat, F.col("catalogue_sku_ref") == F.col("sku"), "left")
+    by_sku = left_join_spread(listings, cat.withColumn("__sku", F.col("sku")), ["catalogue_sku_ref"], ["__sku"])
     exact = by_sku.filter("sku is not null").select(
         "listing_id", "seller_product_title", "catalogue_sku_ref", "sku", "product_name",
         "list_price", "cogs", F.lit(1.0).alias("match_confidence"), F.lit(1).alias("match_pass"),

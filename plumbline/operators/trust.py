@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import vocab
 from plumbline.functions.exprs import bucket, ratio, with_one_row
+from plumbline.operators.aggregates import grouped_median
 from plumbline.operators.quality import Rule, add_anomaly_columns, flag, union_all
 
 RATES = ["cancellation", "late", "return", "complaint", "duplicate", "report", "moderation", "response"]
@@ -79,9 +80,7 @@ def listing_confidence(
         F.count_if(asked).alias("chats"), F.count_if(answered).alias("answers")
     )
     told = reports.groupBy("listing_id").agg(F.count("*").alias("reports"))
-    usual = listings.groupBy("category_code").agg(
-        F.median(F.col("asking_price").cast("double")).alias("category_median")
-    )
+    usual = grouped_median(listings, "category_code", F.col("asking_price").cast("double"), "category_median")
     df = (
         listings.join(usual, "category_code", "left")
         .join(replies, "listing_id", "left")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from plumbline import vocab
 from plumbline.functions.exprs import has_code
 from plumbline.operators.aggregates import aggregate
+from plumbline.operators.aggregates import grouped_median
 from plumbline.operators.joins import mark_exists, mark_within
 from plumbline.plans.marts import EC, SI, STORE, WH, open_box_resale, with_phase
 from plumbline.plans.warehouse import Warehouse
@@ -16,8 +17,7 @@ def ring_scores(w: Warehouse) -> DataFrame:
     """Fraud-ring score per classified account: shared pictures, account opened in bulk, phone
     numbers revealed, prices far below the category's median."""
     listings = w.resolved("nl_listings")
-    usual = listings.groupBy("category_code").agg(
-        F.median(F.col("asking_price").cast("double")).alias("usual"))
+    usual = grouped_median(listings, "category_code", F.col("asking_price").cast("double"), "usual")
     reveals = w.silver("nl_listing_events").filter(F.col("event_type_code") == "PHN_REVEAL").groupBy(
         "listing_id").agg(F.count("*").alias("reveals"))
     per = (
@@ -75,9 +75,9 @@ def open_box_resold(w: Warehouse) -> DataFrame:
 
 def orders_beyond_stock(w: Warehouse) -> DataFrame:
     """Store sale lines for more units than the day's sellable stock of that store and product."""
-    stock = w.fact(SI).select(
+    stock = w.gold(SI).select(
         "store_key", "product_key", F.col("snapshot_date").alias("txn_date"), "sellable_qty")
-    sold = w.fact(STORE).groupBy("store_key", "product_key", "txn_date").agg(
+    sold = w.gold(STORE).groupBy("store_key", "product_key", "txn_date").agg(
         F.sum("quantity").alias("units"), F.count("*").alias("lines"))
     return sold.join(stock, ["store_key", "product_key", "txn_date"]).agg(
         F.count("*").alias("store_product_days"),
@@ -87,28 +87,28 @@ def orders_beyond_stock(w: Warehouse) -> DataFrame:
 
 def warehouse_picks_beyond_stock(w: Warehouse) -> DataFrame:
     """Warehouse, SKU and day with more units picked than promised, by warehouse."""
-    picks = w.fact("inventory_transaction").filter(
+    picks = w.gold("inventory_transaction").filter(
         (F.col("node_type") == "WAREHOUSE") & (F.col("quantity_delta") < 0)
     ).groupBy(F.col("node_id").alias("warehouse_id"), F.col("product_code").alias("sku"),
               F.col("mdate").alias("snapshot_date")).agg((-F.sum("quantity_delta")).alias("picked"))
-    return picks.join(w.fact(WH), ["warehouse_id", "sku", "snapshot_date"]).groupBy("warehouse_id").agg(
+    return picks.join(w.gold(WH), ["warehouse_id", "sku", "snapshot_date"]).groupBy("warehouse_id").agg(
         F.count("*").alias("pick_days"), F.count_if(F.col("picked") > F.col("atp_qty")).alias("short_days"))
 
 
 def stock_accuracy_by_week(w: Warehouse) -> DataFrame:
-    return w.fact(SI).groupBy(F.trunc("snapshot_date", "week").alias("week"), "store_id").agg(
+    return w.gold(SI).groupBy(F.trunc("snapshot_date", "week").alias("week"), "store_id").agg(
         F.count_if(~F.col("anomaly_flag")).alias("accurate_numerator"),
         F.count("*").alias("snapshot_denominator"))
 
 
 def stock_by_location(w: Warehouse) -> DataFrame:
     """Stock per location on each date; never added over dates."""
-    return aggregate(w.fact(SI), ["store_id", "snapshot_date"], ["physical_qty", "sellable_qty"])
+    return aggregate(w.gold(SI), ["store_id", "snapshot_date"], ["physical_qty", "sellable_qty"])
 
 
 def promotion_effect(w: Warehouse) -> DataFrame:
     """Confirmed revenue by attribution rule and phase."""
-    f = with_phase(w, w.fact(EC))
+    f = with_phase(w, w.gold(EC))
     return f.groupBy(F.coalesce("attribution_rule", F.lit("ORGANIC")).alias("rule"), "campaign_phase").agg(
         F.count("*").alias("order_lines"),
         F.sum("confirmed_revenue_excl_tax").cast("double").alias("confirmed_revenue"))
@@ -117,9 +117,9 @@ def promotion_effect(w: Warehouse) -> DataFrame:
 def cancelled_across_channels(w: Warehouse) -> DataFrame:
     """Cancelled value still carried, online and in stores."""
     cancelled = (F.col("status") == "CANCELLED") & (F.col("amount") > 0)
-    a = w.fact(EC).select(F.lit("EC").alias("channel"), F.col("order_status").alias("status"),
+    a = w.gold(EC).select(F.lit("EC").alias("channel"), F.col("order_status").alias("status"),
                           F.col("line_subtotal_excl_tax").cast("decimal(18,4)").alias("amount"))
-    b = w.fact(STORE).select(F.lit("STORE").alias("channel"), F.col("receipt_status").alias("status"),
+    b = w.gold(STORE).select(F.lit("STORE").alias("channel"), F.col("receipt_status").alias("status"),
                              F.col("net_amount").cast("decimal(18,4)").alias("amount"))
     return a.unionByName(b).groupBy("channel").agg(
         F.count_if(cancelled).alias("cancelled_lines"),
@@ -129,7 +129,7 @@ def cancelled_across_channels(w: Warehouse) -> DataFrame:
 
 def repeat_purchase_by_cohort(w: Warehouse) -> DataFrame:
     """Customers by the month of their first order, and those who ordered again."""
-    per = w.fact("order_fulfilment").filter("customer_key is not null").groupBy("customer_key").agg(
+    per = w.gold("order_fulfilment").filter("customer_key is not null").groupBy("customer_key").agg(
         F.trunc(F.min("order_date"), "month").alias("cohort"), F.count("*").alias("orders"))
     return per.groupBy("cohort").agg(
         F.count("*").alias("customers"), F.count_if(F.col("orders") > 1).alias("repeat_customers"))
@@ -137,7 +137,7 @@ def repeat_purchase_by_cohort(w: Warehouse) -> DataFrame:
 
 def pickup_volume_by_store(w: Warehouse) -> DataFrame:
     store = w.dim("store").select("store_key", "store_id")
-    f = w.fact(EC).filter("store_key is not null").groupBy("store_key").agg(
+    f = w.gold(EC).filter("store_key is not null").groupBy("store_key").agg(
         F.count("*").alias("order_lines"), F.countDistinct("order_id").alias("orders"))
     return f.join(store, "store_key").select("store_id", "orders", "order_lines")
 
@@ -148,7 +148,7 @@ def fulfilment_by_cohort(w: Warehouse) -> DataFrame:
     The cohort is reduced to one row per customer and joined back, so a busy customer is never
     gathered into one task.
     """
-    f = w.fact("order_fulfilment").filter("customer_key is not null")
+    f = w.gold("order_fulfilment").filter("customer_key is not null")
     cohort = f.groupBy("customer_key").agg(F.trunc(F.min("order_date"), "month").alias("cohort"))
     return f.select("customer_key", "total_lifecycle_hours").join(cohort, "customer_key").groupBy("cohort").agg(
         F.count_if(F.col("total_lifecycle_hours").isNotNull()).alias("delivered"),
@@ -157,15 +157,15 @@ def fulfilment_by_cohort(w: Warehouse) -> DataFrame:
 
 def daily_traffic(w: Warehouse) -> DataFrame:
     """Sessions per day and how many converted."""
-    done = w.fact("web_page_event").filter("is_conversion_event").select("session_id")
-    s = mark_exists(w.fact("web_session"), done, {"session_id": "session_id"}, "converted")
+    done = w.gold("web_page_event").filter("is_conversion_event").select("session_id")
+    s = mark_exists(w.gold("web_session"), done, {"session_id": "session_id"}, "converted")
     return s.groupBy(F.col("session_start_ts").cast("date").alias("day")).agg(
         F.count("*").alias("sessions"), F.count_if("converted").alias("converted_sessions"))
 
 
 def complaint_trend(w: Warehouse) -> DataFrame:
     """Cases and distinct incidents per week and channel."""
-    c = w.fact("customer_complaint")
+    c = w.gold("customer_complaint")
     channel = w.dim("channel").select("channel_key", "channel_code")
     return c.groupBy(F.trunc("created_datetime", "week").alias("week"), "channel_key").agg(
         F.count("*").alias("cases"), F.countDistinct("canonical_case_key").alias("incidents")

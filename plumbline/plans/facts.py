@@ -383,10 +383,7 @@ def seller_performance_snapshot(
     limit = F.col("order_date").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(vocab.ON_TIME_HOURS)
     )
-    hit = F.col("anomaly_reason_code")
-    dup = holds(F.arrays_overlap(
-        F.split(hit, ","), F.array(F.lit("RELISTED_AFTER_SOLD"), F.lit("IMAGE_HASH_REUSED"))
-    ))
+    dup = F.col("excluded_from_gmv") | F.col("fraud_ring_flag")
     lst = listings.select("listing_id", seller_of.alias("s"), "created_at", dup.alias("dup"))
     parts = part(
         sold, F.col("seller_id"), F.col("fulfilled_at").cast("date"),

@@ -80,9 +80,9 @@ def with_phase(w: Warehouse, df: DataFrame, key: str = "date_key") -> DataFrame:
 
 def channel_values(w: Warehouse, ec: str, store: str, name: str) -> DataFrame:
     """One amount of the online and the store fact, stacked by channel."""
-    a = w.fact("ecommerce_order_line").select(
+    a = w.gold("ecommerce_order_line").select(
         F.lit("EC").alias("channel"), "date_key", F.col(ec).cast("decimal(18,4)").alias(name))
-    b = w.fact("store_sale_line").select(
+    b = w.gold("store_sale_line").select(
         F.lit("STORE").alias("channel"), "date_key", F.col(store).cast("decimal(18,4)").alias(name))
     return a.unionByName(b)
 
@@ -109,23 +109,23 @@ def ncr(w):
 
 @view("revenue_leakage", "Finance", "CONFIRMED", [EC, STORE, "return_line"], ["leakage_type"])
 def revenue_leakage(w):
-    cancelled = w.fact(EC).agg(
+    cancelled = w.gold(EC).agg(
         F.sum(F.col("line_subtotal_excl_tax") - F.col("confirmed_revenue_excl_tax")).alias("v")
     ).select(F.lit("CANCELLATION").alias("leakage_type"), money(F.col("v")).alias("leakage_amount"))
-    discount = w.fact(STORE).agg(F.sum("discount_amount").alias("v")).select(
+    discount = w.gold(STORE).agg(F.sum("discount_amount").alias("v")).select(
         F.lit("STORE_DISCOUNT").alias("leakage_type"), money(F.col("v")).alias("leakage_amount"))
-    refund = w.fact("return_line").agg(F.sum(F.coalesce("refund_amount", F.lit(0))).alias("v")).select(
+    refund = w.gold("return_line").agg(F.sum(F.coalesce("refund_amount", F.lit(0))).alias("v")).select(
         F.lit("RETURN_REFUND").alias("leakage_type"), money(F.col("v")).alias("leakage_amount"))
     return cancelled.unionByName(discount).unionByName(refund)
 
 
 def _costed(w: Warehouse) -> DataFrame:
     """Revenue and cost per line by channel; the online line takes its cost from the catalogue."""
-    store = w.fact(STORE).select(
+    store = w.gold(STORE).select(
         F.lit("STORE").alias("channel"), F.col("net_amount").cast("decimal(18,4)").alias("revenue"),
         F.col("cogs_amount").alias("cogs"))
     cost = w.source("pc_products").select(F.col("sku").alias("product_sku"), "cogs")
-    lines = w.fact(EC).select("product_sku", "quantity", "confirmed_revenue_excl_tax")
+    lines = w.gold(EC).select("product_sku", "quantity", "confirmed_revenue_excl_tax")
     online = lines.join(cost, "product_sku", "left").select(
         F.lit("EC").alias("channel"),
         F.col("confirmed_revenue_excl_tax").cast("decimal(18,4)").alias("revenue"),
@@ -154,7 +154,7 @@ def gross_margin_by_channel(w):
 @view("net_margin_after_fulfilment", "Finance", "CONFIRMED", [EC, STORE, "return_line"])
 def net_margin_after_fulfilment(w):
     total = _margin(_costed(w), [])
-    back = w.fact("return_line").agg(F.sum("refund_amount").alias("refunds"))
+    back = w.gold("return_line").agg(F.sum("refund_amount").alias("refunds"))
     return with_one_row(total, back).select(
         money(F.col("margin") - F.coalesce("refunds", F.lit(0))).alias("net_margin_numerator"),
         money(F.col("revenue")).alias("revenue_denominator"))
@@ -179,14 +179,14 @@ def estimated_classified_gmv(w):
         F.lit("0").cast("decimal(3,2)"),
     )
     signals = (
-        w.fact("classified_listing_event")
+        w.gold("classified_listing_event")
         .filter(has_code("anomaly_reason_code", "ESTIMATED_NL_GMV"))
         .groupBy("listing_id", "event_type_code")
         .agg(F.count("*").alias("n"))
         .groupBy("listing_id")
         .agg(F.sum(weight * F.col("n")).cast("decimal(18,2)").alias("signal"))
     )
-    value = w.fact("classified_listing_snapshot").filter(~F.col("excluded_from_gmv")).select(
+    value = w.gold("classified_listing_snapshot").filter(~F.col("excluded_from_gmv")).select(
         "listing_id", "asking_price")
     trust = w.listing_confidence().select(
         "listing_id", F.col("confidence_score").cast("decimal(8,6)").alias("confidence"))
@@ -208,7 +208,7 @@ def campaign_incremental_revenue(w):
     def of(phase: str, c: str) -> Column:
         return F.sum(F.when(F.col("campaign_phase") == phase, F.col(c)))
 
-    revenue = with_phase(w, w.fact(EC).select("date_key", "confirmed_revenue_excl_tax")).agg(
+    revenue = with_phase(w, w.gold(EC).select("date_key", "confirmed_revenue_excl_tax")).agg(
         of("CAMPAIGN", "confirmed_revenue_excl_tax").cast("double").alias("campaign"),
         of("BASELINE", "confirmed_revenue_excl_tax").cast("double").alias("baseline"))
     days = w.dim("date").withColumn("one", F.lit(1)).agg(
@@ -226,12 +226,12 @@ WH, SI = "warehouse_inventory_snapshot", "store_inventory_snapshot"
 
 @view("atp_sku_loc_date", "Inventory", "CONFIRMED", [WH], ["sku", "location_id", "snapshot_date"], True)
 def atp_sku_loc_date(w):
-    return w.fact(WH).select("sku", F.col("warehouse_id").alias("location_id"), "snapshot_date", "atp_qty")
+    return w.gold(WH).select("sku", F.col("warehouse_id").alias("location_id"), "snapshot_date", "atp_qty")
 
 
 @view("stockout_rate", "Inventory", "CONFIRMED", [WH], ["snapshot_date"])
 def stockout_rate(w):
-    return w.fact(WH).groupBy("snapshot_date").agg(
+    return w.gold(WH).groupBy("snapshot_date").agg(
         F.count_if(F.col("atp_qty") == 0).alias("stockout_numerator"),
         F.count("*").alias("sku_day_denominator"))
 
@@ -241,14 +241,14 @@ def oversell_count(w):
     """Risky snapshots found and, of those, the ones still promising stock that is not there."""
     hit = has_code("anomaly_reason_code", "ATP_POSITIVE_PHYSICAL_ZERO")
     still = (F.col("atp_qty") > 0) & (F.col("physical_qty") == 0)
-    return w.fact(WH).groupBy("snapshot_date").agg(
+    return w.gold(WH).groupBy("snapshot_date").agg(
         F.count_if(hit).alias("oversell_risk_snapshots"),
         F.count_if(hit & still).alias("unresolved_snapshots"))
 
 
 @view("inventory_accuracy_rate", "Inventory", "CONFIRMED", [SI])
 def inventory_accuracy_rate(w):
-    return w.fact(SI).agg(
+    return w.gold(SI).agg(
         F.count_if(~F.col("anomaly_flag")).alias("accurate_numerator"),
         F.count("*").alias("snapshot_denominator"))
 
@@ -260,7 +260,7 @@ def return_to_restock_cycle_time(w):
         return F.broadcast(w.dim("date").select(
             F.col("date_key").alias(f"{name}_key"), F.col("date_day").alias(f"{name}_day")))
 
-    f = w.fact("return_line").join(
+    f = w.gold("return_line").join(
         role("request"), F.col("request_date_key") == F.col("request_key"), "left"
     ).join(role("receipt"), F.col("receipt_date_key") == F.col("receipt_key"), "left")
     days = F.date_diff(F.col("receipt_day"), F.col("request_day"))
@@ -271,10 +271,10 @@ def return_to_restock_cycle_time(w):
 
 def open_box_resale(w: Warehouse, days: int = 30) -> DataFrame:
     """Open-box returns, and whether the same product was sold in store within the days after."""
-    returned = w.fact("return_line").filter(F.col("restocked_as_condition") == "OPEN_BOX").select(
+    returned = w.gold("return_line").filter(F.col("restocked_as_condition") == "OPEN_BOX").select(
         "return_authorization_id", "product_sku", "receipt_date",
         F.col("receipt_date").cast("timestamp_ntz").alias("at"))
-    sold = w.fact(STORE).select(
+    sold = w.gold(STORE).select(
         F.col("product_code").alias("product_sku"), F.col("txn_date").cast("timestamp_ntz").alias("sold_at"))
     return mark_within(returned, sold, ["product_sku"], "at", "sold_at", days * 86400, "was_resold")
 
@@ -288,7 +288,7 @@ def open_box_conversion_rate(w):
 # ---- online and store --------------------------------------------------------------------------
 def _funnel(w: Warehouse) -> DataFrame:
     code = F.col("event_type_code")
-    return group_flags(w.fact("web_page_event"), ["session_id"], {
+    return group_flags(w.gold("web_page_event"), ["session_id"], {
         "has_cart": code.isin(vocab.CART_EVENTS),
         "has_checkout": code.isin(vocab.CHECKOUT_EVENTS),
         "has_purchase": code.isin(vocab.PURCHASE_EVENTS),
@@ -313,14 +313,14 @@ def checkout_conversion_rate(w):
       ["web_page_event", "web_session", STORE])
 def browse_online_buy_in_store_rate(w, hours: int = 48):
     """Customer and product pairs viewed online, and those bought in a store within the hours after."""
-    who = w.fact("web_session").filter("customer_key is not null").select("session_id", "customer_key")
+    who = w.gold("web_session").filter("customer_key is not null").select("session_id", "customer_key")
     seen = (
-        w.fact("web_page_event").filter("product_key is not null")
+        w.gold("web_page_event").filter("product_key is not null")
         .select("session_id", "product_key", F.col("event_timestamp").cast("date").alias("d")).distinct()
         .join(who, "session_id").select("customer_key", "product_key", "d").distinct()
         .withColumn("at", F.col("d").cast("timestamp_ntz"))
     )
-    bought = w.fact(STORE).filter("customer_key is not null").select(
+    bought = w.gold(STORE).filter("customer_key is not null").select(
         "customer_key", "product_key", F.col("txn_date").cast("timestamp_ntz").alias("bought_at"))
     marked = mark_within(seen, bought, ["customer_key", "product_key"], "at", "bought_at", hours * 3600, "bought")
     return marked.groupBy("customer_key", "product_key").agg(F.bool_or("bought").alias("bought")).agg(
@@ -331,10 +331,10 @@ def browse_online_buy_in_store_rate(w, hours: int = 48):
       ["web_page_event", "web_session", "classified_listing_event"])
 def browse_online_contact_classifieds_rate(w, hours: int = 24):
     """Product-view sessions, and those whose customer contacted a listing within the hours after."""
-    viewed = w.fact("web_page_event").filter("product_key is not null").select("session_id").distinct()
-    sessions = w.fact("web_session").join(viewed, "session_id", "left_semi").select(
+    viewed = w.gold("web_page_event").filter("product_key is not null").select("session_id").distinct()
+    sessions = w.gold("web_session").join(viewed, "session_id", "left_semi").select(
         "session_id", F.col("registered_customer_id").alias("user_ref"), "session_end_ts")
-    contacts = w.fact("classified_listing_event").filter(
+    contacts = w.gold("classified_listing_event").filter(
         F.col("event_type_code").isin(vocab.CONTACT_EVENTS)
     ).select("user_ref", F.col("event_timestamp").alias("contact_at"))
     marked = mark_within(
@@ -347,26 +347,26 @@ def browse_online_contact_classifieds_rate(w, hours: int = 24):
 @view("bopis_pickup_readiness_time", "Ecommerce and store", "CONFIRMED", ["order_fulfilment"])
 def bopis_pickup_readiness_time(w):
     h = F.col("placed_to_captured_hours")
-    return w.fact("order_fulfilment").filter((F.col("delivery_method_code") == "BOPIS") & h.isNotNull()).agg(
+    return w.gold("order_fulfilment").filter((F.col("delivery_method_code") == "BOPIS") & h.isNotNull()).agg(
         F.round(F.sum(h) / F.count("*"), 2).alias("avg_readiness_hours"),
         F.count("*").alias("bopis_orders"))
 
 
 @view("boris_count", "Ecommerce and store", "CONFIRMED", ["return_line"])
 def boris_count(w):
-    return w.fact("return_line").agg(F.count_if("is_boris_return").alias("boris_returns"))
+    return w.gold("return_line").agg(F.count_if("is_boris_return").alias("boris_returns"))
 
 
 @view("on_time_delivery_rate", "Ecommerce and store", "CONFIRMED", ["order_fulfilment"])
 def on_time_delivery_rate(w):
-    return w.fact("order_fulfilment").agg(
+    return w.gold("order_fulfilment").agg(
         F.count_if(F.col("total_lifecycle_hours") <= vocab.ON_TIME_HOURS).alias("on_time_numerator"),
         F.count_if(F.col("delivered_date_key").isNotNull()).alias("delivered_denominator"))
 
 
 @view("payment_failure_rate", "Ecommerce and store", "CONFIRMED", ["order_fulfilment"])
 def payment_failure_rate(w):
-    return w.fact("order_fulfilment").agg(
+    return w.gold("order_fulfilment").agg(
         F.count_if(F.col("captured_date_key").isNull()).alias("failed_numerator"),
         F.count("*").alias("attempts_denominator"))
 
@@ -377,28 +377,28 @@ LS, LE = "classified_listing_snapshot", "classified_listing_event"
 
 @view("active_listing_count", "Classifieds and sellers", "CONFIRMED", [LS])
 def active_listing_count(w):
-    return w.fact(LS).agg(F.count_if(F.col("status_code") == "ACTIVE").alias("active_listings"))
+    return w.gold(LS).agg(F.count_if(F.col("status_code") == "ACTIVE").alias("active_listings"))
 
 
 @view("listing_contact_rate", "Classifieds and sellers", "CONFIRMED", [LE, LS])
 def listing_contact_rate(w):
     contact = F.col("event_type_code").isin([*vocab.CONTACT_EVENTS, "OFFER_MADE"])
-    a = w.fact(LE).agg(F.count_if(contact).alias("contact_numerator"))
-    b = w.fact(LS).agg(F.count_if(F.col("status_code") == "ACTIVE").alias("active_listing_denominator"))
+    a = w.gold(LE).agg(F.count_if(contact).alias("contact_numerator"))
+    b = w.gold(LS).agg(F.count_if(F.col("status_code") == "ACTIVE").alias("active_listing_denominator"))
     return with_one_row(a, b)
 
 
 @view("relisting_rate", "Classifieds and sellers", "CONFIRMED", [LS])
 def relisting_rate(w):
     again = (F.coalesce("relist_count", F.lit(0)) > 0) | has_code("anomaly_reason_code", "RELISTED_AFTER_SOLD")
-    return w.fact(LS).agg(
+    return w.gold(LS).agg(
         F.count_if(again).alias("relisted_numerator"), F.count("*").alias("listing_denominator"))
 
 
 @view("duplicate_listing_inflation_factor", "Classifieds and sellers", "CONFIRMED", [LS])
 def duplicate_listing_inflation_factor(w):
     dup = has_code("anomaly_reason_code", "RELISTED_AFTER_SOLD") | has_code("anomaly_reason_code", "IMAGE_HASH_REUSED")
-    return w.fact(LS).agg(
+    return w.gold(LS).agg(
         F.count("*").alias("total_listings"), F.count_if(~dup).alias("deduplicated_listings"))
 
 
@@ -412,7 +412,7 @@ def seller_risk_score_distribution(w):
 
 @view("validated_report_rate", "Classifieds and sellers", "INFERRED", [LS])
 def validated_report_rate(w):
-    return w.fact(LS).agg(
+    return w.gold(LS).agg(
         F.count_if(has_code("anomaly_reason_code", "IMAGE_HASH_REUSED")).alias("corroborated_numerator"),
         F.count_if("anomaly_flag").alias("flagged_denominator"))
 

@@ -16,10 +16,10 @@ from plumbline.plans.warehouse import Warehouse
 
 def waterfall(w: Warehouse) -> DataFrame:
     """Ordered steps from GSV to NCR with a running total; the last step must equal it."""
-    ec = w.fact(EC).agg(
+    ec = w.gold(EC).agg(
         F.sum("line_subtotal_excl_tax").cast("decimal(30,4)").alias("gross"),
         F.sum("confirmed_revenue_excl_tax").cast("decimal(30,4)").alias("confirmed"))
-    store = w.fact(STORE).agg(
+    store = w.gold(STORE).agg(
         F.sum("gross_amount").cast("decimal(30,4)").alias("s_gross"),
         F.sum("discount_amount").cast("decimal(30,4)").alias("s_disc"),
         F.sum("net_amount").cast("decimal(30,4)").alias("s_net"))
@@ -47,9 +47,9 @@ def assert_ties_out(steps: DataFrame) -> None:
 
 def team_divergence(w: Warehouse) -> DataFrame:
     """What a team counted, what the warehouse confirms, and the difference."""
-    line, listing = w.fact(EC), w.fact(LS)
+    line, listing = w.gold(EC), w.gold(LS)
     sold = (
-        w.fact(LE).filter(F.col("event_type_code") == "SELLER_SOLD").groupBy("listing_id").agg(
+        w.gold(LE).filter(F.col("event_type_code") == "SELLER_SOLD").groupBy("listing_id").agg(
             F.count("*").alias("n"))
         .join(listing.select("listing_id", "asking_price"), "listing_id")
         .agg(F.sum(F.col("n") * F.col("asking_price")).cast("double").alias("raw"))
@@ -62,13 +62,13 @@ def team_divergence(w: Warehouse) -> DataFrame:
 
     sales = line.agg(F.sum("line_subtotal_excl_tax").alias("g"), F.sum("confirmed_revenue_excl_tax").alias("c"))
     both = with_one_row(sales, sold)
-    cases = w.fact("customer_complaint").agg(
+    cases = w.gold("customer_complaint").agg(
         F.count("*").alias("n"), F.countDistinct("canonical_case_key").alias("d"))
-    pickups = w.fact("order_fulfilment").agg(
+    pickups = w.gold("order_fulfilment").agg(
         F.count_if(F.col("order_status") == "DELIVERED").alias("n"),
         F.count_if((F.col("order_status") == "DELIVERED")
                    & ~has_code("anomaly_reason_code", "BOPIS_NO_PICKUP_EVENT")).alias("d"))
-    stock = w.fact(WH).agg(
+    stock = w.gold(WH).agg(
         F.count_if(F.col("physical_qty") > 0).alias("d"),
         F.count_if((F.col("atp_qty") > 0) | has_code("anomaly_reason_code", "ATP_POSITIVE_PHYSICAL_ZERO")).alias("n"))
     dup = listing.agg(
@@ -114,7 +114,7 @@ def decision_sensitivity(w: Warehouse) -> DataFrame:
                  F.round("with_alternative", 2).alias("with_alternative"),
                  F.round(F.col("with_decision") - F.col("with_alternative"), 2).alias("difference"))
 
-    line = w.fact(EC)
+    line = w.gold(EC)
     c = F.col("confirmed_revenue_excl_tax")
     rule = F.col("attribution_rule")
     refund = w.resolved("rr_refund_events")
@@ -143,7 +143,7 @@ def decision_sensitivity(w: Warehouse) -> DataFrame:
 def funnel_by_phase(w: Warehouse) -> DataFrame:
     """Sessions and events per funnel stage and phase."""
     step = w.dim("step").select("step_key", "step_code", "sequence_number")
-    pe = with_phase(w, w.fact("web_page_event").select("session_id", "date_key", "step_key"))
+    pe = with_phase(w, w.gold("web_page_event").select("session_id", "date_key", "step_key"))
     return (
         pe.groupBy("step_key", "campaign_phase", "session_id").agg(F.count("*").alias("n"))
         .groupBy("step_key", "campaign_phase")
@@ -173,7 +173,7 @@ def kpi_catalogue(w: Warehouse) -> DataFrame:
               "is_semi_additive boolean, source_table string")
     used = sorted({f for v in VIEWS.values() for f in v.facts})
     sizes = union_all([
-        (w.dim("seller") if t == "dim_seller" else w.fact(t)).agg(F.count("*").alias("source_rows"))
+        (w.dim("seller") if t == "dim_seller" else w.gold(t)).agg(F.count("*").alias("source_rows"))
         .select(F.lit(t).alias("source_table"), "source_rows")
         for t in used
     ])
@@ -198,7 +198,7 @@ def bus_matrix(w: Warehouse) -> DataFrame:
 def linked_tables(w: Warehouse) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Facts and dimensions that take part in a declared link."""
     return (
-        {f: w.fact(f) for f in dict.fromkeys(f for f, *_ in facts.LINKS)},
+        {f: w.gold(f) for f in dict.fromkeys(f for f, *_ in facts.LINKS)},
         {d: w.dim(d) for d in dict.fromkeys(d for _, _, d, _ in facts.LINKS)},
     )
 
@@ -208,7 +208,7 @@ def campaign_rules(w: Warehouse) -> DataFrame:
     eligible product in the window."""
     first, last = (F.lit(d).cast("date") for d in w.campaign.window)
     eligible = w.source("pc_products").filter(F.col("category") == "PROMO").select("sku")
-    f = mark_exists(w.fact(EC), eligible, {"product_sku": "sku"}, "eligible")
+    f = mark_exists(w.gold(EC), eligible, {"product_sku": "sku"}, "eligible")
     pickup = F.col("store_key").isNotNull() & F.col("order_date").between(first, last) & F.col("eligible")
     promo = F.when(F.col("attribution_rule") == "PROMO_CODE", F.col("attribution_rule"))
     rule = attribution_rule(promo, F.col("is_campaign_attributed"), pickup)

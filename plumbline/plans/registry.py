@@ -330,7 +330,7 @@ def bracket_join(w):
 @query
 def role_playing_dates(w):
     """Orders by the phase they were placed in and the phase they were delivered in."""
-    f = w.fact("order_fulfilment").select("placed_date_key", "delivered_date_key")
+    f = w.gold("order_fulfilment").select("placed_date_key", "delivered_date_key")
     placed = marts.with_phase(w, f, "placed_date_key").withColumnRenamed("campaign_phase", "placed_phase")
     both = marts.with_phase(w, placed, "delivered_date_key").withColumnRenamed("campaign_phase", "delivered_phase")
     return both.groupBy("placed_phase", "delivered_phase").agg(F.count("*").alias("orders"))
@@ -1130,7 +1130,7 @@ SMALL_FACTS = ["ecommerce_order_line", "order_fulfilment", "store_inventory_snap
 
 @query
 def check_completeness(w):
-    return checks.completeness({**{f"dim_{d}": w.dim(d) for d in DIM_KEYS}, **{f"fact_{f}": w.fact(f) for f in SMALL_FACTS}})
+    return checks.completeness({**{f"dim_{d}": w.dim(d) for d in DIM_KEYS}, **{f"fact_{f}": w.gold(f) for f in SMALL_FACTS}})
 
 
 @query
@@ -1140,19 +1140,19 @@ def check_referential_integrity(w):
 
 @query
 def check_grain(w):
-    return checks.grain_violations({f: (w.fact(f), facts.GRAIN[f]) for f in SMALL_FACTS})
+    return checks.grain_violations({f: (w.gold(f), facts.GRAIN[f]) for f in SMALL_FACTS})
 
 
 @query
 def check_additive_identity(w):
     return checks.broken_identity(
-        w.fact("store_sale_line"), F.col("net_amount"), F.col("gross_amount") - F.col("discount_amount"), vocab.ADDITIVE_TOLERANCE)
+        w.gold("store_sale_line"), F.col("net_amount"), F.col("gross_amount") - F.col("discount_amount"), vocab.ADDITIVE_TOLERANCE)
 
 
 @query
 def check_semi_additive(w):
     """Stock summed over places on each date, through the guard; summing over dates is refused."""
-    f = w.fact("warehouse_inventory_snapshot")
+    f = w.gold("warehouse_inventory_snapshot")
     refused = 0
     try:
         aggregates.aggregate(f, ["sku"], ["atp_qty"])
@@ -1164,16 +1164,16 @@ def check_semi_additive(w):
 
 @query
 def check_certainty_complete(w):
-    return checks.null_certainty({f: w.fact(f) for f in SMALL_FACTS})
+    return checks.null_certainty({f: w.gold(f) for f in SMALL_FACTS})
 
 
 def _coverage(w):
     return checks.window_coverage({
-        "ecommerce_order_line": (w.fact("ecommerce_order_line"), "date_key"),
-        "order_fulfilment": (w.fact("order_fulfilment"), "placed_date_key"),
-        "store_inventory_snapshot": (w.fact("store_inventory_snapshot"), "date_key"),
-        "web_session": (w.fact("web_session"), "date_key"),
-        "store_sale_line": (w.fact("store_sale_line"), "date_key"),
+        "ecommerce_order_line": (w.gold("ecommerce_order_line"), "date_key"),
+        "order_fulfilment": (w.gold("order_fulfilment"), "placed_date_key"),
+        "store_inventory_snapshot": (w.gold("store_inventory_snapshot"), "date_key"),
+        "web_session": (w.gold("web_session"), "date_key"),
+        "store_sale_line": (w.gold("store_sale_line"), "date_key"),
     }, w.dim("date"), w.campaign.window)
 
 
@@ -1182,7 +1182,7 @@ add("check_campaign_coverage", _coverage)
 
 @query
 def check_stock_balance(w):
-    return checks.stock_balance(w.fact("store_inventory_snapshot"), w.fact("inventory_transaction"), w.campaign.window)
+    return checks.stock_balance(w.gold("store_inventory_snapshot"), w.gold("inventory_transaction"), w.campaign.window)
 
 
 @query
@@ -1194,14 +1194,14 @@ def check_certainty_segregation(w):
 
 @query
 def check_temporal_order(w):
-    return checks.uncorrected_delivery(w.fact("order_fulfilment"), vocab.REVIEW_BEYOND_HOURS)
+    return checks.uncorrected_delivery(w.gold("order_fulfilment"), vocab.REVIEW_BEYOND_HOURS)
 
 
 @query
 def validation_report(w):
     """All checks as one table of offenders and verdicts."""
-    f = {"ecommerce_order_line": w.fact("ecommerce_order_line"), "store_sale_line": w.fact("store_sale_line"),
-         "warehouse_inventory_snapshot": w.fact("warehouse_inventory_snapshot")}
+    f = {"ecommerce_order_line": w.gold("ecommerce_order_line"), "store_sale_line": w.gold("store_sale_line"),
+         "warehouse_inventory_snapshot": w.gold("warehouse_inventory_snapshot")}
     n = F.col
     return checks.suite({
         "completeness": (checks.completeness(f), F.when(n("row_count") == 0, 1).otherwise(0), True),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline import vocab
 from plumbline.functions.text import edit_similarity, token_sorted
 from plumbline.operators import commerce
-from plumbline.operators.joins import mark_exists
+from plumbline.operators.joins import left_join_spread, mark_exists
 from plumbline.operators.matching import best_match, match_tier
 from plumbline.functions.exprs import has_code, with_one_row
 from plumbline.operators.quality import Correction, Rule, flag, union_all
@@ -199,9 +199,9 @@ def title_mismatch(below: float = 0.5) -> Correction:
 
 def prepare_seller_listings(listings: DataFrame, catalogue: DataFrame) -> DataFrame:
     names = catalogue.select(
-        F.col("sku").alias("catalogue_sku_ref"), F.col("product_name").alias("canonical_title")
+        F.col("sku").alias("__ref"), F.col("product_name").alias("canonical_title")
     )
-    return listings.drop("canonical_title").join(names, "catalogue_sku_ref", "left")
+    return left_join_spread(listings.drop("canonical_title"), names, ["catalogue_sku_ref"], ["__ref"])
 
 
 def relisted_after_sold() -> Correction:

@@ -14,7 +14,7 @@ from plumbline.operators.matching import product_master
 from plumbline.operators.quality import Correction, resolve
 from plumbline.plans import dims, facts, resolution as r
 from plumbline.plans.silver import clean
-from plumbline.sources.raw import materialise
+from plumbline.sources.raw import materialise, write_table
 from plumbline.sources.retail import CAMPAIGN_TAG, SOURCES, Given
 
 # the order data's campaign year
@@ -88,6 +88,21 @@ class Warehouse:
     def fact(self, t: str) -> DataFrame:
         return self._get(f"fact.{t}", lambda: FACTS[t](self))
 
+    def gold(self, t: str) -> DataFrame:
+        """The fact as written. It is built once; checks, views and reports read it from there."""
+        return self._get(f"gold.{t}", lambda: materialise(self.fact(t), f"gold_{t}"))
+
+    def write(self, path: str) -> Warehouse:
+        """Write the corrected tables and the facts under a path; a warehouse that reads them there."""
+        found: dict[str, DataFrame] = {}
+        for layer, names, get in (("resolved", RESOLVED, self.resolved), ("fact", FACTS, self.fact)):
+            for t in names:
+                place = f"{path.rstrip('/')}/{layer}/{t}"
+                write_table(get(t), place)
+                found[f"{layer}.{t}"] = self.spark.read.schema(get(t).schema).parquet(place)
+        found |= {f"gold.{t}": found[f"fact.{t}"] for t in FACTS}
+        return Warehouse(self.spark, self.given.folder, found)
+
     # ---- derived tables between the layers -------------------------------------------------------
     def snapshot_spine(self) -> DataFrame:
         """Every store and product with every day of the observed period."""
