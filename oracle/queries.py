@@ -591,12 +591,14 @@ SELECT b.store_id, b.product_code, b.q1 AS opening_qty, b.q2 AS closing_qty, coa
 FROM (SELECT store_id, product_code, min(snapshot_date) AS d1, max(snapshot_date) AS d2, arg_min(physical_qty, snapshot_date) AS q1, arg_max(physical_qty, snapshot_date) AS q2
   FROM f_si WHERE snapshot_date {_WIN} GROUP BY 1, 2) b LEFT JOIN si_moves m ON m.store_id = b.store_id AND m.product_code = b.product_code GROUP BY ALL"""
 O["check_stock_balance"] = "SELECT * FROM balance WHERE observed_change <> net_movement"
-O["check_certainty_segregation"] = union(f"SELECT '{v}' AS finance_view, 0::BIGINT AS bad_rows" for v in ["confirmed_gmv", "gsv", "ncr", "estimated_classified_gmv"])
-O["check_temporal_order"] = """SELECT count_if(picked_to_delivered_hours < 0 AND abs(picked_to_delivered_hours) <= 72 AND metric_certainty_level <> 'UNRELIABLE') AS uncorrected_violations FROM f_fulfil"""
+O["check_certainty_segregation"] = """SELECT 'ecommerce_order_line' AS fact, count_if(metric_certainty_level = 'ESTIMATED' AND confirmed <> 0) AS bad_rows FROM f_line
+UNION ALL SELECT 'store_sale_line', 0 UNION ALL SELECT 'classified_listing_event', count_if(metric_certainty_level <> 'ESTIMATED') FROM r_listing_events WHERE code <> 'VIEW'"""
+O["check_temporal_order"] = """SELECT count_if(picked_to_delivered_hours < 0 AND abs(picked_to_delivered_hours) <= 72) AS uncorrected_violations FROM f_fulfil"""
 _CHECKS = {
     "completeness": "0", "grain": "0", "additive_identity": "(SELECT count_if(abs(net - (gross - discount)) > 0.01) FROM f_sale)", "certainty_complete": "0",
     "campaign_coverage": "(SELECT count(*) FROM (" + O["check_campaign_coverage"] + ") WHERE rows_in_window = 0)",
-    "stock_balance": "(SELECT count(*) FROM balance WHERE observed_change <> net_movement)", "certainty_segregation": "0",
+    "stock_balance": "(SELECT count(*) FROM balance WHERE observed_change <> net_movement)", "certainty_segregation": "(SELECT sum(bad_rows) FROM (" + O["check_certainty_segregation"] + "))",
+    "referential_integrity": "(SELECT sum(orphan_rows) FROM (" + O["check_referential_integrity"] + "))",
     "temporal_order": "(" + O["check_temporal_order"] + ")", "semi_additive_views": "0",
 }
 O["validation_report"] = union(f"SELECT 'run-1' AS run_id, '{n}' AS check_name, {s}::BIGINT AS offenders, {s} = 0 AS passed" for n, s in _CHECKS.items())

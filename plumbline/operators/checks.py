@@ -139,14 +139,14 @@ def stock_balance(
 
 
 def certainty_segregation(views: dict[str, DataFrame], estimated: dict[str, DataFrame]) -> DataFrame:
-    """Estimated rows counted as confirmed, and rows of estimated views that are not estimated."""
+    """Fact rows whose confirmed revenue is only estimated, and rows behind an estimate that are not
+    marked so. views: fact rows with the column `confirmed`, the amount a finance view takes from them."""
     est = F.col("metric_certainty_level") == "ESTIMATED"
     parts = [
-        df.agg(F.count_if(est & F.col("is_confirmed_transaction")).alias("bad_rows"))
-        .select(F.lit(n).alias("finance_view"), "bad_rows")
+        df.agg(F.count_if(est & (F.col("confirmed") != 0)).alias("bad_rows")).select(F.lit(n).alias("fact"), "bad_rows")
         for n, df in views.items()
     ] + [
-        df.agg(F.count_if(~est).alias("bad_rows")).select(F.lit(n).alias("finance_view"), "bad_rows")
+        df.agg(F.count_if(~est).alias("bad_rows")).select(F.lit(n).alias("fact"), "bad_rows")
         for n, df in estimated.items()
     ]
     return union_all(parts)
@@ -156,7 +156,7 @@ def uncorrected_delivery(fulfilment: DataFrame, hours: int) -> DataFrame:
     h = F.col("picked_to_delivered_hours")
     return fulfilment.agg(
         F.count_if(
-            (h < 0) & (F.abs(h) <= hours) & (F.col("metric_certainty_level") != "UNRELIABLE")
+            (h < 0) & (F.abs(h) <= hours)
         ).alias("uncorrected_violations")
     )
 

@@ -1187,9 +1187,11 @@ def check_stock_balance(w):
 
 @query
 def check_certainty_segregation(w):
+    """The fact rows behind the finance views and behind the estimate."""
     return checks.certainty_segregation(
-        {n: marts.kpi(w, n) for n in ["confirmed_gmv", "gsv", "ncr"]},
-        {"estimated_classified_gmv": marts.kpi(w, "estimated_classified_gmv")})
+        {"ecommerce_order_line": w.gold("ecommerce_order_line").withColumn("confirmed", F.col("confirmed_revenue_excl_tax")),
+         "store_sale_line": w.gold("store_sale_line").withColumn("confirmed", F.col("net_amount"))},
+        {"classified_listing_event": w.gold("classified_listing_event").filter(F.col("event_type_code").isin(list(vocab.SIGNAL_WEIGHTS)))})
 
 
 @query
@@ -1200,12 +1202,12 @@ def check_temporal_order(w):
 @query
 def validation_report(w):
     """All checks as one table of offenders and verdicts."""
-    f = {"ecommerce_order_line": w.gold("ecommerce_order_line"), "store_sale_line": w.gold("store_sale_line"),
-         "warehouse_inventory_snapshot": w.gold("warehouse_inventory_snapshot")}
+    f = {t: w.gold(t) for t in SMALL_FACTS}
     n = F.col
     return checks.suite({
         "completeness": (checks.completeness(f), F.when(n("row_count") == 0, 1).otherwise(0), True),
         "grain": (checks.grain_violations({k: (v, facts.GRAIN[k]) for k, v in f.items()}), n("dup_groups"), True),
+        "referential_integrity": (check_referential_integrity(w), n("orphan_rows"), True),
         "additive_identity": (check_additive_identity(w), n("broken_rows"), True),
         "certainty_complete": (checks.null_certainty(f), n("null_certainty"), True),
         "campaign_coverage": (_coverage(w), F.when(n("rows_in_window") == 0, 1).otherwise(0), True),
