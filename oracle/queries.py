@@ -43,7 +43,8 @@ O["optional_column_resolution"] = "SELECT event_id, NULL::VARCHAR AS page_catego
 O["lookup_pass_through"] = f"""SELECT lookup, code, sha256(code) AS lookup_key, {CLEAN} FROM (
 SELECT DISTINCT 'ec_order_status_codes' AS lookup, st AS code FROM od UNION ALL SELECT DISTINCT 'ec_delivery_methods', method FROM od
 UNION ALL SELECT DISTINCT 'pg_instrument_types', instrument FROM od UNION ALL SELECT 'pos_stores', 'ST-' || n_nationkey FROM nation
-UNION ALL SELECT DISTINCT 'rr_return_reasons', reason FROM returned UNION ALL SELECT DISTINCT 'ws_event_types', code FROM page_events)"""
+UNION ALL SELECT DISTINCT 'rr_return_reasons', reason FROM returned UNION ALL SELECT DISTINCT 'ws_event_types', code FROM page_events
+UNION ALL SELECT DISTINCT 'dc_carriers', 'CR-' || (o_custkey % 5) FROM od UNION ALL SELECT DISTINCT 'dc_event_types', code FROM dc_events)"""
 
 
 def silver(name: str, cols: str, key: tuple[str, ...], src: str, q: str = CLEAN) -> None:
@@ -374,25 +375,6 @@ O["resolved_nl_listing_events"] = f"SELECT event_id, {Q}, {A} FROM r_listing_eve
 O["resolved_rr_return_receipts"] = f"SELECT receipt_id, restocked_qty, restocked_as_condition, {Q}, {A} FROM r_receipts"
 
 
-def _ba(name: str, code: str, table: str, hit: str, amount: str) -> str:
-    return f"SELECT '{name}' AS anomaly, '{code}' AS reason_code, count_if({hit}) AS detected_rows, 0::BIGINT AS unresolved_rows, {amount} AS impact FROM {table}"
-
-
-_NO = "NULL::DOUBLE"
-O["anomaly_before_after"] = union([
-    _ba("cancelled_revenue", "CANCELLED_WITH_REVENUE", "ec_hits", "a1", "(sum(subtotal) FILTER (a1))::DOUBLE"),
-    _ba("payment_after_cancel", "PAYMENT_AFTER_CANCEL", "pg_hits", "a2", "(sum(amount) FILTER (a2))::DOUBLE"),
-    _ba("tax_basis", "TAX_INCLUSION_MISMATCH", "pos_lines", "true", "sum(tax_amt)::DOUBLE"),
-    _ba("promised_without_stock", "ATP_POSITIVE_PHYSICAL_ZERO", "wh_snaps", "atp_qty > 0 AND physical_qty = 0", _NO),
-    _ba("negative_stock", "NEGATIVE_QTY", "si_snaps", "physical_qty < 5", _NO),
-    _ba("restock_before_inspection", "RESTOCK_BEFORE_INSPECTION", "rc_hits", "a7", _NO),
-    _ba("open_box_as_new", "OPEN_BOX_AS_NEW", "rc_hits", "a10", _NO),
-    _ba("review_before_delivery", "REVIEW_BEFORE_DELIVERY", "reviews", "days_post_delivery < 0", _NO),
-    _ba("duplicate_cases", "DUPLICATE_CASE", "cases", "dup", _NO),
-    _ba("cross_period_refunds", "REFUND_PARTIAL_PERIOD_AMBIGUITY", "rf_hits", "b2", "(sum(refund_amount) FILTER (b2))::DOUBLE"),
-    _ba("null_reference_movements", "MOVEMENT_NULL_REF", "r_wh_moves", "b3", "(sum(quantity_change) FILTER (b3))::DOUBLE"),
-])
-
 # ---- reports over every corrected table --------------------------------------------------------
 RESOLVED = {
     "ec_orders": "r_ec_orders", "pg_transactions": f"({O['resolve_payment_after_cancel']})", "pos_transaction_lines": f"({O['resolve_tax_basis']})", "nl_listing_events": "r_listing_events",
@@ -448,6 +430,40 @@ _CODES = """(VALUES ('DATE_PARSE_FAIL', 'FLAGGED_ANOMALY', 'UNRELIABLE'),
 O["registry_of_codes"] = f"""SELECT p.reason_code, sum(row_count)::BIGINT AS rows, c.default_status, c.default_certainty
 FROM ({O["anomaly_profile"]}) p LEFT JOIN {_CODES} USING (reason_code) WHERE p.reason_code IS NOT NULL GROUP BY ALL"""
 
+# anomaly: corrected table, code, methods of its own
+ANOMALIES = {
+    "cancelled_revenue": ("ec_orders", "CANCELLED_WITH_REVENUE", "ZEROED_CANCELLED_REVENUE"), "payment_after_cancel": ("pg_transactions", "PAYMENT_AFTER_CANCEL", "FLAGGED_REVERSAL_REQUIRED"),
+    "tax_basis": ("pos_transaction_lines", "TAX_INCLUSION_MISMATCH", "NORMALISED_TAX_EXCLUSIVE"), "seller_marked_sold": ("nl_listing_events", "NL_SELLER_SOLD_AS_REVENUE", "RELABELLED_ESTIMATED_GMV"),
+    "promised_without_stock": ("wh_inventory_snapshots", "ATP_POSITIVE_PHYSICAL_ZERO", "CORRECTED_ATP_TO_ZERO"), "negative_stock": ("si_inventory_snapshots", "NEGATIVE_QTY", "CORRECTED_ATP_TO_ZERO"),
+    "restock_before_inspection": ("rr_return_receipts", "RESTOCK_BEFORE_INSPECTION", "ZEROED_RESTOCK_PRE_INSPECTION"),
+    "missing_snapshot_days": ("reconstructed_snapshots", "MISSING_SNAPSHOT_DAY", "RECONSTRUCTED_SNAPSHOT"), "title_mismatch": ("ts_seller_listings", "SKU_PRODUCT_MISMATCH", "APPLIED_CANONICAL_PRODUCT"),
+    "open_box_as_new": ("rr_return_receipts", "OPEN_BOX_AS_NEW", "CORRECTED_CONDITION_OPEN_BOX"), "placeholder_customer": ("ec_orders", "PLACEHOLDER_ID_COLLISION", "REKEYED_GUEST_BUCKET"),
+    "relisted_after_sold": ("nl_listings", "RELISTED_AFTER_SOLD", "LINKED_RELISTING_EXCLUDED"), "picture_rings": ("nl_listings", "IMAGE_HASH_REUSED", "FLAGGED_FRAUD_RING"),
+    "delivered_before_pickup": ("dc_delivery_events", "DELIVERY_BEFORE_SHIP", "CORRECTED_DELIVERY_TS,ESCALATED_MANUAL_REVIEW"),
+    "review_before_delivery": ("rv_reviews", "REVIEW_BEFORE_DELIVERY", "SET_VERIFIED_PURCHASE_FALSE"), "duplicate_cases": ("cs_cases", "DUPLICATE_CASE", "DEDUPED_CANONICAL_CASE"),
+    "session_attribution": ("ec_orders", "ATTRIBUTION_SESSION_BRIDGE", "B_DECISION_APPLIED"), "cross_period_refunds": ("rr_refund_events", "REFUND_PARTIAL_PERIOD_AMBIGUITY", "B_DECISION_APPLIED"),
+    "null_reference_movements": ("wh_inventory_movements", "MOVEMENT_NULL_REF", "B_DECISION_APPLIED"), "listing_match_tiers": ("nl_listings", None, "B_DECISION_APPLIED"),
+    "ambiguous_identities": ("identities", "IDENTITY_AMBIGUOUS", "B_DECISION_APPLIED"), "value_signals": ("nl_listing_events", "ESTIMATED_NL_GMV", "B_DECISION_APPLIED"),
+    "uncollected_pickups": ("ec_orders", "BOPIS_NO_PICKUP_EVENT", "B_DECISION_APPLIED"), "high_risk_sellers": ("ts_sellers", "SELLER_HIGH_RISK", "B_DECISION_APPLIED"),
+}
+_STAKE = {
+    "cancelled_revenue": "(SELECT sum(subtotal) FROM ec_hits WHERE a1)", "payment_after_cancel": "(SELECT sum(amount) FROM pg_hits WHERE a2)", "tax_basis": "(SELECT sum(tax_amt) FROM pos_lines)",
+    "cross_period_refunds": "(SELECT sum(refund_amount) FROM rf_hits WHERE b2)", "null_reference_movements": "(SELECT sum(quantity_change) FROM r_wh_moves WHERE b3)",
+}
+
+
+def _before_after(name: str) -> str:
+    table, code, methods = ANOMALIES[name]
+    known = f"coalesce(list_contains(string_split(anomaly_reason_code, ','), '{code}'), false)" if code else "b_classification IS NOT NULL"
+    own = [f"coalesce(list_contains(string_split(resolution_method, ','), '{m}'), false)" for m in methods.split(",")]
+    done = f"({known} AND ({' OR '.join(own)}))"
+    used = ", ".join(f"CASE WHEN bool_or({known} AND {o}) THEN '{m}' END" for o, m in zip(own, methods.split(",")))
+    return (f"SELECT '{name}' AS anomaly, {f"'{code}'" if code else 'NULL::VARCHAR'} AS reason_code, count_if({done}) AS corrected_rows, count_if({known} AND NOT {done}) AS flagged_only_rows, "
+            f"nullif(concat_ws(',', {used}), '') AS methods, {_STAKE.get(name, 'NULL')}::DOUBLE AS impact FROM {RESOLVED[table]}")
+
+
+O["anomaly_before_after"] = union(map(_before_after, ANOMALIES))
+
 
 # ---- dimensions --------------------------------------------------------------------------------
 def dim(name: str, cols: str, src: str) -> None:

@@ -153,7 +153,7 @@ def lookup_pass_through(w):
         w.silver(t).select(F.lit(t).alias("lookup"), F.col(SILVER[t].key[0]).alias("code"),
                            F.col(f"{t}_sk").alias("lookup_key"), *QUALITY)
         for t in ["ec_order_status_codes", "ec_delivery_methods", "pg_instrument_types", "pos_stores",
-                  "rr_return_reasons", "ws_event_types"]
+                  "rr_return_reasons", "ws_event_types", "dc_carriers", "dc_event_types"]
     ])
 
 
@@ -1018,20 +1018,15 @@ for _t, _cols in {
 
 @query
 def anomaly_before_after(w):
+    """All catalogued anomalies."""
+    orders = w.resolved("ec_orders").join(w.source("ec_orders").select("order_id", F.col("subtotal_excl_tax").alias("was")), "order_id")
+    at_stake = {
+        "cancelled_revenue": "was", "payment_after_cancel": "amount", "tax_basis": "tax_amount", "cross_period_refunds": "refund_amount",
+        "null_reference_movements": "quantity_change",
+    }
     return r.before_after([
-        ("cancelled_revenue", "CANCELLED_WITH_REVENUE", w.resolved("ec_orders").join(
-            w.source("ec_orders").select("order_id", F.col("subtotal_excl_tax").alias("was")), "order_id"), F.col("was")),
-        ("payment_after_cancel", "PAYMENT_AFTER_CANCEL", w.resolved("pg_transactions"), F.col("amount")),
-        ("tax_basis", "TAX_INCLUSION_MISMATCH", w.resolved("pos_transaction_lines"), F.col("tax_amount")),
-        ("promised_without_stock", "ATP_POSITIVE_PHYSICAL_ZERO", w.resolved("wh_inventory_snapshots"), None),
-        ("negative_stock", "NEGATIVE_QTY", w.resolved("si_inventory_snapshots"), None),
-        ("restock_before_inspection", "RESTOCK_BEFORE_INSPECTION", w.resolved("rr_return_receipts"), None),
-        ("open_box_as_new", "OPEN_BOX_AS_NEW", w.resolved("rr_return_receipts"), None),
-        ("review_before_delivery", "REVIEW_BEFORE_DELIVERY", w.resolved("rv_reviews"), None),
-        ("duplicate_cases", "DUPLICATE_CASE", w.resolved("cs_cases"), None),
-        ("cross_period_refunds", "REFUND_PARTIAL_PERIOD_AMBIGUITY", w.resolved("rr_refund_events"), F.col("refund_amount")),
-        ("null_reference_movements", "MOVEMENT_NULL_REF", w.resolved("wh_inventory_movements"), F.col("quantity_change")),
-    ])
+        (name, make(w), orders if table == "ec_orders" else w.resolved(table), F.col(at_stake[name]) if name in at_stake else None)
+        for name, (table, make, _) in RULES.items()])
 
 
 # ---- dimensions --------------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from plumbline.functions.text import edit_similarity, token_sorted
 from plumbline.operators import commerce
 from plumbline.operators.joins import left_join_spread, mark_exists
 from plumbline.operators.matching import best_match, match_tier
-from plumbline.functions.exprs import has_code, with_one_row
+from plumbline.functions.exprs import has_code, holds, with_one_row
 from plumbline.operators.quality import Correction, Rule, flag, union_all
 from plumbline.plans.silver import SILVER
 
@@ -312,20 +312,26 @@ def prepare_sellers(sellers: DataFrame, trust: DataFrame) -> DataFrame:
 
 
 # ---- before and after --------------------------------------------------------------------------
-def before_after(entries: list[tuple[str, str, DataFrame, Column, Column | None]]) -> DataFrame:
-    """Per anomaly: rows hit, rows resolved, methods used, and the amount at stake.
+def before_after(entries: list[tuple[str, Correction, DataFrame, Column | None]]) -> DataFrame:
+    """Per anomaly: rows corrected, rows that carry its code but were not, methods used, amount at stake.
 
-    An entry is (name, code, resolved table, amount before the fix or null).
+    An entry is (name, correction, corrected table, amount before the fix or null). A decision without
+    a code of its own is told by its classification.
     """
     parts = []
-    for name, code, df, amount in entries:
-        hit = has_code("anomaly_reason_code", code)
-        value = F.lit(None).cast("double") if amount is None else F.sum(F.when(hit, amount)).cast("double")
+    for name, c, df, amount in entries:
+        own = [m for _, m in c.methods()]
+        known = has_code("anomaly_reason_code", c.code) if c.code else F.col("b_classification").isNotNull()
+        by = F.array_intersect(F.split("resolution_method", ","), F.array(*map(F.lit, own)))
+        corrected = known & holds(F.size(by) > 0)
+        value = F.lit(None).cast("double") if amount is None else F.sum(F.when(corrected, amount)).cast("double")
+        used = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(corrected, by)))))  # a few names
         parts.append(
             df.agg(
-                F.count_if(hit).alias("detected_rows"),
-                F.count_if(hit & ~F.col("resolution_applied")).alias("unresolved_rows"),
+                F.count_if(corrected).alias("corrected_rows"),
+                F.count_if(known & ~corrected).alias("flagged_only_rows"),
+                F.nullif(F.array_join(used, ","), F.lit("")).alias("methods"),
                 value.alias("impact"),
-            ).select(F.lit(name).alias("anomaly"), F.lit(code).alias("reason_code"), "*")
+            ).select(F.lit(name).alias("anomaly"), F.lit(c.code).alias("reason_code"), "*")
         )
     return union_all(parts)

@@ -37,6 +37,8 @@ SILVER: dict[str, Spec] = {
     "pos_stores": Spec(["store_id"]),
     "rr_return_reasons": Spec(["reason_code"]),
     "ws_event_types": Spec(["event_type_code"]),
+    "dc_carriers": Spec(["carrier_code"]),
+    "dc_event_types": Spec(["event_type_code"]),
     "pc_products": Spec(["sku"], rules=lambda: universal_rules(amounts=["list_price"], required=["product_name"])),
     # orders, payments, store sales
     "ec_orders": Spec(["order_id"], {"order_date": "iso_date", "created_at": "iso_timestamp"},

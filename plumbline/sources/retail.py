@@ -397,6 +397,14 @@ def ws_sessions(g: Given) -> DataFrame:
     )
 
 
+def dc_carriers(g: Given) -> DataFrame:
+    return dc_shipments(g).select("carrier_code").distinct()
+
+
+def dc_event_types(g: Given) -> DataFrame:
+    return dc_delivery_events(g).select("event_type_code").distinct()
+
+
 def ws_event_types(g: Given) -> DataFrame:
     return ws_page_events(g).select("event_type_code").distinct()
 
@@ -640,7 +648,7 @@ SOURCES = {
     for f in [
         ec_orders, ec_order_lines, ec_order_status_history, ec_order_status_codes,
         ec_delivery_methods, pg_transactions, pg_instrument_types, pos_stores, pos_transactions,
-        pos_transaction_lines, dc_shipments, dc_delivery_events, rr_return_requests,
+        pos_transaction_lines, dc_shipments, dc_delivery_events, dc_carriers, dc_event_types, rr_return_requests,
         rr_return_receipts, rr_refund_events, rr_return_reasons, si_inventory_snapshots,
         si_inventory_movements, wh_inventory_snapshots, wh_inventory_movements, ws_page_events,
         ws_sessions, ws_event_types, nl_listings, nl_listing_events, nl_user_accounts, pc_products,
