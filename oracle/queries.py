@@ -572,10 +572,18 @@ _LINKS = [
     ("ecommerce_order_line", "delivery_method_key", "delivery_method", "(SELECT l.*, e.delivery_method_code FROM f_line l LEFT JOIN ec_orders e USING (order_id))", "delivery_method_code", "SELECT method FROM od"),
     ("ecommerce_order_line", "promotion_key", "promotion", "(SELECT l.*, e.promo_code_applied FROM f_line l LEFT JOIN ec_orders e USING (order_id))", "promo_code_applied", _PROMO),
     ("ecommerce_order_line", "store_key", "store", "f_line", "pickup_store_id", "SELECT 'ST-' || n_nationkey FROM nation"),
-    ("order_fulfilment", "placed_date_key", "date", "f_fulfil", "order_date", _DAY), ("order_fulfilment", "delivered_date_key", "date", "f_fulfil", "delivered_date_key", "SELECT date_key FROM d_date"),
+    ("order_fulfilment", "placed_date_key", "date", "f_fulfil", "order_date", _DAY), *(("order_fulfilment", f"{k}_date_key", "date", "f_fulfil", f"{k}_date_key", "SELECT date_key FROM d_date") for k in ("captured", "shipped", "delivered", "returned")),
     ("order_fulfilment", "customer_key", "customer", "f_fulfil", "customer_id", _CUST),
     ("store_inventory_snapshot", "date_key", "date", "f_si", "snapshot_date", _DAY), ("store_inventory_snapshot", "product_key", "product", "f_si", "product_code", _PROD),
     ("store_inventory_snapshot", "store_key", "store", "f_si", "store_id", "SELECT 'ST-' || n_nationkey FROM nation"),
+    ("warehouse_inventory_snapshot", "date_key", "date", "wh_snaps", "snapshot_date", _DAY), ("warehouse_inventory_snapshot", "product_key", "product", "wh_snaps", "sku", _PROD),
+    ("classified_listing_snapshot", "date_key", "date", "listings", "created::DATE", _DAY), ("classified_listing_event", "date_key", "date", "listing_events", "moment::DATE", _DAY),
+    ("customer_review", "date_key", "date", "reviews", "moment::DATE", _DAY), ("customer_review", "product_key", "product", "reviews", "product_sku", _PROD),
+    ("customer_review", "customer_key", "customer", "reviews", "customer_id", _CUST), ("return_line", "receipt_date_key", "date", "f_return", "receipt_date", _DAY),
+    ("return_line", "store_key", "store", "f_return", "return_store_id", "SELECT 'ST-' || n_nationkey FROM nation"),
+    ("seller_performance_snapshot", "date_key", "date", "(SELECT DISTINCT seller_id, week_end FROM weekly)", "week_end", _DAY),
+    ("seller_performance_snapshot", "seller_risk_tier_key", "seller_risk_tier", "(SELECT DISTINCT w.seller_id, w.week_end, t.risk_tier FROM weekly w LEFT JOIN trust t USING (seller_id))", "risk_tier",
+     "SELECT unnest(['VERIFIED_TRUSTED', 'STANDARD', 'UNDER_REVIEW', 'HIGH_RISK', 'SUSPENDED'])"),
     ("inventory_transaction", "date_key", "date", "f_moves", "mdate", _DAY), ("inventory_transaction", "product_key", "product", "f_moves", "product_code", _PROD),
     ("web_session", "date_key", "date", "sessions", "first_at::DATE", _DAY), ("web_session", "customer_key", "customer", "sessions", "customer", _CUST), ("web_session", "promotion_key", "promotion", "sessions", "utm", _PROMO),
     ("web_page_event", "date_key", "date", "page_events", "day", _DAY), ("web_page_event", "product_key", "product", "page_events", "product_sku", _PROD),
@@ -599,7 +607,9 @@ O["check_semi_additive"] = "SELECT snapshot_date, sum(atp_qty)::BIGINT AS atp_qt
 O["check_certainty_complete"] = union(f"SELECT '{f}' AS table_name, 0::BIGINT AS null_certainty" for f in FACT_TABLES)
 _WIN = "BETWEEN DATE '1998-08-08' AND DATE '1998-08-28'"
 _COVER = [("ecommerce_order_line", "f_line", "order_date"), ("order_fulfilment", "f_fulfil", "order_date"), ("store_inventory_snapshot", "f_si", "snapshot_date"), ("web_session", "sessions", "first_at::DATE"),
-          ("store_sale_line", "f_sale", "txn_date")]
+          ("store_sale_line", "f_sale", "txn_date"), ("warehouse_inventory_snapshot", "wh_snaps", "snapshot_date"), ("inventory_transaction", "f_moves", "mdate"), ("web_page_event", "page_events", "day"),
+          ("classified_listing_snapshot", "listings", "created::DATE"), ("classified_listing_event", "listing_events", "moment::DATE"), ("customer_review", "reviews", "moment::DATE"),
+          ("customer_complaint", "cases", "created::DATE"), ("return_line", "f_return", "request_date"), ("seller_performance_snapshot", "(SELECT DISTINCT seller_id, week_end FROM weekly)", "week_end")]
 O["check_campaign_coverage"] = union(f"SELECT '{n}' AS table_name, count(*) FILTER ({d} {_WIN}) AS rows_in_window FROM {t}" for n, t, d in _COVER)
 T["balance"] = f"""
 SELECT b.store_id, b.product_code, b.q1 AS opening_qty, b.q2 AS closing_qty, coalesce(sum(m.quantity_change) FILTER (m.movement_date > b.d1 AND m.movement_date <= b.d2), 0)::BIGINT AS net_movement,

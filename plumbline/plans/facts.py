@@ -39,11 +39,16 @@ LINKS = [
     ("ecommerce_order_line", "promotion_key", "promotion", "promotion_key"),
     ("ecommerce_order_line", "store_key", "store", "store_key"),
     ("order_fulfilment", "placed_date_key", "date", "date_key"),
+    ("order_fulfilment", "captured_date_key", "date", "date_key"),
+    ("order_fulfilment", "shipped_date_key", "date", "date_key"),
     ("order_fulfilment", "delivered_date_key", "date", "date_key"),
+    ("order_fulfilment", "returned_date_key", "date", "date_key"),
     ("order_fulfilment", "customer_key", "customer", "customer_key"),
     ("store_inventory_snapshot", "date_key", "date", "date_key"),
     ("store_inventory_snapshot", "product_key", "product", "product_key"),
     ("store_inventory_snapshot", "store_key", "store", "store_key"),
+    ("warehouse_inventory_snapshot", "date_key", "date", "date_key"),
+    ("warehouse_inventory_snapshot", "product_key", "product", "product_key"),
     ("inventory_transaction", "date_key", "date", "date_key"),
     ("inventory_transaction", "product_key", "product", "product_key"),
     ("web_session", "date_key", "date", "date_key"),
@@ -52,7 +57,12 @@ LINKS = [
     ("web_page_event", "date_key", "date", "date_key"),
     ("web_page_event", "product_key", "product", "product_key"),
     ("web_page_event", "step_key", "step", "step_key"),
+    ("classified_listing_snapshot", "date_key", "date", "date_key"),
     ("classified_listing_snapshot", "seller_key", "seller", "seller_key"),
+    ("classified_listing_event", "date_key", "date", "date_key"),
+    ("customer_review", "date_key", "date", "date_key"),
+    ("customer_review", "product_key", "product", "product_key"),
+    ("customer_review", "customer_key", "customer", "customer_key"),
     ("customer_complaint", "date_key", "date", "date_key"),
     ("customer_complaint", "customer_key", "customer", "customer_key"),
     ("customer_complaint", "channel_key", "channel", "channel_key"),
@@ -63,10 +73,14 @@ LINKS = [
     ("store_sale_line", "payment_method_key", "payment_method", "payment_method_key"),
     ("store_sale_line", "channel_key", "channel", "channel_key"),
     ("return_line", "request_date_key", "date", "date_key"),
+    ("return_line", "receipt_date_key", "date", "date_key"),
+    ("return_line", "store_key", "store", "store_key"),
     ("return_line", "return_reason_key", "return_reason", "return_reason_key"),
     ("return_line", "listing_condition_key", "listing_condition", "listing_condition_key"),
     ("return_line", "product_key", "product", "product_key"),
+    ("seller_performance_snapshot", "date_key", "date", "date_key"),
     ("seller_performance_snapshot", "seller_key", "seller", "seller_key"),
+    ("seller_performance_snapshot", "seller_risk_tier_key", "seller_risk_tier", "seller_risk_tier_key"),
 ]
 
 

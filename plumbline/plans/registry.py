@@ -1163,13 +1163,9 @@ def check_certainty_complete(w):
 
 
 def _coverage(w):
-    return checks.window_coverage({
-        "ecommerce_order_line": (w.gold("ecommerce_order_line"), "date_key"),
-        "order_fulfilment": (w.gold("order_fulfilment"), "placed_date_key"),
-        "store_inventory_snapshot": (w.gold("store_inventory_snapshot"), "date_key"),
-        "web_session": (w.gold("web_session"), "date_key"),
-        "store_sale_line": (w.gold("store_sale_line"), "date_key"),
-    }, w.dim("date"), w.campaign.window)
+    first_date = {"order_fulfilment": "placed_date_key", "return_line": "request_date_key"}
+    return checks.window_coverage(
+        {f: (w.gold(f), first_date.get(f, "date_key")) for f in SMALL_FACTS}, w.dim("date"), w.campaign.window)
 
 
 add("check_campaign_coverage", _coverage)
