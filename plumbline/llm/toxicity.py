@@ -154,19 +154,30 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col
     least = max(5, int(how.min_share * chosen.count()))
     common = chosen.select(F.explode("words").alias("w")).groupBy("w").count().filter(F.col("count") >= least)
     vocabulary = {r.w: i for i, r in enumerate(common.orderBy(F.desc("count"), "w").limit(how.features).collect())}
-    seeds = {w for group in how.categories.values() for w in group}
-    kept = F.filter("words", lambda w: w.isin(list(vocabulary.keys() | seeds)))
-    copy = F.xxhash64("words").alias("copy")
-    found = chosen.select("doc_id", "toxic", copy, kept.alias("words")).orderBy("doc_id", "copy").collect()  # Training.sample rows
-    if not found:
+    groups = [set(g) for g in how.categories.values()]
+
+    def in_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(3).to_pylist()
+            places = [[vocabulary[w] for w in ws if w in vocabulary] for ws in lists]
+            marks = [[not g.isdisjoint(ws) for g in groups] for ws in lists]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:3], pa.array(places, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.bool_()))],
+                names=["doc_id", "toxic", "copy", "places", "marks"],
+            )
+
+    # Training.sample rows of small numbers
+    found = chosen.select("doc_id", "toxic", F.xxhash64("words").alias("copy"), "words").mapInArrow(
+        in_numbers, "doc_id long, toxic long, copy long, places array<int>, marks array<boolean>"
+    ).toArrow().to_pandas().sort_values(["doc_id", "copy"]).drop_duplicates("copy")  # copies count once
+    if not len(found):
         return Chain(names, {}, [(np.zeros(k), 0.0) for k in range(len(names))])
-    rows = list({r.copy: r for r in found}.values())  # copies count once
-    x = np.zeros((len(rows), len(vocabulary)), dtype=np.float32)
-    y = np.zeros((len(rows), len(names)))
-    for i, r in enumerate(rows):
-        x[i, [vocabulary[w] for w in r.words if w in vocabulary]] = 1
-        y[i] = [bool(r.toxic) and not seeds_of.isdisjoint(r.words) for seeds_of in map(set, how.categories.values())] + [bool(r.toxic)]
-    fold = np.array([(r.doc_id * 2654435761 >> 7) % how.folds for r in rows])
+    x = np.zeros((len(found), len(vocabulary)), dtype=np.float32)
+    for row, places in zip(x, found["places"]):
+        row[places] = 1
+    toxic = found["toxic"].to_numpy() > 0
+    y = np.c_[np.array(found["marks"].tolist(), dtype=bool).reshape(len(found), len(groups)) & toxic[:, None], toxic].astype(float)
+    fold = np.array([(int(i) * 2654435761 >> 7) % how.folds for i in found["doc_id"]])
     models = fit_chain(x, y, fold, how)
     used = np.flatnonzero(np.any([w[: len(vocabulary)] != 0 for w, _ in models], axis=0))
     small = [(np.r_[w[used], w[len(vocabulary) :]], b) for w, b in models]
