@@ -119,20 +119,24 @@ def candidates(lines: DataFrame, t: int, min_chars: int, bucket: int) -> DataFra
         rows, level = stored(_keys(deep, t, 0, refined=True).distinct(), f"segment-keys-{level + 1}"), level + 1
 
 
+def characters(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+
+
 def within(a: Column, b: Column, t: int) -> Column:
-    """Whether the edit distance of two texts is at most t; b must not be the shorter.
+    """Whether the edit distance of two texts is at most t, from the columns of their characters, which
+    must be columns of the table: each step looks into b. b must not be the shorter.
 
     One bit per diagonal of the band; r[e] has those a path of at most e edits has reached. One
     character of a moves all diagonals of all r at once.
     """
     band, every = 2 * t + 1, (1 << (2 * t + 1)) - 1
-    chars = F.regexp_extract_all(b, F.lit("(?s)."), F.lit(0))
     start = [1 << t]
     for _ in range(t):
         start.append((start[-1] | start[-1] << 1) & every)
 
     def step(r: Column, x: Column) -> Column:
-        equal = [F.coalesce((F.get(x["b"], x["i"] + (d - t)) == x["c"]).cast("int"), F.lit(0)) for d in range(band)]
+        equal = [F.coalesce((F.get(b, x["i"] + (d - t)) == x["c"]).cast("int"), F.lit(0)) for d in range(band)]
         match = reduce(lambda m, d: m.bitwiseOR(F.shiftleft(equal[d], d)), range(1, band), equal[0])
         new = [r["r0"].bitwiseAND(match)]
         for e in range(1, t + 1):
@@ -142,9 +146,9 @@ def within(a: Column, b: Column, t: int) -> Column:
             new.append(kept.bitwiseOR(edited).bitwiseAND(F.lit(every)))
         return F.struct(*[n.alias(f"r{e}") for e, n in enumerate(new)])
 
-    steps = F.transform(F.regexp_extract_all(a, F.lit("(?s)."), F.lit(0)), lambda c, i: F.struct(c.alias("c"), i.alias("i"), chars.alias("b")))
+    steps = F.transform(a, lambda c, i: F.struct(c.alias("c"), i.alias("i")))
     first = F.struct(*[F.lit(s).alias(f"r{e}") for e, s in enumerate(start)])
-    gap = F.length(b) - F.length(a)
+    gap = F.size(b) - F.size(a)
     ends = reduce(lambda w, d: w.when(gap == d, F.lit(1 << (t + d))), range(1, t + 1), F.when(gap == 0, F.lit(1 << t))).otherwise(0)
     return F.aggregate(steps, first, step, lambda r: r[f"r{t}"]).bitwiseAND(ends) != 0
 
@@ -159,9 +163,12 @@ def linked_lines(lines: DataFrame, t: int = THRESHOLD, min_chars: int = MIN_CHAR
     met = pairs.join(x, "a").join(y, "b").filter("name_a <> name_b")
     swap = F.length("text_a") > F.length("text_b")
     met = met.select(
-        "name_a", "name_b", F.when(swap, F.col("text_b")).otherwise(F.col("text_a")).alias("s"), F.when(swap, F.col("text_a")).otherwise(F.col("text_b")).alias("l")
+        "name_a", "name_b", characters(F.when(swap, F.col("text_b")).otherwise(F.col("text_a"))).alias("s"),
+        characters(F.when(swap, F.col("text_a")).otherwise(F.col("text_b"))).alias("l"),
     )
-    return met.filter(within(F.col("s"), F.col("l"), t)).select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
+    # written before it is filtered: a filter would be pushed below the columns of characters
+    tested = stored(met.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), within(F.col("s"), F.col("l"), t).alias("close")), "verified")
+    return tested.filter("close").select("a", "b")
 
 
 def _dropped(rows: DataFrame, t: int, min_chars: int, bucket: int) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm.line_dedup import within, without_duplicate_lines
+from plumbline.llm.line_dedup import characters, within, without_duplicate_lines
 
 OUTER = " \t\r\x0b\x0c"
 
@@ -79,7 +79,8 @@ def test_bit_parallel_distance(spark, t):
         a = "".join(rnd.choice("abé𝒳") for _ in range(rnd.randint(0, 12)))
         b = mutated(a, rnd) if rnd.random() < 0.8 else a[::-1]
         pairs.append((min(a, b, key=len), max(a, b, key=len)) if len(a) != len(b) else (a, b))
-    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", within(F.col("a"), F.col("b"), t).alias("w"))
+    df = spark.createDataFrame(pairs, "a string, b string").withColumns({"x": characters(F.col("a")), "y": characters(F.col("b"))})
+    df = df.select("a", "b", within(F.col("x"), F.col("y"), t).alias("w"))
     for r in df.collect():
         assert r.w == (edits(r.a, r.b) <= t), (r.a, r.b)
 
