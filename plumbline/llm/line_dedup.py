@@ -207,7 +207,8 @@ def without_duplicate_lines(
     gone = _dropped(rows, threshold, min_chars, bucket)
     lines = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "dropped")
-    joined = placed.join(gone, ["file", "at"], "left").withColumn("__lines", F.when(F.col("dropped").isNotNull(), lines))
+    # a sorted join at every size, so that small and large tables are worked alike
+    joined = placed.join(gone.hint("merge"), ["file", "at"], "left").withColumn("__lines", F.when(F.col("dropped").isNotNull(), lines))
     left = F.array_join(F.transform(stay, lambda p: F.get(F.col("__lines"), p)), "\n")
     out = joined.withColumn("__text", F.when(F.col("dropped").isNull(), F.col(text)).otherwise(left))
     columns = [F.col("__text" if n == text else n).alias(c) for n, c in zip(names, docs.columns)]

@@ -232,4 +232,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids = keyed.join(fingerprint_components(keyed, allowed), "fp")
     first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("row").alias("r"))
     keep = stored(ids.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.r").alias("row")), "kept-rows")
-    return rows.join(keep, "row", "left_semi").select(*names).toDF(*docs.columns)
+    # a sorted join at every size, so that small and large tables are worked alike
+    return rows.join(keep.hint("merge"), "row", "left_semi").select(*names).toDF(*docs.columns)
