@@ -3,7 +3,7 @@
 Two lines within t edits: cut one into t + 1 segments, and at least one segment stands unchanged in the
 other, moved by no more than the edits before it. So every line is put into an index by its length and
 each of its segments, and looks up its own substrings of the lengths, places and shifts that a match
-allows. A pair found is verified by a bit-parallel edit distance on the band of 2 t + 1 diagonals.
+allows. The edits allowed grow with the length of the shorter line. A pair found is verified by a bit-parallel edit distance on the band of 2 t + 1 diagonals.
 
 A bucket of the index with many lines (a template, say) is not joined: the matching segment is cut out of
 its lines and the rest, which must be within t edits too, is partitioned again under the bucket's key. This
@@ -23,9 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.llm.graph import components
 from plumbline.llm.shared import stored
 
-THRESHOLD = 1
-#: Shorter lines count as duplicates only when equal.
-MIN_CHARS = 25
+#: (characters of the shorter line from which on, edits allowed).
+THRESHOLDS = ((25, 1), (150, 2), (500, 3))
 #: Lines of a bucket joined pair by pair at most.
 BUCKET = 256
 #: Ids that are broadcast at most (16 bytes each); more are joined by a shuffle.
@@ -51,8 +50,8 @@ def _lines(rows: DataFrame) -> DataFrame:
     return trimmed.select("*", F.xxhash64("line").alias("h0"), F.xxhash64(F.lit(1), "line").alias("h1"))
 
 
-def _keys(rows: DataFrame, t: int, shortest: int, refined: bool) -> DataFrame:
-    """The index and look-up rows of (seed, id, text, own, gap): key, id, own, gap, start, size.
+def _entries(t: int, shortest: int, refined: bool) -> list[Column]:
+    """The index and look-up entries of a line (seed, text, own, gap, length); null where one does not apply.
 
     own rows are in the index and look up too; the others look up lines that are `gap` shorter. A first
     round looks up all gaps, a refined one the gap it came with.
@@ -76,8 +75,26 @@ def _keys(rows: DataFrame, t: int, shortest: int, refined: bool) -> DataFrame:
                     (start + shift).alias("start"), size.alias("size"),
                 )
                 entries.append(F.when(holds, entry))
+    return entries
+
+
+def _keys(rows: DataFrame, entries: Column) -> DataFrame:
+    """(key, own, gap, start, size, id, text) of the entries of (seed, id, text, own, gap)."""
     sized = rows.withColumn("length", F.length("text"))
-    return sized.select("id", "text", F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*", "id", "text")
+    return sized.select("id", "text", F.explode(F.array_compact(entries)).alias("e")).select("e.*", "id", "text")
+
+
+def _banded(thresholds: tuple) -> Column:
+    """The entries of every band of lengths, each with its t. A band holds the lines that may be linked to one of
+    its own as the shorter."""
+    length, bands = F.col("length"), []
+    for n, (shortest, t) in enumerate(thresholds):
+        entries = F.array(*[e.withField("t", F.lit(t)) for e in _entries(t, shortest, refined=False)])
+        inside = length >= shortest
+        if n + 1 < len(thresholds):
+            inside = inside & (length < thresholds[n + 1][0] + t)
+        bands.append(F.when(inside, entries).otherwise(F.array()))
+    return F.concat(*bands)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -93,18 +110,24 @@ def _with_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
     return stored(met.select(F.col("h0").alias("id"), "h1", F.col("line").alias("text")).distinct(), "line-texts")
 
 
-def candidates(lines: DataFrame, t: int, min_chars: int, bucket: int) -> DataFrame:
-    """Distinct (a, b) of line ids that may be within t edits; all that are, are among them."""
-    long = lines.filter(F.length("line") >= min_chars).select(
+def candidates(lines: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
+    """Distinct (a, b, t) of line ids that may be within t edits; all that are, are among them."""
+    long = lines.filter(F.length("line") >= thresholds[0][0]).select(
         F.lit(0).cast("long").alias("seed"), F.col("h0").alias("id"), F.col("line").alias("text"), F.lit(True).alias("own"), F.lit(0).alias("gap")
     )
-    rows = stored(_keys(long, t, min_chars, refined=False).drop("text").distinct(), "segment-keys")
+    every = stored(_keys(long, _banded(thresholds)).drop("text").distinct(), "segment-keys")
+    found = [_met(lines, every.filter(F.col("t") == t).drop("t"), t, bucket).withColumn("t", F.lit(t)) for _, t in thresholds]
+    return stored(reduce(DataFrame.unionByName, found).distinct(), "candidates")
+
+
+def _met(lines: DataFrame, rows: DataFrame, t: int, bucket: int) -> DataFrame:
+    """(a, b) of line ids that meet in a bucket of the index rows of one threshold."""
     found, level = [], 0
     while True:
         hot = stored(rows.filter("own").groupBy("key").count().filter(F.col("count") > bucket).select("key"), "hot-keys")
         if hot.isEmpty():
             found.append(_pairs(rows))
-            return stored(reduce(DataFrame.unionByName, found).distinct(), "candidates")
+            return reduce(DataFrame.unionByName, found)
         found.append(_pairs(rows.join(hot, "key", "left_anti")))
         deep = rows.join(hot, "key", "left_semi")
         if not level:
@@ -115,8 +138,8 @@ def candidates(lines: DataFrame, t: int, min_chars: int, bucket: int) -> DataFra
         # a rest shorter than the segments has empty ones, which match: then it is verified pair by pair
         if level >= 12:
             found.append(_pairs(deep.withColumnRenamed("seed", "key")))
-            return stored(reduce(DataFrame.unionByName, found).distinct(), "candidates")
-        rows, level = stored(_keys(deep, t, 0, refined=True).distinct(), f"segment-keys-{level + 1}"), level + 1
+            return reduce(DataFrame.unionByName, found)
+        rows, level = stored(_keys(deep, F.array(*_entries(t, 0, refined=True))).distinct(), f"segment-keys-{level + 1}"), level + 1
 
 
 def characters(text: Column) -> Column:
@@ -153,9 +176,9 @@ def within(a: Column, b: Column, t: int) -> Column:
     return F.aggregate(steps, first, step, lambda r: r[f"r{t}"]).bitwiseAND(ends) != 0
 
 
-def linked_lines(lines: DataFrame, t: int = THRESHOLD, min_chars: int = MIN_CHARS, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) of line names (both hashes) within t edits."""
-    pairs = candidates(lines, t, min_chars, bucket)
+def linked_lines(lines: DataFrame, thresholds: tuple = THRESHOLDS, bucket: int = BUCKET) -> DataFrame:
+    """(a, b) of line names (both hashes) within the edits their length allows."""
+    pairs = candidates(lines, thresholds, bucket)
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
     texts = _with_ids(lines, ids)
     named = texts.select("id", F.concat(F.hex("id"), F.lit("-"), F.hex("h1")).alias("name"), "text")
@@ -163,22 +186,23 @@ def linked_lines(lines: DataFrame, t: int = THRESHOLD, min_chars: int = MIN_CHAR
     met = pairs.join(x, "a").join(y, "b").filter("name_a <> name_b")
     swap = F.length("text_a") > F.length("text_b")
     met = met.select(
-        "name_a", "name_b", characters(F.when(swap, F.col("text_b")).otherwise(F.col("text_a"))).alias("s"),
+        "name_a", "name_b", "t", characters(F.when(swap, F.col("text_b")).otherwise(F.col("text_a"))).alias("s"),
         characters(F.when(swap, F.col("text_a")).otherwise(F.col("text_b"))).alias("l"),
     )
     # written before it is filtered: a filter would be pushed below the columns of characters
-    tested = stored(met.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), within(F.col("s"), F.col("l"), t).alias("close")), "verified")
+    close = F.coalesce(*[F.when(F.col("t") == t, within(F.col("s"), F.col("l"), t)) for _, t in thresholds])
+    tested = stored(met.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), close.alias("close")), "verified")
     return tested.filter("close").select("a", "b")
 
 
-def _dropped(rows: DataFrame, t: int, min_chars: int, bucket: int) -> DataFrame:
+def _dropped(rows: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
     """(file, at, dropped) of the documents with lines to drop: the places of those lines."""
     lines = _lines(rows)
     name = F.concat(F.hex("h0"), F.lit("-"), F.hex("h1"))
     marks = stored(lines.drop("line"), "line-marks")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "file", "at", "pos")
     firsts = stored(marks.groupBy("h0", "h1").agg(F.min(order).alias("first"), F.count("*").alias("n")), "first-lines")
-    roots = components(linked_lines(lines, t, min_chars, bucket))
+    roots = components(linked_lines(lines, thresholds, bucket))
     linked = stored(firsts.withColumn("name", name).join(roots.withColumnRenamed("node", "name"), "name").select("h0", "h1", "root", "first"), "linked")
     keep = linked.groupBy("root").agg(F.min("first").alias("keep"))
     linked = stored(linked.join(keep, "root").select("h0", "h1", "keep"), "linked-keep")
@@ -189,12 +213,13 @@ def _dropped(rows: DataFrame, t: int, min_chars: int, bucket: int) -> DataFrame:
 
 
 def without_duplicate_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, bucket: int = BUCKET, counts: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int | tuple = THRESHOLDS, min_chars: int | None = None, bucket: int = BUCKET, counts: bool = False
 ) -> DataFrame:
     """The input rows, all columns, with the texts' duplicate lines taken out.
 
-    Lines are compared without their outer white space. Equal lines, and lines of at least min_chars
-    within `threshold` edits, are linked; of lines linked to one another, directly or over others, the
+    Lines are compared without their outer white space. Equal lines are linked, and lines within the edits that
+    `threshold` allows the shorter of them: pairs (characters from which on, edits) in rising order, or one number
+    of edits for all lines of at least min_chars (25 if not given); of lines linked to one another, directly or over others, the
     first stays: that of the smallest document id, then of the first row read, then the first in its
     text. Lines without a word stay. Null texts stay null; a null id comes after all others; a text may
     become empty but its row stays. An empty table gives an empty result. counts adds n_lines (with a
@@ -204,7 +229,8 @@ def without_duplicate_lines(
     placed = _with_places(docs)
     text = names[docs.columns.index(text_col)]
     rows = placed.select("file", "at", F.col(names[docs.columns.index(id_col)]).alias("id"), F.col(text).cast("string").alias("text"))
-    gone = _dropped(rows, threshold, min_chars, bucket)
+    thresholds = ((min_chars or THRESHOLDS[0][0], threshold),) if isinstance(threshold, int) else threshold
+    gone = _dropped(rows, thresholds, bucket)
     lines = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "dropped")
     # a sorted join at every size, so that small and large tables are worked alike

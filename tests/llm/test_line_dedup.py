@@ -88,3 +88,39 @@ def test_bit_parallel_distance(spark, t):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert without_duplicate_lines(df, counts=True).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [256, 8])
+def test_edits_grow_with_length(spark, bucket):
+    rnd, steps = random.Random(5), ((6, 1), (14, 2), (22, 3))
+    base = ["".join(rnd.choice("abcde") for _ in range(n)) for n in (6, 8, 12, 13, 14, 15, 16, 20, 21, 22, 23, 24, 30)]
+    rows = [(i, "\n".join(mutated(b, rnd) for b in base)) for i in range(8)]
+    got = without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), threshold=steps, bucket=bucket)
+    parent = {x: x for _, t in rows for x in t.split("\n")}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in parent:
+        for b in parent:
+            n = min(len(a), len(b))
+            if edits(a, b) <= max([t for least, t in steps if n >= least], default=0):
+                parent[find(a)] = find(b)
+    seen, want = set(), []
+    for i, text in rows:
+        left = []
+        for x in text.split("\n"):
+            if find(x) not in seen:
+                seen.add(find(x))
+                left.append(x)
+        want.append((i, "\n".join(left)))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == want
+
+
+def test_long_lines_within_three_edits_are_one(spark):
+    line = " ".join(f"word{i}" for i in range(100))
+    rows = [(1, line), (2, line.replace("word7 ", "Word7 ").replace("word50", "ward50").replace("word90", "worn90"))]
+    got = without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, line), (2, "")]
