@@ -6,7 +6,8 @@ a paragraph look sparse; the text a block holds itself counts as a child of its
 largest density sum is the core of the article; the smallest density on the path from it to the body
 is the threshold a branch has to reach, and in every branch that does the subtree with the largest
 density sum is content. Elements that by their name, role or class are not part of an article are
-left out of the tree.
+left out of the tree, unless they hold the main element, all articles or most of the page's text: such a
+wrapper stays, and the densities decide on what is in it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,6 +42,12 @@ NAMES = frozenset(
     "related replies reply responses share sharing sidebar sidenav signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 NEVER_LEFT_OUT = frozenset("html body main article".split())
+ARTICLE = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
+NEVER_ARTICLE = LEFT_OUT - {"form"} | {"footer", "header"}
+#: What a page shows no text of.
+SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg|math|object|head|select)(?=[\s/>]).*?(?:</\1\s*>|\Z)", re.I | re.S)
+TAG = re.compile(r"<[^>]*>")
+WORDS = re.compile(r"\S+")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -76,20 +85,38 @@ def _left_out(name: str, attributes: str, inside_article: bool) -> bool:
     if HIDDEN.search(attributes):
         return True
     for key, *values in ATTRIBUTE.findall(attributes):
-        tokens = SPLIT.split(entities.unescape("".join(values)).lower())
-        if key.lower() == "role":
-            if not ROLES.isdisjoint(tokens):
-                return True
-        elif not NAMES.isdisjoint(tokens):
+        names = entities.unescape("".join(values)).lower().split()  # whole: no-comments names no comments
+        if not (ROLES if key.lower() == "role" else NAMES).isdisjoint(names):
             return True
     return False
 
 
+class Shown:
+    """Where a page's text and its article and main elements begin, without what it does not show."""
+
+    def __init__(self, page: str):
+        plain = SILENT.sub(lambda m: " " * len(m[0]), page)
+        found = list(ARTICLE.finditer(plain))
+        self.articles, self.mains = [m.start() for m in found], [m.start() for m in found if m[0].lower() == "<main"]
+        words = [m.span() for m in WORDS.finditer(TAG.sub(lambda m: " " * len(m[0]), plain))]
+        self.starts, self.sums = [a for a, _ in words], [0, *accumulate(b - a for a, b in words)]
+
+    def wraps_article(self, name: str, start: int, end: int) -> bool:
+        """Whether a part to be left out by name, role or class holds the main element or all the articles; or,
+        where the page marks none, most of its text (those whose own tag says that they are none do not count)."""
+        inside = lambda places: bisect_left(places, end) - bisect_left(places, start)
+        if self.articles:
+            return inside(self.mains) > 0 or inside(self.articles) == len(self.articles)
+        chars = self.sums[bisect_left(self.starts, end)] - self.sums[bisect_left(self.starts, start)]
+        return name not in NEVER_ARTICLE and 2 * chars > self.sums[-1]
+
+
 def parse(page: str) -> Node:
     """The tree of what may be content. Unclosed and stray tags are mended as browsers do for
     paragraphs, lists and tables; a page that breaks off is closed at its end."""
     root = Node("html")
     stack, at, size = [("html", root, False)], 0, len(page)  # name, the block around, inside a link
+    shown = None  # found when something is to be left out
     while at < size:
         found = TOKEN.search(page, at)
         if text := page[at : found.start() if found else size]:
@@ -120,8 +147,16 @@ def parse(page: str) -> Node:
         if name in VOID:
             node.items.append(" ") if name != "hr" else _child(node, name)
         elif _left_out(name, attributes, any(n in ("article", "main") for n, _, _ in stack)):
-            if not empty or name in RAW:
-                at = _after(page, name, at)
+            if empty and name not in RAW:
+                continue
+            end, whole = _after(page, name, at)
+            may_wrap = whole and name not in RAW and not HIDDEN.search(attributes)
+            if may_wrap and shown is None:
+                shown = Shown(page)
+            if may_wrap and shown.wraps_article(name, at, end):
+                stack.append((name, _child(node, name) if name in BLOCK else node, linked))
+            else:
+                at = end
         elif name in BLOCK:
             stack.append((name, _child(node, name), linked))
         else:
@@ -150,13 +185,13 @@ def _end_implied(stack: list[tuple], name: str) -> None:
 _ENDS: dict[str, re.Pattern] = {}
 
 
-def _after(page: str, name: str, at: int) -> int:
-    """Where the element that has just begun ends; nested ones of its name are counted. One that
-    never ends goes no further than the article's begin or end or the body's end."""
+def _after(page: str, name: str, at: int) -> tuple[int, bool]:
+    """Where the element that has just begun ends, and whether by an end tag; nested ones of its name are counted.
+    One that never ends goes no further than the article's begin or end or the body's end."""
     if name in RAW and name not in ("svg", "math", "object", "template"):
         pattern = _ENDS.setdefault(f"/{name}", re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I))
         found = pattern.search(page, at)
-        return found.end() if found else len(page)
+        return (found.end(), True) if found else (len(page), False)
     pattern = _ENDS.setdefault(name, re.compile(rf"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?){re.escape(name)}(?=[\s/>])[^>]*>|</?(?:article|main|body)\b|</html", re.I | re.S))
     depth, stop = 1, None
     for found in pattern.finditer(page, at):
@@ -167,8 +202,8 @@ def _after(page: str, name: str, at: int) -> int:
             continue
         depth += -1 if found[2] else 1
         if not depth:
-            return found.end()
-    return len(page) if stop is None else stop
+            return found.end(), True
+    return (len(page) if stop is None else stop), False
 
 
 def _squeezed(text: str) -> str:

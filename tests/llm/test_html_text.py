@@ -43,3 +43,26 @@ def test_operator(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x</p>", "t"), (1, None, None, "t"), (None, "u", "", "t")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, extract_text(df).collect()), key=repr) == [(1, "u", "é x", 3), (1, None, "", 0), (None, "u", "", 0)]
     assert extract_text(df.limit(0)).count() == 0
+
+
+WRAPPERS = [
+    "<body><form id=aspnetForm><div class=menu><a href=x>Menu</a></div><article>%s</article></form></body>",
+    "<body><div class='layout has-sidebar'><div>%s</div><div class=sidebar>no</div></div></body>",
+    "<body><div id=page class='no-comments'>%s</div></body>",
+    "<body><div class=widget><nav><a href=x>Menu</a></nav><main>%s</main></div></body>",
+    "<body><div class=banner><div>%s</div></div><footer>f</footer></body>",
+    "<body><form><div>%s</div></form><div class=related><p>other</p></div></body>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPERS)
+def test_wrappers_stay(page):
+    assert main_text(page % "".join(f"<p>{P}{i}</p>" for i in range(3))).split("\n") == [f"{P}{i}" for i in range(3)]
+
+
+def test_named_after_a_part_is_left_out():
+    page = f"<body><article><p>{P}1</p><p>{P}2</p></article><div class='x comments'><p>{P}3</p></div><form><p>no</p></form></body>"
+    assert main_text(page).split("\n") == [P + "1", P + "2"]
+    assert main_text(f"<body><div hidden><article><p>{P}</p></article></div><article><p>{P}1</p></article></body>") == P + "1"
+    assert main_text(f"<body><article><p>{P}1</p></article><aside><article><p>{P}</p></article></aside></body>") == P + "1"
+    assert main_text(f"<article><p>Short text.</p></article><div class=comments><p>{P * 9}</p></div>") == "Short text."
