@@ -5,7 +5,9 @@ of the categories before it. While training, those probabilities come from model
 the document (out of fold), so that a later model learns how far an earlier one can be trusted. The
 models are logistic: a sparse fit chooses the words, an almost unpenalised fit then weighs them.
 
-They are trained on a bounded sample of labelled documents (Training.sample) and applied to all.
+They are trained on a bounded sample of labelled documents (Training.sample) and applied to all. The sample is
+filled per class, half of it with toxic documents if there are as many, and its classes weigh in the last fit what
+they weigh among all labels.
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Training:
-    """sample: labelled documents trained on at most, those with the smallest hash of their id.
-    features: words at most, the most frequent of those in at least min_share of the sample."""
+    """sample: labelled documents trained on at most, of each class those with the smallest hash of their id.
+    features: words at most, those that go most with the label among the words of at least min_docs documents."""
 
     sample: int = 6000
     features: int = 4096
-    min_share: float = 0.005
+    min_docs: int = 5
     folds: int = 4
     sparsity: float = 0.004
     ridge: float = 2e-5
@@ -54,11 +56,12 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray, sparsity: float, ridge: float) -> tuple[np.ndarray, float]:
+def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray, sparsity: float, ridge: float, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights of the columns of x and then of `more`, and the intercept, from the rows in use.
 
     Columns of x that go with y by less than three standard errors are left out first, so that a text
     is toxic for the words it has and not for those it lacks. Of the rest an L1 fit chooses, and a nearly unpenalised fit weighs what it chose.
+    weight: of each row, in the last fit only; the choice of words does not depend on how many of a class were sampled.
     The columns of `more` are few and stay in both. One class only gives no weights and its smoothed rate.
     """
     n, d = int(use.sum()), x.shape[1]
@@ -67,6 +70,8 @@ def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray
     start = float(np.log(rate / (1 - rate)))
     if not n or part.min() == part.max():
         return weights, start
+    heavy = np.ones(n) if weight is None else weight[use] / weight[use].mean()
+    share = (heavy * part).mean()  # of the class among all labels
     one, off = use.astype(np.float32), np.where(use, y - part.mean(), 0).astype(np.float32)
     mean = x.T @ one / n  # of 0/1 columns, so it gives their spread too
     noise = np.sqrt(mean * (1 - mean) * rate * (1 - rate) / n + 1e-12)
@@ -74,7 +79,8 @@ def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray
     chosen = np.r_[chosen, np.arange(d, len(weights))]
     z = np.c_[x[:, chosen[chosen < d]], more][use].astype(float)
     w, b = np.zeros(len(chosen)), start
-    penalty = np.where(chosen < d, sparsity, 0.0)
+    # a word's pull is bounded by the rate of the class, so the penalty shrinks with a rate below a tenth
+    penalty = np.where(chosen < d, sparsity * min(1.0, 10 * rate), 0.0)
     rise = 4 / (np.linalg.norm(z.T @ z, "fro") / n + 1)
     v, c, t = w, b, 1.0
     for _ in range(150):  # accelerated proximal gradient
@@ -85,24 +91,25 @@ def fit_logistic(x: np.ndarray, more: np.ndarray, y: np.ndarray, use: np.ndarray
         v, c = new + (t - 1) / new_t * (new - w), new_b + (t - 1) / new_t * (new_b - b)
         w, b, t = new, new_b, new_t
     z, chosen = np.c_[z[:, w != 0], np.ones(n)], chosen[w != 0]
-    w, pull = np.append(np.zeros(len(chosen)), start), np.append(np.full(len(chosen), ridge), 1e-6)
+    ridge *= min(1.0, share / part.mean())  # a class that weighs little must not be outweighed by the penalty
+    w, pull = np.append(np.zeros(len(chosen)), np.log(share / (1 - share))), np.append(np.full(len(chosen), ridge), 1e-6)
     for _ in range(30):  # Newton's method with bounded steps
         p = _sigmoid(z @ w)
-        hessian = (z.T * (p * (1 - p))) @ z / n + np.diag(pull)
-        step = np.linalg.solve(hessian, z.T @ (p - part) / n + pull * w)
+        hessian = (z.T * (heavy * p * (1 - p))) @ z / n + np.diag(pull)
+        step = np.linalg.solve(hessian, z.T @ (heavy * (p - part)) / n + pull * w)
         w = w - step * min(1.0, 1.0 / max(np.abs(step).max(), 1e-9))
     weights[chosen] = w[:-1]
     return weights, float(w[-1])
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, how: Training) -> list[tuple[np.ndarray, float]]:
+def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, how: Training, weight: np.ndarray | None = None) -> list[tuple[np.ndarray, float]]:
     """One model per column of y. Model k has the columns of x and then one per earlier category."""
     models, earlier = [], np.zeros((len(x), 0))
     for k in range(y.shape[1]):
-        models.append(fit_logistic(x, earlier, y[:, k], fold >= 0, how.sparsity, how.ridge))
+        models.append(fit_logistic(x, earlier, y[:, k], fold >= 0, how.sparsity, how.ridge, weight))
         held_out = np.zeros(len(x))
         for f in range(how.folds):
-            w, b = fit_logistic(x, earlier, y[:, k], fold != f, how.sparsity, how.ridge)
+            w, b = fit_logistic(x, earlier, y[:, k], fold != f, how.sparsity, how.ridge, weight)
             out = fold == f
             held_out[out] = _sigmoid(x[out] @ w[: x.shape[1]] + earlier[out] @ w[x.shape[1] :] + b)
         earlier = np.c_[earlier, held_out]
@@ -131,6 +138,20 @@ class Chain:
         return apply_chain(x, self.models)
 
 
+def per_class(rows: DataFrame, bound: int, *order: Column) -> tuple[DataFrame, dict[bool, float]]:
+    """At most `bound` of the labelled rows, up to half of them toxic and as many more as the other class leaves
+    free, and how many rows each row of a class stands for."""
+    toxic = F.col("toxic") > 0
+    counts = {r.t: r.n for r in rows.groupBy(toxic.alias("t")).agg(F.count("*").alias("n")).collect()}
+    n1, n0 = counts.get(True, 0), counts.get(False, 0)
+    take1 = min(n1, max(bound // 2, bound - n0))
+    take0 = min(n0, bound - take1)
+    if n1 + n0 <= bound:
+        return rows, {True: 1.0, False: 1.0}
+    taken = rows.filter(toxic).orderBy(*order).limit(take1).unionByName(rows.filter(~toxic).orderBy(*order).limit(take0))
+    return taken, {True: n1 / max(take1, 1), False: n0 / max(take0, 1)}
+
+
 def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """The chain over the categories and, last, the label itself ("toxic").
 
@@ -143,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col
     # ids that have a document come first into the sample, so it fills where some have none
     own = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     present = label.join(own.select("doc_id").distinct(), "doc_id", "left_semi")
-    sample = present.orderBy(order, "doc_id").limit(how.sample)
+    sample, stands_for = per_class(stored(present, "labelled"), how.sample, order, F.col("doc_id"))
 
     def in_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -151,9 +172,14 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "toxic", "words"])
 
     chosen = stored(own.join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.col("toxic").cast("long")).mapInArrow(in_words, "doc_id long, toxic long, words array<string>"), "training")
-    least = max(5, int(how.min_share * chosen.count()))
-    common = chosen.select(F.explode("words").alias("w")).groupBy("w").count().filter(F.col("count") >= least)
-    vocabulary = {r.w: i for i, r in enumerate(common.orderBy(F.desc("count"), "w").limit(how.features).collect())}
+    common = chosen.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.count_if(F.col("toxic") > 0).alias("t"))
+    sizes = {r.t: r.n for r in chosen.groupBy((F.col("toxic") > 0).alias("t")).agg(F.count("*").alias("n")).collect()}
+    n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
+    both = F.col("n") / max(n1 + n0, 1)
+    apart = F.col("t") / max(n1, 1) - (F.col("n") - F.col("t")) / max(n0, 1)
+    goes_with = F.coalesce(F.try_divide(apart, F.sqrt(both * (1 - both))), F.lit(0.0))
+    best = common.filter(F.col("n") >= how.min_docs).orderBy(F.desc(goes_with), F.desc("n"), "w").limit(how.features)
+    vocabulary = {r.w: i for i, r in enumerate(best.select("w").collect())}
     groups = [set(g) for g in how.categories.values()]
 
     def in_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col
     toxic = found["toxic"].to_numpy() > 0
     y = np.c_[np.array(found["marks"].tolist(), dtype=bool).reshape(len(found), len(groups)) & toxic[:, None], toxic].astype(float)
     fold = np.array([(int(i) * 2654435761 >> 7) % how.folds for i in found["doc_id"]])
-    models = fit_chain(x, y, fold, how)
+    models = fit_chain(x, y, fold, how, np.where(toxic, stands_for[True], stands_for[False]))
     used = np.flatnonzero(np.any([w[: len(vocabulary)] != 0 for w, _ in models], axis=0))
     small = [(np.r_[w[used], w[len(vocabulary) :]], b) for w, b in models]
     by_place = list(vocabulary)

@@ -45,3 +45,18 @@ def test_odd_input(spark):
     none = toxicity(docs, labels.limit(0)).collect()
     assert all(r.kept and r.p_toxic == 0.5 for r in none)
     assert train(docs, labels.limit(0)).vocabulary == {}
+
+
+def test_rare_toxic_words_are_found(spark):
+    """One toxic label in a hundred, none of its words in half a percent of the labelled documents."""
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(8000):
+        toxic = i % 100 == 0
+        text = " ".join("plain" + "".join(chr(97 + int(c)) for c in str(k)) for k in rng.integers(0, 300, 20))
+        rows.append((i, text + (" " + ["idiot", "vermin", "trash", "gorblax"][i // 100 % 4] if toxic else "")))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.toxic for r in toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    found = [got[i] for i, t in labels if t]
+    assert sum(found) >= 0.95 * len(found) and sum(got[i] for i, t in labels if not t) <= 40
