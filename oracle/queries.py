@@ -682,7 +682,7 @@ kpi("relisting_rate", "SELECT count_if(a12 OR by_metadata) AS relisted_numerator
 kpi("duplicate_listing_inflation_factor", "SELECT count(*) AS total_listings, count_if(NOT (a12 OR by_metadata) AND NOT a13) AS deduplicated_listings FROM nl_hits")
 kpi("seller_risk_score_distribution", """SELECT CASE WHEN t.risk_score >= 0.65 THEN 'HIGH' WHEN t.risk_score >= 0.40 THEN 'MEDIUM' ELSE 'LOW' END AS risk_band, count(*) AS seller_count
 FROM sellers JOIN trust t USING (seller_id) GROUP BY 1""")
-kpi("validated_report_rate", "SELECT count_if(a13) AS corroborated_numerator, count_if(a12 OR a13) AS flagged_denominator FROM nl_hits", INF)
+kpi("validated_report_rate", "SELECT count_if(a13) AS corroborated_numerator, count_if(a12 OR by_metadata OR a13) AS flagged_denominator FROM nl_hits", INF)
 
 # ---- reconciliation ----------------------------------------------------------------------------
 _VIEWS = [  # group, certainty, view, its keys, the tables it reads
