@@ -74,4 +74,48 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m JOIN v ON m.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLE = {"op1_warc_fixity": OP1, "op3_lm_scoring": OP3, "op4_exact_dedup": OP4, "op7_quality_rules": OP7}
+OP11 = f"""
+WITH p AS (SELECT '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+' AS term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+d AS (SELECT doc_id, regexp_extract_all(translate({TEXT}, upper, lower), term) AS w FROM documents, p),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+q AS (SELECT item_id, t, count(*) AS qtf
+      FROM (SELECT item_id, unnest(regexp_extract_all(translate({TEXT}, upper, lower), term)) AS t FROM benchmark, p) GROUP BY ALL),
+v AS (SELECT doc_id, len(w) AS n, t, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+k AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM v, s GROUP BY t, n_docs),
+x AS (SELECT item_id, doc_id, sum(qtf * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM q JOIN k USING (t) JOIN v USING (t), s GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 10
+"""
+
+OP12 = f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, {TEXT} AS s, regexp_extract_all({TEXT}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END) ||
+             (CASE WHEN 100 * len(regexp_extract_all(s, '[A-Z]')) > 3 * length(s) THEN 'C' ELSE '' END) ||
+             (CASE WHEN regexp_matches(s, '[#$%&*|]') THEN 'D' ELSE '' END) ||
+             (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY s) THEN 'E' ELSE '' END) AS fails
+      FROM t LEFT JOIN l USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT a.c || b.c || d.c || e.c || h.c AS filter_order FROM c a, c b, c d, c e, c h
+      WHERE len(list_distinct([a.c, b.c, d.c, e.c, h.c])) = 5),
+st AS (SELECT filter_order, step, filter_order[step] AS x, filter_order[1:step] AS upto, filter_order[1:step - 1] AS before
+       FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, x,
+             sum(CASE WHEN translate(fails, upto, '') = fails THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = x THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') = fails THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+      FROM g, st GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM r
+"""
+
+ORACLE = {"op1_warc_fixity": OP1, "op3_lm_scoring": OP3, "op4_exact_dedup": OP4, "op7_quality_rules": OP7, "op11_lexical_search": OP11, "op12_filter_audit": OP12}

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm import packing
 from plumbline.llm.exact_dedup import exact_duplicates
+from plumbline.llm.filter_audit import filter_audit
 from plumbline.llm.html_text import extract_text
+from plumbline.llm.lexical_search import lexical_search
 from plumbline.llm.line_dedup import without_duplicate_lines
 from plumbline.llm.lm_score import lm_scores
 from plumbline.llm.quality_rules import quality_verdicts
 from plumbline.llm.sentencepiece import encode_documents
 from plumbline.llm.simhash import near_duplicates
+from plumbline.llm.token_counts import token_counts
 from plumbline.llm.toxicity import toxicity
 from plumbline.llm.warc import fixity_audit
 
@@ -73,10 +76,23 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc_fixity, op2_sentencepiece, op3_lm_scoring, op4_exact_dedup, op5_toxicity,
         op6_html_extraction, op7_quality_rules, op8_line_dedup, op9_simhash, op10_packing,
+        op11_lexical_search, op12_filter_audit, op13_token_counts,
     )
 }
