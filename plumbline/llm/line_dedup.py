@@ -3,14 +3,16 @@
 Two lines within t edits: cut one into t + 1 segments, and at least one segment stands unchanged in the
 other, moved by no more than the edits before it. So every line is put into an index by its length and
 each of its segments, and looks up its own substrings of the lengths, places and shifts that a match
-allows. The edits allowed grow with the length of the shorter line. A pair found is verified by a bit-parallel edit distance on the band of 2 t + 1 diagonals.
+allows. The edits allowed grow with the length of the shorter line. A pair found is verified by a bit-parallel
+edit distance on the band of 2 t + 1 diagonals.
 
 A bucket of the index with many lines (a template, say) is not joined: the matching segment is cut out of
 its lines and the rest, which must be within t edits too, is partitioned again under the bucket's key. This
-repeats until buckets are small, and leaves out no pair.
+repeats until buckets are small or rests are within t edits by their length, and leaves out no pair.
 
-Lines travel as hashes; texts are fetched for the lines of candidate pairs only, and for the documents once,
-when the dropped lines are taken out.
+Distinct long lines are written once; entries are made from them where they are used and travel as hashes.
+Texts are fetched for the lines of candidate pairs only, and for the documents once, when the dropped lines are
+taken out.
 """
 
 from __future__ import annotations
@@ -27,8 +29,6 @@ from plumbline.llm.shared import stored
 THRESHOLDS = ((25, 1), (150, 2), (500, 3))
 #: Lines of a bucket joined pair by pair at most.
 BUCKET = 256
-#: Ids that are broadcast at most (16 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 500_000
 OUTER = " \t\r\x0b\x0c"
 
 
@@ -50,96 +50,90 @@ def _lines(rows: DataFrame) -> DataFrame:
     return trimmed.select("*", F.xxhash64("line").alias("h0"), F.xxhash64(F.lit(1), "line").alias("h1"))
 
 
-def _entries(t: int, shortest: int, refined: bool) -> list[Column]:
-    """The index and look-up entries of a line (seed, text, own, gap, length); null where one does not apply.
+def _entries(rows: DataFrame, t: int, shortest: int, own: bool = False, refined: bool = False) -> DataFrame:
+    """The index and look-up entries (key, own, gap, start, size) of lines (seed, id, text, own, gap), with id and text.
 
     own rows are in the index and look up too; the others look up lines that are `gap` shorter. A first
-    round looks up all gaps, a refined one the gap it came with.
-    """
-    text, length, k = F.col("text"), F.col("length"), t + 1
-    entries = []
-    for gap in range(t + 1):
-        indexed = length - gap  # of the line looked up
-        base, extra = F.floor(indexed / k).cast("int"), (indexed % k).cast("int")
-        for i in range(k):
-            size = base + (F.lit(i) >= k - extra).cast("int")
-            start = base * i + F.greatest(F.lit(0), F.lit(i) - (k - extra))
-            for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1):
-                own = gap == 0 and shift == 0
-                found = F.xxhash64(F.col("seed"), F.lit(i), indexed, F.substring(text, start + shift + 1, size))
-                holds = (indexed >= shortest) & (start + shift >= 0) & (start + shift + size <= length)
-                if refined:
-                    holds = holds & (F.col("gap") == gap)
-                entry = F.struct(
-                    found.alias("key"), (F.col("own") & F.lit(own)).alias("own"), F.lit(gap).alias("gap"),
-                    (start + shift).alias("start"), size.alias("size"),
-                )
-                entries.append(F.when(holds, entry))
-    return entries
-
-
-def _keys(rows: DataFrame, entries: Column) -> DataFrame:
-    """(key, own, gap, start, size, id, text) of the entries of (seed, id, text, own, gap)."""
-    sized = rows.withColumn("length", F.length("text"))
-    return sized.select("id", "text", F.explode(F.array_compact(entries)).alias("e")).select("e.*", "id", "text")
-
-
-def _banded(thresholds: tuple) -> Column:
-    """The entries of every band of lengths, each with its t. A band holds the lines that may be linked to one of
-    its own as the shorter."""
-    length, bands = F.col("length"), []
-    for n, (shortest, t) in enumerate(thresholds):
-        entries = F.array(*[e.withField("t", F.lit(t)) for e in _entries(t, shortest, refined=False)])
-        inside = length >= shortest
-        if n + 1 < len(thresholds):
-            inside = inside & (length < thresholds[n + 1][0] + t)
-        bands.append(F.when(inside, entries).otherwise(F.array()))
-    return F.concat(*bands)
+    round looks up all gaps, a refined one the gap it came with. own=True gives the index entries only.
 
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    a, b = rows.filter("own").alias("a"), rows.alias("b")
-    met = (F.col("a.key") == F.col("b.key")) & F.when(F.col("b.own"), F.col("a.id") < F.col("b.id")).otherwise(F.col("a.id") != F.col("b.id"))
-    return a.join(b, met).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    The segments, gaps and shifts are a fixed table by which every line is multiplied, so that one small
+    expression makes all entries.
+    """
+    k = t + 1
+    probes = [(i, gap, shift) for gap in range(k) for i in range(k) for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1)]
+    probes = [p for p in probes if not own or p[1] == p[2] == 0]
+    table = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("i", "less", "shift"), p)]) for p in probes])
+    met = rows.withColumn("length", F.length("text")).withColumn("p", F.explode(table)).select("*", "p.*")
+    if refined:
+        met = met.filter("less = gap")
+    # of the line looked up: its length, that of a short segment, and how many are short
+    met = met.withColumn("indexed", F.expr("length - less")).withColumns({"base": F.expr(f"cast(indexed div {k} as int)"), "plain": F.expr(f"{k} - indexed % {k}")})
+    met = met.withColumns({"size": F.expr("base + if(i >= plain, 1, 0)"), "start": F.expr("base * i + greatest(0, i - plain) + shift")})
+    met = met.filter((F.col("indexed") >= shortest) & F.expr("start >= 0 and start + size <= length"))
+    found = F.xxhash64("seed", "i", "indexed", F.expr("substring(text, start + 1, size)"))
+    return met.select(found.alias("key"), F.expr("own and less = 0 and shift = 0").alias("own"), F.col("less").alias("gap"), "start", "size", "id", "text")
+
+
+def _pairs(own: DataFrame, every: DataFrame) -> DataFrame:
+    """(a, b) of ids: a line of the index, and one that looks it up."""
+    a, b = own.select("key", F.col("id").alias("a")), every.select("key", F.col("id").alias("b"), F.col("own").alias("indexed"))
+    return a.join(b, "key").filter("if(indexed, a < b, a <> b)").select("a", "b")
 
 
 def _with_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """The distinct lines (id, h1, text) whose id is among the ids."""
-    few = ids.count() <= BROADCAST_IDS
-    met = lines.join(F.broadcast(ids) if few else ids, lines.h0 == ids.id, "left_semi")
-    return stored(met.select(F.col("h0").alias("id"), "h1", F.col("line").alias("text")).distinct(), "line-texts")
+    """The lines (id, h1, text) whose id is among the ids."""
+    met = lines.join(ids, lines.h0 == ids.id, "left_semi")
+    return stored(met.select(F.col("h0").alias("id"), "h1", F.col("line").alias("text")), "line-texts")
 
 
 def candidates(lines: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
     """Distinct (a, b, t) of line ids that may be within t edits; all that are, are among them."""
-    long = lines.filter(F.length("line") >= thresholds[0][0]).select(
-        F.lit(0).cast("long").alias("seed"), F.col("h0").alias("id"), F.col("line").alias("text"), F.lit(True).alias("own"), F.lit(0).alias("gap")
-    )
-    every = stored(_keys(long, _banded(thresholds)).drop("text").distinct(), "segment-keys")
-    found = [_met(lines, every.filter(F.col("t") == t).drop("t"), t, bucket).withColumn("t", F.lit(t)) for _, t in thresholds]
+    found = []
+    for n, (shortest, t) in enumerate(thresholds):
+        # a band: the lines that may be linked to one of its own as the shorter
+        band = lines.filter(F.length("line") >= shortest)
+        if n + 1 < len(thresholds):
+            band = band.filter(F.length("line") < thresholds[n + 1][0] + t)
+        found.append(_met(band, shortest, t, bucket).withColumn("t", F.lit(t)))
     return stored(reduce(DataFrame.unionByName, found).distinct(), "candidates")
 
 
-def _met(lines: DataFrame, rows: DataFrame, t: int, bucket: int) -> DataFrame:
-    """(a, b) of line ids that meet in a bucket of the index rows of one threshold."""
-    found, level = [], 0
+def _hot(own: DataFrame, bucket: int) -> DataFrame:
+    return stored(own.groupBy("key").count().filter(F.col("count") > bucket).select("key"), "hot-keys")
+
+
+def _met(lines: DataFrame, shortest: int, t: int, bucket: int) -> DataFrame:
+    """(a, b) of the ids of distinct lines (h0, h1, line) that meet in a bucket of one threshold."""
+    first = lines.select(F.lit(t).cast("long").alias("seed"), F.col("h0").alias("id"), F.col("line").alias("text"), F.lit(True).alias("own"), F.lit(0).alias("gap"))
+    own, every = _entries(first, t, shortest, own=True), _entries(first, t, shortest)
+    hot = _hot(own, bucket)
+    if hot.isEmpty():
+        return _pairs(own, every)
+    found = [_pairs(own.join(hot, "key", "left_anti"), every.join(hot, "key", "left_anti"))]
+    deep = stored(every.drop("text").join(hot, "key", "left_semi"), "hot-entries")
+    texts = _with_ids(lines, deep.select("id").distinct()).select("id", "text")
+    rows = deep.join(texts, "id")
     while True:
-        hot = stored(rows.filter("own").groupBy("key").count().filter(F.col("count") > bucket).select("key"), "hot-keys")
+        # every matched segment has a character at least, so the rests get shorter until they are within t
+        rest = F.concat(F.expr("substring(text, 1, start)"), F.expr("substring(text, start + size + 1)"))
+        deep = stored(rows.select(F.col("key").alias("seed"), "id", rest.alias("text"), "own", "gap").distinct(), "rests")
+        found += _short(deep.filter(F.length("text") <= t))
+        rows = stored(_entries(deep.filter(F.length("text") > t), t, 0, refined=True).distinct(), "segment-keys")
+        own = rows.filter("own")
+        hot = _hot(own, bucket)
         if hot.isEmpty():
-            found.append(_pairs(rows))
-            return reduce(DataFrame.unionByName, found)
-        found.append(_pairs(rows.join(hot, "key", "left_anti")))
-        deep = rows.join(hot, "key", "left_semi")
-        if not level:
-            texts = _with_ids(lines, stored(deep.select("id").distinct(), "hot-ids"))
-            deep = deep.join(texts.select("id", "text"), "id")
-        rest = F.concat(F.expr("substring(text, 1, start)"), F.lit("\x00"), F.expr("substring(text, start + size + 1)"))
-        deep = deep.select(F.col("key").alias("seed"), "id", rest.alias("text"), "own", "gap").distinct()
-        # a rest shorter than the segments has empty ones, which match: then it is verified pair by pair
-        if level >= 12:
-            found.append(_pairs(deep.withColumnRenamed("seed", "key")))
-            return reduce(DataFrame.unionByName, found)
-        rows, level = stored(_keys(deep, F.array(*_entries(t, 0, refined=True))).distinct(), f"segment-keys-{level + 1}"), level + 1
+            return reduce(DataFrame.unionByName, [*found, _pairs(own, rows)])
+        found.append(_pairs(own.join(hot, "key", "left_anti"), rows.join(hot, "key", "left_anti")))
+        rows = rows.join(hot, "key", "left_semi")
+
+
+def _short(rests: DataFrame) -> list[DataFrame]:
+    """(a, b) of lines whose rests have t characters at most. Lines of the index had the same places cut out, so they
+    differ in the rest only, are all within t and one group: they are linked to the smallest."""
+    own = rests.filter("own").select(F.col("seed").alias("key"), "id").distinct()
+    heads = own.groupBy("key").agg(F.min("id").alias("a"))
+    stars = own.join(heads, "key").filter("a <> id").select("a", F.col("id").alias("b"))
+    return [stars, _pairs(own, rests.filter("not own").select(F.col("seed").alias("key"), "id", "own").distinct())]
 
 
 def characters(text: Column) -> Column:
@@ -177,7 +171,7 @@ def within(a: Column, b: Column, t: int) -> Column:
 
 
 def linked_lines(lines: DataFrame, thresholds: tuple = THRESHOLDS, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) of line names (both hashes) within the edits their length allows."""
+    """(a, b) of line names (both hashes) within the edits their length allows; lines (h0, h1, line) are distinct."""
     pairs = candidates(lines, thresholds, bucket)
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
     texts = _with_ids(lines, ids)
@@ -202,7 +196,8 @@ def _dropped(rows: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
     marks = stored(lines.drop("line"), "line-marks")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "file", "at", "pos")
     firsts = stored(marks.groupBy("h0", "h1").agg(F.min(order).alias("first"), F.count("*").alias("n")), "first-lines")
-    roots = components(linked_lines(lines, thresholds, bucket))
+    long = stored(lines.filter(F.length("line") >= thresholds[0][0]).select("h0", "h1", "line").distinct(), "long-lines")
+    roots = components(linked_lines(long, thresholds, bucket))
     linked = stored(firsts.withColumn("name", name).join(roots.withColumnRenamed("node", "name"), "name").select("h0", "h1", "root", "first"), "linked")
     keep = linked.groupBy("root").agg(F.min("first").alias("keep"))
     linked = stored(linked.join(keep, "root").select("h0", "h1", "keep"), "linked-keep")
