@@ -175,6 +175,7 @@ o.created AS ship_created_ts FROM dc_events e LEFT JOIN od o ON o.o_orderkey = e
 O["first_and_last_snapshot"] = """SELECT store_id, product_code, min(snapshot_date) AS first_at, arg_min(physical_qty, snapshot_date) AS first_value,
 max(snapshot_date) AS last_at, arg_max(physical_qty, snapshot_date) AS last_value FROM si_snaps GROUP BY 1, 2"""
 O["product_versions"] = f"SELECT sku, price_list, valid_from, valid_to, is_current, version_number, {sk('sku', 'version_number')} AS version_key FROM d_product_v"
+O["product_versions_load_by_load"] = O["product_versions"]
 O["email_group_leader"] = """SELECT source_system, source_id, email AS mail, first_value(source_system) OVER w AS leader_system, first_value(source_id) OVER w AS leader_id
 FROM id_raw WHERE email IS NOT NULL WINDOW w AS (PARTITION BY email ORDER BY source_system, source_id)"""
 
@@ -481,7 +482,7 @@ dim("return_reason", "sha256(r) AS return_reason_key, r AS reason_code, CASE r W
 dim("listing_condition", "sha256(c) AS listing_condition_key, c AS condition_code, CASE WHEN c IN ('SEALED', 'NEW') THEN 'NEW' ELSE 'OPEN_BOX' END AS granularity_group",
     "(SELECT condition_on_receipt AS c FROM r_receipts UNION SELECT restocked_as_condition FROM r_receipts)")
 dim("promotion", "sha256(p) AS promotion_key, p AS promo_code, array_to_string(list_sort(list(DISTINCT c)), ',') AS promotion_channel_scope",
-    "(SELECT promo_code_applied AS p, CASE WHEN delivery_method_code = 'BOPIS' THEN 'BOPIS' ELSE 'EC' END AS c FROM ec_orders UNION SELECT utm, 'WEB' FROM sessions) WHERE p IS NOT NULL GROUP BY p")
+    "(SELECT promo_code_applied AS p, CASE WHEN delivery_method_code = 'BOPIS' THEN 'BOPIS' ELSE 'EC' END AS c FROM ec_orders UNION SELECT utm, 'WEB' FROM sessions UNION SELECT promo_code_applied, 'STORE' FROM ec_orders) WHERE p IS NOT NULL GROUP BY p")
 dim("store", "sha256('ST-' || n_nationkey) AS store_key, 'ST-' || n_nationkey AS store_id, n_name AS store_name, r_name AS region_name, m.d AS zone_activation_date",
     "nation JOIN region ON r_regionkey = n_regionkey LEFT JOIN (SELECT store_id, min(movement_date) AS d FROM si_moves GROUP BY 1) m ON m.store_id = 'ST-' || n_nationkey")
 dim("seller", "sha256(code) AS seller_key, code AS seller_code, seller_status, seller_risk_score, seller_risk_tier_key",
@@ -515,17 +516,17 @@ O["fact_web_session"] = f"""SELECT session_id, {dkey("first_at")} AS date_key, {
 date_diff('second', first_at, last_at) AS session_duration_seconds, pageviews AS page_count, n AS event_count, {CLEAN} FROM sessions"""
 O["fact_web_page_event"] = f"""SELECT session_id, event_id, {dkey("moment")} AS date_key, {okey("product_sku")} AS product_key, code AS event_type_code, step AS step_id, seconds AS time_on_page_seconds,
 cart_value::DOUBLE AS cart_value, converts AS is_conversion_event, {CLEAN} FROM page_events"""
-O["fact_classified_listing_snapshot"] = f"""SELECT listing_id, listing_ref, {dkey("created")} AS date_key, sha256(seller) AS seller_key, category AS category_code, status AS status_code,
+O["fact_classified_listing_snapshot"] = f"""SELECT listing_id, listing_ref, {dkey("created")} AS date_key, sha256(category) AS product_key, sha256(seller) AS seller_key, category AS category_code, status AS status_code,
 price::DOUBLE AS asking_price, relist_count, {Q} FROM r_listings"""
-O["fact_classified_listing_event"] = f"SELECT listing_id, event_id, {dkey('moment')} AS date_key, code AS event_type_code, offer::DOUBLE AS offer_amount, {Q} FROM r_listing_events"
+O["fact_classified_listing_event"] = f"SELECT listing_id, event_id, {dkey('moment')} AS date_key, sha256(listing_id::VARCHAR) AS product_key, code AS event_type_code, offer::DOUBLE AS offer_amount, {Q} FROM r_listing_events"
 O["fact_customer_review"] = f"""SELECT review_id, {dkey("moment")} AS date_key, sha256(product_sku) AS product_key, sha256(customer_id) AS customer_key, rating AS star_rating, verified = 1 AS is_verified_purchase,
 days_post_delivery, {Q} FROM r_reviews"""
 O["fact_customer_complaint"] = f"""SELECT case_id, canonical_case_key, case_reference, {dkey("created")} AS date_key, sha256(customer_ref) AS customer_key, sha256(channel) AS channel_key,
 date_diff('second', created, resolved) / 3600.0::DOUBLE AS resolution_time_hours, dup AS is_duplicate_flag, {Q} FROM r_cases"""
-O["fact_store_sale_line"] = f"""SELECT receipt_no, line_no, date_key, product_key, {okey("store_id")} AS store_key, {okey("customer_id")} AS customer_key, {okey("instrument")} AS payment_method_key, quantity,
+O["fact_store_sale_line"] = f"""SELECT receipt_no, line_no, date_key, product_key, {okey("store_id")} AS store_key, {okey("customer_id")} AS customer_key, {okey("instrument")} AS payment_method_key, {okey("promo_code")} AS promotion_key, quantity,
 gross::DOUBLE AS gross_amount, discount::DOUBLE AS discount_amount, net::DOUBLE AS net_amount, tax_amt::DOUBLE AS tax_amount, cogs_amount::DOUBLE AS cogs_amount, gross::DOUBLE / quantity AS unit_price,
 {quality(("true", "TAX_INCLUSION_MISMATCH", AM, INF))} FROM f_sale"""
-O["fact_return_line"] = f"""SELECT return_authorization_id, line_no, {dkey("request_date")} AS request_date_key, {dkey("receipt_date")} AS receipt_date_key, sha256(product_sku) AS product_key,
+O["fact_return_line"] = f"""SELECT return_authorization_id, line_no, {dkey("request_date")} AS request_date_key, {dkey("receipt_date")} AS receipt_date_key, sha256(product_sku) AS product_key, {okey("customer_id")} AS customer_key,
 {okey("return_store_id")} AS store_key, sha256(reason_code) AS return_reason_key, sha256(condition_on_receipt) AS listing_condition_key, quantity_returned, refund_amount::DOUBLE AS refund_amount,
 restocking_fee::DOUBLE AS restocking_fee, impact::DOUBLE AS revenue_impact_original_period, impact::DOUBLE AS revenue_impact_return_period, is_boris_return, {Q} FROM f_return"""
 T["weekly"] = """
@@ -539,6 +540,30 @@ UNION ALL SELECT regexp_extract(seller, '(\\d+)', 1)::BIGINT, (date_trunc('week'
 _W = ["total_orders", "cancelled_orders", "late_fulfilments", "returned_orders", "complaints", "listings", "duplicate_listings", "listing_reports", "chats_received", "chats_answered"]
 O["fact_seller_performance_snapshot"] = f"""SELECT w.*, {dkey("week_end")} AS date_key, sha256(w.seller_id::VARCHAR) AS seller_key, t.trust_score AS seller_trust_score, {CLEAN}
 FROM (SELECT seller_id, week_end, {", ".join(f"sum({c})::BIGINT AS {c}" for c in _W)} FROM weekly GROUP BY 1, 2) w LEFT JOIN trust t USING (seller_id)"""
+# fact: its table, grain, day, product, customer
+_VERSIONED = {
+    "ecommerce_order_line": ("f_line", "order_id, line_id", "order_date", "product_sku", "customer_id"), "order_fulfilment": ("f_fulfil", "order_id", "order_date", "", "customer_id"),
+    "store_inventory_snapshot": ("f_si", "store_id, product_code, snapshot_date", "snapshot_date", "product_code", ""),
+    "warehouse_inventory_snapshot": ("wh_snaps", "warehouse_id, f.sku, snapshot_date", "snapshot_date", "sku", ""), "inventory_transaction": ("f_moves", "movement_id, node_type", "mdate", "product_code", ""),
+    "web_session": ("sessions", "session_id", "first_at", "", "customer"), "web_page_event": ("page_events", "session_id, event_id", "day", "product_sku", ""),
+    "customer_review": ("reviews", "review_id", "moment", "product_sku", "customer_id"), "customer_complaint": ("cases", "case_id", "created", "", "customer_ref"),
+    "store_sale_line": ("f_sale", "receipt_no, line_no", "txn_date", "product_code", "customer_id"), "return_line": ("f_return", "return_authorization_id, line_no", "request_date", "product_sku", "customer_id"),
+}
+
+
+def _versioned(t: str, columns: str) -> str:
+    table, _, day, product, customer = _VERSIONED[t]
+    joins = "".join(f" LEFT JOIN {v} {a} ON {a}.{k} = f.{c} AND f.{day}::DATE BETWEEN {a}.valid_from AND {a}.valid_to"
+                    for v, a, k, c in (("d_product_v", "pv", "sku", product), ("d_customer_v", "cv", "customer_id", customer)) if c)
+    return f"SELECT {columns} FROM {table} f{joins}"
+
+
+_VK = {"product": sk("pv.sku", "pv.version_number"), "customer": sk("cv.customer_id", "cv.version_number")}
+for _t, (_, _grain, _, _p, _c) in _VERSIONED.items():
+    _keys = [f"CASE WHEN {a}.version_number IS NOT NULL THEN {_VK[d]} END AS {d}_version_key" for d, a, c in (("product", "pv", _p), ("customer", "cv", _c)) if c]
+    O[f"versions_{_t}"] = _versioned(_t, ", ".join([_grain.replace("product_code", "f.product_code"), *_keys]))
+O["star_join_row_counts"] = union(_versioned(_t, f"'{_t}' AS fact, (SELECT count(*) FROM {_VERSIONED[_t][0]}) AS fact_rows, count(*) AS joined_rows, "
+                                             f"{'count(pv.version_number)' if _VERSIONED[_t][3] else '0::BIGINT'} AS with_product, {'count(cv.version_number)' if _VERSIONED[_t][4] else '0::BIGINT'} AS with_customer") for _t in _VERSIONED)
 O["partial_rebuild"] = """SELECT 'customer_review' AS table_name, count(*) AS row_count FROM reviews UNION ALL SELECT 'return_line', count(*) FROM returned
 UNION ALL SELECT 'warehouse_inventory_snapshot', count(*) FROM wh_snaps"""
 O["rebuild_row_deltas"] = union(f"SELECT '{n}' AS fact, count(*) AS rows_before, count(*) AS rows_after, 0::BIGINT AS delta FROM {t}" for n, t in
@@ -594,6 +619,7 @@ _LINKS = [
     ("store_sale_line", "date_key", "date", "f_sale", "txn_date", _DAY), ("store_sale_line", "product_key", "product", "f_sale", "product_code", _PROD),
     ("store_sale_line", "store_key", "store", "f_sale", "store_id", "SELECT 'ST-' || n_nationkey FROM nation"), ("store_sale_line", "customer_key", "customer", "f_sale", "customer_id", _CUST),
     ("store_sale_line", "payment_method_key", "payment_method", "f_sale", "instrument", "SELECT instrument FROM od"), ("store_sale_line", "channel_key", "channel", "f_sale", "'STORE'", f"SELECT channel_code FROM {CHANNELS}"),
+    ("store_sale_line", "promotion_key", "promotion", "f_sale", "promo_code", _PROMO), ("return_line", "customer_key", "customer", "f_return", "customer_id", _CUST),
     ("return_line", "request_date_key", "date", "f_return", "request_date", _DAY), ("return_line", "return_reason_key", "return_reason", "f_return", "reason_code", "SELECT reason FROM returned"),
     ("return_line", "listing_condition_key", "listing_condition", "f_return", "condition_on_receipt", _DIM_ROWS["listing_condition"][1:-1]), ("return_line", "product_key", "product", "f_return", "product_sku", _PROD),
     ("seller_performance_snapshot", "seller_key", "seller", FACT_TABLES["seller_performance_snapshot"], "seller_id", "SELECT s_suppkey FROM supplier"),

@@ -447,9 +447,10 @@ SELECT l.order_id, l.line_id, o.order_date, {dkey("o.order_date")} AS date_key,
   l.line_total AS gross, CASE WHEN o.order_status = 'CANCELLED' THEN 0 ELSE l.line_total END AS confirmed,
   o.order_status IS DISTINCT FROM 'CANCELLED' AS is_confirmed_revenue, l.discount, l.unit_price,
   o.attribution_confidence IS NOT NULL AS is_campaign_attributed,
-  CASE WHEN o.promo_code_applied IS NOT NULL THEN 'PROMO_CODE' WHEN o.attribution_confidence IS NOT NULL THEN 'SESSION_BRIDGE' END AS attribution_rule,
+  CASE WHEN o.promo_code_applied IS NOT NULL THEN 'PROMO_CODE' WHEN o.attribution_confidence IS NOT NULL THEN 'SESSION_BRIDGE'
+    WHEN o.pickup_store_id IS NOT NULL AND o.order_date BETWEEN DATE '1998-08-08' AND DATE '1998-08-28' AND p.category = 'PROMO' THEN 'BOPIS_WINDOW' END AS attribution_rule,
   o.anomaly_flag, o.anomaly_reason_code, o.data_quality_status, o.metric_certainty_level, o.pickup_store_id
-FROM ec_order_lines l LEFT JOIN r_ec_orders o USING (order_id)"""
+FROM ec_order_lines l LEFT JOIN r_ec_orders o USING (order_id) LEFT JOIN products p ON p.sku = l.product_sku"""
 T["f_fulfil"] = f"""
 SELECT o.order_id, o.order_number, o.order_date, {okey("o.customer_id")} AS customer_key, o.customer_id, o.order_status, o.delivery_method_code,
   {dkey("o.order_date")} AS placed_date_key, {dkey("p.moment")} AS captured_date_key, {dkey("m.picked")} AS shipped_date_key,
@@ -474,18 +475,20 @@ UNION ALL SELECT movement_id, 'WAREHOUSE', warehouse_id, sku, movement_type, qua
 T["f_sale"] = f"""
 SELECT l.txn_id AS receipt_no, l.line_no, o.day AS txn_date, {dkey("o.day")} AS date_key, {sk("l.product_code")} AS product_key,
   'ST-' || (o.o_custkey % 25) AS store_id, o.o_custkey::VARCHAR AS customer_id, o.instrument, l.product_code,
+  CASE WHEN o.o_totalprice >= 400000 THEN 'VIP10' WHEN o.o_totalprice >= 300000 THEN 'SCHOOL15' END AS promo_code,
   CASE o.o_orderstatus WHEN 'P' THEN 'CANCELLED' WHEN 'F' THEN 'CONFIRMED' WHEN 'O' THEN 'OPEN' END AS receipt_status,
   l.quantity, l.gross, l.discount, l.net, l.tax_amt, round(l.net + l.tax_amt - l.tax_amt, 2) AS revenue_excl_tax,
   (p.cogs * l.quantity)::DECIMAL(18,2) AS cogs_amount
 FROM pos_lines l LEFT JOIN od o ON o.o_orderkey = l.l_orderkey LEFT JOIN products p ON p.sku = l.product_code"""
 T["f_return"] = f"""
 SELECT c.ra_id AS return_authorization_id, r.line_id AS line_no, (r.ship + to_days(10))::DATE AS request_date, c.received_date AS receipt_date,
-  r.sku AS product_sku, CASE WHEN r.l_tax < 0.025 THEN 'ST-' || (r.l_suppkey % 25) END AS return_store_id, r.reason AS reason_code,
+  r.sku AS product_sku, b.customer_id, CASE WHEN r.l_tax < 0.025 THEN 'ST-' || (r.l_suppkey % 25) END AS return_store_id, r.reason AS reason_code,
   CASE WHEN r.l_linestatus = 'O' THEN 'EC' ELSE 'STORE' END AS channel_code, c.condition_on_receipt, c.restocked_as_condition, r.qty AS quantity_returned,
   c.restocked_qty, f.refund_type, f.refund_amount, f.restocking_fee, f.original_month, f.refund_month, f.impact,
   f.anomaly_reason_code AS refund_reason_code, r.l_linestatus = 'O' AND r.l_tax < 0.025 AS is_boris_return,
   c.anomaly_flag, c.anomaly_reason_code, c.data_quality_status, c.metric_certainty_level
-FROM returned r JOIN r_receipts c ON c.ra_id = 'RA-' || r.rid JOIN r_refunds f ON f.ra_id = 'RA-' || r.rid"""
+FROM returned r JOIN r_receipts c ON c.ra_id = 'RA-' || r.rid JOIN r_refunds f ON f.ra_id = 'RA-' || r.rid
+LEFT JOIN r_ec_orders b ON b.order_id = r.l_orderkey"""
 T["phases"] = "SELECT date_day, campaign_phase FROM d_date"
 T["values_by_channel"] = """
 SELECT 'EC' AS channel, order_date AS day, gross, confirmed AS net FROM f_line

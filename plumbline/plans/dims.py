@@ -129,12 +129,12 @@ def dim_listing_condition(receipts: DataFrame) -> DataFrame:
     ))
 
 
-def dim_promotion(orders: DataFrame, sessions: DataFrame) -> DataFrame:
+def dim_promotion(orders: DataFrame, sessions: DataFrame, receipts: DataFrame) -> DataFrame:
     """Promo codes and campaign tags with the channels they were seen in."""
     channel = F.when(F.col("delivery_method_code") == "BOPIS", "BOPIS").otherwise("EC")
     used = orders.select(F.col("promo_code_applied").alias("promo_code"), channel.alias("c")).unionByName(
         sessions.select(F.col("utm_campaign").alias("promo_code"), F.lit("WEB").alias("c"))
-    )
+    ).unionByName(receipts.select("promo_code", F.lit("STORE").alias("c")))
     scope = used.filter("promo_code is not null").distinct().groupBy("promo_code").agg(
         # at most a handful of channels per code
         F.array_join(F.array_sort(F.collect_set("c")), ",").alias("promotion_channel_scope")
@@ -174,9 +174,16 @@ def dim_seller(sellers: DataFrame, trust: DataFrame, accounts: DataFrame) -> Dat
     )
 
 
-def dim_product(loads: DataFrame, catalogue: DataFrame) -> DataFrame:
+def product_versions(loads: DataFrame) -> DataFrame:
+    return versions(loads, "sku", ["price_list"], "load_date")
+
+
+def customer_versions(loads: DataFrame) -> DataFrame:
+    return versions(loads, "customer_id", ["delivery_habit"], "load_date")
+
+
+def dim_product(v: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Product versions; name, category and prices are the catalogue's current ones."""
-    v = versions(loads, "sku", ["price_list"], "load_date")
     facts = catalogue.select("sku", "product_name", "brand", "category", "list_price", "cogs")
     return _finish(v.join(facts, "sku", "left").withColumns({
         "product_key": surrogate_key("sku"),
@@ -184,9 +191,8 @@ def dim_product(loads: DataFrame, catalogue: DataFrame) -> DataFrame:
     }))
 
 
-def dim_customer(loads: DataFrame, identities: DataFrame) -> DataFrame:
+def dim_customer(v: DataFrame, identities: DataFrame) -> DataFrame:
     """Customer versions with the identity they resolve to."""
-    v = versions(loads, "customer_id", ["delivery_habit"], "load_date")
     who = identities.filter("source_system = 'LOYALTY'").select(
         F.col("source_id").cast("string").alias("customer_id"),
         F.col("customer_key").alias("customer_master_key"),

@@ -9,6 +9,9 @@ from plumbline.functions.dates import hours_between
 from plumbline.functions.exprs import first_column, holds
 from plumbline.functions.keys import date_key, optional_key, surrogate_key
 from plumbline.operators.aggregates import non_additive, semi_additive
+from plumbline.operators.commerce import attribution_rule
+from plumbline.operators.history import version_at
+from plumbline.operators.joins import mark_exists
 from plumbline.operators.quality import QUALITY, Rule, add_anomaly_columns, flag, union_all
 
 # declared grain of every fact
@@ -29,6 +32,21 @@ GRAIN = {
     "seller_performance_snapshot": ["seller_id", "week_end"],
 }
 
+# facts with a day on which a product or customer version is valid: day, product, customer
+VERSIONED = {
+    "ecommerce_order_line": ("order_date", "product_sku", "customer_id"),
+    "order_fulfilment": ("order_date", None, "customer_id"),
+    "store_inventory_snapshot": ("snapshot_date", "product_code", None),
+    "warehouse_inventory_snapshot": ("snapshot_date", "sku", None),
+    "inventory_transaction": ("mdate", "product_code", None),
+    "web_session": ("session_start_ts", None, "registered_customer_id"),
+    "web_page_event": ("event_timestamp", "product_sku", None),
+    "customer_review": ("review_datetime", "product_sku", "customer_id"),
+    "customer_complaint": ("created_datetime", None, "customer_ref"),
+    "store_sale_line": ("txn_date", "product_code", "customer_id"),
+    "return_line": ("request_date", "product_sku", "customer_id"),
+}
+
 # declared links: fact, foreign key, dimension, its key
 LINKS = [
     ("ecommerce_order_line", "date_key", "date", "date_key"),
@@ -72,12 +90,14 @@ LINKS = [
     ("store_sale_line", "customer_key", "customer", "customer_key"),
     ("store_sale_line", "payment_method_key", "payment_method", "payment_method_key"),
     ("store_sale_line", "channel_key", "channel", "channel_key"),
+    ("store_sale_line", "promotion_key", "promotion", "promotion_key"),
     ("return_line", "request_date_key", "date", "date_key"),
     ("return_line", "receipt_date_key", "date", "date_key"),
     ("return_line", "store_key", "store", "store_key"),
     ("return_line", "return_reason_key", "return_reason", "return_reason_key"),
     ("return_line", "listing_condition_key", "listing_condition", "listing_condition_key"),
     ("return_line", "product_key", "product", "product_key"),
+    ("return_line", "customer_key", "customer", "customer_key"),
     ("seller_performance_snapshot", "date_key", "date", "date_key"),
     ("seller_performance_snapshot", "seller_key", "seller", "seller_key"),
     ("seller_performance_snapshot", "seller_risk_tier_key", "seller_risk_tier", "seller_risk_tier_key"),
@@ -96,8 +116,22 @@ def carried(prefix: str = "__") -> list[Column]:
     ]
 
 
-def ecommerce_order_line(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per online order line: gross, confirmed revenue, attribution."""
+def with_versions(t: str, df: DataFrame, dims: dict[str, DataFrame], last_day: str) -> DataFrame:
+    """The fact with the version of its product and customer that was valid on its day. dims: product, customer."""
+    if t not in VERSIONED:
+        return df
+    day, product, customer = VERSIONED[t]
+    if product:
+        df = version_at(df, dims["product"], product, "sku", F.col(day), "product_version_key", last_day)
+    if customer:
+        df = version_at(df, dims["customer"], customer, "customer_id", F.col(day), "customer_version_key", last_day)
+    return df
+
+
+def ecommerce_order_line(lines: DataFrame, orders: DataFrame, eligible: DataFrame, window: tuple[str, str]) -> DataFrame:
+    """One row per online order line: gross, confirmed revenue, attribution. eligible: products (sku) whose pickup
+    in the campaign window counts for it."""
+    lines = mark_exists(lines, eligible, {"product_sku": "sku"}, "__eligible")
     head = orders.select(
         "order_id", "order_date", "customer_id", "delivery_method_code", "pickup_store_id",
         "promo_code_applied", "order_status", "attribution_confidence",
@@ -107,6 +141,8 @@ def ecommerce_order_line(lines: DataFrame, orders: DataFrame) -> DataFrame:
     bridged = F.col("attribution_confidence").isNotNull()
     cancelled = F.col("order_status") == "CANCELLED"
     gross = F.col("line_total_excl_tax")
+    first, last = (F.lit(d).cast("date") for d in window)
+    picked_up = F.col("pickup_store_id").isNotNull() & F.col("order_date").between(first, last) & F.col("__eligible")
     f = lines.drop(*QUALITY).join(head, "order_id", "left").select(
         "order_id", "line_id", "order_date",
         date_key("order_date").alias("date_key"),
@@ -124,8 +160,7 @@ def ecommerce_order_line(lines: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("discount_applied").alias("discount_amount"),
         "unit_price_excl_tax",
         bridged.alias("is_campaign_attributed"),
-        F.when(F.col("promo_code_applied").isNotNull(), "PROMO_CODE")
-        .when(bridged, "SESSION_BRIDGE").alias("attribution_rule"),
+        attribution_rule(F.col("promo_code_applied"), bridged, picked_up).alias("attribution_rule"),
         *carried(),
     )
     f = flag(f, [Rule("ORPHAN_FK", F.col("order_status").isNull())])
@@ -269,6 +304,7 @@ def classified_listing_snapshot(listings: DataFrame) -> DataFrame:
     f = listings.select(
         "listing_id", "listing_ref",
         date_key("created_at").alias("date_key"),
+        surrogate_key("category_code").alias("product_key"),  # classifieds know no product below the category
         surrogate_key("seller_account_id").alias("seller_key"),
         "seller_account_id", "category_code", "status_code", "asking_price", "views_count",
         "favourites_count", "relist_count", "created_at", "image_hash", "excluded_from_gmv",
@@ -281,6 +317,7 @@ def classified_listing_event(events: DataFrame) -> DataFrame:
     return events.select(
         "listing_id", "event_id", "event_timestamp",
         date_key("event_timestamp").alias("date_key"),
+        surrogate_key("listing_id").alias("product_key"),  # the thing offered is the listing
         "event_type_code", "offer_amount",
         first_column(events, ["user_ref"], "string").alias("user_ref"), *QUALITY,
     )
@@ -293,7 +330,7 @@ def customer_review(reviews: DataFrame) -> DataFrame:
         optional_key("customer_id").alias("customer_key"),
         F.col("rating").alias("star_rating"),
         (F.col("is_verified_purchase") == 1).alias("is_verified_purchase"),
-        "days_post_delivery", *QUALITY,
+        "days_post_delivery", "product_sku", "customer_id", "review_datetime", *QUALITY,
     )
     return non_additive(f, ["star_rating"])
 
@@ -314,7 +351,7 @@ def customer_complaint(cases: DataFrame) -> DataFrame:
 def store_sale_line(lines: DataFrame, receipts: DataFrame, catalogue: DataFrame) -> DataFrame:
     """One row per receipt line. Cost is quantity times catalogue cost, null where unknown."""
     head = receipts.select(
-        "txn_id", "txn_date", "store_id", "customer_id", "payment_method_code", "canonical_status"
+        "txn_id", "txn_date", "store_id", "customer_id", "payment_method_code", "promo_code", "canonical_status"
     )
     cost = catalogue.select(F.col("sku").alias("product_code"), "cogs")
     f = lines.join(head, "txn_id", "left").join(cost, "product_code", "left").select(
@@ -325,6 +362,7 @@ def store_sale_line(lines: DataFrame, receipts: DataFrame, catalogue: DataFrame)
         optional_key("customer_id").alias("customer_key"),
         optional_key("payment_method_code").alias("payment_method_key"),
         surrogate_key(F.lit("STORE")).alias("channel_key"),
+        optional_key("promo_code").alias("promotion_key"),
         "product_code", "customer_id", F.col("canonical_status").alias("receipt_status"),
         "quantity", "gross_amount", "discount_amount", "net_amount", "tax_amount",
         "revenue_excl_tax",
@@ -338,8 +376,9 @@ def store_sale_line(lines: DataFrame, receipts: DataFrame, catalogue: DataFrame)
     return non_additive(f.withColumn("margin_percentage", margin), ["unit_price", "margin_percentage"])
 
 
-def return_line(requests: DataFrame, receipts: DataFrame, refunds: DataFrame) -> DataFrame:
-    """One row per returned product of a return authorisation."""
+def return_line(requests: DataFrame, receipts: DataFrame, refunds: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per returned product of a return authorisation. The customer is that of the order sent back."""
+    buyers = orders.select(F.col("order_number").alias("original_order_ref"), "customer_id")
     got = receipts.select(
         "return_authorization_id", "received_date", "restocked_qty", "restocked_as_condition",
         "condition_on_receipt", *[F.col(c).alias(f"__{c}") for c in QUALITY],
@@ -350,7 +389,7 @@ def return_line(requests: DataFrame, receipts: DataFrame, refunds: DataFrame) ->
         "revenue_impact_original_period", "revenue_impact_return_period",
         F.col("anomaly_reason_code").alias("refund_reason_code"),
     )
-    return requests.drop(*QUALITY).join(got, "return_authorization_id", "left").join(
+    return requests.drop(*QUALITY).join(buyers, "original_order_ref", "left").join(got, "return_authorization_id", "left").join(
         paid, "return_authorization_id", "left"
     ).select(
         "return_authorization_id", "original_order_ref", "line_no",
@@ -358,6 +397,7 @@ def return_line(requests: DataFrame, receipts: DataFrame, refunds: DataFrame) ->
         date_key("received_date").alias("receipt_date_key"),
         F.col("return_request_date").alias("request_date"), F.col("received_date").alias("receipt_date"),
         surrogate_key("product_sku").alias("product_key"), "product_sku",
+        optional_key("customer_id").alias("customer_key"), "customer_id",
         optional_key("return_store_id").alias("store_key"),
         optional_key("reason_code").alias("return_reason_key"), "reason_code",
         surrogate_key("channel_code").alias("channel_key"), "channel_code",

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.exprs import has_code, with_one_row
 from plumbline.operators import checks
-from plumbline.operators.commerce import attribution_rule
-from plumbline.operators.joins import mark_exists
 from plumbline.operators.quality import union_all
 from plumbline.plans import facts
 from plumbline.plans.marts import EC, LE, LS, STORE, VIEWS, WH, channel_values, with_phase
@@ -206,12 +204,6 @@ def linked_tables(w: Warehouse) -> tuple[dict[str, DataFrame], dict[str, DataFra
 def campaign_rules(w: Warehouse) -> DataFrame:
     """Campaign revenue by the rule that attributes it: promo code, prior session, pickup of an
     eligible product in the window."""
-    first, last = (F.lit(d).cast("date") for d in w.campaign.window)
-    eligible = w.source("pc_products").filter(F.col("category") == "PROMO").select("sku")
-    f = mark_exists(w.gold(EC), eligible, {"product_sku": "sku"}, "eligible")
-    pickup = F.col("store_key").isNotNull() & F.col("order_date").between(first, last) & F.col("eligible")
-    promo = F.when(F.col("attribution_rule") == "PROMO_CODE", F.col("attribution_rule"))
-    rule = attribution_rule(promo, F.col("is_campaign_attributed"), pickup)
-    return f.groupBy(F.coalesce(rule, F.lit("ORGANIC")).alias("rule")).agg(
+    return w.gold(EC).groupBy(F.coalesce("attribution_rule", F.lit("ORGANIC")).alias("rule")).agg(
         F.count("*").alias("order_lines"),
         F.sum("confirmed_revenue_excl_tax").cast("double").alias("confirmed_revenue"))

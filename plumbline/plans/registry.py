@@ -12,6 +12,7 @@ from plumbline.functions.exprs import bucket, decimals_as_double, first_column,
 from plumbline.functions.keys import anonymous_key, readable_key, surrogate_key
 from plumbline.functions.text import email_norm
 from plumbline.operators import aggregates, checks, commerce, identity, inventory, joins, matching, quality
+from plumbline.operators.history import merge_load, versions
 from plumbline.operators.quality import AUDIT, QUALITY, Rule
 from plumbline.plans import analyses, dims, facts, marts, reconciliation as rec, resolution as r
 from plumbline.plans.silver import SILVER
@@ -462,6 +463,17 @@ def product_versions(w):
         "sku", "price_list", "valid_from", "valid_to", "is_current", "version_number", "version_key")
 
 
+@query
+def product_versions_load_by_load(w):
+    """The last loads merged one by one into the versions of all loads before them."""
+    loads = raw.materialise(w.source("pc_product_loads"), "product_loads")
+    days = [r[0] for r in loads.select("load_date").distinct().orderBy(F.desc("load_date")).limit(3).collect()][::-1]
+    dim = versions(loads.filter(F.col("load_date") < days[0]) if days else loads, "sku", ["price_list"], "load_date")
+    for day in days:
+        dim = raw.materialise(merge_load(dim, loads.filter(F.col("load_date") == day), "sku", ["price_list"], "load_date"), "product_versions")
+    return dim
+
+
 @query
 def email_group_leader(w):
     """Every identity record with an address and the smallest record id that shares it."""
@@ -1082,13 +1094,13 @@ FACT_COLUMNS = {
     "inventory_transaction": ["movement_id", "node_type", "node_id", "product_code", "movement_type", "quantity_delta", "reference_number", "mdate", "date_key", "node_key"],
     "web_session": ["session_id", "date_key", "customer_key", "promotion_key", "device_type", "channel_source", "session_duration_seconds", "page_count", "event_count"],
     "web_page_event": ["session_id", "event_id", "date_key", "product_key", "event_type_code", "step_id", "time_on_page_seconds", "cart_value", "is_conversion_event"],
-    "classified_listing_snapshot": ["listing_id", "listing_ref", "date_key", "seller_key", "category_code", "status_code", "asking_price", "relist_count"],
-    "classified_listing_event": ["listing_id", "event_id", "date_key", "event_type_code", "offer_amount"],
+    "classified_listing_snapshot": ["listing_id", "listing_ref", "date_key", "product_key", "seller_key", "category_code", "status_code", "asking_price", "relist_count"],
+    "classified_listing_event": ["listing_id", "event_id", "date_key", "product_key", "event_type_code", "offer_amount"],
     "customer_review": ["review_id", "date_key", "product_key", "customer_key", "star_rating", "is_verified_purchase", "days_post_delivery"],
     "customer_complaint": ["case_id", "canonical_case_key", "case_reference", "date_key", "customer_key", "channel_key", "resolution_time_hours", "is_duplicate_flag"],
-    "store_sale_line": ["receipt_no", "line_no", "date_key", "product_key", "store_key", "customer_key", "payment_method_key", "quantity", "gross_amount", "discount_amount",
+    "store_sale_line": ["receipt_no", "line_no", "date_key", "product_key", "store_key", "customer_key", "payment_method_key", "promotion_key", "quantity", "gross_amount", "discount_amount",
                         "net_amount", "tax_amount", "cogs_amount", "unit_price"],
-    "return_line": ["return_authorization_id", "line_no", "request_date_key", "receipt_date_key", "product_key", "store_key", "return_reason_key", "listing_condition_key",
+    "return_line": ["return_authorization_id", "line_no", "request_date_key", "receipt_date_key", "product_key", "customer_key", "store_key", "return_reason_key", "listing_condition_key",
                     "quantity_returned", "refund_amount", "restocking_fee", "revenue_impact_original_period", "revenue_impact_return_period", "is_boris_return"],
     "seller_performance_snapshot": ["seller_id", "week_end", "date_key", "seller_key", "total_orders", "cancelled_orders", "late_fulfilments", "returned_orders", "complaints",
                                     "listings", "duplicate_listings", "listing_reports", "chats_received", "chats_answered", "seller_trust_score"],
@@ -1097,6 +1109,26 @@ for _t, _cols in FACT_COLUMNS.items():
     add(f"fact_{_t}", lambda w, t=_t, cols=_cols: w.fact(t).select(*cols, *QUALITY))
 
 
+for _t, (_, _p, _c) in facts.VERSIONED.items():
+    _cols = [*facts.GRAIN[_t], *["product_version_key"] * bool(_p), *["customer_version_key"] * bool(_c)]
+    add(f"versions_{_t}", lambda w, t=_t, cols=_cols: w.fact(t).select(*cols))
+
+
+@query
+def star_join_row_counts(w):
+    """Rows of each fact before and after it is joined with the versions of its product and customer."""
+    parts = []
+    for t, (_, product, customer) in facts.VERSIONED.items():
+        f = w.gold(t)
+        joined = f.withColumns({c: F.col(c) if c in f.columns else F.lit(None).cast("string") for c in ("product_version_key", "customer_version_key")})
+        for c, dim in (("product_version_key", product and w.product_versions()), ("customer_version_key", customer and w.customer_versions())):
+            if dim:
+                joined = joined.join(dim.select(F.col("version_key").alias(c), F.col("version_number").alias(f"{c}_number")), c, "left")
+        parts.append(joined.agg(F.count("*").alias("joined_rows"), F.count("product_version_key").alias("with_product"), F.count("customer_version_key").alias("with_customer"))
+                     .withColumn("fact_rows", f.agg(F.count("*")).scalar()).select(F.lit(t).alias("fact"), "fact_rows", "joined_rows", "with_product", "with_customer"))
+    return quality.union_all(parts)
+
+
 @query
 def partial_rebuild(w):
     """Write only the facts the changed tables feed, and count what was stored."""
@@ -1112,7 +1144,7 @@ def rebuild_row_deltas(w):
         "warehouse_inventory_snapshot": facts.warehouse_inventory_snapshot(w.silver("wh_inventory_snapshots")),
         "customer_review": facts.customer_review(w.silver("rv_reviews")),
         "classified_listing_event": facts.classified_listing_event(w.silver("nl_listing_events")),
-        "return_line": facts.return_line(w.silver("rr_return_requests"), w.silver("rr_return_receipts"), w.refunds_with_periods()),
+        "return_line": facts.return_line(w.silver("rr_return_requests"), w.silver("rr_return_receipts"), w.refunds_with_periods(), w.silver("ec_orders")),
     }
     return facts.row_deltas(before, {t: w.fact(t) for t in affected})
 

@@ -86,7 +86,15 @@ class Warehouse:
         return self._get(f"dim.{t}", lambda: DIMS[t](self))
 
     def fact(self, t: str) -> DataFrame:
-        return self._get(f"fact.{t}", lambda: FACTS[t](self))
+        """The fact with the versions of its product and customer."""
+        return self._get(f"fact.{t}", lambda: facts.with_versions(
+            t, FACTS[t](self), {"product": self.product_versions(), "customer": self.customer_versions()}, vocab.CALENDAR[1]))
+
+    def product_versions(self) -> DataFrame:
+        return self._get("product_versions", lambda: dims.product_versions(self.source("pc_product_loads")))
+
+    def customer_versions(self) -> DataFrame:
+        return self._get("customer_versions", lambda: dims.customer_versions(self.source("cl_customer_loads")))
 
     def gold(self, t: str) -> DataFrame:
         """The fact as written. It is built once; checks, views and reports read it from there."""
@@ -129,6 +137,9 @@ class Warehouse:
             "listing_id", "seller_id", "catalogue_sku_ref", "seller_product_title", "category", "brand"
         ), self.silver("pc_products"))
 
+    def promoted_products(self) -> DataFrame:
+        return self.source("pc_products").filter(F.col("category") == "PROMO").select("sku")
+
     def refunds_with_periods(self) -> DataFrame:
         return commerce.refund_periods(self.silver("rr_refund_events"), self.silver("ec_orders"))
 
@@ -286,12 +297,12 @@ DIMS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "delivery_method": lambda w: dims.dim_delivery_method(w.source("ec_delivery_methods")),
     "return_reason": lambda w: dims.dim_return_reason(w.source("rr_return_reasons")),
     "listing_condition": lambda w: dims.dim_listing_condition(w.resolved("rr_return_receipts")),
-    "promotion": lambda w: dims.dim_promotion(w.silver("ec_orders"), w.silver("ws_sessions")),
+    "promotion": lambda w: dims.dim_promotion(w.silver("ec_orders"), w.silver("ws_sessions"), w.silver("pos_transactions")),
     "store": lambda w: dims.dim_store(w.source("pos_stores"), w.silver("si_inventory_movements")),
     "seller": lambda w: dims.dim_seller(
         w.silver("ts_sellers"), w.trust_scores(), w.source("nl_user_accounts")),
-    "product": lambda w: dims.dim_product(w.source("pc_product_loads"), w.source("pc_products")),
-    "customer": lambda w: dims.dim_customer(w.source("cl_customer_loads"), w.identities()),
+    "product": lambda w: dims.dim_product(w.product_versions(), w.source("pc_products")),
+    "customer": lambda w: dims.dim_customer(w.customer_versions(), w.identities()),
 }
 
 # dimension: surrogate key and natural key
@@ -313,7 +324,7 @@ DIM_KEYS = {
 
 FACTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "ecommerce_order_line": lambda w: facts.ecommerce_order_line(
-        w.silver("ec_order_lines"), w.resolved("ec_orders")),
+        w.silver("ec_order_lines"), w.resolved("ec_orders"), w.promoted_products(), w.campaign.window),
     "order_fulfilment": lambda w: facts.order_fulfilment(
         w.resolved("ec_orders"), w.resolved("pg_transactions"), w.silver("dc_shipments"),
         w.resolved("dc_delivery_events"), w.silver("rr_return_requests")),
@@ -332,7 +343,8 @@ FACTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "store_sale_line": lambda w: facts.store_sale_line(
         w.resolved("pos_transaction_lines"), w.silver("pos_transactions"), w.source("pc_products")),
     "return_line": lambda w: facts.return_line(
-        w.silver("rr_return_requests"), w.resolved("rr_return_receipts"), w.resolved("rr_refund_events")),
+        w.silver("rr_return_requests"), w.resolved("rr_return_receipts"), w.resolved("rr_refund_events"),
+        w.resolved("ec_orders")),
     "seller_performance_snapshot": lambda w: facts.seller_performance_snapshot(
         w.silver("ts_marketplace_orders"), w.silver("ec_orders"), w.silver("cs_cases"),
         w.resolved("nl_listings"), w.source("ts_safety_reports"), w.silver("nl_listing_events"),

@@ -43,6 +43,7 @@ METHOD = (
     "case o_orderpriority when '1-URGENT' then 'EXPRESS' when '2-HIGH' then 'BOPIS' "
     "when '5-LOW' then 'MARKETPLACE_SELLER' else 'STANDARD' end"
 )
+PROMO = "case when o_totalprice >= 400000 then 'VIP10' when o_totalprice >= 300000 then 'SCHOOL15' end"
 INSTRUMENT = (
     "case o_orderpriority when '1-URGENT' then 'CARD' when '2-HIGH' then 'UPI' "
     "when '3-MEDIUM' then 'NETBANKING' when '5-LOW' then 'COD' else 'WALLET' end"
@@ -74,8 +75,7 @@ def ec_orders(g: Given) -> DataFrame:
         "concat('S-', o_custkey, '-', date_format(o_orderdate, 'yyyyMMdd'))) as session_id",
         f"{METHOD} as delivery_method_code",
         f"if(o_orderpriority = '2-HIGH', {STORE_OF_ORDER}, null) as pickup_store_id",
-        "case when o_totalprice >= 400000 then 'VIP10' when o_totalprice >= 300000 then 'SCHOOL15' "
-        "end as promo_code_applied",
+        f"{PROMO} as promo_code_applied",
         "cast(o_totalprice as decimal(12,2)) as subtotal_excl_tax",
     )
 
@@ -159,6 +159,7 @@ def pos_transactions(g: Given) -> DataFrame:
         f"{STORE_OF_ORDER} as store_id",
         "cast(o_custkey as string) as customer_id",
         f"{INSTRUMENT} as payment_method_code",
+        f"{PROMO} as promo_code",
         "case o_orderstatus when 'P' then 'VOD' when 'F' then 'CMP' else 'OPN' end as status_code",
     )
 

@@ -221,3 +221,32 @@ def test_refund_periods(spark):
     got = {r.id: r for r in commerce.refund_periods(refunds, orders).collect()}
     assert float(got[1].revenue_impact_return_period) == -100.0 and not got[1].is_cross_period
     assert float(got[2].revenue_impact_original_period) == -25.0 and got[2].is_cross_period
+
+
+def test_version_at_and_load_by_load(spark):
+    """Against a search of every version; one more load at a time gives what all loads at once give."""
+    import datetime as dt
+    import random
+
+    from plumbline.operators.history import merge_load, version_at, versions
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(4)
+    day = lambda n: dt.date(2001, 1, 1) + dt.timedelta(n)
+    loads = [(k, rnd.choice("ab"), day(d)) for k in "pqrs" for d in rnd.sample(range(1500), 40)] + [("t", "a", day(3000)), (None, "x", day(5))]
+    df = spark.createDataFrame(loads, "k string, v string, on date")
+    dim = versions(df.filter("k is not null"), "k", ["v"], "on")
+    rows = [(i, rnd.choice(["p", "q", "r", "s", "t", "u", None]), rnd.choice([None, day(rnd.randrange(-50, 4000))])) for i in range(400)]
+    facts = spark.createDataFrame(rows, "i int, sku string, d date")
+    got = {r.i: r.version for r in version_at(facts, dim, "sku", "k", F.col("d"), "version", "2005-12-31").collect()}
+    held = [r.asDict() for r in dim.collect()]
+    for i, k, d in rows:
+        found = [v["version_key"] for v in held if v["k"] == k and d and v["valid_from"] <= d <= v["valid_to"]]
+        assert got.pop(i) == (found[0] if found else None)
+    assert not got
+    days = sorted({r[2] for r in loads})
+    built = versions(df.filter(F.col("k").isNotNull() & (F.col("on") < days[-4])), "k", ["v"], "on")
+    for d in days[-4:]:
+        built = merge_load(built, df.filter(F.col("on") == d), "k", ["v"], "on")
+    assert sorted(map(tuple, built.collect())) == sorted(map(tuple, dim.select(built.columns).collect()))
+    assert merge_load(dim, df.limit(0), "k", ["v"], "on").count() == len(held)
