@@ -7,7 +7,8 @@ largest density sum is the core of the article; the smallest density on the path
 is the threshold a branch has to reach, and in every branch that does the subtree with the largest
 density sum is content. Elements that by their name, role or class are not part of an article are
 left out of the tree, unless they hold the main element, all articles or most of the page's text: such a
-wrapper stays, and the densities decide on what is in it.
+wrapper stays, and the densities decide on what is in it. A compound name counts by each of its words
+(comment-list, site-footer), but for what stands behind a negation or a "has" (no-comments, has-sidebar).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import html as entities
 import math
 import re
 from bisect import bisect_left
-from itertools import accumulate
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,6 +34,8 @@ BLOCK = frozenset(
 CLOSES_P = BLOCK - frozenset("body html caption dd dt legend li summary tbody td tfoot th thead tr".split())
 #: An element of the key ends when one of the values starts inside it.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+#: By name of the element that starts: those it ends.
+ENDS = {n: [k for k, v in ENDED_BY.items() if n in v] + ["p"] * (n in CLOSES_P) for n in CLOSES_P.union(*ENDED_BY.values())}
 SCOPES = frozenset("article aside body div html main nav ol section table td th ul".split())
 LEFT_OUT = frozenset("aside button dialog footer form head input label menu nav select".split()) | RAW
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -41,18 +44,25 @@ NAMES = frozenset(
     "footer gdpr masthead menu menus modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion "
     "related replies reply responses share sharing sidebar sidenav signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
-NEVER_LEFT_OUT = frozenset("html body main article".split())
-ARTICLE = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
+#: Of these, what readers say: no article, however many article elements and how much text it holds.
+SPOKEN = frozenset("comment comments disqus replies reply responses".split())
+#: What follows these in a name is said of the element, not its own name: has-sidebar, content-with-menu.
+NEGATIONS = frozenset("has hide hides no non not show shows with without".split())
+NEVER_LEFT_OUT = frozenset("html body main".split())
 NEVER_ARTICLE = LEFT_OUT - {"form"} | {"footer", "header"}
-#: What a page shows no text of.
-SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg|math|object|head|select)(?=[\s/>]).*?(?:</\1\s*>|\Z)", re.I | re.S)
-TAG = re.compile(r"<[^>]*>")
-WORDS = re.compile(r"\S+")
-
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Elements whose content is no markup, and those a page shows no text of.
+TEXT_ONLY = RAW - frozenset("svg math object template".split())
+SILENT = RAW | {"head", "select"}
+STOPS = frozenset("article main body".split())
+
+#: A tag without < in it. Nothing is matched twice: a tag that does not end fails once, at the next <.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+MARK = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Link(str):
@@ -75,94 +85,236 @@ class Node:
         return [x for x in self.items if isinstance(x, Node)]
 
 
-def _left_out(name: str, attributes: str, inside_article: bool) -> bool:
-    if name in NEVER_LEFT_OUT:
-        return False
-    if name in LEFT_OUT or (name == "header" and not inside_article):
-        return True
-    if not attributes:
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    for key, *values in ATTRIBUTE.findall(attributes):
-        names = entities.unescape("".join(values)).lower().split()  # whole: no-comments names no comments
-        if not (ROLES if key.lower() == "role" else NAMES).isdisjoint(names):
+class Tag:
+    """start and end: its place in the page. closed: the number of the tag that ends the element, if one does."""
+
+    __slots__ = ("start", "end", "name", "closing", "attributes", "closed")
+
+    def __init__(self, start: int, end: int, name: str, closing: bool, attributes: str):
+        self.start, self.end, self.name, self.closing, self.attributes, self.closed = start, end, name, closing, attributes, None
+
+
+class Page:
+    """A page's tags, found in one pass from its begin to its end; nothing is looked at again for each tag.
+
+    Comments, declarations and elements without markup (scripts, say) are tags with an empty name. A tag that the
+    page breaks off in is left out with all behind it.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.tags, self.plain = text, [], False
+        at = search = 0
+        while (lt := text.find("<", search)) >= 0:
+            tag = self._tag(lt)
+            search = lt + 1
+            if tag is None:
+                continue
+            self.tags.append(tag)
+            at = search = tag.end
+        self.rest = at
+        open_: dict[str, list[int]] = {}
+        for i, tag in enumerate(self.tags):
+            if tag.closing:
+                if open_.get(tag.name):
+                    self.tags[open_[tag.name].pop()].closed = i
+            elif tag.name and tag.name not in VOID:
+                open_.setdefault(tag.name, []).append(i)
+        self.stops = [i for i, t in enumerate(self.tags) if t.name in STOPS or (t.closing and t.name == "html")]
+        self.shown: tuple | None = None
+
+    def _tag(self, lt: int) -> Tag | None:
+        text, size = self.text, len(self.text)
+        if text.startswith("<!--", lt):
+            end = text.find("-->", lt + 4)
+            return Tag(lt, end + 3 if end >= 0 else size, "", False, "")
+        if text[lt + 1 : lt + 2] in ("!", "?"):
+            end = text.find(">", lt)
+            return Tag(lt, end + 1 if end >= 0 else size, "", False, "")
+        found = TAG.match(text, lt)
+        if found:
+            closing, name, attributes, end = found[1], found[2], found[3], found.end()
+        else:
+            found = NAME.match(text, lt)
+            if not found:
+                return None
+            end = self._end(found.end())
+            if end < 0:
+                return Tag(lt, size, "", False, "")
+            closing, name, attributes = found[1], found[2], text[found.end() : end - 1]
+        name = name.lower()
+        if name in TEXT_ONLY and not closing:
+            after = _CLOSERS.setdefault(name, re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*+>?", re.I)).search(text, end)
+            return Tag(lt, after.end() if after else size, "", False, "")
+        return Tag(lt, end, name, bool(closing), attributes)
+
+    def _end(self, at: int) -> int:
+        """Behind the > that ends a tag; one in a quoted value does not. If none does, any is taken, from then on for
+        all tags of the page, so that the page is not read again and again."""
+        text, start = self.text, at
+        while not self.plain:
+            found = MARK.search(text, at)
+            if not found:
+                self.plain = True
+            elif found[0] == ">":
+                return found.end()
+            else:
+                at = found.end()
+                if text[max(at - 20, start) : at - 1].rstrip().endswith("="):
+                    close = text.find(found[0], at)
+                    if close < 0:
+                        self.plain = True
+                    else:
+                        at = close + 1
+        return text.find(">", start) + 1 or -1
+
+    def element_end(self, i: int) -> tuple[int, bool]:
+        """The number of the tag behind the element that tag i begins, and whether an end tag ends it. One that never
+        ends goes no further than the begin or end of an article, main or body."""
+        if self.tags[i].closed is not None:
+            return self.tags[i].closed + 1, True
+        at = bisect_left(self.stops, i + 1)
+        return (self.stops[at] if at < len(self.stops) else len(self.tags)), False
+
+    def _shown(self) -> tuple:
+        """Numbers of the tags that begin articles and mains, and shown characters before each tag."""
+        if self.shown is None:
+            articles, mains, sums, hidden, last = [], [], [0], 0, 0
+            for i, tag in enumerate(self.tags):
+                text = self.text[last : tag.start] if i >= hidden else ""
+                sums.append(sums[-1] + sum(map(len, text.split())))
+                last = tag.end
+                if tag.closing or i < hidden:
+                    continue
+                if tag.name in SILENT:
+                    hidden = self.element_end(i)[0]
+                elif tag.name == "main":
+                    mains.append(i)
+                elif tag.name == "article" and SPOKEN.isdisjoint(_named(tag.attributes)):
+                    articles.append(i)
+            sums.append(sums[-1] + sum(map(len, self.text[last:].split())))
+            self.shown = articles, mains, sums
+        return self.shown
+
+    def wraps_article(self, i: int, end: int, spoken: bool) -> bool:
+        """Whether an element to be left out by name, role or class holds the main element or all the articles; or,
+        where the page marks none, most of its text (those whose own tag says that they are none do not count).
+        What readers say counts only if the page has next to nothing else, and no article beside it."""
+        articles, mains, sums = self._shown()
+        inside = lambda places: bisect_left(places, end) - bisect_left(places, i)
+        share = sums[min(end, len(sums) - 1)] - sums[i + 1]
+        if inside(mains):
             return True
-    return False
+        if spoken:
+            return 20 * share > 19 * sums[-1] and inside(articles) == len(articles)
+        if mains or articles:
+            return bool(articles) and inside(articles) == len(articles)
+        return self.tags[i].name not in NEVER_ARTICLE and 2 * share > sums[-1]
+
 
+_CLOSERS: dict[str, re.Pattern] = {}
 
-class Shown:
-    """Where a page's text and its article and main elements begin, without what it does not show."""
 
-    def __init__(self, page: str):
-        plain = SILENT.sub(lambda m: " " * len(m[0]), page)
-        found = list(ARTICLE.finditer(plain))
-        self.articles, self.mains = [m.start() for m in found], [m.start() for m in found if m[0].lower() == "<main"]
-        words = [m.span() for m in WORDS.finditer(TAG.sub(lambda m: " " * len(m[0]), plain))]
-        self.starts, self.sums = [a for a, _ in words], [0, *accumulate(b - a for a, b in words)]
+def _named(attributes: str) -> set[str]:
+    """The words of an element's class, id and role that say what it is: comment-list names list and comment,
+    has-sidebar and content-with-menu no sidebar and no menu."""
+    found: set[str] = set()
+    if not attributes:
+        return found
+    for key, *values in ATTRIBUTE.findall(attributes):
+        for name in entities.unescape("".join(values)).split():
+            words = SPLIT.split(HUMP.sub("-", name).lower())
+            if key.lower() == "role":
+                found.update({"menu" if name.lower() in ROLES else ""})
+                continue
+            for n, word in enumerate(words):
+                if word in NEGATIONS:
+                    words = words[:n]
+                    break
+            found.update(words)
+    return found
 
-    def wraps_article(self, name: str, start: int, end: int) -> bool:
-        """Whether a part to be left out by name, role or class holds the main element or all the articles; or,
-        where the page marks none, most of its text (those whose own tag says that they are none do not count)."""
-        inside = lambda places: bisect_left(places, end) - bisect_left(places, start)
-        if self.articles:
-            return inside(self.mains) > 0 or inside(self.articles) == len(self.articles)
-        chars = self.sums[bisect_left(self.starts, end)] - self.sums[bisect_left(self.starts, start)]
-        return name not in NEVER_ARTICLE and 2 * chars > self.sums[-1]
 
+def _left_out(tag: Tag, names: set[str], inside_article: bool, inside_code: bool) -> bool:
+    if tag.name in NEVER_LEFT_OUT:
+        return False
+    if tag.name in LEFT_OUT or (tag.name == "header" and not inside_article):
+        return True
+    if tag.attributes and HIDDEN.search(tag.attributes):
+        return True
+    if tag.name == "article":
+        return not SPOKEN.isdisjoint(names)
+    return not inside_code and (not NAMES.isdisjoint(names) or {"site", "header"} <= names)
 
-def parse(page: str) -> Node:
+
+def parse(text: str) -> Node:
     """The tree of what may be content. Unclosed and stray tags are mended as browsers do for
     paragraphs, lists and tables; a page that breaks off is closed at its end."""
-    root = Node("html")
-    stack, at, size = [("html", root, False)], 0, len(page)  # name, the block around, inside a link
-    shown = None  # found when something is to be left out
-    while at < size:
-        found = TOKEN.search(page, at)
-        if text := page[at : found.start() if found else size]:
+    page, root = Page(text), Node("html")
+    stack, at, number = [("html", root, False)], 0, 0  # name, the block around, inside a link; place, next tag
+    open_: dict[str, list[int]] = defaultdict(list)  # by name, and for all scopes: places in the stack
+    open_["*"].append(0)
+
+    def close(i: int) -> None:
+        for name, *_ in stack[i:]:
+            open_[name].pop()
+            if name in SCOPES:
+                open_["*"].pop()
+        del stack[i:]
+
+    def push(name: str, node: Node, linked: bool) -> None:
+        open_[name].append(len(stack))
+        if name in SCOPES:
+            open_["*"].append(len(stack))
+        stack.append((name, node, linked))
+
+    def end_implied(name: str) -> None:
+        """End the innermost element that cannot hold one of this name, unless a scope is between."""
+        places = [open_[x][-1] for x in ENDS.get(name, ()) if open_[x]]
+        if places and max(places) >= open_["*"][-1]:
+            close(max(places))
+
+    while number <= len(page.tags):
+        tag = page.tags[number] if number < len(page.tags) else None
+        if part := text[at : tag.start if tag else len(text)]:
             _, node, linked = stack[-1]
-            node.items.append(Link(text) if linked else text)
-        if not found:
+            node.items.append(Link(part) if linked else part)
+        if tag is None:
             break
-        at = found.end()
-        if not found[2]:
+        at, number = tag.end, number + 1
+        name = tag.name
+        if not name:
             continue
-        name, closing = found[2].lower(), bool(found[1])
-        if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if stack[i][0] in SCOPES and name not in SCOPES:
-                    break
+        if tag.closing:
+            if open_[name] and (name in SCOPES or open_[name][-1] > open_["*"][-1]):  # else it ends nothing
+                close(open_[name][-1])
             continue
         if name in ("html", "body"):
-            if name == "body" and not any(n == "body" for n, _, _ in stack):
-                del stack[1:]
-                stack.append(("body", _child(root, "body"), False))
+            if name == "body" and not open_["body"]:
+                close(1)
+                push("body", _child(root, "body"), False)
             continue
-        _end_implied(stack, name)
-        attributes, empty = found[3], found[3].endswith("/")
+        end_implied(name)
+        empty = tag.attributes.endswith("/")
         _, node, linked = stack[-1]
+        names = _named(tag.attributes)
         if name in VOID:
             node.items.append(" ") if name != "hr" else _child(node, name)
-        elif _left_out(name, attributes, any(n in ("article", "main") for n, _, _ in stack)):
+        elif _left_out(tag, names, bool(open_["article"] or open_["main"]), bool(open_["pre"] or open_["code"])):
             if empty and name not in RAW:
                 continue
-            end, whole = _after(page, name, at)
-            may_wrap = whole and name not in RAW and not HIDDEN.search(attributes)
-            if may_wrap and shown is None:
-                shown = Shown(page)
-            if may_wrap and shown.wraps_article(name, at, end):
-                stack.append((name, _child(node, name) if name in BLOCK else node, linked))
+            end, whole = page.element_end(number - 1)
+            may_wrap = whole and name not in RAW and not HIDDEN.search(tag.attributes)
+            if may_wrap and page.wraps_article(number - 1, end, not SPOKEN.isdisjoint(names)):
+                push(name, _child(node, name) if name in BLOCK else node, linked)
             else:
-                at = end
+                number = end
+                at = page.tags[end - 1].end if whole else page.tags[end].start if end < len(page.tags) else len(text)
         elif name in BLOCK:
-            stack.append((name, _child(node, name), linked))
+            push(name, _child(node, name), linked)
         else:
             node.links += name == "a"
             if not empty:
-                stack.append((name, node, linked or name == "a"))
+                push(name, node, linked or name == "a")
     return root
 
 
@@ -172,40 +324,6 @@ def _child(parent: Node, name: str) -> Node:
     return node
 
 
-def _end_implied(stack: list[tuple], name: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        open_ = stack[i][0]
-        if (open_ == "p" and name in CLOSES_P) or name in ENDED_BY.get(open_, ()):
-            del stack[i:]
-            return
-        if open_ in SCOPES:
-            return
-
-
-_ENDS: dict[str, re.Pattern] = {}
-
-
-def _after(page: str, name: str, at: int) -> tuple[int, bool]:
-    """Where the element that has just begun ends, and whether by an end tag; nested ones of its name are counted.
-    One that never ends goes no further than the article's begin or end or the body's end."""
-    if name in RAW and name not in ("svg", "math", "object", "template"):
-        pattern = _ENDS.setdefault(f"/{name}", re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I))
-        found = pattern.search(page, at)
-        return (found.end(), True) if found else (len(page), False)
-    pattern = _ENDS.setdefault(name, re.compile(rf"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?){re.escape(name)}(?=[\s/>])[^>]*>|</?(?:article|main|body)\b|</html", re.I | re.S))
-    depth, stop = 1, None
-    for found in pattern.finditer(page, at):
-        if found[2] is None:
-            if found[0][:2] == "<!" or found[1]:
-                continue
-            stop = found.start() if stop is None else stop
-            continue
-        depth += -1 if found[2] else 1
-        if not depth:
-            return found.end(), True
-    return (len(page) if stop is None else stop), False
-
-
 def _squeezed(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 

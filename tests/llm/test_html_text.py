@@ -1,10 +1,13 @@
 import html
+import math
+import random
 import re
+import time
 
 import duckdb
 import pytest
 
-from plumbline.llm.html_text import extract_text, main_text
+from plumbline.llm.html_text import Link, _mark, extract_text, main_text, parse
 
 P = "A paragraph of the article with enough words to count as text, number "
 CASES = {
@@ -66,3 +69,115 @@ def test_named_after_a_part_is_left_out():
     assert main_text(f"<body><div hidden><article><p>{P}</p></article></div><article><p>{P}1</p></article></body>") == P + "1"
     assert main_text(f"<body><article><p>{P}1</p></article><aside><article><p>{P}</p></article></aside></body>") == P + "1"
     assert main_text(f"<article><p>Short text.</p></article><div class=comments><p>{P * 9}</p></div>") == "Short text."
+
+
+TWO = f"<p>{P}1</p><p>{P}2</p>"
+SAID = f"<p>{P * 3}7</p><p>{P * 3}8</p>"
+COMPOUND = [
+    f"<article>{TWO}</article><div class='comments-area'><article class='comment'>{SAID}</article><article class='comment'>{SAID}</article></div>",
+    f"<article>{TWO}</article><ul class='comment-list'><li>{SAID}</li></ul>",
+    f"<article>{TWO}</article><ol class='commentList'><li><article>{SAID}</article></li></ol>",
+    f"<div class=post>{TWO}</div><div class='comments-area'><article class='comment even'>{SAID}</article></div>",
+    f"<div class=post>{TWO}</div><ol class='comment-list'><li><article>{SAID}</article><li><article>{SAID}</article></ol>",
+    f"<article>{TWO}</article><article class=comment>{SAID}</article>",
+    f"<div class='cookie-banner'><p>{P}</p></div><article>{TWO}</article><div class='site-footer'><p>{P}</p></div>",
+    f"<div id='cookieBanner'><p>{P}</p></div><div class=entry>{TWO}</div><div id='siteFooter'><p>{P}</p></div>",
+    f"<div class='site-header'><p>{P}</p></div><div class='content-with-sidebar'>{TWO}</div><div class='sidebar-left'><p>{P}</p></div>",
+    f"<div class='related-posts'><p>{P}</p></div><article>{TWO}<div class='share-buttons'>no</div><div class='newsletter_signup'><p>no</p></div></article>",
+    f"<div class='page no-comments'><div>{TWO}</div></div>",
+    f"<div class='ad-free-page widget-area'><main>{TWO}</main></div>",
+    f"<div title=\"a > b < c\" class=post>{TWO}</div><div title='it>s' class='ad-box'>no</div>",
+]
+
+
+@pytest.mark.parametrize("page", COMPOUND)
+def test_compound_names(page):
+    assert main_text(f"<body>{page}</body>").split("\n") == [P + "1", P + "2"]
+
+
+def test_code_keeps_its_comments():
+    assert main_text(f"<article>{TWO}<pre>x <span class=comment># note</span></pre></article>").endswith("x # note")
+
+
+HOSTILE = {
+    "unclosed tags": "<script " * 130_000,
+    "unclosed quotes": '<a b="' * 170_000,
+    "quoted ends": '<a b=">" ' * 110_000,
+    "nested forms": "<form>" * 60_000 + "x" + "</form>" * 60_000,
+    "nested related": "<div class='related'>" * 40_000 + "x" + "</div>" * 40_000,
+    "unclosed related": "<div class='related'>" * 50_000,
+    "less-than signs": "<" * 1_000_000,
+    "stray ends": "<b>" * 100_000 + "</i>" * 170_000,
+    "open comments": "<!-- " * 200_000,
+    "open scripts": "<script>" * 130_000,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_a_megabyte_of_broken_markup(kind):
+    start = time.process_time()
+    main_text(f"<body><article>{TWO}</article>{HOSTILE[kind]}")
+    assert time.process_time() - start < 10  # a megabyte; 24 KB took 24 s when tags were looked for again and again
+
+
+def plain_density(node):
+    """(characters, tags, link characters, link tags) of a block, counted again by walking all below it."""
+    chars = tags = link_chars = link_tags = 0
+    for x in node.items:
+        if isinstance(x, str):
+            n = len(" ".join(html.unescape(x).split()))
+            chars, link_chars = chars + n, link_chars + n * isinstance(x, Link)
+        else:
+            c, t, lc, lt = plain_density(x)
+            chars, tags, link_chars, link_tags = chars + c, tags + t + 1, link_chars + lc, link_tags + lt
+    return chars, tags + node.links, link_chars, link_tags + node.links
+
+
+def composite(chars, tags, link_chars, link_tags, share):
+    if not chars:
+        return 0.0
+    tags, link_chars, link_tags = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    free = max(chars - (link_chars if share is None else link_chars), 1)
+    return chars / tags * max(math.log(chars / link_chars * tags / link_tags) / math.log(chars * link_chars / free + share * chars + math.e), 0)
+
+
+def test_densities_by_plain_recursion():
+    """Sums, core, threshold and choice of a random page, each from its definition."""
+    rnd = random.Random(8)
+
+    def block(depth):
+        inner = "".join(rnd.choice([lambda: "word " * rnd.randint(1, 30), lambda: f"<a href=x>{'link ' * rnd.randint(1, 9)}</a>", lambda: block(depth + 1)])() for _ in range(rnd.randint(1, 4))) if depth < 5 else "leaf "
+        return f"<div>{inner}</div>"
+
+    for _ in range(60):
+        root = parse(f"<body>{block(0)}{block(0)}</body>")
+        _mark(root)
+        body = root.nodes[0]
+        counts = plain_density(body)
+        share = counts[2] / max(counts[0], 1)
+        every, above = [], {}
+
+        def walk(n):
+            every.append(n)
+            for k in n.nodes:
+                above[k] = n
+                walk(k)
+
+        walk(body)
+        for n in every:
+            c, t, lc, lt = plain_density(n)
+            assert n.density == pytest.approx(composite(c, t, lc, lt, share), rel=1e-9)
+            own = [(len(" ".join(x.split())), isinstance(x, Link)) for x in n.items if isinstance(x, str)]
+            itself = composite(sum(x for x, _ in own), n.links, sum(x for x, linked in own if linked), n.links, share)
+            assert n.density_sum == pytest.approx(itself + sum(k.density for k in n.nodes), rel=1e-9)
+        node = core = max(every, key=lambda n: n.density_sum)
+        least = core.density
+        while node in above:
+            node = above[node]
+            least = min(least, node.density)
+
+        def best(n):
+            return max([n, *(best(k) for k in n.nodes)], key=lambda x: x.density_sum)
+
+        want = {id(best(n)) for n in every if n.density >= least and n.chars}
+        assert {id(n) for n in every if n.kept} == want
