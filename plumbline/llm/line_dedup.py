@@ -50,34 +50,50 @@ def _lines(rows: DataFrame) -> DataFrame:
     return trimmed.select("*", F.xxhash64("line").alias("h0"), F.xxhash64(F.lit(1), "line").alias("h1"))
 
 
-def _entries(rows: DataFrame, t: int, shortest: int, own: bool = False, refined: bool = False) -> DataFrame:
-    """The index and look-up entries (key, own, gap, start, size) of lines (seed, id, text, own, gap), with id and text.
-
-    own rows are in the index and look up too; the others look up lines that are `gap` shorter. A first
-    round looks up all gaps, a refined one the gap it came with. own=True gives the index entries only.
-
-    The segments, gaps and shifts are a fixed table by which every line is multiplied, so that one small
-    expression makes all entries.
+def _probes(t: int, least: int, own: bool) -> list[Column]:
+    """For t edits: which segment, how much shorter a line it looks up, and by how much the segment is moved."""
+    moves = [(i, gap, shift) for gap in range(t + 1) for i in range(t + 1) for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1)]
+    names = ("t", "least", "i", "less", "shift")
+    return [F.struct(*[F.lit(x).alias(n) for n, x in zip(names, (t, least, *m))]) for m in moves if not own or m[1] == m[2] == 0]
+
+
+def _banded(thresholds: tuple, own: bool) -> Column:
+    """The probes of a line's band; near its end also those of the next, whose shorter lines it may be linked to."""
+    length, bands = F.col("length"), None
+    for n, (shortest, t) in reversed(list(enumerate(thresholds))):
+        here = _probes(t, shortest, own)
+        if n + 1 == len(thresholds):
+            bands = F.when(length >= shortest, F.array(*here))
+        else:
+            upto, next_ = thresholds[n + 1]
+            both = F.array(*here, *_probes(next_, upto, own))
+            bands = F.when((length >= upto + t), bands).when(length >= upto, both).when(length >= shortest, F.array(*here))
+    return bands
+
+
+def _entries(rows: DataFrame, probes: Column) -> DataFrame:
+    """The index and look-up entries (key, t, own, gap, start, size) of lines (seed, id, text, own, gap), with id and text.
+
+    own rows are in the index and look up too; the others look up lines that are `gap` shorter.
+
+    Segments, gaps and shifts are fixed tables by which every line is multiplied, so that one small expression makes
+    all entries. Characters are of one width, so that a segment is found by its place.
     """
-    k = t + 1
-    probes = [(i, gap, shift) for gap in range(k) for i in range(k) for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1)]
-    probes = [p for p in probes if not own or p[1] == p[2] == 0]
-    table = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("i", "less", "shift"), p)]) for p in probes])
-    met = rows.withColumn("length", F.length("text")).withColumn("p", F.explode(table)).select("*", "p.*")
-    if refined:
-        met = met.filter("less = gap")
+    met = rows.withColumns({"length": F.length("text"), "wide": F.encode("text", "UTF-32")})
+    met = met.withColumn("p", F.explode(probes)).select("seed", "id", "text", "own", "gap", "length", "wide", "p.*")
     # of the line looked up: its length, that of a short segment, and how many are short
-    met = met.withColumn("indexed", F.expr("length - less")).withColumns({"base": F.expr(f"cast(indexed div {k} as int)"), "plain": F.expr(f"{k} - indexed % {k}")})
+    met = met.withColumn("indexed", F.expr("length - less"))
+    met = met.withColumns({"base": F.expr("cast(indexed div (t + 1) as int)"), "plain": F.expr("t + 1 - indexed % (t + 1)")})
     met = met.withColumns({"size": F.expr("base + if(i >= plain, 1, 0)"), "start": F.expr("base * i + greatest(0, i - plain) + shift")})
-    met = met.filter((F.col("indexed") >= shortest) & F.expr("start >= 0 and start + size <= length"))
-    found = F.xxhash64("seed", "i", "indexed", F.expr("substring(text, start + 1, size)"))
-    return met.select(found.alias("key"), F.expr("own and less = 0 and shift = 0").alias("own"), F.col("less").alias("gap"), "start", "size", "id", "text")
+    met = met.filter("indexed >= least and start >= 0 and start + size <= length")
+    found = F.xxhash64("seed", "t", "i", "indexed", F.expr("substring(wide, 4 * start + 1, 4 * size)"))
+    return met.select(found.alias("key"), "t", F.expr("own and less = 0 and shift = 0").alias("own"), F.col("less").alias("gap"), "start", "size", "id", "text")
 
 
 def _pairs(own: DataFrame, every: DataFrame) -> DataFrame:
-    """(a, b) of ids: a line of the index, and one that looks it up."""
-    a, b = own.select("key", F.col("id").alias("a")), every.select("key", F.col("id").alias("b"), F.col("own").alias("indexed"))
-    return a.join(b, "key").filter("if(indexed, a < b, a <> b)").select("a", "b")
+    """(a, b, t) of ids: a line of the index, and one that looks it up."""
+    a, b = own.select("key", "t", F.col("id").alias("a")), every.select("key", F.col("id").alias("b"), F.col("own").alias("indexed"))
+    return a.join(b, "key").filter("if(indexed, a < b, a <> b)").select("a", "b", "t")
 
 
 def _with_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -86,56 +102,70 @@ def _with_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
     return stored(met.select(F.col("h0").alias("id"), "h1", F.col("line").alias("text")), "line-texts")
 
 
-def candidates(lines: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
-    """Distinct (a, b, t) of line ids that may be within t edits; all that are, are among them."""
-    found = []
-    for n, (shortest, t) in enumerate(thresholds):
-        # a band: the lines that may be linked to one of its own as the shorter
-        band = lines.filter(F.length("line") >= shortest)
-        if n + 1 < len(thresholds):
-            band = band.filter(F.length("line") < thresholds[n + 1][0] + t)
-        found.append(_met(band, shortest, t, bucket).withColumn("t", F.lit(t)))
-    return stored(reduce(DataFrame.unionByName, found).distinct(), "candidates")
-
-
 def _hot(own: DataFrame, bucket: int) -> DataFrame:
     return stored(own.groupBy("key").count().filter(F.col("count") > bucket).select("key"), "hot-keys")
 
 
-def _met(lines: DataFrame, shortest: int, t: int, bucket: int) -> DataFrame:
-    """(a, b) of the ids of distinct lines (h0, h1, line) that meet in a bucket of one threshold."""
-    first = lines.select(F.lit(t).cast("long").alias("seed"), F.col("h0").alias("id"), F.col("line").alias("text"), F.lit(True).alias("own"), F.lit(0).alias("gap"))
-    own, every = _entries(first, t, shortest, own=True), _entries(first, t, shortest)
+def candidates(lines: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
+    """Distinct (a, b, t) of the ids of distinct lines (h0, h1, line) that may be within t edits; all that are, are
+    among them."""
+    first = lines.select(F.lit(0).cast("long").alias("seed"), F.col("h0").alias("id"), F.col("line").alias("text"), F.lit(True).alias("own"), F.lit(0).alias("gap"))
+    own, every = _entries(first, _banded(thresholds, own=True)), _entries(first, _banded(thresholds, own=False))
     hot = _hot(own, bucket)
     if hot.isEmpty():
-        return _pairs(own, every)
+        return stored(_pairs(own, every).distinct(), "candidates")
     found = [_pairs(own.join(hot, "key", "left_anti"), every.join(hot, "key", "left_anti"))]
     deep = stored(every.drop("text").join(hot, "key", "left_semi"), "hot-entries")
     texts = _with_ids(lines, deep.select("id").distinct()).select("id", "text")
     rows = deep.join(texts, "id")
+    again = reduce(lambda c, b: c.when(F.col("edits") == b[1], F.array(*_probes(b[1], 0, own=False))), thresholds, F.when(F.lit(False), None))
     while True:
         # every matched segment has a character at least, so the rests get shorter until they are within t
         rest = F.concat(F.expr("substring(text, 1, start)"), F.expr("substring(text, start + size + 1)"))
-        deep = stored(rows.select(F.col("key").alias("seed"), "id", rest.alias("text"), "own", "gap").distinct(), "rests")
-        found += _short(deep.filter(F.length("text") <= t))
-        rows = stored(_entries(deep.filter(F.length("text") > t), t, 0, refined=True).distinct(), "segment-keys")
+        deep = stored(rows.select(F.col("key").alias("seed"), F.col("t").alias("edits"), "id", rest.alias("text"), "own", "gap").distinct(), "rests")
+        found += _short(deep.filter(F.length("text") <= F.col("edits")))
+        # an entry looks up the gap it came with
+        probes = F.filter(again, lambda p: p["less"] == F.col("gap"))
+        rows = stored(_entries(deep.filter(F.length("text") > F.col("edits")), probes).distinct(), "segment-keys")
         own = rows.filter("own")
         hot = _hot(own, bucket)
         if hot.isEmpty():
-            return reduce(DataFrame.unionByName, [*found, _pairs(own, rows)])
+            return stored(reduce(DataFrame.unionByName, [*found, _pairs(own, rows)]).distinct(), "candidates")
         found.append(_pairs(own.join(hot, "key", "left_anti"), rows.join(hot, "key", "left_anti")))
         rows = rows.join(hot, "key", "left_semi")
 
 
 def _short(rests: DataFrame) -> list[DataFrame]:
-    """(a, b) of lines whose rests have t characters at most. Lines of the index had the same places cut out, so they
+    """(a, b, t) of lines whose rests have t characters at most. Lines of the index had the same places cut out, so they
     differ in the rest only, are all within t and one group: they are linked to the smallest."""
-    own = rests.filter("own").select(F.col("seed").alias("key"), "id").distinct()
+    own = rests.filter("own").select(F.col("seed").alias("key"), F.col("edits").alias("t"), "id").distinct()
     heads = own.groupBy("key").agg(F.min("id").alias("a"))
-    stars = own.join(heads, "key").filter("a <> id").select("a", F.col("id").alias("b"))
+    stars = own.join(heads, "key").filter("a <> id").select("a", F.col("id").alias("b"), "t")
     return [stars, _pairs(own, rests.filter("not own").select(F.col("seed").alias("key"), "id", "own").distinct())]
 
 
+def may_be_within(t: int) -> Column:
+    """Whether s and l, the shorter and the longer text, can be within t edits: of 16 t segments of s, all but t stand
+    in l, moved by t at most. It spares most pairs with too many edits the edit distance."""
+    k = 16 * t
+    start, end = f"length(s) * i div {k}", f"length(s) * (i + 1) div {k}"
+    held = f"contains(substring(l, cast(greatest(0, {start} - {t}) as int) + 1, cast({end} - {start} as int) + {2 * t}), substring(s, cast({start} as int) + 1, cast({end} - {start} as int)))"
+    return F.expr(f"size(filter(sequence(0, {k - 1}), i -> {held})) >= {k - t}")
+
+
+def _shared(s: str, l: str) -> Column:
+    """How many characters the texts of two columns have in common at their begin (up to 131071), by halving steps."""
+    powers = ", ".join(str(1 << n) for n in reversed(range(17)))
+    longer = f"n + p <= least(length({s}), length({l})) and substring({s}, n + 1, p) = substring({l}, n + 1, p)"
+    return F.expr(f"aggregate(array({powers}), 0, (n, p) -> if({longer}, n + p, n))")
+
+
+def differing(pairs: DataFrame) -> DataFrame:
+    """The pairs with s and l cut to what is between their common begin and end: their edit distance stays."""
+    cut = pairs.withColumn("n", _shared("s", "l")).withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")})
+    return cut.withColumn("n", _shared("s", "l")).withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")}).drop("n")
+
+
 def characters(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
@@ -180,9 +210,11 @@ def linked_lines(lines: DataFrame, thresholds: tuple = THRESHOLDS, bucket: int =
     met = pairs.join(x, "a").join(y, "b").filter("name_a <> name_b")
     swap = F.length("text_a") > F.length("text_b")
     met = met.select(
-        "name_a", "name_b", "t", characters(F.when(swap, F.col("text_b")).otherwise(F.col("text_a"))).alias("s"),
-        characters(F.when(swap, F.col("text_a")).otherwise(F.col("text_b"))).alias("l"),
+        "name_a", "name_b", "t", F.when(swap, F.col("text_b")).otherwise(F.col("text_a")).alias("s"),
+        F.when(swap, F.col("text_a")).otherwise(F.col("text_b")).alias("l"),
     )
+    hopeful = reduce(lambda c, b: c.when(F.col("t") == b[1], may_be_within(b[1])), thresholds, F.when(F.lit(False), None))
+    met = stored(differing(met.filter(hopeful)), "hopeful-pairs").select("name_a", "name_b", "t", characters(F.col("s")).alias("s"), characters(F.col("l")).alias("l"))
     # written before it is filtered: a filter would be pushed below the columns of characters
     close = F.coalesce(*[F.when(F.col("t") == t, within(F.col("s"), F.col("l"), t)) for _, t in thresholds])
     tested = stored(met.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), close.alias("close")), "verified")

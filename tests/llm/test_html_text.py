@@ -136,8 +136,8 @@ def plain_density(node):
 def composite(chars, tags, link_chars, link_tags, share):
     if not chars:
         return 0.0
+    free = max(chars - link_chars, 1)
     tags, link_chars, link_tags = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
-    free = max(chars - (link_chars if share is None else link_chars), 1)
     return chars / tags * max(math.log(chars / link_chars * tags / link_tags) / math.log(chars * link_chars / free + share * chars + math.e), 0)
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm.line_dedup import characters, within, without_duplicate_lines
+from plumbline.llm.line_dedup import characters, differing, may_be_within, within, without_duplicate_lines
 
 OUTER = " \t\r\x0b\x0c"
 
@@ -124,3 +124,19 @@ def test_long_lines_within_three_edits_are_one(spark):
     rows = [(1, line), (2, line.replace("word7 ", "Word7 ").replace("word50", "ward50").replace("word90", "worn90"))]
     got = without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, line), (2, "")]
+
+
+def test_pairs_lose_no_edits_before_the_distance(spark):
+    """What is filtered before the distance is not within, and cutting common ends keeps the distance."""
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(300):
+        a = "".join(rnd.choice("abé𝒳c") for _ in range(rnd.randint(1, 80)))
+        b = mutated(mutated(a, rnd), rnd) if rnd.random() < 0.9 else a + a
+        rows.append((min(a, b, key=len), max(a, b, key=len)))
+    df = spark.createDataFrame(rows, "s string, l string").withColumns({"x": F.col("s"), "y": F.col("l")})
+    df = df.withColumns({f"may{t}": may_be_within(t) for t in (1, 2, 3)})
+    for r in differing(df).collect():
+        d = edits(r.x, r.y)
+        assert all(r[f"may{t}"] or d > t for t in (1, 2, 3)) and edits(r.s, r.l) == d and len(r.s) <= len(r.l)
+        assert not r.s or (r.s[0] != r.l[0] and r.s[-1] != r.l[-1])
