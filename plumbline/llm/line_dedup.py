@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.graph import components
-from plumbline.llm.shared import stored
+from plumbline.llm.shared import scratch, stored
 
 #: (characters of the shorter line from which on, edits allowed).
 THRESHOLDS = ((25, 1), (150, 2), (500, 3))
@@ -223,20 +223,21 @@ def linked_lines(lines: DataFrame, thresholds: tuple = THRESHOLDS, bucket: int =
 
 def _dropped(rows: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
     """(file, at, dropped) of the documents with lines to drop: the places of those lines."""
-    lines = _lines(rows)
-    name = F.concat(F.hex("h0"), F.lit("-"), F.hex("h1"))
-    marks = stored(lines.drop("line"), "line-marks")
-    order = F.struct(F.col("id").isNull().alias("n"), "id", "file", "at", "pos")
-    firsts = stored(marks.groupBy("h0", "h1").agg(F.min(order).alias("first"), F.count("*").alias("n")), "first-lines")
-    long = stored(lines.filter(F.length("line") >= thresholds[0][0]).select("h0", "h1", "line").distinct(), "long-lines")
-    roots = components(linked_lines(long, thresholds, bucket))
-    linked = stored(firsts.withColumn("name", name).join(roots.withColumnRenamed("node", "name"), "name").select("h0", "h1", "root", "first"), "linked")
-    keep = linked.groupBy("root").agg(F.min("first").alias("keep"))
-    linked = stored(linked.join(keep, "root").select("h0", "h1", "keep"), "linked-keep")
-    repeated = firsts.filter("n > 1").join(linked, ["h0", "h1"], "left_anti").select("h0", "h1", F.col("first").alias("keep"))
-    keepers = stored(linked.unionByName(repeated), "keepers")
-    gone = marks.join(keepers, ["h0", "h1"]).filter("not (file = keep.file and at = keep.at and pos = keep.pos)")
-    return stored(gone.groupBy("file", "at").agg(F.collect_set("pos").alias("dropped")), "dropped-lines")
+    with scratch(rows.sparkSession):
+        lines = _lines(rows)
+        name = F.concat(F.hex("h0"), F.lit("-"), F.hex("h1"))
+        marks = stored(lines.drop("line"), "line-marks")
+        order = F.struct(F.col("id").isNull().alias("n"), "id", "file", "at", "pos")
+        firsts = stored(marks.groupBy("h0", "h1").agg(F.min(order).alias("first"), F.count("*").alias("n")), "first-lines")
+        long = stored(lines.filter(F.length("line") >= thresholds[0][0]).select("h0", "h1", "line").distinct(), "long-lines")
+        roots = components(linked_lines(long, thresholds, bucket))
+        linked = stored(firsts.withColumn("name", name).join(roots.withColumnRenamed("node", "name"), "name").select("h0", "h1", "root", "first"), "linked")
+        keep = linked.groupBy("root").agg(F.min("first").alias("keep"))
+        linked = stored(linked.join(keep, "root").select("h0", "h1", "keep"), "linked-keep")
+        repeated = firsts.filter("n > 1").join(linked, ["h0", "h1"], "left_anti").select("h0", "h1", F.col("first").alias("keep"))
+        keepers = stored(linked.unionByName(repeated), "keepers")
+        gone = marks.join(keepers, ["h0", "h1"]).filter("not (file = keep.file and at = keep.at and pos = keep.pos)")
+        return stored(gone.groupBy("file", "at").agg(F.collect_set("pos").alias("dropped")), "dropped-lines", outer=True)
 
 
 def without_duplicate_lines(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,27 +16,61 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own where the session names none."""
+    """The folder named in spark.checkpoint.dir. On this machine alone (a local master) one of our own where none is
+    named; a cluster must name one that all its machines see."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="plumbline-llm-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = [[]]
+
+
+def stored(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there.
 
-    The files go when the application ends; until then a lost executor costs a re-read only.
+    The files go with the innermost `scratch` they are written in (outer: the one around it), else when the
+    application ends; until then a lost executor costs a re-read only.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _scopes[max(len(_scopes) - 1 - outer, 0)].append(path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at its end; what is needed afterwards is stored with outer=True."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        deleted(spark, _scopes.pop())
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """The paths of tables stored inside are added to the list; they stay."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        paths.extend(_scopes.pop())
+
+
 def text_of(column: str) -> Column:
     """A text column with null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
