@@ -569,6 +569,13 @@ UNION ALL SELECT 'warehouse_inventory_snapshot', count(*) FROM wh_snaps"""
 O["rebuild_row_deltas"] = union(f"SELECT '{n}' AS fact, count(*) AS rows_before, count(*) AS rows_after, 0::BIGINT AS delta FROM {t}" for n, t in
                                 [("warehouse_inventory_snapshot", "wh_snaps"), ("customer_review", "reviews"), ("classified_listing_event", "listing_events"), ("return_line", "returned")])
 
+O["incremental_rebuild"] = union(
+    f"SELECT '{f}' AS fact, count(*) FILTER (NOT late) AS rows_before, count(*) AS rows_after, count(*) FILTER (late) AS rows_added, 0::BIGINT AS rows_removed, 0::BIGINT AS rows_altered, "
+    f"count(DISTINCT part) FILTER (late)::INT AS parts_replaced FROM (SELECT {late} AS late, ('0x' || substr(md5({k}::VARCHAR), 1, 7))::BIGINT % 16 AS part FROM {t})"
+    for f, t, k, late in [("customer_review", "reviews", "review_id", "moment >= TIMESTAMP '1998-06-01'"), ("customer_complaint", "cases", "case_id", "created >= TIMESTAMP '1998-09-01'"),
+                          ("warehouse_inventory_snapshot", "wh_snaps", "sku", "snapshot_date >= DATE '1998-06-01'"),
+                          ("classified_listing_snapshot", "listings", "listing_id", "created >= TIMESTAMP '1998-08-25'")])
+
 # ---- validation --------------------------------------------------------------------------------
 FACT_TABLES = {
     "ecommerce_order_line": "f_line", "order_fulfilment": "f_fulfil", "store_inventory_snapshot": "f_si", "warehouse_inventory_snapshot": "wh_snaps", "inventory_transaction": "f_moves",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,12 +25,15 @@ CAMPAIGN_YEAR = 1998
 class Warehouse:
     """Tables are lazy; nothing is computed until a result is asked for.
 
+    Facts are built from corrected tables that are written once (`corrected`); with `lazy` nothing is written and
+    facts are defined down to the given tables.
+
     `stored` may hold tables already written (a layer read back from storage); they take the place
     of their definition.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, stored: dict[str, DataFrame] | None = None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, folder: str, stored: dict[str, DataFrame] | None = None, lazy: bool = False):
+        self.spark, self.lazy = spark, lazy
         self.given = Given(spark, folder)
         self.campaign = dims.Campaign(CAMPAIGN_YEAR, CAMPAIGN_TAG)
         self._built: dict[str, DataFrame] = dict(stored or {})
@@ -52,9 +56,14 @@ class Warehouse:
         """The facts defined from the corrected state of any of these tables."""
         if unknown := [t for t in changed if t not in RESOLVED]:
             raise ValueError(f"nothing is corrected in {unknown}")
+        return sorted(t for t, needs in self.corrected_inputs().items() if needs.intersection(changed))
+
+    def corrected_inputs(self) -> dict[str, set[str]]:
+        """By fact: the corrected tables it is defined from, directly or not."""
+        plan = Warehouse(self.spark, self.given.folder, lazy=True)
         for t in FACTS:
-            self.fact(t)
-        return sorted(t for t in FACTS if any(f"resolved.{c}" in self._needs.get(f"fact.{t}", ()) for c in changed))
+            plan.fact(t)
+        return {t: {c for c in RESOLVED if f"resolved.{c}" in plan._needs.get(f"fact.{t}", ())} for t in FACTS}
 
     # ---- layers ---------------------------------------------------------------------------------
     def source(self, t: str) -> DataFrame:
@@ -69,6 +78,12 @@ class Warehouse:
             return self.silver(t)
         return self._get(f"resolved.{t}", lambda: self.correct(t))
 
+    def corrected(self, t: str) -> DataFrame:
+        """The corrected table as written. It is corrected once; facts and scores are built from there."""
+        if self.lazy or t not in RESOLVED:
+            return self.resolved(t)
+        return self._get(f"corrected.{t}", lambda: materialise(self.resolved(t), f"corrected_{t}"))
+
     def correct(self, t: str, df: DataFrame | None = None, only: list[Correction] | None = None) -> DataFrame:
         """Prepare and correct one table, or a given state of it, or with some corrections only."""
         prepare, corrections, markers = RESOLVED[t]
@@ -100,15 +115,34 @@ class Warehouse:
         """The fact as written. It is built once; checks, views and reports read it from there."""
         return self._get(f"gold.{t}", lambda: materialise(self.fact(t), f"gold_{t}"))
 
-    def write(self, path: str) -> Warehouse:
-        """Write the corrected tables and the facts under a path; a warehouse that reads them there."""
-        found: dict[str, DataFrame] = {}
-        for layer, names, get in (("resolved", RESOLVED, self.resolved), ("fact", FACTS, self.fact)):
-            for t in names:
-                place = f"{path.rstrip('/')}/{layer}/{t}"
-                write_table(get(t), place)
-                found[f"{layer}.{t}"] = self.spark.read.schema(get(t).schema).parquet(place)
-        found |= {f"gold.{t}": found[f"fact.{t}"] for t in FACTS}
+    def build(self, at_once: int = 4) -> Warehouse:
+        """Write the corrected tables that facts need, then all facts, several at a time."""
+        self._write_all("corrected", [t for t in RESOLVED if any(t in x for x in self.corrected_inputs().values())], self.resolved, at_once)
+        self._write_all("gold", list(FACTS), self.fact, at_once)
+        return self
+
+    def _write_all(self, layer: str, names: list[str], get: Callable[[str], DataFrame], at_once: int, path: str | None = None) -> None:
+        """Tables are defined one by one in this thread; only their jobs run side by side."""
+        def written(t: str) -> DataFrame:
+            if path is None:
+                return materialise(tables[t], f"{layer}_{t}")
+            write_table(tables[t], f"{path}/{t}")
+            return self.spark.read.schema(tables[t].schema).parquet(f"{path}/{t}")
+
+        tables = {t: get(t) for t in names if f"{layer}.{t}" not in self._built}
+        with ThreadPoolExecutor(at_once) as pool:
+            for t, df in zip(tables, pool.map(written, tables)):
+                self._built[f"{layer}.{t}"] = df
+
+    def write(self, path: str, at_once: int = 4) -> Warehouse:
+        """Write the corrected tables, and the facts built from them, under a path; a warehouse that reads them there."""
+        root = path.rstrip("/")
+        low = Warehouse(self.spark, self.given.folder)
+        low._write_all("corrected", list(RESOLVED), self.resolved, at_once, f"{root}/resolved")
+        low._built |= {f"resolved.{t}": low._built[f"corrected.{t}"] for t in RESOLVED}
+        low._write_all("gold", list(FACTS), low.fact, at_once, f"{root}/fact")
+        found = {k: df for k, df in low._built.items() if k.split(".")[0] in ("resolved", "corrected", "gold")}
+        found |= {f"fact.{t}": found[f"gold.{t}"] for t in FACTS}
         return Warehouse(self.spark, self.given.folder, found)
 
     # ---- derived tables between the layers -------------------------------------------------------
@@ -171,7 +205,7 @@ class Warehouse:
             both = base.join(n, "seller_id", "left")
             return pair(both, F.coalesce("n", F.lit(0)), F.col(den))
 
-        listing = self.resolved("nl_listings").select(
+        listing = self.corrected("nl_listings").select(
             F.regexp_extract("seller_account_id", "(\\d+)", 1).cast("bigint").alias("seller_id"),
             (F.col("excluded_from_gmv") | F.col("fraud_ring_flag")).alias("dup"),
         ).groupBy("seller_id").agg(F.count("*").alias("listings"), F.count_if("dup").alias("dup"))
@@ -192,7 +226,7 @@ class Warehouse:
 
     def listing_confidence(self) -> DataFrame:
         return self._get("listing_confidence", lambda: trust.listing_confidence(
-            self.resolved("nl_listings"), self.silver("nl_listing_events"),
+            self.corrected("nl_listings"), self.silver("nl_listing_events"),
             self.source("ts_safety_reports"), "excluded_from_gmv", f"{CAMPAIGN_YEAR}-09-14",
         ))
 
@@ -324,29 +358,29 @@ DIM_KEYS = {
 
 FACTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "ecommerce_order_line": lambda w: facts.ecommerce_order_line(
-        w.silver("ec_order_lines"), w.resolved("ec_orders"), w.promoted_products(), w.campaign.window),
+        w.silver("ec_order_lines"), w.corrected("ec_orders"), w.promoted_products(), w.campaign.window),
     "order_fulfilment": lambda w: facts.order_fulfilment(
-        w.resolved("ec_orders"), w.resolved("pg_transactions"), w.silver("dc_shipments"),
-        w.resolved("dc_delivery_events"), w.silver("rr_return_requests")),
+        w.corrected("ec_orders"), w.corrected("pg_transactions"), w.silver("dc_shipments"),
+        w.corrected("dc_delivery_events"), w.silver("rr_return_requests")),
     "store_inventory_snapshot": lambda w: facts.store_inventory_snapshot(
-        w.resolved("si_inventory_snapshots"), w.resolved("reconstructed_snapshots")),
+        w.corrected("si_inventory_snapshots"), w.corrected("reconstructed_snapshots")),
     "warehouse_inventory_snapshot": lambda w: facts.warehouse_inventory_snapshot(
-        w.resolved("wh_inventory_snapshots")),
+        w.corrected("wh_inventory_snapshots")),
     "inventory_transaction": lambda w: facts.inventory_transaction(
-        w.silver("si_inventory_movements"), w.resolved("wh_inventory_movements")),
+        w.silver("si_inventory_movements"), w.corrected("wh_inventory_movements")),
     "web_session": lambda w: facts.web_session(w.silver("ws_sessions")),
     "web_page_event": lambda w: facts.web_page_event(w.silver("ws_page_events")),
-    "classified_listing_snapshot": lambda w: facts.classified_listing_snapshot(w.resolved("nl_listings")),
-    "classified_listing_event": lambda w: facts.classified_listing_event(w.resolved("nl_listing_events")),
-    "customer_review": lambda w: facts.customer_review(w.resolved("rv_reviews")),
-    "customer_complaint": lambda w: facts.customer_complaint(w.resolved("cs_cases")),
+    "classified_listing_snapshot": lambda w: facts.classified_listing_snapshot(w.corrected("nl_listings")),
+    "classified_listing_event": lambda w: facts.classified_listing_event(w.corrected("nl_listing_events")),
+    "customer_review": lambda w: facts.customer_review(w.corrected("rv_reviews")),
+    "customer_complaint": lambda w: facts.customer_complaint(w.corrected("cs_cases")),
     "store_sale_line": lambda w: facts.store_sale_line(
-        w.resolved("pos_transaction_lines"), w.silver("pos_transactions"), w.source("pc_products")),
+        w.corrected("pos_transaction_lines"), w.silver("pos_transactions"), w.source("pc_products")),
     "return_line": lambda w: facts.return_line(
-        w.silver("rr_return_requests"), w.resolved("rr_return_receipts"), w.resolved("rr_refund_events"),
-        w.resolved("ec_orders")),
+        w.silver("rr_return_requests"), w.corrected("rr_return_receipts"), w.corrected("rr_refund_events"),
+        w.corrected("ec_orders")),
     "seller_performance_snapshot": lambda w: facts.seller_performance_snapshot(
         w.silver("ts_marketplace_orders"), w.silver("ec_orders"), w.silver("cs_cases"),
-        w.resolved("nl_listings"), w.source("ts_safety_reports"), w.silver("nl_listing_events"),
+        w.corrected("nl_listings"), w.source("ts_safety_reports"), w.silver("nl_listing_events"),
         w.trust_scores(), F.regexp_extract("seller_account_id", "(\\d+)", 1)),
 }
