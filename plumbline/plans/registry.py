@@ -10,8 +10,9 @@ from plumbline import vocab
 from plumbline.functions.dates import hours_between, parse
 from plumbline.functions.exprs import bucket, decimals_as_double, first_column, has_code, ratio, with_one_row
 from plumbline.functions.keys import anonymous_key, readable_key, surrogate_key
-from plumbline.functions.text import email_norm
+from plumbline.functions.text import email_norm, phone_e164
 from plumbline.operators import aggregates, checks, commerce, identity, inventory, joins, matching, quality
+from plumbline.operators.groups import linked_groups
 from plumbline.operators.history import merge_load, versions
 from plumbline.operators.quality import AUDIT, QUALITY, Rule
 from plumbline.plans import analyses, dims, facts, marts, rebuild, reconciliation as rec, resolution as r
@@ -730,6 +731,16 @@ def identity_resolution(w):
     return w.identities().select("source_system", "source_id", "customer_key", "identity_confidence", "match_pass", *QUALITY)
 
 
+@query
+def identity_groups(w):
+    """Identity records joined over any chain of loyalty ids, mail addresses and phones, with the weakest link needed."""
+    records = w.source("identity_records").select(
+        "source_system", "source_id", F.concat_ws(":", "source_system", F.lpad(F.col("source_id").cast("string"), 12, "0")).alias("record"),
+        "loyalty_id", email_norm("email").alias("mail"), phone_e164("phone").alias("phone_no"))
+    found = linked_groups(records, "record", [("loyalty_id", 1.0), ("mail", 0.95), ("phone_no", 0.9)])
+    return found.select("source_system", "source_id", "group_key", "group_confidence", "group_size")
+
+
 @query
 def identity_bridge(w):
     return identity.identity_bridge(w.identities())

@@ -250,3 +250,38 @@ def test_version_at_and_load_by_load(spark):
         built = merge_load(built, df.filter(F.col("on") == d), "k", ["v"], "on")
     assert sorted(map(tuple, built.collect())) == sorted(map(tuple, dim.select(built.columns).collect()))
     assert merge_load(dim, df.limit(0), "k", ["v"], "on").count() == len(held)
+
+
+def test_linked_groups_against_a_search(spark):
+    """Chains over several kinds of identifiers, with the weakest link each group needs."""
+    import random
+
+    from plumbline.operators.groups import linked_groups
+
+    rnd = random.Random(3)
+    pick = lambda n, p: rnd.randrange(n) if rnd.random() < p else None
+    rows = [(f"r{i:03}", pick(80, 0.4), pick(90, 0.4), pick(70, 0.3)) for i in range(200)]
+    rows += [(f"x{i:03}", 1000 + i // 2, 2000 + (i + 1) // 2, None) for i in range(40)]  # one chain of 40
+    rows += [(f"y{i:03}", 5000, None, 6000) for i in range(50)]  # a value many share
+    kinds = [(1, 1.0), (2, 0.95), (3, 0.9)]
+
+    def groups(upto):
+        label = {r[0]: r[0] for r in rows}
+        while True:
+            least = {}
+            for r in rows:
+                for k, _ in kinds[:upto]:
+                    if r[k] is not None:
+                        least[k, r[k]] = min(least.get((k, r[k]), label[r[0]]), label[r[0]])
+            new = {r[0]: min([label[r[0]], *(least[k, r[k]] for k, _ in kinds[:upto] if r[k] is not None)]) for r in rows}
+            if new == label:
+                return label
+            label = new
+
+    levels = [groups(n) for n in (1, 2, 3)]
+    got = linked_groups(spark.createDataFrame(rows, "name string, a int, b int, c int"), "name", [("a", 1.0), ("b", 0.95), ("c", 0.9)])
+    out = {r["name"]: (r.group_key, r.group_confidence, r.group_size) for r in got.collect()}
+    for r in rows:
+        mates = [q[0] for q in rows if levels[2][q[0]] == levels[2][r[0]]]
+        want = next(c for (_, c), level in zip(kinds, levels) if len({level[m] for m in mates}) == 1)
+        assert out[r[0]] == (min(mates), want, len(mates)), r
