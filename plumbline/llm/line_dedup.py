@@ -90,80 +90,84 @@ def _entries(rows: DataFrame, probes: Column) -> DataFrame:
     return met.select(found.alias("key"), "t", F.expr("own and less = 0 and shift = 0").alias("own"), F.col("less").alias("gap"), "start", "size", "id", "text")
 
 
-def _pairs(own: DataFrame, every: DataFrame) -> DataFrame:
-    """(a, b, t) of ids: a line of the index, and one that looks it up."""
-    a, b = own.select("key", "t", F.col("id").alias("a")), every.select("key", F.col("id").alias("b"), F.col("own").alias("indexed"))
-    return a.join(b, "key").filter("if(indexed, a < b, a <> b)").select("a", "b", "t")
-
-
 def _with_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """The lines (id, h1, text) whose id is among the ids."""
-    met = lines.join(ids, lines.h0 == ids.id, "left_semi")
+    """The lines (id, h1, text) whose id is among the ids. A sorted join at every size, so that small and large tables
+    are worked alike."""
+    met = lines.join(ids.hint("merge"), lines.h0 == ids.id, "left_semi")
     return stored(met.select(F.col("h0").alias("id"), "h1", F.col("line").alias("text")), "line-texts")
 
 
-def _hot(own: DataFrame, bucket: int) -> DataFrame:
-    return stored(own.groupBy("key").count().filter(F.col("count") > bucket).select("key"), "hot-keys")
+def _met(own: DataFrame, every: DataFrame) -> DataFrame:
+    """The entries whose key is in the index for another line, with n, the lines in the index under the key, and lo,
+    the smallest of them. As many rows as entries at most, however many lines share a key. The entry of a line that is
+    in the index alone is left out, even when others look it up: it is lo."""
+    keys = own.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
+    met = every.join(keys, "key").filter("not (lo = hi and id = lo)")
+    return stored(met.drop("hi"), "shared-entries")
 
 
-def candidates(lines: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
-    """Distinct (a, b, t) of the ids of distinct lines (h0, h1, line) that may be within t edits; all that are, are
-    among them."""
+def buckets(lines: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
+    """(key, t, own, id): lines under one key, of which those that are own and any other may be within t edits. All
+    pairs that are within share a key. A key has at most `bucket` own lines, or they are all linked."""
     first = lines.select(F.lit(0).cast("long").alias("seed"), F.col("h0").alias("id"), F.col("line").alias("text"), F.lit(True).alias("own"), F.lit(0).alias("gap"))
     own, every = _entries(first, _banded(thresholds, own=True)), _entries(first, _banded(thresholds, own=False))
-    hot = _hot(own, bucket)
-    if hot.isEmpty():
-        return stored(_pairs(own, every).distinct(), "candidates")
-    found = [_pairs(own.join(hot, "key", "left_anti"), every.join(hot, "key", "left_anti"))]
-    deep = stored(every.drop("text").join(hot, "key", "left_semi"), "hot-entries")
-    texts = _with_ids(lines, deep.select("id").distinct()).select("id", "text")
-    rows = deep.join(texts, "id")
+    met, found, texts = _met(own, every.drop("text")), [], None
     again = reduce(lambda c, b: c.when(F.col("edits") == b[1], F.array(*_probes(b[1], 0, own=False))), thresholds, F.when(F.lit(False), None))
     while True:
+        found.append(met.filter(F.col("n") <= bucket).select("key", "t", "own", "id"))
+        found.append(met.filter("n = 1").select("key", "t", F.lit(True).alias("own"), F.col("lo").alias("id")).distinct())
+        rows = met.filter(F.col("n") > bucket)
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        if texts is None:  # deeper down, entries carry what is left of their text
+            texts = _with_ids(lines, rows.select("id").distinct()).select("id", "text")
+            rows = rows.join(texts, "id")
         # every matched segment has a character at least, so the rests get shorter until they are within t
         rest = F.concat(F.expr("substring(text, 1, start)"), F.expr("substring(text, start + size + 1)"))
         deep = stored(rows.select(F.col("key").alias("seed"), F.col("t").alias("edits"), "id", rest.alias("text"), "own", "gap").distinct(), "rests")
-        found += _short(deep.filter(F.length("text") <= F.col("edits")))
+        # lines of the index had the same places cut out: when t characters are left, they differ in these only
+        left = F.length("text") - F.when(F.col("own"), 0).otherwise(F.col("gap"))  # of the lines looked up
+        short = deep.filter(left <= F.col("edits"))
+        found.append(short.select(F.xxhash64("seed", F.lit("rest")).alias("key"), F.col("edits").alias("t"), "own", "id").distinct())
         # an entry looks up the gap it came with
         probes = F.filter(again, lambda p: p["less"] == F.col("gap"))
-        rows = stored(_entries(deep.filter(F.length("text") > F.col("edits")), probes).distinct(), "segment-keys")
-        own = rows.filter("own")
-        hot = _hot(own, bucket)
-        if hot.isEmpty():
-            return stored(reduce(DataFrame.unionByName, [*found, _pairs(own, rows)]).distinct(), "candidates")
-        found.append(_pairs(own.join(hot, "key", "left_anti"), rows.join(hot, "key", "left_anti")))
-        rows = rows.join(hot, "key", "left_semi")
+        rows = stored(_entries(deep.filter(left > F.col("edits")), probes).distinct(), "segment-keys")
+        met = _met(rows.filter("own"), rows)
 
 
-def _short(rests: DataFrame) -> list[DataFrame]:
-    """(a, b, t) of lines whose rests have t characters at most. Lines of the index had the same places cut out, so they
-    differ in the rest only, are all within t and one group: they are linked to the smallest."""
-    own = rests.filter("own").select(F.col("seed").alias("key"), F.col("edits").alias("t"), "id").distinct()
-    heads = own.groupBy("key").agg(F.min("id").alias("a"))
-    stars = own.join(heads, "key").filter("a <> id").select("a", F.col("id").alias("b"), "t")
-    return [stars, _pairs(own, rests.filter("not own").select(F.col("seed").alias("key"), "id", "own").distinct())]
+def _wide(name: str) -> Column:
+    """Characters of one width: a part is found by its place, without counting from the begin."""
+    return F.encode(name, "UTF-32").alias(f"{name}_wide")
 
 
 def may_be_within(t: int) -> Column:
-    """Whether s and l, the shorter and the longer text, can be within t edits: of 16 t segments of s, all but t stand
-    in l, moved by t at most. It spares most pairs with too many edits the edit distance."""
-    k = 16 * t
-    start, end = f"length(s) * i div {k}", f"length(s) * (i + 1) div {k}"
-    held = f"contains(substring(l, cast(greatest(0, {start} - {t}) as int) + 1, cast({end} - {start} as int) + {2 * t}), substring(s, cast({start} as int) + 1, cast({end} - {start} as int)))"
+    """Whether s and l, the shorter and the longer text, can be within t edits, from s_wide and l_wide: of 16 t segments
+    of s, all but t stand in l, moved by t at most. It spares most pairs with too many edits the edit distance."""
+    k, n = 16 * t, "(octet_length(s_wide) div 4)"
+    start, end = f"({n} * i div {k})", f"({n} * (i + 1) div {k})"
+    place = f"substring(l_wide, cast(4 * greatest(0, {start} - {t}) as int) + 1, cast(4 * ({end} - {start} + {2 * t}) as int))"
+    held = f"contains({place}, substring(s_wide, cast(4 * {start} as int) + 1, cast(4 * ({end} - {start}) as int)))"
     return F.expr(f"size(filter(sequence(0, {k - 1}), i -> {held})) >= {k - t}")
 
 
 def _shared(s: str, l: str) -> Column:
-    """How many characters the texts of two columns have in common at their begin (up to 131071), by halving steps."""
+    """How many characters the texts of two wide columns have in common at their begin (up to 131071), by halving steps."""
     powers = ", ".join(str(1 << n) for n in reversed(range(17)))
-    longer = f"n + p <= least(length({s}), length({l})) and substring({s}, n + 1, p) = substring({l}, n + 1, p)"
-    return F.expr(f"aggregate(array({powers}), 0, (n, p) -> if({longer}, n + p, n))")
+    same = f"substring({s}, 4 * n + 1, 4 * p) = substring({l}, 4 * n + 1, 4 * p)"
+    return F.expr(f"aggregate(array({powers}), 0, (n, p) -> if(4 * (n + p) <= least(octet_length({s}), octet_length({l})) and {same}, n + p, n))")
 
 
 def differing(pairs: DataFrame) -> DataFrame:
     """The pairs with s and l cut to what is between their common begin and end: their edit distance stays."""
-    cut = pairs.withColumn("n", _shared("s", "l")).withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")})
-    return cut.withColumn("n", _shared("s", "l")).withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")}).drop("n")
+    for _ in range(2):
+        pairs = pairs.select("*", _wide("s"), _wide("l")).withColumn("n", _shared("s_wide", "l_wide")).drop("s_wide", "l_wide")
+        pairs = pairs.withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")}).drop("n")
+    return pairs
+
+
+def _hopeful(pairs: DataFrame, thresholds: tuple) -> DataFrame:
+    tests = reduce(lambda c, b: c.when(F.col("t") == b[1], may_be_within(b[1])), thresholds, F.when(F.lit(False), None))
+    return pairs.select("*", _wide("s"), _wide("l")).filter(tests).drop("s_wide", "l_wide")
 
 
 def characters(text: Column) -> Column:
@@ -200,27 +204,52 @@ def within(a: Column, b: Column, t: int) -> Column:
     return F.aggregate(steps, first, step, lambda r: r[f"r{t}"]).bitwiseAND(ends) != 0
 
 
-def linked_lines(lines: DataFrame, thresholds: tuple = THRESHOLDS, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) of line names (both hashes) within the edits their length allows; lines (h0, h1, line) are distinct."""
-    pairs = candidates(lines, thresholds, bucket)
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
-    texts = _with_ids(lines, ids)
-    named = texts.select("id", F.concat(F.hex("id"), F.lit("-"), F.hex("h1")).alias("name"), "text")
-    x, y = named.toDF("a", "name_a", "text_a"), named.toDF("b", "name_b", "text_b")
-    met = pairs.join(x, "a").join(y, "b").filter("name_a <> name_b")
+def verified(pairs: DataFrame, texts: DataFrame, thresholds: tuple) -> DataFrame:
+    """(a, b, t) of the pairs of ids that are within t edits; texts are (id, name, text)."""
+    x, y = texts.toDF("a", "name_a", "text_a"), texts.toDF("b", "name_b", "text_b")
+    met = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").filter("name_a <> name_b")
     swap = F.length("text_a") > F.length("text_b")
     met = met.select(
         "name_a", "name_b", "t", F.when(swap, F.col("text_b")).otherwise(F.col("text_a")).alias("s"),
         F.when(swap, F.col("text_a")).otherwise(F.col("text_b")).alias("l"),
     )
-    hopeful = reduce(lambda c, b: c.when(F.col("t") == b[1], may_be_within(b[1])), thresholds, F.when(F.lit(False), None))
-    met = stored(differing(met.filter(hopeful)), "hopeful-pairs").select("name_a", "name_b", "t", characters(F.col("s")).alias("s"), characters(F.col("l")).alias("l"))
+    # what is left between the common ends is shorter, so its segments are finer
+    met = stored(_hopeful(differing(_hopeful(met, thresholds)), thresholds), "hopeful-pairs")
+    met = met.select("name_a", "name_b", "t", characters(F.col("s")).alias("s"), characters(F.col("l")).alias("l"))
     # written before it is filtered: a filter would be pushed below the columns of characters
     close = F.coalesce(*[F.when(F.col("t") == t, within(F.col("s"), F.col("l"), t)) for _, t in thresholds])
     tested = stored(met.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), close.alias("close")), "verified")
     return tested.filter("close").select("a", "b")
 
 
+def linked_lines(lines: DataFrame, thresholds: tuple = THRESHOLDS, bucket: int = BUCKET) -> DataFrame:
+    """(a, b) of line names (both hashes) whose components are those of all lines within the edits their length allows;
+    lines (h0, h1, line) are distinct.
+
+    The lines of a key are first compared with the smallest of its index only, which joins groups of many near
+    lines without all their pairs. Then those pairs are compared whose lines are not yet in one component.
+    """
+    met = stored(buckets(lines, thresholds, bucket), "buckets")
+    texts = _with_ids(lines, met.select("id").distinct())
+    texts = stored(texts.select("id", F.concat(F.hex("id"), F.lit("-"), F.hex("h1")).alias("name"), "text"), "named-texts")
+    heads = met.filter("own").groupBy("key").agg(F.min("id").alias("a"))
+    stars = met.join(heads, "key").filter("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"), "t")
+    stars = stored(stars.distinct(), "stars")
+    first = verified(stars, texts, thresholds)
+    roots = stored(components(first), "star-roots")
+    named = texts.select("id", "name").join(roots, texts.name == roots.node, "left").select("id", F.coalesce("root", "name").alias("root"))
+    # of lines with one first hash any root will do: their pairs are compared by name
+    named = named.groupBy("id").agg(F.min("root").alias("root"))
+    rooted = stored(met.join(named.hint("merge"), "id"), "rooted-buckets")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    open_ = stored(rooted.join(mixed, "key", "left_semi"), "open-buckets")
+    a = open_.filter("own").select("key", "t", F.col("id").alias("a"), F.col("root").alias("root_a"))
+    b = open_.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("own").alias("indexed"))
+    rest = a.join(b, "key").filter("root_a <> root_b and if(indexed, a < b, a <> b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "t")
+    rest = stored(rest.distinct().join(stars, ["a", "b", "t"], "left_anti"), "open-pairs")
+    return first.unionByName(verified(rest, texts, thresholds))
+
+
 def _dropped(rows: DataFrame, thresholds: tuple, bucket: int) -> DataFrame:
     """(file, at, dropped) of the documents with lines to drop: the places of those lines."""
     with scratch(rows.sparkSession):

@@ -135,6 +135,7 @@ def test_pairs_lose_no_edits_before_the_distance(spark):
         b = mutated(mutated(a, rnd), rnd) if rnd.random() < 0.9 else a + a
         rows.append((min(a, b, key=len), max(a, b, key=len)))
     df = spark.createDataFrame(rows, "s string, l string").withColumns({"x": F.col("s"), "y": F.col("l")})
+    df = df.withColumns({"s_wide": F.encode("s", "UTF-32"), "l_wide": F.encode("l", "UTF-32")})
     df = df.withColumns({f"may{t}": may_be_within(t) for t in (1, 2, 3)})
     for r in differing(df).collect():
         d = edits(r.x, r.y)
