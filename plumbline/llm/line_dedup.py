@@ -158,16 +158,17 @@ def _shared(s: str, l: str) -> Column:
 
 
 def differing(pairs: DataFrame) -> DataFrame:
-    """The pairs with s and l cut to what is between their common begin and end: their edit distance stays."""
+    """The pairs with s and l cut to what is between their common begin and end: their edit distance stays. Each step
+    is written: a column used by several others would be computed again in each."""
     for _ in range(2):
-        pairs = pairs.select("*", _wide("s"), _wide("l")).withColumn("n", _shared("s_wide", "l_wide")).drop("s_wide", "l_wide")
-        pairs = pairs.withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")}).drop("n")
-    return pairs
+        pairs = stored(pairs.select("*", _wide("s"), _wide("l")), "wide-pairs").withColumn("n", _shared("s_wide", "l_wide")).drop("s_wide", "l_wide")
+        pairs = stored(pairs, "shared-ends").withColumns({x: F.reverse(F.expr(f"substring({x}, n + 1)")) for x in ("s", "l")}).drop("n")
+    return stored(pairs, "differing-pairs")
 
 
 def _hopeful(pairs: DataFrame, thresholds: tuple) -> DataFrame:
     tests = reduce(lambda c, b: c.when(F.col("t") == b[1], may_be_within(b[1])), thresholds, F.when(F.lit(False), None))
-    return pairs.select("*", _wide("s"), _wide("l")).filter(tests).drop("s_wide", "l_wide")
+    return stored(stored(pairs.select("*", _wide("s"), _wide("l")), "wide-pairs").filter(tests).drop("s_wide", "l_wide"), "hopeful-pairs")
 
 
 def characters(text: Column) -> Column:
@@ -214,7 +215,7 @@ def verified(pairs: DataFrame, texts: DataFrame, thresholds: tuple) -> DataFrame
         F.when(swap, F.col("text_a")).otherwise(F.col("text_b")).alias("l"),
     )
     # what is left between the common ends is shorter, so its segments are finer
-    met = stored(_hopeful(differing(_hopeful(met, thresholds)), thresholds), "hopeful-pairs")
+    met = _hopeful(differing(_hopeful(met, thresholds)), thresholds)
     met = met.select("name_a", "name_b", "t", characters(F.col("s")).alias("s"), characters(F.col("l")).alias("l"))
     # written before it is filtered: a filter would be pushed below the columns of characters
     close = F.coalesce(*[F.when(F.col("t") == t, within(F.col("s"), F.col("l"), t)) for _, t in thresholds])

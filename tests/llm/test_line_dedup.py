@@ -137,7 +137,7 @@ def test_pairs_lose_no_edits_before_the_distance(spark):
     df = spark.createDataFrame(rows, "s string, l string").withColumns({"x": F.col("s"), "y": F.col("l")})
     df = df.withColumns({"s_wide": F.encode("s", "UTF-32"), "l_wide": F.encode("l", "UTF-32")})
     df = df.withColumns({f"may{t}": may_be_within(t) for t in (1, 2, 3)})
-    for r in differing(df).collect():
+    for r in differing(df.drop("s_wide", "l_wide")).collect():
         d = edits(r.x, r.y)
         assert all(r[f"may{t}"] or d > t for t in (1, 2, 3)) and edits(r.s, r.l) == d and len(r.s) <= len(r.l)
         assert not r.s or (r.s[0] != r.l[0] and r.s[-1] != r.l[-1])
