@@ -10,6 +10,7 @@ from plumbline.functions.keys import surrogate_key
 from plumbline.functions.text import edit_similarity, token_sorted, tokens
 from plumbline.operators.joins import left_join_spread
 from plumbline.operators.quality import Rule, add_anomaly_columns, flag
+from plumbline.operators.similar import similar_pairs
 
 
 def best_match(
@@ -23,9 +24,9 @@ def best_match(
     """For every row the catalogue name most like its text, and the score from 0 to 1.
 
     A candidate lies in the same block and shares a word with the text. Each distinct text is
-    scored once however many rows carry it, an equal name is found by an equi-join, and only what
-    is left meets candidates, whose lengths must allow the floor score. The score is null below the
-    floor. Of equally good names the alphabetically first wins.
+    scored once however many rows carry it, an equal name is found by an equi-join, and what is left
+    meets candidates by rare pairs of characters (`similar_pairs`), not by shared words. The score is
+    null below the floor. Of equally good names the alphabetically first wins.
     """
     block = list(block)
     rows = texts.withColumn("__norm", token_sorted(text))
@@ -44,17 +45,11 @@ def best_match(
         *block, "__norm", F.col("__name").alias("match_name"), F.lit(1.0).alias("match_score")
     )
     todo = equal.filter("__name is null").select(*block, "__norm")
-    left = todo.withColumn("__word", F.explode(tokens("__norm")))
-    right = names.withColumn("__word", F.explode(tokens("__cat")))
-    short = F.least(F.length("__norm"), F.length("__cat"))
-    long = F.greatest(F.length("__norm"), F.length("__cat"))
     found = (
-        left.join(right, [*block, "__word"])
-        # the distance is computed only where the lengths allow the floor
-        .withColumn(
-            "__score", F.when(short >= long * F.lit(floor), edit_similarity("__norm", "__cat"))
-        )
-        .filter(F.col("__score") >= F.lit(floor))
+        similar_pairs(todo, "__norm", names, "__cat", block, floor)
+        .filter(F.arrays_overlap(tokens("__norm"), tokens("__cat")))
+        .join(names, [*block, "__cat"])
+        .withColumnRenamed("score", "__score")
         .groupBy(*block, "__norm")
         # the smallest name among the best: order by score down, then name up
         .agg(F.min(F.struct((-F.col("__score")).alias("s"), F.col("__name").alias("n"))).alias("m"))
