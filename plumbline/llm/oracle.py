@@ -57,9 +57,11 @@ m0 AS (SELECT d.doc_id, source, len(w) AS n_words, length(array_to_string(w, '')
               list_filter(string_split(s, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
               coalesce(cov.n, 0) AS n_repeat_words
        FROM d LEFT JOIN cov USING (doc_id)),
-m AS (SELECT doc_id, source, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+m1 AS (SELECT doc_id, source, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
              n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m0),
-h AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed)::DOUBLE AS f FROM m GROUP BY source),
+m AS (SELECT *, base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+             OR 10 * n_dup_lines > 3 * n_lines AS failed FROM m1),
+h AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (failed)::DOUBLE AS f FROM m GROUP BY source),
 g AS (SELECT sum(n) AS nn, sum(f) / sum(n) AS mu, sum(n * n) AS sq, count(*) - 1 AS k, sum(f * f / n) AS sp FROM h),
 c AS (SELECT *, least(0.5, greatest(1e-6, coalesce(
         ((sp - nn * mu * mu) - mu * (1 - mu) * k) / nullif(mu * (1 - mu) * (nn - sq / nn - k), 0), 1e-6))) AS share FROM g),
@@ -70,7 +72,7 @@ OP7 = f"""
 WITH {QUALITY}
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND NOT rejected AS kept
+       NOT failed AND NOT rejected AS kept
 FROM m JOIN v ON m.source IS NOT DISTINCT FROM v.source
 """
 

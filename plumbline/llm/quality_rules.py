@@ -1,9 +1,10 @@
 """Quality rules per document and per host, from built-in functions only.
 
-Each document is measured and fails or passes the base rules. Failures are then counted per host
-(here the document's source). A host's failure rate is shrunk towards the corpus rate with a beta
+Each document is measured and fails or passes the base rules and further rules on symbols, word length
+and repeated lines. Documents that fail any are then counted per host (here the document's source). A host's failure rate is shrunk towards the corpus rate with a beta
 prior whose two parameters come from the hosts themselves (method of moments), so that a host with
-few documents is not condemned by chance. The verdict on the host is joined back to its documents.
+few documents is not condemned by chance. The verdict on the host is joined back to its documents, of which those stay
+that pass all rules themselves.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.functions.exprs import with_one_row
 from plumbline.llm.shared import each, head, stored, tail, text_of, words_of
 
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+MAX_SYMBOL_PERCENT = 10  # of the words
+MEAN_WORD_CHARS = (3, 10)
+MAX_DUP_LINE_PERCENT = 30
 #: A host goes when its shrunk rate of failures is above this.
 MAX_HOST_RATE = 0.5
 LOW_32 = 0xFFFFFFFF
@@ -34,7 +38,7 @@ def _marked(values: Column, marks: Column, value) -> Column:
 
 
 def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The input with the five measures.
+    """The input with the five measures and the number of lines with a word.
 
     n_repeat_words counts the words that lie in a three-word window found twice or more. Windows
     are compared by a 32-bit hash packed with the position and sorted as plain numbers; the few
@@ -68,6 +72,7 @@ def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_symbols": F.regexp_count(F.col(t), F.lit("[#*$%&|<>]")),
         "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
         "n_repeat_words": F.when(F.size(f) > 0, covered).otherwise(0),
+        "n_lines": F.size("__lines"),
     }
     measured = {k: v.cast("long") for k, v in measured.items()}
     return df.select(*[F.col(f"`{c}`") for c in docs.columns], *[v.alias(k) for k, v in measured.items()])
@@ -77,7 +82,17 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def host_verdicts(measured: DataFrame, host: str = "host", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def rules_failed() -> Column:
+    """Whether a measured document fails a rule: base, symbols by word, mean word length, repeated lines."""
+    n, chars = F.col("n_words"), F.col("word_chars")
+    shortest, longest = MEAN_WORD_CHARS
+    return (
+        base_failed() | (100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * n) | (chars < shortest * n) | (chars > longest * n)
+        | (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"))
+    )
+
+
+def host_verdicts(measured: DataFrame, host: str = "host", max_rate: float = MAX_HOST_RATE, failed: str = "base_failed") -> DataFrame:
     """(host, host_docs, host_rate, host_rejected) of every host.
 
     With failures f of n documents on a host, corpus rate m and M the weight of the prior, the rate
@@ -86,7 +101,7 @@ def host_verdicts(measured: DataFrame, host: str = "host", max_rate: float = MAX
     have the corpus rate. A null host is a host of its own.
     """
     hosts = stored(
-        measured.groupBy(host).agg(F.count("*").alias("host_docs"), F.count_if("base_failed").alias("failures")), "hosts"
+        measured.groupBy(host).agg(F.count("*").alias("host_docs"), F.count_if(failed).alias("failures")), "hosts"
     )
     n, f = F.col("host_docs").cast("double"), F.col("failures").cast("double")
     totals = hosts.agg(
@@ -105,28 +120,28 @@ def host_verdicts(measured: DataFrame, host: str = "host", max_rate: float = MAX
 
 
 def _judged(measured: DataFrame, host: str) -> DataFrame:
-    verdicts = stored(host_verdicts(measured, host), "verdicts").withColumnRenamed(host, "__h")
+    verdicts = stored(host_verdicts(measured, host, failed="failed"), "verdicts").withColumnRenamed(host, "__h")
     joined = measured.join(verdicts, F.col(host).eqNullSafe(F.col("__h")), "left").drop("__h")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
+    return joined.withColumn("kept", ~F.col("failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per input row: doc_id, the measures, base_failed, host, host_rate, host_rejected, kept.
+    """One row per input row: doc_id, the measures, base_failed, failed (any rule), host, host_rate, host_rejected, kept.
 
     A null text has no words and fails. Repeated rows are judged one by one. An empty table gives an
     empty result. Columns other than the three named are not read.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
-    measured = stored(with_measures(own, "text").drop("text").withColumn("base_failed", base_failed()), "measures")
+    measured = stored(with_measures(own, "text").drop("text").withColumns({"base_failed": base_failed(), "failed": rules_failed()}), "measures")
     return _judged(measured, "host")
 
 
 def passing_quality(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The input rows, all columns, of documents that pass the base rules on hosts that stay."""
+    """The input rows, all columns, of documents that pass all rules on hosts that stay."""
     names = [f"c{i}" for i in range(len(docs.columns))]  # own names, so that no input column can clash
     own = docs.toDF(*names)
     text, host = names[docs.columns.index(text_col)], names[docs.columns.index(host_col)]
     measured = stored(
-        with_measures(own, text).withColumn("base_failed", base_failed()).drop(*MEASURES), "measured-documents"
+        with_measures(own, text).withColumn("failed", rules_failed()).drop(*MEASURES), "measured-documents"
     )
     return _judged(measured.withColumn("host", F.col(host)), "host").filter("kept").select(*names).toDF(*docs.columns)

@@ -27,7 +27,7 @@ def test_measures_against_brute_force(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == measures(r.text), r.text
 
 
-GOOD = " ".join(f"w{i}" for i in range(60))
+GOOD = " ".join(f"word{i}" for i in range(60))
 
 
 def rows():
@@ -49,6 +49,20 @@ def test_host_verdicts_reach_documents(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 201, 201]
 
 
+def test_each_rule_decides_and_counts_for_the_host(spark):
+    texts = {
+        1: GOOD, 2: GOOD + " ######", 3: GOOD + " #######", 4: "abc " + " ".join(chr(97 + i // 26) + chr(97 + i % 26) for i in range(80)),
+        5: " ".join(f"longerwords{i}" for i in range(60)), 6: GOOD + "\n" + "\n".join(["same line of text"] * 5), 7: None, 8: "",
+        9: " ".join(f"word{i}" for i in range(60)) + "\na\na\nb\nc",
+    }
+    docs = [(i, t, "en", "mixed" if i != 1 else "clean", "h", 1) for i, t in texts.items()]
+    got = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(docs, SCHEMA)).collect()}
+    # six symbols among 61 words are within a tenth, seven are not; four of six lines repeat in 6, one of five in 9
+    assert {i for i, r in got.items() if r.failed} == {3, 4, 5, 6, 7, 8}
+    assert {i for i, r in got.items() if r.base_failed} == {7, 8}
+    assert got[2].host_rate > 0.5 and not got[2].kept and not got[9].kept and got[1].kept
+
+
 def test_empty_and_uniform(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert quality_verdicts(empty).count() == 0 and passing_quality(empty).count() == 0
