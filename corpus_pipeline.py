@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages, each over all documents its predecessor kept.
 
-Quality rules and toxicity drop documents, line dedup edits their texts, near-dedup keeps one document
-of each group, and packing turns the rest into pieces of token sequences.
+Quality rules and toxicity drop documents, line dedup edits their texts, SimHash and an exact check behind it keep
+one document of each group of near-copies, and packing turns the rest into pieces of token sequences.
 
 A stage's result is written and read again by the next. The tables a stage works with are deleted when the next
 begins, so that the disk holds those of one stage.
@@ -18,7 +18,8 @@ from plumbline.llm.near_dedup import without_near_copies
 from plumbline.llm.packing import pack_documents
 from plumbline.llm.quality_rules import passing_quality
 from plumbline.llm.queries import tokenizer_path
-from plumbline.llm.shared import deleted, recorded, stored
+from plumbline.llm.shared import deleted, recorded, scratch, stored
+from plumbline.llm.simhash import one_of_each
 from plumbline.llm.toxicity import without_toxic
 
 
@@ -53,7 +54,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_copies(docs)
+    """SimHash keeps one document of each component of fingerprints; near-copies that are alike but differ in more
+    than two bits are found among the rest by their exact similarity."""
+    with scratch(spark):
+        kept = stored(one_of_each(docs), "simhash-kept", outer=True)
+    return without_near_copies(kept)
 
 
 @_stage

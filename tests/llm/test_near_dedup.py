@@ -74,3 +74,11 @@ def test_any_order_keeps_a_shared_shingle():
         if len(y) and 5 * both >= 4 * (len(x) + len(y) - both):
             assert np.intersect1d(prefix(x, frequent, rank), prefix(y, frequent, rank)).size
     assert len(shingles("a b c d e f")) == 2 and len(shingles("")) == 1
+
+
+def test_stage_drops_what_simhash_links(spark, monkeypatch):
+    """The named method by itself: of fingerprints that link the smallest id stays; texts without words link."""
+    monkeypatch.setattr(corpus_pipeline, "without_near_copies", lambda docs: docs)
+    base = " ".join(f"w{i}" for i in range(300))
+    df = spark.createDataFrame([(3, base), (1, base.upper()), (9, "something else"), (12, None), (11, " ")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, df, "").collect()) == [1, 9, 11]
