@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.joins import left_join_spread
 from plumbline.plans import facts, marts, warehouse
 from plumbline.plans.warehouse import Warehouse
+from plumbline.sources import raw
 from tests.conftest import TINY
 
 
@@ -70,3 +71,35 @@ def test_milestones_of_each_source(spark):
         "order_id", "placed_to_captured_hours", "picked_to_delivered_hours", "total_lifecycle_hours", F.col("returned_date_key").isNotNull(), "anomaly_flag")
     assert sorted(map(tuple, got.collect())) == [
         (1, 24.0, 72.0, 144.0, False, True), (1, 24.0, 72.0, 144.0, False, True), (2, None, None, 96.0, True, False), (3, None, None, None, False, False)]
+
+
+@pytest.mark.parametrize("name", list(facts.VERSIONED))
+def test_keys_behind_the_version_joins(spark, name):
+    """The keys a fact gets after its joins are those its definition gives, and its columns keep their order."""
+    w = Warehouse(spark, TINY, lazy=True)
+    own, full = warehouse.FACTS[name](w), w.fact(name)
+    assert full.columns[: len(own.columns)] == own.columns
+    columns = [*facts.GRAIN[name], *facts.DERIVED[name]()]
+    both = own.select(*columns).unionAll(full.select(*columns)).groupBy(*columns).agg(F.count("*").alias("n"))
+    assert both.filter("n % 2 = 1").count() == 0
+
+
+def test_numbering_rows_moves_none(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(f"{tmp_path}/t")
+    numbered = raw.source_row_number(spark.read.parquet(f"{tmp_path}/t"))
+    assert sorted(r[0] for r in numbered.select("_source_row_number").collect()) == list(range(1, 1001))
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+
+
+def test_version_keys_are_those_of_the_dimension(fresh):
+    """Both keys of a fact with product and customer name the version valid on the day; none is null where one is."""
+    w, _ = fresh
+    f = w.fact("customer_review")
+    for name, natural, dim, key in (("product_version_key", "product_sku", w.product_versions(), "sku"),
+                                    ("customer_version_key", "customer_id", w.customer_versions(), "customer_id")):
+        v = dim.select(F.col(key).alias("k"), "valid_from", "valid_to", "version_key")
+        day = F.col("review_datetime").cast("date")
+        met = f.join(v, (F.col(natural) == F.col("k")) & day.between(F.col("valid_from"), F.col("valid_to")), "left")
+        assert met.filter(~F.col(name).eqNullSafe(F.col("version_key"))).count() == 0
+        assert f.filter(f"{name} is not null").count() > 0
