@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm.line_dedup import characters, differing, may_be_within, within, without_duplicate_lines
+from plumbline.llm import line_dedup
+from plumbline.llm.line_dedup import characters, differing, may_be_within, wide_within, within, without_duplicate_lines
 
 OUTER = " \t\r\x0b\x0c"
 
@@ -141,3 +142,35 @@ def test_pairs_lose_no_edits_before_the_distance(spark):
         d = edits(r.x, r.y)
         assert all(r[f"may{t}"] or d > t for t in (1, 2, 3)) and edits(r.s, r.l) == d and len(r.s) <= len(r.l)
         assert not r.s or (r.s[0] != r.l[0] and r.s[-1] != r.l[-1])
+
+
+@pytest.mark.parametrize("t", [1, 2, 3])
+def test_distance_by_diagonals(spark, t):
+    """Long common runs, edits at the begin, the end and beside one another, empty texts."""
+    rnd = random.Random(t)
+    pairs = [("", ""), ("", "a"), ("a" * 70_000, "a" * 69_999 + "b"), ("ab" * 40, "ba" * 40), ("x" * 200 + "abc", "x" * 200)]
+    for _ in range(200):
+        a = "".join(rnd.choice("abé𝒳") for _ in range(rnd.randint(0, 60)))
+        pairs.append((a, mutated(mutated(a, rnd), rnd)))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.encode("a", "UTF-32").alias("x"), F.encode("b", "UTF-32").alias("y"))
+    for r in df.select("a", "b", wide_within("x", "y", t).alias("w")).collect():
+        assert r.w == ((edits(r.a, r.b) if len(r.a) < 1000 else 1) <= t), (r.a, r.b)
+
+
+def test_lines_far_apart_are_not_paired(spark, monkeypatch):
+    """Near lines that share most of their text but differ by more than the edits: few texts are fetched in pairs."""
+    rnd, made = random.Random(4), []
+    real = line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *more: made.append(pairs.count()) or real(pairs, *more))
+    common = " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(12))
+    lines = [common + " " + "".join(rnd.choice("klmnopqrst") for _ in range(12)) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in without_duplicate_lines(df).collect()) == list(enumerate(lines))
+    assert made[1] < 1000  # 120 * 119 / 2 pairs share a bucket
+
+
+def test_a_line_often_repeated_meets_its_neighbour(spark):
+    line = "the same line of text again and again"
+    rows = [(i, line) for i in range(40)] + [(50, line + "s"), (51, line[1:]), (52, "another line of text altogether")]
+    got = without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"), bucket=8)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(0, line), *((i, "") for i in range(1, 40)), (50, ""), (51, ""), rows[-1]]
