@@ -31,7 +31,7 @@ class Diagram:
 
     def __init__(self, filters: str, counts: dict[int, tuple[int, ...]]):
         self.order, self.nodes, self.known = list(filters), [None], {}
-        self.width = len(next(iter(counts.values()), (0,)))
+        self.width = len(next(iter(counts.values()), (0, 0, 0)))
         self.weights = [(0,) * self.width]
         level = [self._leaf(counts.get(mask)) for mask in range(1 << len(filters))]
         for bit in reversed(range(len(filters))):  # the last level first: masks that differ in its bit only

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.graph import components
-from plumbline.llm.shared import stored, text_of
+from plumbline.llm.shared import stored, text_of, with_places
 
 BITS = 64
 #: Members of a bucket that are compared pair by pair at most.
@@ -221,16 +221,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, allowed: int = 2) -> DataFrame:
     """The input rows, all columns, that stay: of each component the row with the smallest id, and of
-    rows with that id the first read."""
+    rows with that id the first by its place in the files."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    own = docs.toDF(*names)
+    placed = with_places(docs)
     doc_id, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
-    rows = stored(
-        own.withColumns({"fp": fingerprint_of(text_of(text), shingle), "row": F.monotonically_increasing_id()}), "fingerprinted"
-    )
-    keyed = rows.select("row", F.col(doc_id).alias("doc_id"), "fp")
+    keyed = placed.select("file", "at", F.col(doc_id).alias("doc_id"), fingerprint_of(text_of(text), shingle).alias("fp"))
+    keyed = stored(keyed, "document-fingerprints")
     ids = keyed.join(fingerprint_components(keyed, allowed), "fp")
-    first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("row").alias("r"))
-    keep = stored(ids.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.r").alias("row")), "kept-rows")
+    first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), "file", "at")
+    keep = stored(ids.groupBy("root").agg(F.min(first).alias("first")).select("first.file", "first.at"), "kept-rows")
     # a sorted join at every size, so that small and large tables are worked alike
-    return rows.join(keep.hint("merge"), "row", "left_semi").select(*names).toDF(*docs.columns)
+    return placed.join(keep.hint("merge"), ["file", "at"], "left_semi").select(*names).toDF(*docs.columns)

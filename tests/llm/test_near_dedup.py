@@ -1,7 +1,8 @@
 import random
 
 import corpus_pipeline
-from plumbline.llm.near_dedup import prefix, shingles, without_near_copies
+from plumbline.llm import near_dedup
+from plumbline.llm.near_dedup import least_difference, prefix, shingles, sketch, without_near_copies
 from plumbline.llm.simhash import fingerprint
 import numpy as np
 
@@ -82,3 +83,27 @@ def test_stage_drops_what_simhash_links(spark, monkeypatch):
     base = " ".join(f"w{i}" for i in range(300))
     df = spark.createDataFrame([(3, base), (1, base.upper()), (9, "something else"), (12, None), (11, " ")], "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, df, "").collect()) == [1, 9, 11]
+
+
+def test_sketches_differ_no_more_than_their_sets():
+    rnd = np.random.default_rng(5)
+    for _ in range(300):
+        x = np.unique(rnd.integers(-(1 << 62), 1 << 62, int(rnd.integers(1, 400))))
+        y = np.unique(np.r_[x[rnd.random(len(x)) > rnd.random() / 2], rnd.integers(-(1 << 62), 1 << 62, int(rnd.integers(1, 90)))])
+        least = least_difference(sketch(x), sketch(y))
+        assert least <= len(np.setxor1d(x, y)) and least_difference(sketch(x), sketch(x)) == 0
+    apart = [sketch(rnd.integers(-(1 << 62), 1 << 62, 300)) for _ in range(2)]
+    assert least_difference(*apart) > 200
+
+
+def test_texts_of_documents_far_apart_are_not_fetched(spark, monkeypatch):
+    """Documents that share a passage among their first shingles, but not much more."""
+    rnd, met = random.Random(6), []
+    real = near_dedup.alike
+    monkeypatch.setattr(near_dedup, "alike", lambda pairs, *more: met.append(pairs.count()) or real(pairs, *more))
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([*passage, *(f"w{rnd.randrange(9999)}" for _ in range(60))])) for i in range(60)]
+    df = spark.createDataFrame([*rows, (90, rows[0][1] + " end")], "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "LEAST", 10_000)  # no shingle counts as frequent
+    assert sorted(r.doc_id for r in without_near_copies(df).collect()) == list(range(60))
+    assert sum(met) <= 2
