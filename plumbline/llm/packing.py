@@ -94,23 +94,20 @@ class Packer:
             offset, segments, left = offset + length, segments - 1, left - (length, loss)
 
 
-class WordCache(dict):
-    """Token ids by word, as bytes of unsigned 32-bit numbers.
-
-    The tokenizer's pattern never spans from a non-space to a space, so a text splits at each single
-    space into words that are encoded alone, with the space before them; nor does it span from a
-    letter to a mark, so the marks that end a word are a word of their own. A word that ends in white
-    space could reach into the next; a text that holds one is encoded whole, as is a text with one of
-    the tokenizer's special strings. Whole texts go to the tokenizer itself, words to a byte-pair
-    encoder with the tokenizer's own vocabulary and ranks, which gives the same ids.
+class Encoder:
+    """Token ids of whole texts, as bytes of unsigned 32-bit numbers.
+
+    Texts go to a byte-pair encoder with the tokenizer's own pattern, vocabulary and ranks, which gives the same ids.
+    It takes about as long for words never met before as for frequent ones, and nothing is kept from text to text.
+    Texts with one of the tokenizer's special strings, or with white space so long that the encoder's pattern gives up
+    on it, go to the tokenizer itself.
     """
 
-    SIZE = 400_000
-    MARKS = ".,;:!?%$#*&"
+    #: A text that is white space over such a stretch goes to the tokenizer; shorter white space is safe up to twice this.
+    STRETCH = 500
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from tokenizers import Tokenizer
@@ -122,36 +119,20 @@ class WordCache(dict):
         byte_of = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in prints)}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in self.special}
-        self.encoder = tiktoken.Encoding("words", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoder = tiktoken.Encoding("texts", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _alone(self, text: str) -> bytes:
+    def __call__(self, text: str) -> bytes:
+        if any(s in text for s in self.special) or any(text[i : i + self.STRETCH].isspace() for i in range(0, len(text) - self.STRETCH + 1, self.STRETCH)):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return array("I", self.encoder.encode_ordinary(text)).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[-1].isspace():
-            raise LookupError("may reach into the next word")
-        if len(self) > self.SIZE:
-            self.clear()
-        core = word.rstrip(self.MARKS)
-        if core and len(core) < len(word) and core[-1].isalpha():
-            ids = self[core] + self._alone(word[len(core) :])
-        else:
-            ids = self._alone(f" {word}")
-        self[word] = ids
-        return ids
 
-    def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if first and not first[-1].isspace() and not any(s in text for s in self.special):
-            try:
-                return self._alone(first) + b"".join([self[w] for w in rest])
-            except LookupError:
-                pass
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+#: Its name when it kept words.
+WordCache = Encoder
 
 
 def _rows(batches: Iterator[pa.RecordBatch], path: str, limits: Limits, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encode, packer = WordCache(path), Packer(limits, cut=True)
+    encode, packer = Encoder(path), Packer(limits, cut=True)
     first = TaskContext.get().partitionId() << 33
     end, step = np.array([END_ID], dtype="<u4").tobytes(), min(limits.tokens, limits.loss)
     out: list[tuple] = []
@@ -201,7 +182,7 @@ def pack_documents(
     two named are not read. Sequence ids hold the partition's number, so a task that runs again
     after a lost executor makes the same ones.
 
-    Memory per task: the pool of pieces, each with the ids of its document, and the word cache.
+    Memory per task: the pool of pieces, each with the ids of its document.
     """
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     schema = ", ".join(f"{c} long" for c in FIELDS) + (", ids array<int>" if with_ids else "")

@@ -27,6 +27,24 @@ def test_words_have_the_tokenizers_ids(ids):
         assert words(text) == ids(text)[:-1].tobytes(), text
 
 
+def test_long_white_space_has_the_tokenizers_ids(ids):
+    """The encoder's pattern gives up on it; at any place in the text, in any mix."""
+    encode = WordCache(PATH)
+    for n in (1, 499, 500, 501, 998, 999, 1500, 1_200_000):
+        for text in ("a" + "\n" * n + "b", " x" * 123 + " \t\n" * (n // 3) + " y z", "\u2003" * n, "a b" + " " * n):
+            assert encode(text) == ids(text)[:-1].tobytes(), (n, text[:20])
+
+
+def test_nothing_is_kept_from_text_to_text(ids):
+    """Words that never come again cost no cache, and split words, marks and digits have the tokenizer's ids."""
+    rng, encode = np.random.default_rng(5), WordCache(PATH)
+    letters = np.array([*"abcdeéñABC01.,'!? \n\t语"])
+    for _ in range(300):
+        text = "".join(rng.choice(letters, 200))
+        assert encode(text) == ids(text)[:-1].tobytes(), text
+    assert not isinstance(encode, dict)
+
+
 def check(rows, ids, texts, limits):
     placed, cut = defaultdict(list), defaultdict(list)
     for r in rows:
