@@ -77,8 +77,10 @@ class Best:
 
 
 def search(tf: np.ndarray, m: np.ndarray, ids: np.ndarray, null: np.ndarray, weights: np.ndarray, best: Best) -> int:
-    """Search one trie; tf has a row per document and a column per term, the most frequent first. Returns the
-    number of documents scored."""
+    """Search one trie; tf has a row per document and a column per term. Paths part by the terms of most weight first,
+    so that what lacks them has a low bound. Returns the number of documents scored."""
+    heavy = np.argsort(-weights, kind="stable")
+    tf, weights = tf[:, heavy], weights[heavy]
     paths = np.packbits(tf > 0, axis=1)
     keys = np.ascontiguousarray(paths).view(f"S{paths.shape[1]}").ravel()
     order = np.argsort(keys, kind="stable")[::-1]
