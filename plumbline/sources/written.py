@@ -78,13 +78,36 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     This is how a table replaces one it was read from, and how a long lineage is cut: an executor
     lost later costs a re-read, not a re-run.
     """
-    path = new_path(df.sparkSession, name)
+    return _kept(df, new_path(df.sparkSession, name))
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
     out = _write(df, path)
     place, files = _place(df.sparkSession, path)
     files.deleteOnExit(place)  # goes when the application ends
     return out
 
 
+class Steps:
+    """Writes one state of a table after the other; a state goes once the next one is written from it, the last one
+    with `end`, else when the application ends."""
+
+    def __init__(self, name: str):
+        self.name, self.last = name, None
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = new_path(df.sparkSession, self.name)
+        out = _kept(df, path)
+        self.end(df.sparkSession)
+        self.last = path
+        return out
+
+    def end(self, spark: SparkSession) -> None:
+        if self.last:
+            delete(spark, self.last)
+        self.last = None
+
+
 @contextmanager
 def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """The table as written, for as long as the block runs."""
